@@ -40,25 +40,26 @@ def sequential_index(
     bucket_cols: list[Column],
     order_cols: list[str],
     name: str = "idx",
+    group_cols: list[str] | None = None,
 ) -> DataFrame:
     """Add ``name``: 0-based position of each row in the order ``order_cols``.
 
     ``bucket_cols`` must be non-decreasing along ``order_cols`` (for example
     ``file_no`` and ``row_id div width`` when the order starts with
     ``file_no, row_id``).  ``order_cols`` must be a total order (no ties), so
-    the result does not depend on partitioning or retries.
+    the result does not depend on partitioning or retries.  With
+    ``group_cols`` numbering restarts at 0 in every group.
     """
+    groups = list(group_cols or [])
     names = [f"_b{i}" for i in range(len(bucket_cols))]
     with_b = df.select("*", *[c.alias(n) for c, n in zip(bucket_cols, names)])
-    counts = with_b.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket; the global running sum runs over this small table only.
-    offsets = counts.select(
-        *names,
-        (F.sum("_n").over(Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_off"),
-    )
-    within = Window.partitionBy(*names).orderBy(*order_cols)
+    counts = with_b.groupBy(*groups, *names).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per bucket; the running sum runs over this small table only.
+    running = Window.partitionBy(*groups).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = counts.select(*groups, *names, (F.sum("_n").over(running) - F.col("_n")).alias("_off"))
+    within = Window.partitionBy(*groups, *names).orderBy(*order_cols)
     return (
-        with_b.join(offsets, names)
+        with_b.join(offsets, groups + names)
         .withColumn(name, (F.col("_off") + F.row_number().over(within) - 1).cast("long"))
         .drop(*names, "_off")
     )

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from wordmill.constants import DEFAULT_STOPWORDS
 from wordmill.functions.text import clean_sentence, mark_punctuation, pipe_to_space, sentence_proc
+from wordmill.operators.sequences import batch_rows
+from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
+from wordmill.plans import corpus as E2
 from wordmill.plans import vocabulary as E1
+from wordmill.session import cut_lineage
+from wordmill.sources.driver_tables import qa_cells
 from wordmill.sources.driver_tables import dialogues, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,10 +48,57 @@ def q_dialogue_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_segmented_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E2.segmented(spark, sf_dir).select("split", "row_id", *E2.PROCESSED)
+
+
+def q_training_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E2.training_corpus(E2.segmented(spark, sf_dir)).select("split", "row_id", "merged")
+
+
+def q_max_len(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E2.length_caps(E2.xy_corpora(E2.segmented(spark, sf_dir)))
+
+
+def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The vocabulary feeds several joins and scalar subqueries: materialise it once.
+    return cut_lineage(E1.vocabulary(spark, sf_dir))
+
+
+def q_pad_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E2.padded(spark, sf_dir, _vocab(spark, sf_dir)).select("split", "row_id", "kind", "seq")
+
+
+def q_model_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = E2.padded(spark, sf_dir, _vocab(spark, sf_dir))
+    return batch_rows(rows, ["file_no", "kind"], "row_id", 100).select("split", "row_id", "kind", "batch", "ids")
+
+
+def q_corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_tokens(qa_cells(spark, sf_dir))
+
+
+def q_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(text_tokens(qa_cells(spark, sf_dir)), _vocab(spark, sf_dir), stopword_frame(spark))
+
+
+def q_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = _vocab(spark, sf_dir)
+    return decode(encode(text_tokens(qa_cells(spark, sf_dir)), vocab, stopword_frame(spark)), vocab)
+
+
 QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_special_columns": q_vocab_special_columns,
     "mark_punctuation": q_mark_punctuation,
     "clean_sentence": q_clean_sentence,
     "dialogue_clean": q_dialogue_clean,
+    "segmented_table": q_segmented_table,
+    "training_corpus": q_training_corpus,
+    "max_len": q_max_len,
+    "pad_sequences": q_pad_sequences,
+    "model_inputs": q_model_inputs,
+    "corpus_tokens": q_corpus_tokens,
+    "encode": q_encode,
+    "decode": q_decode,
 }

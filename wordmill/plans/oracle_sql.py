@@ -164,3 +164,62 @@ ORACLE["mark_punctuation"] = f"SELECT doc_id, replace({f1('text')}, '|', ' ') AS
 ORACLE["clean_sentence"] = f"SELECT doc_id, {clean('text')} AS text FROM documents"
 
 ORACLE["dialogue_clean"] = with_(DIALOGUES) + f"SELECT row_id AS conv_id, {sentence_proc('Dialogue')} AS text FROM dlg"
+
+ORACLE["segmented_table"] = with_(DIALOGUES, QA, SEG) + "SELECT split, row_id, Brand, Model, Question, Dialogue, Report FROM seg"
+
+ORACLE["training_corpus"] = with_(DIALOGUES, QA, SEG) + (
+    "SELECT split, row_id, CASE WHEN file_no = 0 "
+    "THEN coalesce(Question, '') || ' ' || coalesce(Dialogue, '') || ' ' || coalesce(Report, '') "
+    "ELSE coalesce(Question, '') || ' ' || coalesce(Dialogue, '') END AS merged FROM seg"
+)
+
+ORACLE["max_len"] = with_(DIALOGUES, QA, SEG, XY, LENS) + (
+    "SELECT corpus, max_len FROM lens UNION ALL SELECT kind, cap FROM caps"
+)
+
+PADDED = f"""
+ptok_src AS (
+  SELECT x.file_no, x.split, x.row_id, x.kind, c.cap, string_split({strip_ws('x.s')}, ' ')[1:c.cap] AS t
+  FROM xy x JOIN caps c ON c.kind = x.kind
+),
+ptok AS (SELECT file_no, split, row_id, kind, cap, generate_subscripts(t, 1) AS pos, unnest(t) AS token FROM ptok_src),
+top AS (SELECT coalesce(max(idx), -1) AS m FROM vocab),
+prow AS (
+  SELECT p.file_no, p.split, p.row_id, p.kind, p.cap, count(*) AS n,
+         string_agg(CASE WHEN v.idx IS NULL THEN {q(UNK_TOKEN)} ELSE p.token END, ' ' ORDER BY p.pos) AS body,
+         string_agg(coalesce(v.idx, (SELECT m FROM top) + 4)::VARCHAR, ' ' ORDER BY p.pos) AS body_ids
+  FROM ptok p LEFT JOIN vocab v ON v.word = p.token
+  GROUP BY p.file_no, p.split, p.row_id, p.kind, p.cap
+),
+padded AS (
+  SELECT file_no, split, row_id, kind,
+         {q(START_TOKEN + ' ')} || body || {q(' ' + END_TOKEN)} || repeat({q(' ' + PAD_TOKEN)}, (cap - n)::INTEGER) AS seq,
+         ((SELECT m FROM top) + 2)::VARCHAR || ' ' || body_ids || ' ' || ((SELECT m FROM top) + 3)::VARCHAR
+           || repeat(' ' || ((SELECT m FROM top) + 1)::VARCHAR, (cap - n)::INTEGER) AS ids
+  FROM prow
+)"""
+
+_E2_VOCAB = (CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG, XY, LENS, PADDED)
+
+ORACLE["pad_sequences"] = with_(*_E2_VOCAB) + "SELECT split, row_id, kind, seq FROM padded"
+
+ORACLE["model_inputs"] = with_(*_E2_VOCAB) + (
+    "SELECT split, row_id, kind, ((row_number() OVER (PARTITION BY file_no, kind ORDER BY row_id) - 1) // 100)::BIGINT AS batch, "
+    "ids FROM padded"
+)
+
+ORACLE["corpus_tokens"] = with_(CELLS, TEXT_TOKENS) + "SELECT file_no, row_id, col_no, sub, pos, token FROM ttok"
+
+ENCODED = f"""
+enc AS (
+  SELECT t.file_no, t.row_id, t.col_no, t.sub, t.pos, v.idx FROM ttok t JOIN vocab v ON v.word = t.token
+  WHERE t.token NOT IN {SW_IN}
+)"""
+
+ORACLE["encode"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, ENCODED) + (
+    "SELECT file_no, row_id, col_no, sub, pos, idx FROM enc"
+)
+
+ORACLE["decode"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, ENCODED) + (
+    "SELECT e.file_no, e.row_id, e.col_no, e.sub, e.pos, v.word FROM enc e JOIN vocab v ON v.idx = e.idx"
+)

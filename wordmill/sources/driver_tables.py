@@ -32,8 +32,28 @@ COL_NO = {"Question": 0, "Dialogue": 1, "Report": 2, "Brand": 3, "Model": 4}
 TRAIN, TEST = 0, 1
 
 
+# Text tables whose per-row work (regex, segmentation) dominates, with their key.
+_TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = _TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores.
+
+    A parquet file with one row group is read by one task, which would then do
+    all regex work alone.  Large inputs already have many splits and are left
+    untouched (no extra shuffle at scale).  Hashing on the key keeps retries
+    deterministic.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def file_no(row_id: Column) -> Column:
