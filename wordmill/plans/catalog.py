@@ -15,7 +15,10 @@ from wordmill.constants import DEFAULT_STOPWORDS
 from wordmill.functions.text import clean_sentence, mark_punctuation, pipe_to_space, sentence_proc
 from wordmill.operators.sequences import batch_rows
 from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
+from wordmill.constants import SG_WINDOW, SUBSAMPLE_TH
+from wordmill.operators import pairs as P
 from wordmill.plans import corpus as E2
+from wordmill.plans import embedding as E3
 from wordmill.plans import vocabulary as E1
 from wordmill.session import cut_lineage
 from wordmill.sources.driver_tables import qa_cells
@@ -87,6 +90,56 @@ def q_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encode(text_tokens(qa_cells(spark, sf_dir)), vocab, stopword_frame(spark)), vocab)
 
 
+def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E3.skipgram_batches(spark, sf_dir, _vocab(spark, sf_dir))
+
+
+def q_relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rf = P.relative_frequency(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)))
+    return rf.select("idx", "n", F.round("freq", 6).alias("freq"), F.round("p_drop", 6).alias("p_drop"))
+
+
+def q_subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.subsample_frequent(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)), SUBSAMPLE_TH)
+
+
+def q_global_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = P.subsample_frequent(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)), SUBSAMPLE_TH)
+    return P.global_position(kept).select("gidx", "idx")
+
+
+def q_full_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batches(spark, sf_dir).groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("idx").cast("long").alias("idx_sum")
+    )
+
+
+def _context(spark: SparkSession, sf_dir: str, random: bool) -> DataFrame:
+    ctx = P.context_sets(_batches(spark, sf_dir), SG_WINDOW, random)
+    return ctx.select("batch", "gidx", "center", F.array_join(F.transform("context", lambda x: x.cast("string")), " ").alias("context"))
+
+
+def q_context_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _context(spark, sf_dir, False)
+
+
+def q_context_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _context(spark, sf_dir, True)
+
+
+def q_skipgram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.skipgram_pairs(_batches(spark, sf_dir), SG_WINDOW)
+
+
+def q_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.cooccurrence(P.skipgram_pairs(_batches(spark, sf_dir), SG_WINDOW))
+
+
+def q_ppmi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    co = cut_lineage(P.cooccurrence(P.skipgram_pairs(_batches(spark, sf_dir), SG_WINDOW)))
+    return P.ppmi(co).select("w", "c", "n", F.round("pmi", 6).alias("pmi"), F.round("ppmi", 6).alias("ppmi"))
+
+
 QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_special_columns": q_vocab_special_columns,
@@ -101,4 +154,13 @@ QUERIES: dict[str, Query] = {
     "corpus_tokens": q_corpus_tokens,
     "encode": q_encode,
     "decode": q_decode,
+    "relative_frequency": q_relative_frequency,
+    "subsample": q_subsample,
+    "global_position": q_global_position,
+    "full_batches": q_full_batches,
+    "context_fixed": q_context_fixed,
+    "context_random": q_context_random,
+    "skipgram_pairs": q_skipgram_pairs,
+    "cooccurrence": q_cooccurrence,
+    "ppmi": q_ppmi,
 }

@@ -14,6 +14,10 @@ from wordmill.constants import (
     PAD_TOKEN,
     PUNCTUATION_TAGS,
     RARE_WORD_CUT,
+    SG_BATCH,
+    SG_WINDOW,
+    SUBSAMPLE_T,
+    SUBSAMPLE_TH,
     START_TOKEN,
     TECHNICIAN_LABEL,
     TOKEN_PATTERN,
@@ -223,3 +227,64 @@ ORACLE["encode"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, ENCODED) + (
 ORACLE["decode"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, ENCODED) + (
     "SELECT e.file_no, e.row_id, e.col_no, e.sub, e.pos, v.word FROM enc e JOIN vocab v ON v.idx = e.idx"
 )
+
+SKIPGRAM = f"""
+sfreq AS (SELECT idx, count(*) AS n FROM enc GROUP BY idx),
+stot AS (SELECT count(*) AS total FROM enc),
+rfreq AS (
+  SELECT idx, n, n / (SELECT total FROM stot) AS freq, 1 - sqrt({SUBSAMPLE_T} / (n / (SELECT total FROM stot))) AS p_drop FROM sfreq
+),
+kept AS (SELECT e.* FROM enc e JOIN rfreq f ON f.idx = e.idx WHERE f.p_drop < {SUBSAMPLE_TH}),
+gpos AS (SELECT (row_number() OVER (ORDER BY file_no, row_id, col_no, sub, pos) - 1)::BIGINT AS gidx, idx FROM kept),
+nb AS (SELECT (count(*) // {SG_BATCH}) * {SG_BATCH} AS lim FROM gpos),
+bat AS (
+  SELECT (gidx // {SG_BATCH})::BIGINT AS batch, gidx, idx,
+         1 + ((((gidx % 2147483648) * 1103515245 + 12345) % 2147483648) // 65536) % {SG_WINDOW} AS r
+  FROM gpos WHERE gidx < (SELECT lim FROM nb)
+)"""
+
+
+def context_sql(reach: str) -> str:
+    return f"""
+ctxp AS (
+  SELECT a.batch, a.gidx, a.idx AS center, b.idx AS context
+  FROM bat a JOIN bat b ON a.batch = b.batch AND b.gidx <> a.gidx AND abs(b.gidx - a.gidx) <= {reach}
+  GROUP BY a.batch, a.gidx, a.idx, b.idx
+)"""
+
+
+_SG = (CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, ENCODED, SKIPGRAM)
+
+ORACLE["relative_frequency"] = with_(*_SG) + "SELECT idx, n, round(freq, 6) AS freq, round(p_drop, 6) AS p_drop FROM rfreq"
+
+ORACLE["subsample"] = with_(*_SG) + "SELECT file_no, row_id, col_no, sub, pos, idx FROM kept"
+
+ORACLE["global_position"] = with_(*_SG) + "SELECT gidx, idx FROM gpos"
+
+ORACLE["full_batches"] = with_(*_SG) + "SELECT batch, count(*) AS n, sum(idx)::BIGINT AS idx_sum FROM bat GROUP BY batch"
+
+ORACLE["context_fixed"] = with_(*_SG, context_sql(str(SG_WINDOW))) + (
+    "SELECT batch, gidx, center, array_to_string(list_sort(list(context)), ' ') AS context FROM ctxp GROUP BY batch, gidx, center"
+)
+
+ORACLE["context_random"] = with_(*_SG, context_sql("a.r")) + (
+    "SELECT batch, gidx, center, array_to_string(list_sort(list(context)), ' ') AS context FROM ctxp GROUP BY batch, gidx, center"
+)
+
+ORACLE["skipgram_pairs"] = with_(*_SG, context_sql("a.r")) + (
+    "SELECT batch, center, context, count(*) AS n FROM ctxp GROUP BY batch, center, context"
+)
+
+COOC = """
+cooc AS (SELECT center AS w, context AS c, count(*) AS n FROM ctxp GROUP BY center, context),
+ctot AS (SELECT sum(n) AS total FROM cooc),
+cw AS (SELECT w, sum(n) AS n_w FROM cooc GROUP BY w),
+cc AS (SELECT c, sum(n) AS n_c FROM cooc GROUP BY c)"""
+
+ORACLE["cooccurrence"] = with_(*_SG, context_sql("a.r"), COOC) + "SELECT w, c, n FROM cooc"
+
+ORACLE["ppmi"] = with_(*_SG, context_sql("a.r"), COOC) + (
+    "SELECT o.w, o.c, o.n, round(ln(o.n::DOUBLE * (SELECT total FROM ctot) / (cw.n_w::DOUBLE * cc.n_c)), 6) AS pmi, "
+    "round(greatest(ln(o.n::DOUBLE * (SELECT total FROM ctot) / (cw.n_w::DOUBLE * cc.n_c)), 0.0), 6) AS ppmi "
+    "FROM cooc o JOIN cw ON cw.w = o.w JOIN cc ON cc.c = o.c"
+)
