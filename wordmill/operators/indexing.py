@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordmill.session import cut_lineage
+
 # Rows of the ordered key per bucket: bounds the within-bucket sort.
 DEFAULT_KEYS_PER_BUCKET = 4096
 
@@ -63,3 +65,23 @@ def sequential_index(
         .withColumn(name, (F.col("_off") + F.row_number().over(within) - 1).cast("long"))
         .drop(*names, "_off")
     )
+
+
+def ordered_index(
+    df: DataFrame,
+    order_cols: list[str],
+    name: str,
+    file_col: str | None = "file_no",
+    row_col: str = "row_id",
+    group_cols: list[str] | None = None,
+    keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET,
+) -> DataFrame:
+    """Number rows in the order ``[file_col,] row_col, ...`` (see :func:`sequential_index`).
+
+    The input is materialised once (it is read by the bucket count, the
+    offsets and the numbering pass), buckets are ranges of ``row_col``.
+    """
+    staged = cut_lineage(df, "ordered")
+    width = bucket_width(staged, row_col, keys_per_bucket)
+    buckets = ([F.col(file_col)] if file_col else []) + [F.floor(F.col(row_col) / width)]
+    return sequential_index(staged, buckets, order_cols, name, group_cols)

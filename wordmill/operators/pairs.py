@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.constants import SUBSAMPLE_T
-from wordmill.operators.indexing import bucket_width, sequential_index
+from wordmill.operators.indexing import ordered_index
 from wordmill.operators.vocab import KEY
 
 # Seeded reach generator constants (a classic linear congruential step).
@@ -44,8 +44,7 @@ def subsample_frequent(encoded: DataFrame, th: float | None, t: float = SUBSAMPL
 
 def global_position(encoded: DataFrame, key: list[str] = KEY, name: str = "gidx") -> DataFrame:
     """Position of each token in the flattened corpus (file, row, column, turn, pos)."""
-    width = bucket_width(encoded, "row_id")
-    return sequential_index(encoded, [F.col("file_no"), F.floor(F.col("row_id") / width)], key, name)
+    return ordered_index(encoded, key, name)
 
 
 def full_batches(positioned: DataFrame, batch_size: int, name: str = "gidx") -> DataFrame:

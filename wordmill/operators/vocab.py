@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wordmill.constants import DEFAULT_STOPWORDS, UNK_TOKEN
 from wordmill.functions.text import mark_punctuation, pipe_to_space, segment_regex
-from wordmill.operators.indexing import bucket_width, sequential_index
+from wordmill.operators.indexing import ordered_index, sequential_index
 
 KEY = ["file_no", "row_id", "col_no", "sub", "pos"]
 
@@ -96,13 +96,7 @@ def build_vocab(
         .where(F.col("word") != "\t")
     )
     first = drop_stopword_tokens(first, stopwords, "word")
-    width = bucket_width(tokens, "row_id")
-    ranked = sequential_index(
-        first.select("word", "freq", *[F.col(f"first.{k}").alias(k) for k in KEY]),
-        [F.col("file_no"), F.floor(F.col("row_id") / width)],
-        KEY,
-        "idx",
-    )
+    ranked = ordered_index(first.select("word", "freq", *[F.col(f"first.{k}").alias(k) for k in KEY]), KEY, "idx")
     vocab = ranked.select("word", "idx", "freq")
     if drop_lt_freq is not None:
         vocab = vocab.where(F.col("freq") >= drop_lt_freq)

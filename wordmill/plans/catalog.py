@@ -94,17 +94,21 @@ def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E3.skipgram_batches(spark, sf_dir, _vocab(spark, sf_dir))
 
 
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_lineage(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)), "encoded")
+
+
 def q_relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rf = P.relative_frequency(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)))
+    rf = P.relative_frequency(_encoded(spark, sf_dir))
     return rf.select("idx", "n", F.round("freq", 6).alias("freq"), F.round("p_drop", 6).alias("p_drop"))
 
 
 def q_subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.subsample_frequent(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)), SUBSAMPLE_TH)
+    return P.subsample_frequent(_encoded(spark, sf_dir), SUBSAMPLE_TH)
 
 
 def q_global_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = P.subsample_frequent(E3.encoded_corpus(spark, sf_dir, _vocab(spark, sf_dir)), SUBSAMPLE_TH)
+    kept = P.subsample_frequent(_encoded(spark, sf_dir), SUBSAMPLE_TH)
     return P.global_position(kept).select("gidx", "idx")
 
 
@@ -164,3 +168,18 @@ QUERIES: dict[str, Query] = {
     "cooccurrence": q_cooccurrence,
     "ppmi": q_ppmi,
 }
+
+# Headline queries timed by bench.py (one per operator family, whole tables).
+BENCH_QUERIES = [
+    "vocab_build",
+    "clean_sentence",
+    "training_corpus",
+    "max_len",
+    "pad_sequences",
+    "model_inputs",
+    "encode",
+    "relative_frequency",
+    "global_position",
+    "skipgram_pairs",
+    "ppmi",
+]

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wordmill.constants import SG_BATCH, SUBSAMPLE_TH
 from wordmill.operators.pairs import full_batches, global_position, subsample_frequent
 from wordmill.operators.vocab import encode, stopword_frame, text_tokens
+from wordmill.session import cut_lineage
 from wordmill.sources.driver_tables import qa_cells
 
 
@@ -17,5 +18,7 @@ def encoded_corpus(spark: SparkSession, sf_dir: str, vocab: DataFrame) -> DataFr
 
 def skipgram_batches(spark: SparkSession, sf_dir: str, vocab: DataFrame, th: float | None = SUBSAMPLE_TH, batch_size: int = SG_BATCH) -> DataFrame:
     """J1 -> P8 -> W2 -> W4: ``gidx, idx, batch`` of the sub-sampled corpus in full batches."""
-    kept = subsample_frequent(encoded_corpus(spark, sf_dir, vocab), th)
-    return full_batches(global_position(kept), batch_size)
+    encoded = cut_lineage(encoded_corpus(spark, sf_dir, vocab), "encoded")
+    kept = subsample_frequent(encoded, th)
+    positioned = cut_lineage(global_position(kept), "positioned")
+    return full_batches(positioned, batch_size)

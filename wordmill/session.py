@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint directory (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the session's checkpoint directory and read it back.
+
+    A stage boundary like the files between the original's steps: later
+    consumers read columnar files (pruning, pushdown, exact sizes for AQE)
+    instead of recomputing the lineage, and a lost executor costs a re-read,
+    not a recompute.  The folder is the shared ``spark.checkpoint.dir`` on a
+    cluster.
+    """
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
