@@ -83,5 +83,6 @@ def ordered_index(
     """
     staged = cut_lineage(df, "ordered")
     width = bucket_width(staged, row_col, keys_per_bucket)
-    buckets = ([F.col(file_col)] if file_col else []) + [F.floor(F.col(row_col) / width)]
+    # Integer division: exact for any long key (a double quotient is not).
+    buckets = ([F.col(file_col)] if file_col else []) + [F.expr(f"`{row_col}` div {width}")]
     return sequential_index(staged, buckets, order_cols, name, group_cols)

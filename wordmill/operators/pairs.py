@@ -50,8 +50,8 @@ def global_position(encoded: DataFrame, key: list[str] = KEY, name: str = "gidx"
 def full_batches(positioned: DataFrame, batch_size: int, name: str = "gidx") -> DataFrame:
     """``batch = gidx div B``; the incomplete last batch is dropped."""
     total = positioned.agg(F.count(F.lit(1))).scalar()
-    limit = F.floor(total / batch_size) * batch_size
-    return positioned.where(F.col(name) < limit).withColumn("batch", F.floor(F.col(name) / batch_size).cast("long"))
+    limit = total - total % batch_size
+    return positioned.where(F.col(name) < limit).withColumn("batch", F.expr(f"`{name}` div {batch_size}"))
 
 
 def random_reach(gidx: Column, window: int) -> Column:

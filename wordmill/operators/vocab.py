@@ -102,7 +102,7 @@ def build_vocab(
         vocab = vocab.where(F.col("freq") >= drop_lt_freq)
     if compact:
         width_v = 1 << 16
-        vocab = sequential_index(vocab, [F.floor(F.col("idx") / width_v)], ["idx"], "cidx").select(
+        vocab = sequential_index(vocab, [F.expr(f"idx div {width_v}")], ["idx"], "cidx").select(
             "word", F.col("cidx").alias("idx"), "freq"
         )
     return vocab

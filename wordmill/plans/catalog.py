@@ -15,7 +15,8 @@ from wordmill.constants import DEFAULT_STOPWORDS
 from wordmill.functions.text import clean_sentence, mark_punctuation, pipe_to_space, sentence_proc
 from wordmill.operators.sequences import batch_rows
 from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
-from wordmill.constants import SG_WINDOW, SUBSAMPLE_TH
+from wordmill.constants import SG_BATCH, SG_EPOCHS, SG_SIZE, SG_WINDOW, SUBSAMPLE_TH, WV_MIN_COUNT, WV_SIZE, WV_WINDOW
+from wordmill.operators import embeddings as EMB
 from wordmill.operators import pairs as P
 from wordmill.plans import corpus as E2
 from wordmill.plans import embedding as E3
@@ -144,6 +145,65 @@ def q_ppmi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.ppmi(co).select("w", "c", "n", F.round("pmi", 6).alias("pmi"), F.round("ppmi", 6).alias("ppmi"))
 
 
+# Library default epochs of the original's embedding trainer.
+WV_EPOCHS = 5
+
+
+def _dims(vectors: DataFrame) -> DataFrame:
+    return vectors.select("word", F.size("vector").cast("long").alias("dims"))
+
+
+def _w2v_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = EMB.train_embeddings(E3.merged_lines(spark, sf_dir), WV_SIZE, WV_WINDOW, WV_MIN_COUNT, WV_EPOCHS)
+    return EMB.word_vectors(model)
+
+
+def q_train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dims(_w2v_vectors(spark, sf_dir))
+
+
+def q_skipgram_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sentences = E3.batch_sentences(_batches(spark, sf_dir))
+    model = EMB.train_embeddings(sentences, SG_SIZE, SG_WINDOW, 1, SG_EPOCHS, num_partitions=spark.sparkContext.defaultParallelism)
+    return _dims(EMB.word_vectors(model))
+
+
+def q_extend_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = E3.extended_lines(spark, sf_dir, _vocab(spark, sf_dir))
+    return _dims(EMB.word_vectors(EMB.train_embeddings(lines, WV_SIZE, WV_WINDOW, WV_MIN_COUNT, WV_EPOCHS)))
+
+
+def q_lookup_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = E1.vocabulary(spark, sf_dir, drop_lt_freq=None).select("word")
+    return _dims(EMB.lookup_vectors(words, _w2v_vectors(spark, sf_dir)))
+
+
+def q_subword_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _vocab(spark, sf_dir).select("word")
+    out = EMB.subword_vectors(words, _w2v_vectors(spark, sf_dir))
+    return out.select("word", "source", F.coalesce(F.size("vector"), F.lit(0)).cast("long").alias("dims"))
+
+
+def q_embedding_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab_all = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None), "vocab_all")
+    vectors = E3.vectors_from_table(spark, sf_dir, vocab_all)
+    cut = vocab_all.where(F.col("freq") >= WV_MIN_COUNT)
+    matrix = EMB.embedding_matrix(cut, vectors)
+    return matrix.select("idx", F.posexplode("vector").alias("dim", "value")).select(
+        "idx", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 6).alias("value")
+    )
+
+
+def q_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = cut_lineage(E3.merged_lines(spark, sf_dir), "lines")
+    counts = lines.select(F.explode("tokens").alias("w")).groupBy("w").count()
+    return lines.agg(F.count(F.lit(1)).alias("corpus_count")).select(
+        "corpus_count",
+        _vocab(spark, sf_dir).agg(F.countDistinct("word")).scalar().alias("vocab_size"),
+        counts.where(F.col("count") >= WV_MIN_COUNT).agg(F.count(F.lit(1))).scalar().alias("min_count_vocab"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_special_columns": q_vocab_special_columns,
@@ -167,6 +227,13 @@ QUERIES: dict[str, Query] = {
     "skipgram_pairs": q_skipgram_pairs,
     "cooccurrence": q_cooccurrence,
     "ppmi": q_ppmi,
+    "train_embeddings": q_train_embeddings,
+    "skipgram_embeddings": q_skipgram_embeddings,
+    "extend_embeddings": q_extend_embeddings,
+    "lookup_vectors": q_lookup_vectors,
+    "subword_vectors": q_subword_vectors,
+    "embedding_matrix": q_embedding_matrix,
+    "corpus_stats": q_corpus_stats,
 }
 
 # Headline queries timed by bench.py (one per operator family, whole tables).

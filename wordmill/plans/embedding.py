@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordmill.constants import SG_BATCH, SUBSAMPLE_TH
+from wordmill.operators.embeddings import line_tokens
 from wordmill.operators.pairs import full_batches, global_position, subsample_frequent
 from wordmill.operators.vocab import encode, stopword_frame, text_tokens
+from wordmill.plans.corpus import padded, segmented, training_corpus
 from wordmill.session import cut_lineage
 from wordmill.sources.driver_tables import qa_cells
 
@@ -22,3 +25,32 @@ def skipgram_batches(spark: SparkSession, sf_dir: str, vocab: DataFrame, th: flo
     kept = subsample_frequent(encoded, th)
     positioned = cut_lineage(global_position(kept), "positioned")
     return full_batches(positioned, batch_size)
+
+
+def batch_sentences(batched: DataFrame) -> DataFrame:
+    """R3 input: each full batch (``batch_size`` ids, in corpus order) is one sentence.
+
+    The group is one batch, so its size is the fixed batch size.
+    """
+    return batched.groupBy("batch").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("gidx", "idx"))), lambda x: x["idx"].cast("string")).alias("tokens")
+    )
+
+
+def merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged training corpus (F7) as whitespace token arrays."""
+    return line_tokens(training_corpus(segmented(spark, sf_dir)).select(F.col("merged").alias("line")))
+
+
+def extended_lines(spark: SparkSession, sf_dir: str, vocab: DataFrame) -> DataFrame:
+    """R5 corpus: the merged corpus plus the padded train-X, test-X and train-Y corpora."""
+    pads = padded(spark, sf_dir, vocab).select(F.col("seq").alias("line"))
+    return merged_lines(spark, sf_dir).unionByName(line_tokens(pads))
+
+
+def vectors_from_table(spark: SparkSession, sf_dir: str, vocab_all: DataFrame) -> DataFrame:
+    """Stand-in word vectors from the driver's ``embeddings`` table: ``vec_id`` is a vocabulary idx."""
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return emb.join(vocab_all.select(F.col("idx").alias("vec_id"), "word"), "vec_id").select(
+        "word", F.col("embedding").alias("vector")
+    )

@@ -15,6 +15,7 @@ from wordmill.constants import (
     PUNCTUATION_TAGS,
     RARE_WORD_CUT,
     SG_BATCH,
+    SG_SIZE,
     SG_WINDOW,
     SUBSAMPLE_T,
     SUBSAMPLE_TH,
@@ -22,6 +23,8 @@ from wordmill.constants import (
     TECHNICIAN_LABEL,
     TOKEN_PATTERN,
     UNK_TOKEN,
+    WV_MIN_COUNT,
+    WV_SIZE,
     clean_pattern,
 )
 
@@ -288,3 +291,39 @@ ORACLE["ppmi"] = with_(*_SG, context_sql("a.r"), COOC) + (
     "round(greatest(ln(o.n::DOUBLE * (SELECT total FROM ctot) / (cw.n_w::DOUBLE * cc.n_c)), 0.0), 6) AS ppmi "
     "FROM cooc o JOIN cw ON cw.w = o.w JOIN cc ON cc.c = o.c"
 )
+
+# Whitespace token lines (S9) of the merged corpus and of the padded corpora.
+WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+LINES = f"""
+mlines AS (
+  SELECT row_id, CASE WHEN file_no = 0
+    THEN coalesce(Question, '') || ' ' || coalesce(Dialogue, '') || ' ' || coalesce(Report, '')
+    ELSE coalesce(Question, '') || ' ' || coalesce(Dialogue, '') END AS line FROM seg
+),
+mtok AS (SELECT unnest(list_filter(regexp_split_to_array(line, {q(WS)}), lambda t: t <> '')) AS w FROM mlines),
+w2v_vocab AS (SELECT w AS word FROM mtok GROUP BY w HAVING count(*) >= {WV_MIN_COUNT})"""
+
+ORACLE["train_embeddings"] = with_(DIALOGUES, QA, SEG, LINES) + f"SELECT word, {WV_SIZE}::BIGINT AS dims FROM w2v_vocab"
+
+ORACLE["skipgram_embeddings"] = with_(*_SG) + f"SELECT DISTINCT idx::VARCHAR AS word, {SG_SIZE}::BIGINT AS dims FROM bat"
+
+ORACLE["extend_embeddings"] = with_(*_E2_VOCAB, LINES) + (
+    f", ptoks AS (SELECT w FROM mtok UNION ALL "
+    f"SELECT unnest(list_filter(regexp_split_to_array(seq, {q(WS)}), lambda t: t <> '')) FROM padded) "
+    f"SELECT w AS word, {WV_SIZE}::BIGINT AS dims FROM ptoks GROUP BY w HAVING count(*) >= {WV_MIN_COUNT}"
+)
+
+ORACLE["lookup_vectors"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG, LINES) + (
+    f"SELECT DISTINCT a.word, {WV_SIZE}::BIGINT AS dims FROM vocab_all a JOIN w2v_vocab w ON w.word = a.word"
+)
+
+ORACLE["embedding_matrix"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL) + (
+    ", wv AS (SELECT a.word, e.embedding FROM embeddings e JOIN vocab_all a ON a.idx = e.vec_id), "
+    "m AS (SELECT v.idx, wv.embedding FROM vocab v JOIN wv ON wv.word = v.word) "
+    "SELECT idx, (generate_subscripts(embedding, 1) - 1)::BIGINT AS dim, round(unnest(embedding)::DOUBLE, 6) AS value FROM m"
+)
+
+ORACLE["corpus_stats"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG, LINES) + (
+    "SELECT (SELECT count(*) FROM mlines) AS corpus_count, (SELECT count(DISTINCT word) FROM vocab) AS vocab_size, "
+    "(SELECT count(*) FROM w2v_vocab) AS min_count_vocab"
+)
