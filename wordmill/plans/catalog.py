@@ -204,6 +204,39 @@ def q_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write each artifact in the original's text format, read it back, count rows."""
+    from wordmill.sources import io as IO
+    from wordmill.session import ensure_checkpoint_dir
+    import uuid
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/io-{uuid.uuid4().hex}"
+    vocab = _vocab(spark, sf_dir)
+    IO.write_vocab(vocab, f"{base}/vocab")
+    w2i, i2w = IO.read_vocab(spark, f"{base}/vocab")
+    seg = cut_lineage(E2.segmented(spark, sf_dir), "seg")
+    IO.write_segmented(seg.select("split", "row_id", *E2.PROCESSED), f"{base}/seg")
+    seg_back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{base}/seg")
+    IO.write_lines(E2.training_corpus(seg), "merged", f"{base}/merged")
+    lines_back = IO.read_lines(spark, f"{base}/merged")
+    vocab_all = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None), "vocab_all")
+    matrix = EMB.embedding_matrix(vocab_all.where(F.col("freq") >= WV_MIN_COUNT), E3.vectors_from_table(spark, sf_dir, vocab_all))
+    IO.write_embedding_matrix(matrix, f"{base}/matrix")
+    matrix_back = spark.read.text(f"{base}/matrix")
+    stop_lines = stopword_frame(spark).union(stopword_frame(spark)).select(F.concat(F.lit(" "), "word").alias("value"))
+    stop_lines.write.mode("overwrite").text(f"{base}/stop")
+    stop_back = IO.read_stopwords(spark, f"{base}/stop")
+
+    def n(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("artifact"), "n")
+
+    out = n("vocab_word_to_idx", w2i)
+    for name, df in [("vocab_idx_to_word", i2w), ("segmented_csv", seg_back), ("merged_lines", lines_back),
+                     ("matrix_lines", matrix_back), ("stopwords", stop_back)]:
+        out = out.unionByName(n(name, df))
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_special_columns": q_vocab_special_columns,
@@ -234,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "subword_vectors": q_subword_vectors,
     "embedding_matrix": q_embedding_matrix,
     "corpus_stats": q_corpus_stats,
+    "io_roundtrip": q_io_roundtrip,
 }
 
 # Headline queries timed by bench.py (one per operator family, whole tables).

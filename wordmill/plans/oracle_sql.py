@@ -327,3 +327,13 @@ ORACLE["corpus_stats"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOG
     "SELECT (SELECT count(*) FROM mlines) AS corpus_count, (SELECT count(DISTINCT word) FROM vocab) AS vocab_size, "
     "(SELECT count(*) FROM w2v_vocab) AS min_count_vocab"
 )
+
+ORACLE["io_roundtrip"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG) + (
+    ", wv AS (SELECT a.word, e.embedding FROM embeddings e JOIN vocab_all a ON a.idx = e.vec_id) "
+    "SELECT 'vocab_word_to_idx' AS artifact, count(*) AS n FROM vocab "
+    "UNION ALL SELECT 'vocab_idx_to_word', count(*) FROM vocab "
+    "UNION ALL SELECT 'segmented_csv', count(*) FROM seg "
+    "UNION ALL SELECT 'merged_lines', count(*) FROM seg "
+    "UNION ALL SELECT 'matrix_lines', count(*) FROM vocab v JOIN wv ON wv.word = v.word "
+    f"UNION ALL SELECT 'stopwords', {len(set(DEFAULT_STOPWORDS))}::BIGINT"
+)
