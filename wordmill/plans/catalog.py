@@ -237,6 +237,15 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_segment_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 dictionary mode over every document, with the vocabulary (and its counts) as dictionary."""
+    from wordmill.operators.segment import segment_dictionary
+
+    docs = table(spark, sf_dir, "documents")
+    text = pipe_to_space(mark_punctuation("text"))
+    return segment_dictionary(docs, ["doc_id"], text, _vocab(spark, sf_dir).select("word", "freq"))
+
+
 QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_special_columns": q_vocab_special_columns,
@@ -268,6 +277,7 @@ QUERIES: dict[str, Query] = {
     "embedding_matrix": q_embedding_matrix,
     "corpus_stats": q_corpus_stats,
     "io_roundtrip": q_io_roundtrip,
+    "segment_dictionary": q_segment_dictionary,
 }
 
 # Headline queries timed by bench.py (one per operator family, whole tables).
