@@ -75,13 +75,20 @@ def ordered_index(
     row_col: str = "row_id",
     group_cols: list[str] | None = None,
     keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET,
+    stage: bool = True,
 ) -> DataFrame:
     """Number rows in the order ``[file_col,] row_col, ...`` (see :func:`sequential_index`).
 
     The input is materialised once (it is read by the bucket count, the
-    offsets and the numbering pass), buckets are ranges of ``row_col``.
+    offsets and the numbering pass) unless the caller already did
+    (``stage=False``); buckets are ranges of ``row_col``.
+
+    Bucket sizes stay bounded without any global sort: a bucket holds at most
+    ``keys_per_bucket`` consecutive rows of the source, and whatever is
+    numbered inside it (tokens, or words first seen there) is bounded by the
+    tokens of those rows.
     """
-    staged = cut_lineage(df, "ordered")
+    staged = cut_lineage(df, "ordered") if stage else df
     width = bucket_width(staged, row_col, keys_per_bucket)
     # Integer division: exact for any long key (a double quotient is not).
     buckets = ([F.col(file_col)] if file_col else []) + [F.expr(f"`{row_col}` div {width}")]

@@ -42,14 +42,19 @@ def subsample_frequent(encoded: DataFrame, th: float | None, t: float = SUBSAMPL
     return encoded.join(kept, "idx", "left_semi")
 
 
-def global_position(encoded: DataFrame, key: list[str] = KEY, name: str = "gidx") -> DataFrame:
+def global_position(encoded: DataFrame, key: list[str] = KEY, name: str = "gidx", stage: bool = True) -> DataFrame:
     """Position of each token in the flattened corpus (file, row, column, turn, pos)."""
-    return ordered_index(encoded, key, name)
+    return ordered_index(encoded, key, name, stage=stage)
 
 
-def full_batches(positioned: DataFrame, batch_size: int, name: str = "gidx") -> DataFrame:
-    """``batch = gidx div B``; the incomplete last batch is dropped."""
-    total = positioned.agg(F.count(F.lit(1))).scalar()
+def full_batches(positioned: DataFrame, batch_size: int, name: str = "gidx", total: Column | None = None) -> DataFrame:
+    """``batch = gidx div B``; the incomplete last batch is dropped.
+
+    ``total`` (number of positions) may come from a cheaper source than
+    re-counting the positioned table, e.g. the staged input of the numbering.
+    """
+    if total is None:
+        total = positioned.agg(F.count(F.lit(1))).scalar()
     limit = total - total % batch_size
     return positioned.where(F.col(name) < limit).withColumn("batch", F.expr(f"`{name}` div {batch_size}"))
 
@@ -84,9 +89,13 @@ def skipgram_pairs(batched: DataFrame, window: int, random: bool = True) -> Data
     return pairs.groupBy("batch", "center", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
-def cooccurrence(pairs: DataFrame) -> DataFrame:
-    """Pair counts over the whole corpus (partial aggregation absorbs hot words)."""
-    return pairs.groupBy(F.col("center").alias("w"), F.col("context").alias("c")).agg(F.sum("n").alias("n"))
+def cooccurrence(batched: DataFrame, window: int, random: bool = True) -> DataFrame:
+    """Pair counts over the whole corpus, straight from the context windows.
+
+    One shuffle on ``(w, c)``; partial aggregation absorbs hot words.
+    """
+    pairs = context_sets(batched, window, random).select(F.col("center").alias("w"), F.explode("context").alias("c"))
+    return pairs.groupBy("w", "c").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ppmi(co: DataFrame) -> DataFrame:

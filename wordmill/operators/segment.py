@@ -80,9 +80,7 @@ def _segment_runs(runs: pd.Series, edges: pd.Series) -> pd.Series:
 def segment_dictionary(df: DataFrame, key_cols: list[str], text: Column, dictionary: DataFrame) -> DataFrame:
     """R1 dictionary mode: ``key_cols..., run_no, k, token`` (reading order is ``run_no, k``).
 
-    ``dictionary`` has ``word`` and ``freq`` (null freq counts as 1).  The
-    run strings rejoin their edges by key instead of riding along with every
-    candidate, which would copy a run once per candidate through the shuffle.
+    ``dictionary`` has ``word`` and ``freq`` (null freq counts as 1).
     """
     dic = dictionary.select("word", F.coalesce(F.col("freq"), F.lit(1)).cast("double").alias("freq")).where(
         F.col("freq") > 0
@@ -90,23 +88,24 @@ def segment_dictionary(df: DataFrame, key_cols: list[str], text: Column, diction
     stats = dic.agg(F.log(F.sum("freq")).alias("lt"), F.max(F.length("word")).alias("ml"))
     log_total, max_len = stats.select("lt").scalar(), F.coalesce(stats.select("ml").scalar(), F.lit(1))
     runs = df.select(*key_cols, F.posexplode(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))).alias("run_no", "run"))
-    run_key = key_cols + ["run_no"]
-    starts = runs.select(*run_key, "run", F.explode(F.sequence(F.lit(0), F.length("run") - 1)).alias("s"))
+    # Segment each distinct run once: the lattice work grows with the run
+    # vocabulary, not with occurrences, and a hot run collapses in the
+    # partial aggregate of ``distinct``.
+    distinct_runs = runs.select("run").distinct()
+    starts = distinct_runs.select("run", F.explode(F.sequence(F.lit(0), F.length("run") - 1)).alias("s"))
     cands = starts.select(
-        *run_key,
-        "s",
-        F.explode(F.sequence(F.lit(1), F.least(max_len, F.length("run") - F.col("s")))).alias("l"),
-        "run",
-    ).select(*run_key, "s", "l", F.substring("run", F.col("s") + 1, F.col("l")).alias("word"))
-    known = cands.join(dic, "word").select(*run_key, "s", "l", (F.log("freq") - log_total).alias("lp"), F.lit(True).alias("k"))
+        "run", "s", F.explode(F.sequence(F.lit(1), F.least(max_len, F.length("run") - F.col("s")))).alias("l")
+    ).select("run", "s", "l", F.substring("run", F.col("s") + 1, F.col("l")).alias("word"))
+    known = cands.join(dic, "word").select("run", "s", "l", (F.log("freq") - log_total).alias("lp"), F.lit(True).alias("k"))
     # Every character may stand alone as an unknown word of frequency 1.
-    singles = cands.where(F.col("l") == 1).select(*run_key, "s", "l", (-log_total).alias("lp"), F.lit(False).alias("k"))
-    edges = known.unionByName(singles).groupBy(*run_key).agg(
+    singles = cands.where(F.col("l") == 1).select("run", "s", "l", (-log_total).alias("lp"), F.lit(False).alias("k"))
+    edges = known.unionByName(singles).groupBy("run").agg(
         F.collect_list(F.struct(F.col("s").cast("int").alias("s"), F.col("l").cast("int").alias("l"), "lp", "k")).alias("edges")
     )
-    segmented = runs.join(edges, run_key, "left").select(*run_key, _segment_runs("run", "edges").alias("tokens"))
-    # Positions restart per run; a dense position per row follows from (run_no, k).
-    return segmented.select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
+    segmented = edges.select("run", _segment_runs("run", "edges").alias("tokens"))
+    # Back to every occurrence; AQE broadcasts the segmented runs when small
+    # and splits hot keys of a sort-merge join otherwise.
+    return runs.join(segmented, "run").select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
 
 
 def map_partitions(df: DataFrame, func: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:

@@ -137,11 +137,11 @@ def q_skipgram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.cooccurrence(P.skipgram_pairs(_batches(spark, sf_dir), SG_WINDOW))
+    return P.cooccurrence(_batches(spark, sf_dir), SG_WINDOW)
 
 
 def q_ppmi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    co = cut_lineage(P.cooccurrence(P.skipgram_pairs(_batches(spark, sf_dir), SG_WINDOW)))
+    co = cut_lineage(P.cooccurrence(_batches(spark, sf_dir), SG_WINDOW), "cooc")
     return P.ppmi(co).select("w", "c", "n", F.round("pmi", 6).alias("pmi"), F.round("ppmi", 6).alias("ppmi"))
 
 

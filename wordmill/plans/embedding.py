@@ -22,9 +22,9 @@ def encoded_corpus(spark: SparkSession, sf_dir: str, vocab: DataFrame) -> DataFr
 def skipgram_batches(spark: SparkSession, sf_dir: str, vocab: DataFrame, th: float | None = SUBSAMPLE_TH, batch_size: int = SG_BATCH) -> DataFrame:
     """J1 -> P8 -> W2 -> W4: ``gidx, idx, batch`` of the sub-sampled corpus in full batches."""
     encoded = cut_lineage(encoded_corpus(spark, sf_dir, vocab), "encoded")
-    kept = subsample_frequent(encoded, th)
-    positioned = cut_lineage(global_position(kept), "positioned")
-    return full_batches(positioned, batch_size)
+    kept = cut_lineage(subsample_frequent(encoded, th), "kept")
+    positioned = global_position(kept, stage=False)
+    return full_batches(positioned, batch_size, total=kept.agg(F.count(F.lit(1))).scalar())
 
 
 def batch_sentences(batched: DataFrame) -> DataFrame:
