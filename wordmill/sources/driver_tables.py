@@ -36,10 +36,11 @@ TRAIN, TEST = 0, 1
 _TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id", "pages": "page_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
+    """A driver table; text tables are spread over the cores unless only keys are read."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     key = _TEXT_TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    return spread(df, key) if key and spread_rows else df
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -153,9 +154,8 @@ def qa_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     # Attach non-document cells only to existing Q&A records (one semi join).
-    attached = dialogue.unionByName(report).unionByName(part).join(
-        docs.select(F.col("doc_id").alias("row_id")), "row_id", "left_semi"
-    )
+    keys = table(spark, sf_dir, "documents", spread_rows=False).select(F.col("doc_id").alias("row_id"))
+    attached = dialogue.unionByName(report).unionByName(part).join(keys, "row_id", "left_semi")
     cells = question.unionByName(attached)
     return cells.select(
         file_no(F.col("row_id")).alias("file_no"),
