@@ -56,9 +56,7 @@ def sequential_index(
     names = [f"_b{i}" for i in range(len(bucket_cols))]
     with_b = df.select("*", *[c.alias(n) for c, n in zip(bucket_cols, names)])
     counts = with_b.groupBy(*groups, *names).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket; the running sum runs over this small table only.
-    running = Window.partitionBy(*groups).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = counts.select(*groups, *names, (F.sum("_n").over(running) - F.col("_n")).alias("_off"))
+    offsets = bucket_offsets(counts, groups, names)
     within = Window.partitionBy(*groups, *names).orderBy(*order_cols)
     return (
         with_b.join(offsets, groups + names)
@@ -67,6 +65,32 @@ def sequential_index(
     )
 
 
+# Buckets per super-bucket when the bucket table itself is summed.
+SUPER_BUCKET = 4096
+
+
+def bucket_offsets(counts: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
+    """Exclusive running sum of ``_n`` over buckets ``names`` (per group), in two levels.
+
+    The bucket table has one row per bucket - small next to the data, but at
+    very large scale still millions of rows - so it is summed like the data:
+    super-bucket totals (``SUPER_BUCKET`` buckets each) get a running sum over
+    a table thousands of times smaller, and each super-bucket's buckets get
+    their running sum in parallel.  No single task orders more than one
+    super-bucket or the super-bucket table.
+    """
+    *prefix, last = names
+    sup = counts.withColumn("_s", F.expr(f"`{last}` div {SUPER_BUCKET}"))
+    sup_totals = sup.groupBy(*groups, *prefix, "_s").agg(F.sum("_n").alias("_sn"))
+    sup_run = Window.partitionBy(*groups).orderBy(*prefix, "_s").rowsBetween(Window.unboundedPreceding, 0)
+    sup_off = sup_totals.select(*groups, *prefix, "_s", (F.sum("_sn").over(sup_run) - F.col("_sn")).alias("_soff"))
+    run = Window.partitionBy(*groups, *prefix, "_s").orderBy(last).rowsBetween(Window.unboundedPreceding, 0)
+    inner = sup.select(*groups, *names, "_s", "_n", (F.sum("_n").over(run) - F.col("_n")).alias("_ioff"))
+    return inner.join(sup_off, groups + prefix + ["_s"]).select(
+        *groups, *names, (F.col("_soff") + F.col("_ioff")).alias("_off")
+    )
+
+
 def ordered_index(
     df: DataFrame,
     order_cols: list[str],
