@@ -68,18 +68,22 @@ def random_reach(gidx: Column, window: int) -> Column:
 def context_sets(batched: DataFrame, window: int, random: bool = True) -> DataFrame:
     """Per position the distinct neighbour ids within its reach, inside its batch.
 
-    The frame is bounded (``window`` rows each side) and partitioned by batch,
-    so each group holds one batch.  Context never crosses a batch edge.
+    Positions inside a batch are consecutive, so the neighbour at distance
+    ``k`` is ``lag(k)`` / ``lead(k)`` over the batch ordered by position:
+    offset windows (no per-row frame buffers), partitioned by batch so each
+    group is one fixed-size batch and context never crosses a batch edge.
     """
     reach = random_reach(F.col("gidx"), window) if random else F.lit(window)
-    frame = Window.partitionBy("batch").orderBy("gidx").rowsBetween(-window, window)
-    near = batched.select(
-        "batch", "gidx", F.col("idx").alias("center"), reach.alias("r"),
-        F.collect_list(F.struct("gidx", "idx")).over(frame).alias("near"),
-    )
-    ctx = F.filter("near", lambda x: (F.abs(x["gidx"] - F.col("gidx")) <= F.col("r")) & (x["gidx"] != F.col("gidx")))
-    return near.select(
-        "batch", "gidx", "center", F.array_sort(F.array_distinct(F.transform(ctx, lambda x: x["idx"]))).alias("context")
+    w = Window.partitionBy("batch").orderBy("gidx")
+    near = []
+    for k in range(1, window + 1):
+        near.append(F.when(F.lit(k) <= F.col("r"), F.lag("idx", k).over(w)))
+        near.append(F.when(F.lit(k) <= F.col("r"), F.lead("idx", k).over(w)))
+    with_r = batched.select("batch", "gidx", "idx", reach.alias("r"))
+    ctx = with_r.select("batch", "gidx", F.col("idx").alias("center"), F.array(*near).alias("near"))
+    return ctx.select(
+        "batch", "gidx", "center",
+        F.array_sort(F.array_distinct(F.filter("near", lambda x: x.isNotNull()))).alias("context"),
     ).where(F.size("context") > 0)
 
 
