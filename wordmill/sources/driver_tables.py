@@ -38,12 +38,22 @@ _TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "benchmar
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """A driver table; text tables are spread over the cores unless only keys are read."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    memo = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(memo)
+    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    _SCHEMAS.setdefault(memo, df.schema)
     key = _TEXT_TABLE_KEYS.get(name)
-    return spread(df, key) if key and spread_rows else df
+    return spread(df, key, path) if key and spread_rows else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+# Scan split counts and file schemas per (application, path): properties of
+# the file layout, looked up once instead of on every read.
+_SPLITS: dict[tuple[str, str], int] = {}
+_SCHEMAS: dict = {}
+
+
+def spread(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
     """Hash-spread a scan that yields fewer splits than the cluster has cores.
 
     A parquet file with one row group is read by one task, which would then do
@@ -51,10 +61,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     untouched (no extra shuffle at scale).  Hashing on the key keeps retries
     deterministic.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    memo = (sc.applicationId, path) if path else None
+    splits = _SPLITS.get(memo) if memo else None
+    if splits is None:
+        splits = df.rdd.getNumPartitions()
+        if memo:
+            _SPLITS[memo] = splits
+    return df if splits >= cores else df.repartition(cores, key)
 
 
 def file_no(row_id: Column) -> Column:
