@@ -143,3 +143,17 @@ def test_dictionary_segmentation(spark):
     for r in out:
         got.setdefault(r["id"], []).append(r["token"])
     assert got == {0: ["发动机", "漏油"], 1: ["机油", "车主"]}
+
+
+def test_vocab_packed_key_path_equals_struct_path(spark):
+    from wordmill.operators.vocab import key_radices
+
+    sw = stopword_frame(spark, ["s"])
+    rows = [(f, r, c, t, p, w) for f in (0, 1) for r in (3, 1) for c in (0, 2) for t in (0, 5) for p, w in enumerate("q w e q".split())]
+    toks = spark.createDataFrame(rows, "file_no int, row_id long, col_no int, sub long, pos long, token string")
+    cells = toks.select("file_no", "row_id", "col_no", "sub").distinct()
+    radices = key_radices(cells)
+    assert radices is not None
+    a = sorted(tuple(r) for r in build_vocab(toks, sw, None).collect())
+    b = sorted(tuple(r) for r in build_vocab(toks, sw, None, radices=radices).collect())
+    assert a == b == [("q", 0, 32), ("w", 1, 16), ("e", 2, 16)]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.constants import DEFAULT_STOPWORDS, UNK_TOKEN
@@ -78,25 +78,72 @@ def drop_stopword_tokens(tokens: DataFrame, stopwords: DataFrame, token_col: str
     return tokens.join(F.broadcast(stopwords.select(F.col("word").alias(token_col))), token_col, "left_anti")
 
 
+# A token position is below its cell's length, and a Spark string is shorter than 2^31.
+POS_RADIX = 2**31
+
+
+def key_radices(cells: DataFrame) -> list[int] | None:
+    """Radices packing ``(file_no, row_id, col_no, sub, pos)`` into one ``long``, or None.
+
+    One aggregate over the key columns of the cells (the text is not read).
+    None when a key is negative or the product of the ranges reaches 2^63.
+    """
+    r = cells.agg(
+        *[F.min(k).alias(f"{k}_lo") for k in KEY[:-1]], *[F.max(k).alias(f"{k}_hi") for k in KEY[:-1]]
+    ).first()
+    if r is None or r["row_id_hi"] is None or min(r[f"{k}_lo"] for k in KEY[:-1]) < 0:
+        return None
+    radices = [int(r[f"{k}_hi"]) + 1 for k in KEY[:-1]] + [POS_RADIX]
+    product = 1
+    for x in radices:
+        product *= x
+    return radices if product < 2**63 else None
+
+
+def pack_key(radices: list[int]) -> Column:
+    """Mixed-radix ``long`` of the reading-order key; orders exactly like the tuple."""
+    out = F.col(KEY[0]).cast("long")
+    for k, radix in zip(KEY[1:], radices[1:]):
+        out = out * F.lit(radix) + F.col(k)
+    return out
+
+
+def unpack_key(name: str, radices: list[int]) -> list[Column]:
+    """Inverse of :func:`pack_key` on column ``name`` (integer arithmetic only)."""
+    parts, div = [], 1
+    for k, radix in zip(reversed(KEY), reversed(radices)):
+        part = F.expr(f"(`{name}` div {div}) % {radix}")
+        parts.append(part.cast("int" if k in ("file_no", "col_no") else "long").alias(k))
+        div *= radix
+    return list(reversed(parts))
+
+
 def build_vocab(
     tokens: DataFrame,
     stopwords: DataFrame,
     drop_lt_freq: int | None = None,
     compact: bool = False,
+    radices: list[int] | None = None,
 ) -> DataFrame:
     """A3: ``word, idx, freq``.
 
     idx = rank of first appearance (W1) after stopwords and the tab token are
     removed, assigned **before** the rare-word cut (P6), so idx has gaps unless
     ``compact``.  Numbering is a two-level prefix sum, never one task.
+
+    With ``radices`` (:func:`key_radices`) the first appearance is the ``min``
+    of one packed ``long`` (hash aggregation); otherwise the ``min`` of the
+    key struct (sort aggregation).  Both are exact.
     """
-    first = (
-        tokens.groupBy(F.col("token").alias("word"))
-        .agg(F.count(F.lit(1)).alias("freq"), F.min(F.struct(*KEY)).alias("first"))
-        .where(F.col("word") != "\t")
-    )
-    first = drop_stopword_tokens(first, stopwords, "word")
-    ranked = ordered_index(first.select("word", "freq", *[F.col(f"first.{k}").alias(k) for k in KEY]), KEY, "idx")
+    words = tokens.groupBy(F.col("token").alias("word"))
+    if radices:
+        first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(pack_key(radices)).alias("okey"))
+        first_cols = unpack_key("okey", radices)
+    else:
+        first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(F.struct(*KEY)).alias("first"))
+        first_cols = [F.col(f"first.{k}").alias(k) for k in KEY]
+    first = drop_stopword_tokens(first.where(F.col("word") != "\t"), stopwords, "word")
+    ranked = ordered_index(first.select("word", "freq", *first_cols), KEY, "idx")
     vocab = ranked.select("word", "idx", "freq")
     if drop_lt_freq is not None:
         vocab = vocab.where(F.col("freq") >= drop_lt_freq)

@@ -9,6 +9,7 @@ from wordmill.constants import DEFAULT_STOPWORDS, RARE_WORD_CUT
 from wordmill.sources.driver_tables import qa_cells
 from wordmill.operators.vocab import (
     build_vocab,
+    key_radices,
     special_tokens,
     stopword_frame,
     vocab_tokens,
@@ -19,7 +20,8 @@ from wordmill.operators.vocab import (
 def vocabulary(spark: SparkSession, sf_dir: str, drop_lt_freq: int | None = RARE_WORD_CUT, stopwords=DEFAULT_STOPWORDS) -> DataFrame:
     """``word, idx, freq`` built from both files, all text and special columns."""
     cells = qa_cells(spark, sf_dir)
-    return build_vocab(vocab_tokens(cells), stopword_frame(spark, stopwords), drop_lt_freq)
+    radices = key_radices(cells)
+    return build_vocab(vocab_tokens(cells), stopword_frame(spark, stopwords), drop_lt_freq, radices=radices)
 
 
 def special_column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
