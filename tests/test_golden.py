@@ -156,4 +156,4 @@ def test_vocab_packed_key_path_equals_struct_path(spark):
     assert radices is not None
     a = sorted(tuple(r) for r in build_vocab(toks, sw, None).collect())
     b = sorted(tuple(r) for r in build_vocab(toks, sw, None, radices=radices).collect())
-    assert a == b == [("q", 0, 32), ("w", 1, 16), ("e", 2, 16)]
+    assert a == b == [("e", 2, 16), ("q", 0, 32), ("w", 1, 16)]
