@@ -337,3 +337,26 @@ ORACLE["io_roundtrip"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOG
     "UNION ALL SELECT 'matrix_lines', count(*) FROM vocab v JOIN wv ON wv.word = v.word "
     f"UNION ALL SELECT 'stopwords', {len(set(DEFAULT_STOPWORDS))}::BIGINT"
 )
+
+
+def _grams(expr: str) -> str:
+    """Distinct 3..6-character n-grams of ``<expr>`` as rows ``(src, g)``."""
+    parts = []
+    for n in range(3, 7):
+        parts.append(
+            f"SELECT src, unnest(list_transform(range(1, greatest(length(m) - {n} + 2, 1)), lambda i: substring(m, i, {n}))) AS g "
+            f"FROM (SELECT {expr} AS src, '<' || {expr} || '>' AS m FROM {{table}})"
+        )
+    return " UNION ".join(parts)
+
+
+SUBWORD = f"""
+tgrams AS ({_grams('word').format(table='w2v_vocab')}),
+vgrams AS ({_grams('word').format(table='vocab')}),
+backed AS (SELECT DISTINCT v.src AS word FROM vgrams v JOIN tgrams t ON t.g = v.g)"""
+
+ORACLE["subword_vectors"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG, LINES, SUBWORD) + (
+    f"SELECT v.word, CASE WHEN w.word IS NOT NULL THEN 'word' WHEN b.word IS NOT NULL THEN 'ngram' END AS source, "
+    f"(CASE WHEN w.word IS NOT NULL OR b.word IS NOT NULL THEN {WV_SIZE} ELSE 0 END)::BIGINT AS dims "
+    "FROM (SELECT DISTINCT word FROM vocab) v LEFT JOIN w2v_vocab w ON w.word = v.word LEFT JOIN backed b ON b.word = v.word"
+)
