@@ -6,24 +6,34 @@ carry the same names as the matching statement in :mod:`oracle_sql`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.constants import DEFAULT_STOPWORDS
+from wordmill.constants import (
+    DEFAULT_STOPWORDS,
+    SG_EPOCHS,
+    SG_SIZE,
+    SG_WINDOW,
+    SUBSAMPLE_TH,
+    WV_MIN_COUNT,
+    WV_SIZE,
+    WV_WINDOW,
+)
 from wordmill.functions.text import clean_sentence, mark_punctuation, pipe_to_space, sentence_proc
-from wordmill.operators.sequences import batch_rows
-from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
-from wordmill.constants import SG_BATCH, SG_EPOCHS, SG_SIZE, SG_WINDOW, SUBSAMPLE_TH, WV_MIN_COUNT, WV_SIZE, WV_WINDOW
 from wordmill.operators import embeddings as EMB
 from wordmill.operators import pairs as P
+from wordmill.operators.sequences import batch_rows
+from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
 from wordmill.plans import corpus as E2
 from wordmill.plans import embedding as E3
 from wordmill.plans import vocabulary as E1
-from wordmill.session import cut_lineage
-from wordmill.sources.driver_tables import qa_cells
-from wordmill.sources.driver_tables import dialogues, table
+from wordmill.operators.segment import segment_dictionary
+from wordmill.session import cut_lineage, ensure_checkpoint_dir
+from wordmill.sources import io as IO
+from wordmill.sources.driver_tables import dialogues, qa_cells, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,10 +216,6 @@ def q_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write each artifact in the original's text format, read it back, count rows."""
-    from wordmill.sources import io as IO
-    from wordmill.session import ensure_checkpoint_dir
-    import uuid
-
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/io-{uuid.uuid4().hex}"
     vocab = _vocab(spark, sf_dir)
     IO.write_vocab(vocab, f"{base}/vocab")
@@ -239,8 +245,6 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_segment_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 dictionary mode over every document, with the vocabulary (and its counts) as dictionary."""
-    from wordmill.operators.segment import segment_dictionary
-
     docs = table(spark, sf_dir, "documents")
     text = pipe_to_space(mark_punctuation("text"))
     return segment_dictionary(docs, ["doc_id"], text, _vocab(spark, sf_dir).select("word", "freq"))
