@@ -63,21 +63,23 @@ def strip_ws(expr: str) -> str:
 
 
 LABEL = f"(CASE role WHEN 'user' THEN {q(OWNER_LABEL)} WHEN 'assistant' THEN {q(TECHNICIAN_LABEL)} ELSE '' END)"
-FNO = "(CASE WHEN {k} % 10 < 8 THEN 0 ELSE 1 END)"
+# Train file = records with a Report (a benchmark row); the rest is the test file.
+FNO = "(CASE WHEN {k} IN (SELECT item_id FROM benchmark) THEN 0 ELSE 1 END)"
 
 CELLS = f"""
-cells AS (
-  SELECT {FNO.format(k='doc_id')} AS file_no, doc_id AS row_id, 0 AS col_no, 0::BIGINT AS sub, text, false AS special FROM documents
+cells_raw AS (
+  SELECT doc_id AS row_id, 0 AS col_no, 0::BIGINT AS sub, text, false AS special FROM documents
   UNION ALL
-  SELECT {FNO.format(k='conv_id')}, conv_id, 1, turn, {LABEL} || text, false FROM conversations
-   WHERE conv_id IN (SELECT doc_id FROM documents)
+  SELECT conv_id, 1, turn, {LABEL} || text, false FROM conversations
   UNION ALL
-  SELECT 0, item_id, 2, 0, text, false FROM benchmark
-   WHERE item_id % 10 < 8 AND item_id IN (SELECT doc_id FROM documents)
+  SELECT item_id, 2, 0, text, false FROM benchmark
   UNION ALL
-  SELECT {FNO.format(k='p_partkey')}, p_partkey, 3, 0, p_brand, true FROM part WHERE p_partkey IN (SELECT doc_id FROM documents)
+  SELECT p_partkey, 3, 0, p_brand, true FROM part
   UNION ALL
-  SELECT {FNO.format(k='p_partkey')}, p_partkey, 4, 0, p_type, true FROM part WHERE p_partkey IN (SELECT doc_id FROM documents)
+  SELECT p_partkey, 4, 0, p_type, true FROM part
+),
+cells AS (
+  SELECT {FNO.format(k='row_id')} AS file_no, row_id, col_no, sub, text, special FROM cells_raw
 )"""
 
 TEXT_TOKENS = f"""
@@ -116,14 +118,15 @@ dlg AS (
 
 QA = f"""
 qa AS (
-  SELECT {FNO.format(k='d.doc_id')} AS file_no,
-         CASE WHEN d.doc_id % 10 < 8 THEN 'train' ELSE 'test' END AS split,
-         d.doc_id AS row_id, p.p_brand AS Brand, p.p_type AS Model, d.text AS Question, g.Dialogue,
-         CASE WHEN d.doc_id % 10 < 8 THEN b.text END AS Report
-  FROM documents d
-  LEFT JOIN dlg g ON g.row_id = d.doc_id
-  LEFT JOIN benchmark b ON b.item_id = d.doc_id
-  LEFT JOIN part p ON p.p_partkey = d.doc_id
+  SELECT {FNO.format(k='k.row_id')} AS file_no,
+         CASE WHEN {FNO.format(k='k.row_id')} = 0 THEN 'train' ELSE 'test' END AS split,
+         k.row_id, p.p_brand AS Brand, p.p_type AS Model, d.text AS Question, g.Dialogue, b.text AS Report
+  FROM (SELECT doc_id AS row_id FROM documents UNION SELECT conv_id FROM conversations
+        UNION SELECT item_id FROM benchmark UNION SELECT p_partkey FROM part) k
+  LEFT JOIN documents d ON d.doc_id = k.row_id
+  LEFT JOIN dlg g ON g.row_id = k.row_id
+  LEFT JOIN benchmark b ON b.item_id = k.row_id
+  LEFT JOIN part p ON p.p_partkey = k.row_id
 )"""
 
 SEG = f"""

@@ -14,9 +14,10 @@ Brand         ``part.p_brand`` (``row_id = p_partkey``)         3
 Model         ``part.p_type``                                   4
 ============  ===============================================  ===========
 
-A Q&A record exists for every document; other sources attach to it by key.
-Rows with ``row_id % 10 < 8`` form the train file (``file_no 0``), the rest
-the test file (``file_no 1``).
+A Q&A record exists for every key found in any of the four sources, so every
+row of every table is used.  The original's test file has no ``Report``
+column: records with a Report (a ``benchmark`` row) form the train file
+(``file_no 0``), the rest the test file (``file_no 1``).
 """
 
 from __future__ import annotations
@@ -72,8 +73,22 @@ def spread(df: DataFrame, key: str, path: str | None = None) -> DataFrame:
     return df if splits >= cores else df.repartition(cores, key)
 
 
-def file_no(row_id: Column) -> Column:
-    return F.when(row_id % 10 < 8, F.lit(TRAIN)).otherwise(F.lit(TEST)).cast("int")
+def report_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``row_id`` of the records that have a Report: the train file.
+
+    Keys only (no text is read); de-duplicated so a repeated key cannot
+    multiply the cells it is joined to.
+    """
+    return (
+        table(spark, sf_dir, "benchmark", spread_rows=False)
+        .select(F.col("item_id").alias("row_id"))
+        .distinct()
+        .withColumn("has_report", F.lit(True))
+    )
+
+
+def file_no(has_report: Column) -> Column:
+    return F.when(has_report, F.lit(TRAIN)).otherwise(F.lit(TEST)).cast("int")
 
 
 def split_name(file_no_col: Column) -> Column:
@@ -107,30 +122,51 @@ def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qa_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide Q&A table: ``file_no, split, row_id, Brand, Model, Question, Dialogue, Report``.
 
-    All joins are on ``row_id``; the document side is partitioned once and the
-    smaller sides are broadcast by AQE when their measured size allows.
+    One record per key found in any source.  All sources are stacked in long
+    form and grouped once on ``row_id`` (one shuffle, no chain of outer
+    joins); each source holds a key at most once, so every column is the
+    single value collected for it.  A conversation's turns are ordered and
+    joined inside the same aggregate.
     """
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("Question"))
-    rep = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("Report"))
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("row_id"), F.col("p_brand").alias("Brand"), F.col("p_type").alias("Model")
-    )
-    fno = file_no(F.col("row_id"))
-    return (
-        docs.join(dialogues(spark, sf_dir), "row_id", "left")
-        .join(rep, "row_id", "left")
-        .join(part, "row_id", "left")
-        .select(
-            fno.alias("file_no"),
-            split_name(fno).alias("split"),
-            "row_id",
-            "Brand",
-            "Model",
-            "Question",
-            "Dialogue",
-            # The test file has no Report column.
-            F.when(fno == TRAIN, F.col("Report")).alias("Report"),
+
+    def cells(name: str, key: str, col_no: int, text: Column, sub: Column | None = None) -> DataFrame:
+        return table(spark, sf_dir, name).select(
+            F.col(key).alias("row_id"),
+            F.lit(col_no).alias("col_no"),
+            (sub if sub is not None else F.lit(0)).cast("long").alias("sub"),
+            text.alias("text"),
+        )
+
+    long = (
+        cells("documents", "doc_id", COL_NO["Question"], F.col("text"))
+        .unionByName(
+            cells(
+                "conversations", "conv_id", COL_NO["Dialogue"], labelled_turn(F.col("role"), F.col("text")), F.col("turn")
+            )
         )
+        .unionByName(cells("benchmark", "item_id", COL_NO["Report"], F.col("text")))
+        .unionByName(cells("part", "p_partkey", COL_NO["Brand"], F.col("p_brand")))
+        .unionByName(cells("part", "p_partkey", COL_NO["Model"], F.col("p_type")))
+    )
+
+    def single(name: str) -> Column:
+        return F.get(F.collect_list(F.when(F.col("col_no") == COL_NO[name], F.col("text"))), 0).alias(name)
+
+    is_turn = F.col("col_no") == COL_NO["Dialogue"]
+    turns = F.array_sort(F.collect_list(F.when(is_turn, F.struct(F.col("sub"), F.col("text")))))
+    wide = long.groupBy("row_id").agg(
+        single("Brand"),
+        single("Model"),
+        single("Question"),
+        # A conversation with no turns (or only null turns) has no Dialogue cell.
+        F.when(F.bool_or(is_turn & F.col("text").isNotNull()), F.array_join(F.transform(turns, lambda x: x["text"]), TURN_SEPARATOR))
+        .alias("Dialogue"),
+        single("Report"),
+        F.bool_or(F.col("col_no") == COL_NO["Report"]).alias("has_report"),
+    )
+    fno = file_no(F.col("has_report"))
+    return wide.select(
+        fno.alias("file_no"), split_name(fno).alias("split"), "row_id", "Brand", "Model", "Question", "Dialogue", "Report"
     )
 
 
@@ -141,23 +177,22 @@ def qa_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     special boolean``; ``sub`` is the turn number inside a Dialogue (0
     elsewhere).  Tokenising turn by turn gives the same tokens as tokenising
     the joined cell because the ``|`` joiner is always a token boundary, so no
-    regroup of conversations is needed.  Null cells are kept (callers skip
-    them); absent cells are simply missing.
+    regroup of conversations is needed.  Every row of every source is a cell;
+    null cells are kept (callers skip them).  The file number comes from one
+    join with the Report keys, which AQE broadcasts when their measured size
+    is small and sort-merges otherwise.
     """
-    docs = table(spark, sf_dir, "documents")
-    question = docs.select(
+    question = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("row_id"), F.lit(0).alias("col_no"), F.lit(0).cast("long").alias("sub"), F.col("text")
     )
     dialogue = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("row_id"),
         F.lit(1).alias("col_no"),
-        F.col("turn").alias("sub"),
+        F.col("turn").cast("long").alias("sub"),
         labelled_turn(F.col("role"), F.col("text")).alias("text"),
     )
-    report = (
-        table(spark, sf_dir, "benchmark")
-        .where(F.col("item_id") % 10 < 8)  # only the train file has Report
-        .select(F.col("item_id").alias("row_id"), F.lit(2).alias("col_no"), F.lit(0).cast("long").alias("sub"), F.col("text"))
+    report = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("row_id"), F.lit(2).alias("col_no"), F.lit(0).cast("long").alias("sub"), F.col("text")
     )
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_id"),
@@ -168,12 +203,10 @@ def qa_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
     )
-    # Attach non-document cells only to existing Q&A records (one semi join).
-    keys = table(spark, sf_dir, "documents", spread_rows=False).select(F.col("doc_id").alias("row_id"))
-    attached = dialogue.unionByName(report).unionByName(part).join(keys, "row_id", "left_semi")
-    cells = question.unionByName(attached)
-    return cells.select(
-        file_no(F.col("row_id")).alias("file_no"),
+    cells = question.unionByName(dialogue).unionByName(report).unionByName(part)
+    flagged = cells.join(report_keys(spark, sf_dir), "row_id", "left")
+    return flagged.select(
+        file_no(F.col("has_report")).alias("file_no"),
         "row_id",
         F.col("col_no").cast("int").alias("col_no"),
         "sub",
