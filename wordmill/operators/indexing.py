@@ -91,6 +91,45 @@ def bucket_offsets(counts: DataFrame, groups: list[str], names: list[str]) -> Da
     )
 
 
+# Rows one bucket (one window task) may hold before numbering switches to ranges.
+MAX_BUCKET_ROWS = 1 << 22
+
+# monotonically_increasing_id() = partition id << 33 | record number in the partition.
+_LOCAL_BITS = 33
+
+
+def range_index(df: DataFrame, order_cols: list[str], name: str) -> DataFrame:
+    """Add ``name``: 0-based position in the total order ``order_cols``, skew-proof.
+
+    Rows are range-partitioned on the order (Spark samples the key
+    distribution, so even one hot row - a conversation holding a third of all
+    tokens - is split over many tasks because the order is total) and sorted
+    inside each partition; a row's local number comes from
+    ``monotonically_increasing_id``.  That pass is written once under the
+    checkpoint dir, so a retry never re-numbers.  Offsets are a running sum
+    over the per-partition counts: one row per shuffle partition, a table
+    whose size is bounded by the partition count, not by the data, which is
+    what makes its broadcast safe.  AQE may coalesce adjacent range
+    partitions; coalescing keeps them in order.
+    """
+    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    mid = F.monotonically_increasing_id()
+    local = cut_lineage(
+        ranged.select(
+            "*",
+            F.shiftright(mid, _LOCAL_BITS).alias("_p"),
+            (mid - F.shiftleft(F.shiftright(mid, _LOCAL_BITS), _LOCAL_BITS)).alias("_l"),
+        ),
+        "ranged",
+    )
+    counts = local.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = counts.select("_p", (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
+    return local.join(F.broadcast(offsets), "_p").select(
+        *[c for c in df.columns], (F.col("_off") + F.col("_l")).cast("long").alias(name)
+    )
+
+
 def ordered_index(
     df: DataFrame,
     order_cols: list[str],
@@ -107,13 +146,22 @@ def ordered_index(
     offsets and the numbering pass) unless the caller already did
     (``stage=False``); buckets are ranges of ``row_col``.
 
-    Bucket sizes stay bounded without any global sort: a bucket holds at most
-    ``keys_per_bucket`` consecutive rows of the source, and whatever is
-    numbered inside it (tokens, or words first seen there) is bounded by the
-    tokens of those rows.
+    Buckets are ranges of ``row_col``.  Without ``group_cols`` (tokens: many
+    rows per ``row_col``) the largest bucket is measured first; past
+    ``MAX_BUCKET_ROWS`` the numbering is :func:`range_index`, bounded per
+    task even when one row holds a large share of the data.  With
+    ``group_cols`` (one row per ``row_col`` and group, as in row batches) a
+    bucket holds at most ``keys_per_bucket`` rows, so it cannot be hot.
     """
     staged = cut_lineage(df, "ordered") if stage else df
     width = bucket_width(staged, row_col, keys_per_bucket)
     # Integer division: exact for any long key (a double quotient is not).
     buckets = ([F.col(file_col)] if file_col else []) + [F.expr(f"`{row_col}` div {width}")]
+    if not group_cols:
+        # One key-only aggregate: the largest bucket.  A hot row (one
+        # conversation or document holding a large share of the rows) makes
+        # its bucket exceed the per-task bound; then number by range instead.
+        largest = staged.groupBy(*buckets).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if largest is not None and largest > MAX_BUCKET_ROWS:
+            return range_index(staged, order_cols, name)
     return sequential_index(staged, buckets, order_cols, name, group_cols)
