@@ -129,14 +129,20 @@ def qa_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined inside the same aggregate.
     """
 
-    def cells(name: str, key: str, col_no: int, text: Column, sub: Column | None = None) -> DataFrame:
-        return table(spark, sf_dir, name).select(
+    def cells(
+        name: str, key: str, col_no: int, text: Column, sub: Column | None = None, text2: Column | None = None
+    ) -> DataFrame:
+        # No pre-spread: the grouping shuffle below spreads the rows, and the
+        # per-cell text work runs after it.
+        return table(spark, sf_dir, name, spread_rows=False).select(
             F.col(key).alias("row_id"),
             F.lit(col_no).alias("col_no"),
             (sub if sub is not None else F.lit(0)).cast("long").alias("sub"),
             text.alias("text"),
+            (text2 if text2 is not None else F.lit(None).cast("string")).alias("text2"),
         )
 
+    # Brand and Model come from one ``part`` row: one branch, ``text2`` = Model.
     long = (
         cells("documents", "doc_id", COL_NO["Question"], F.col("text"))
         .unionByName(
@@ -145,18 +151,18 @@ def qa_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .unionByName(cells("benchmark", "item_id", COL_NO["Report"], F.col("text")))
-        .unionByName(cells("part", "p_partkey", COL_NO["Brand"], F.col("p_brand")))
-        .unionByName(cells("part", "p_partkey", COL_NO["Model"], F.col("p_type")))
+        .unionByName(cells("part", "p_partkey", COL_NO["Brand"], F.col("p_brand"), text2=F.col("p_type")))
     )
 
-    def single(name: str) -> Column:
-        return F.get(F.collect_list(F.when(F.col("col_no") == COL_NO[name], F.col("text"))), 0).alias(name)
+    def single(name: str, no: str | None = None, value: str = "text") -> Column:
+        picked = F.when(F.col("col_no") == COL_NO[no or name], F.col(value))
+        return F.get(F.collect_list(picked), 0).alias(name)
 
     is_turn = F.col("col_no") == COL_NO["Dialogue"]
     turns = F.array_sort(F.collect_list(F.when(is_turn, F.struct(F.col("sub"), F.col("text")))))
     wide = long.groupBy("row_id").agg(
         single("Brand"),
-        single("Model"),
+        single("Model", "Brand", "text2"),
         single("Question"),
         # A conversation with no turns (or only null turns) has no Dialogue cell.
         F.when(F.bool_or(is_turn & F.col("text").isNotNull()), F.array_join(F.transform(turns, lambda x: x["text"]), TURN_SEPARATOR))
