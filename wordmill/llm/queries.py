@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordmill.llm import minhash
+from wordmill.llm import lines, minhash, mixing, quality
 from wordmill.llm.stage import Stages
 
 
@@ -19,8 +20,36 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), Stages(spark))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and verdict of every document."""
+    return quality.quality(read(spark, sf_dir, "documents"), Stages(spark)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed lines and the digest of the remaining text of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.line_dedup(docs, Stages(spark)).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.placed(docs, Stages(spark)).select(
+        F.col("_id").alias("doc_id"), F.col("_src").alias("source"), "position", "slot", "block"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_source_mixing": op8_source_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": lines.ORACLE,
+}
