@@ -18,30 +18,34 @@ from wordmill.llm.components import components
 from wordmill.llm.stage import Stages
 
 Verify = Callable[[DataFrame], DataFrame]
+Prepare = Callable[[DataFrame], Verify]
 
 
 def _hubs(live: DataFrame, degree: DataFrame | None, fan: int) -> DataFrame:
     """One hub for each bucket and each of ``fan`` shares of its members: most links, then least id."""
     if degree is not None:
         live = live.join(degree, "id", "left")
-        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root")
+        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size")
     else:
-        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root")
+        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size")
     share = F.pmod(F.xxhash64("id"), F.lit(fan)).alias("share")
     least = live.groupBy("key", share).agg(F.min(rank).alias("h"))
-    return least.select("key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"))
+    return least.select("key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"))
 
 
-def classes(buckets: DataFrame, verify: Verify, stages: Stages) -> tuple[DataFrame, DataFrame]:
-    """``buckets(key, id)`` -> (``(id, root)`` of linked ids, verified ``links(a, b)``).
+def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``buckets(key, id, size)`` -> (``(id, root)`` of linked ids, verified ``links(a, b)``).
 
-    ``verify`` takes ``(a, b)`` and returns those pairs whose exact similarity
-    reaches the threshold.  Ids without a link have no row; a root is the least id
+    ``size`` is the weight of an id's set: sets further apart than ``threshold`` in
+    size cannot be as similar, and are not compared.  ``prepare`` takes the ``(id)`` that
+    share a bucket with another and returns ``verify``, which keeps those pairs
+    ``(a, b)`` whose exact similarity reaches the threshold.  Ids without a link have no row; a root is the least id
     of its class and has none either.
     """
     spark = buckets.sparkSession
     size = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumn("root", F.col("id")), "buckets")
+    verify = prepare(live.select("id").distinct())
     links = failed = roots = None
     fan = 1
     while not live.isEmpty():
@@ -51,6 +55,7 @@ def classes(buckets: DataFrame, verify: Verify, stages: Stages) -> tuple[DataFra
             degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
         hubs = stages.cut(_hubs(live, degree, fan), "hubs")
         pairs = live.join(hubs, "key").where("id <> hub and root <> hub_root")
+        pairs = pairs.where(F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - 1e-9)
         pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")

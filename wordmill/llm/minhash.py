@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.components import components
-from wordmill.llm.links import classes
+from wordmill.llm.links import Verify, classes
 from wordmill.llm.stage import Stages
 from wordmill.llm.text import U64, Hasher, grams, mix, slices, split_words
 
@@ -38,6 +38,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: 40 bands of 6: a pair at 0.8 shares no bucket with probability (1 - 0.8^6)^40 = 5e-6.
 BANDS, ROWS = 40, 6
+#: Texts signed at once: some two thousand darts each.
+SIGNED_ROWS = 256
 
 
 def dart_signatures(elem: np.ndarray, weight: np.ndarray, doc: np.ndarray, docs: int, k: int) -> np.ndarray:
@@ -116,10 +118,23 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, 64 to a word."""
+    bits = np.zeros((len(sig), -(-sig.shape[1] // 64) * 64), dtype=np.uint8)
+    bits[:, : sig.shape[1]] = mix(sig) & U64(1)
+    return np.packbits(bits, axis=1).view(U64)
+
+
+def _lists(keep: np.ndarray, rows: np.ndarray) -> pa.ListArray:
+    """A list column: the next of ``rows`` where ``keep``, else an empty list."""
+    offsets = np.concatenate([[0], np.cumsum(keep * rows.shape[1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).reshape(-1).view(np.int64)))
+
+
 def _signed(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", rows=SIGNED_ROWS):
             w = split_words(batch.column("text"), lower=True)
             h = hasher.words(w.data, w.start, w.end)
             n = w.n
@@ -129,27 +144,26 @@ def _signed(bands: int, rows: int):
             np.cumsum(mix(h + place * U64(0x100000001B3)), dtype=U64, out=sums[1, 1:])
             k1, k2 = (s[w.first[1:]] - s[w.first[:-1]] for s in sums)
             g, weight, doc = weighted_runs(h, w.first)
-            keys = band_keys(dart_signatures(g, weight, doc, len(n), bands * rows), bands, rows)
+            signatures = dart_signatures(g, weight, doc, len(n), bands * rows)
             keep = n > 0
-            m = int(keep.sum())
+            keys = band_keys(signatures, bands, rows)[keep]
+            bits = sketches(signatures)[keep]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array(k1.view(np.int64)),
                     pa.array(k2.view(np.int64)),
                     pa.array(n.astype(np.int64)),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], np.cumsum(keep * bands)]).astype(np.int32)),
-                        pa.array(keys[keep].reshape(m * bands).view(np.int64)),
-                    ),
+                    _lists(keep, keys),
+                    _lists(keep, bits),
                 ],
-                ["doc_id", "k1", "k2", "n", "bands"],
+                ["doc_id", "k1", "k2", "n", "bands", "sketch"],
             )
 
     return run
 
 
-SIGNED = "doc_id long, k1 long, k2 long, n long, bands array<long>"
+SIGNED = "doc_id long, k1 long, k2 long, n long, bands array<long>, sketch array<long>"
 
 
 def similarity(ga: np.ndarray, wa: np.ndarray, da: np.ndarray, gb, wb, db, pairs: int) -> np.ndarray:
@@ -175,6 +189,26 @@ def _verified(threshold: float):
     return run
 
 
+def _verified_links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Pairs of ``(a, b)`` whose texts reach ``threshold``.
+
+    First one bit of each coordinate is compared: a pair at the threshold agrees on
+    ``(1 + threshold) / 2`` of them, so pairs six standard deviations below (one in a
+    billion true ones) are left out before any text moves.
+    """
+    agree = (1 + threshold) / 2
+    most = k - math.floor(k * agree - 6 * math.sqrt(k * agree * (1 - agree)))
+    apart = F.aggregate(
+        F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
+    )
+    sa = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
+    sb = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
+    close = pairs.join(sa, "a").join(sb, "b").where(apart <= most).select("a", "b").distinct()
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    return close.join(right, "b").join(left, "a").mapInArrow(_verified(threshold), "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     stages: Stages,
@@ -191,20 +225,16 @@ def near_duplicates(
     reps = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     nodes = worded.join(reps, ["k1", "k2"])
     member = stages.cut(nodes.select("doc_id", "rep").distinct(), "member")
-    buckets = nodes.where("doc_id = rep").select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
-    texts: list[DataFrame] = []
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        if not texts:  # the texts that any bucket holds twice; later rounds read only these
-            ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-            texts.append(stages.cut(docs.join(ids, "doc_id"), "texts"))
-        text = texts[0]
-        left = text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        right = text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(right, "b").join(left, "a")
-        return both.mapInArrow(_verified(threshold), "a long, b long").distinct()
-
-    roots, links = classes(buckets, verify, stages)
+    runs = F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)).alias("size")
+    buckets = nodes.where("doc_id = rep").select(F.explode("bands").alias("key"), F.col("rep").alias("id"), runs)
+
+    def prepare(ids: DataFrame) -> Verify:
+        drawn = nodes.where("doc_id = rep").select(F.col("doc_id").alias("id"), "sketch")
+        sketches = stages.cut(drawn.join(ids, "id"), "sketches")
+        texts = stages.cut(docs.join(ids, docs.doc_id == ids.id, "left_semi"), "texts")
+        return lambda pairs: _verified_links(pairs, sketches, texts, threshold, bands * rows)
+
+    roots, links = classes(buckets, prepare, stages, threshold)
     # a doc_id with several texts belongs to several nodes: tie those too
     ties = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b")
     if not ties.isEmpty():

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Text bytes handled at once; a longer single text is taken alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 #: Bytes whose hash powers are kept; longer buffers are walked piece by piece.
 POWER_BYTES = 1 << 20
 
@@ -167,14 +167,14 @@ def grams(h: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return mix(out)[take], doc[take]
 
 
-def slices(batches: Iterator[pa.RecordBatch], col: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Record batches cut so that ``col`` holds about ``most`` bytes, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], col: str, most: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that ``col`` holds about ``most`` bytes and ``rows`` rows at most, or one row."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(size)
         i = 0
         while i < len(size):
             done = ends[i - 1] if i else 0
-            j = max(i + 1, int(np.searchsorted(ends, done + most, side="right")))
+            j = min(max(i + 1, int(np.searchsorted(ends, done + most, side="right"))), i + rows)
             yield batch.slice(i, j - i)
             i = j
