@@ -41,7 +41,7 @@ from wordmill.llm.text import U64, Hasher, mix, slices, split_words
 
 MIN_WORDS = 8
 EDITS = 0.2
-BITS = 3
+BITS = 2
 RECALL = 0.99
 MAX_WALKS = 512
 WORDS_PER_PASS = 500_000
@@ -191,8 +191,11 @@ def candidates(h: np.ndarray, classes: list[SizeClass], known: np.ndarray) -> tu
     return both[:, 0], both[:, 1]
 
 
-def prefix_distance(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Edit distance of each item to the closest prefix of its text, and that prefix's words."""
+def closest_runs(items: list[np.ndarray], texts: list[np.ndarray], anywhere: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Least edit distance of each item to a run of its text, and the run's end.
+
+    With ``anywhere`` a run may start at any word, else at the first.  Ties go to the earliest end.
+    """
     n = len(items)
     width = max(len(t) for t in texts)
     height = max(len(x) for x in items)
@@ -202,8 +205,8 @@ def prefix_distance(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[n
         a[r, : len(items[r])] = items[r]
         b[r, : len(texts[r])] = texts[r]
     m, w = np.array([len(x) for x in items]), np.array([len(t) for t in texts])
-    col = np.arange(width + 1)
-    cost = np.repeat(col[None, :], n, axis=0)
+    col = np.arange(width + 1, dtype=np.int32)
+    cost = np.repeat((col * (not anywhere))[None, :], n, axis=0)
     best, end = np.full(n, 1 << 30), np.zeros(n, dtype=np.int64)
     for i in range(1, height + 1):
         new = np.empty_like(cost)
@@ -218,6 +221,42 @@ def prefix_distance(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[n
     return best, end
 
 
+#: Regions compared at once.
+REGIONS = 1 << 10
+
+
+def _verified(h: np.ndarray, first: np.ndarray, start: np.ndarray, item: np.ndarray, items: list[np.ndarray], most: np.ndarray):
+    """Closest run of each (text, item) among candidates: {(text, item): (distance, start, words)}."""
+    size = np.array([len(x) for x in items])
+    doc = np.searchsorted(first, start, side="right") - 1
+    order = np.lexsort((start, item, doc))
+    start, item, doc = start[order], item[order], doc[order]
+    # candidates of a pair that lie within an item's length share a region
+    new = np.ones(len(start), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > size[item[1:]])
+    lead = np.flatnonzero(new)
+    tail = np.append(lead[1:], len(start)) - 1
+    lo, it, d = start[lead], item[lead], doc[lead]
+    hi = np.minimum(first[d + 1], start[tail] + size[it] + most[it])
+    by = np.argsort(hi - lo, kind="stable")
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for k in range(0, len(by), REGIONS):
+        own = by[k : k + REGIONS]
+        far, end = closest_runs([items[i] for i in it[own]], [h[x:y] for x, y in zip(lo[own], hi[own])])
+        near = np.flatnonzero(far <= most[it[own]])
+        if not len(near):
+            continue
+        own, far, end = own[near], far[near], end[near]
+        # the run's start: the closest prefix of the reversed region before its end
+        back = [h[x : x + e][::-1][: size[i] + most[i]] for x, e, i in zip(lo[own], end, it[own])]
+        _, words = closest_runs([items[i][::-1] for i in it[own]], back, anywhere=False)
+        for r, f, e, n in zip(own, far, end, words):
+            at = (int(f), int(lo[r] + e - n - first[d[r]]), int(n))
+            pair = (int(d[r]), int(it[r]))
+            found[pair] = min(found.get(pair, at), at)
+    return found
+
+
 def _searched(items: list[np.ndarray], classes: list[SizeClass], known: np.ndarray, edits: float):
     size = np.array([len(x) for x in items])
     most = np.array([allowed(m, edits) for m in size])
@@ -229,16 +268,7 @@ def _searched(items: list[np.ndarray], classes: list[SizeClass], known: np.ndarr
             h = hasher.words(w.data, w.start, w.end)
             start, item = candidates(h, classes, known)
             start, item = start[start < len(h)], item[start < len(h)]
-            doc = np.searchsorted(w.first, start, side="right") - 1
-            found: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for lo in range(0, len(start), CHUNK):
-                s, it, d = start[lo : lo + CHUNK], item[lo : lo + CHUNK], doc[lo : lo + CHUNK]
-                stop = np.minimum(w.first[d + 1], s + size[it] + most[it])
-                far, end = prefix_distance([items[i] for i in it], [h[x:y] for x, y in zip(s, stop)])
-                for k in np.flatnonzero(far <= most[it]):
-                    at = (int(far[k]), int(s[k] - w.first[d[k]]), int(end[k]))
-                    pair = (int(d[k]), int(it[k]))
-                    found[pair] = min(found.get(pair, at), at)
+            found = _verified(h, w.first, start, item, items, most) if len(start) else {}
             if found:
                 rows = sorted(found)
                 yield pa.RecordBatch.from_arrays(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import lines, minhash, mixing, quality
+from wordmill.llm import decontaminate, lines, minhash, mixing, quality
 from wordmill.llm.stage import Stages
 
 
@@ -15,6 +15,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, with its closest run."""
+    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), Stages(spark))
+    return found.select("doc_id", "item_id", "distance", "start_word", "n_words").distinct()
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document."""
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), Stages(spark))
@@ -44,6 +50,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
