@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import decontaminate, lines, minhash, mixing, quality
+from wordmill.llm import decontaminate, lines, minhash, mixing, paragraphs, quality
 from wordmill.llm.stage import Stages
 
 
@@ -41,6 +41,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a repeated paragraph; all but the first are removed."""
+    return paragraphs.repeated_paragraphs(read(spark, sf_dir, "documents"), Stages(spark))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
 }
 

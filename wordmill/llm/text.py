@@ -40,12 +40,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to ``n - 1`` of the hash's multiplier and of its inverse."""
+    return _powers(_MULT, n), _powers(_INV, n)
+
+
 class Hasher:
     """Hash tables of one task (powers of the multiplier, a value per byte)."""
 
     def __init__(self):
-        self.up = _powers(_MULT, POWER_BYTES)
-        self.down = _powers(_INV, POWER_BYTES)
+        self.up, self.down = powers(POWER_BYTES)
         self.byte = mix(np.arange(1, 257, dtype=U64))
 
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
