@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import decontaminate, lines, minhash, mixing, paragraphs, quality
+from wordmill.llm import decontaminate, lines, minhash, mixing, paragraphs, quality, warc
 from wordmill.llm.stage import Stages
 
 
@@ -54,6 +54,13 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    stages = Stages(spark)
+    manifest = warc.write_archive(read(spark, sf_dir, "pages"), stages)
+    return warc.resolved(stages.cut(warc.read_archive(manifest), "warc-records"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -61,8 +68,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op10_warc_archive": op10_warc_archive,
 }
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
+    "op10_warc_archive": warc.ORACLE,
 }
