@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import decontaminate, lines, minhash, mixing, paragraphs, quality, warc
+from wordmill.llm import chat, decontaminate, lines, minhash, mixing, paragraphs, quality, tokens, warc
 from wordmill.llm.stage import Stages
 
 
@@ -26,6 +26,11 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), Stages(spark))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and tokens of every document."""
+    return tokens.token_counts(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of every document."""
     return quality.quality(read(spark, sf_dir, "documents"), Stages(spark)).select(
@@ -54,6 +59,18 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, and of one that quotes the template."""
+    quote = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", quote), (-7, 1, "assistant", quote)], "conv_id long, turn long, role string, text string"
+    )
+    rows = read(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    return chat.digests(chat.format_chats(rows.unionByName(more)))
+
+
 def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back."""
     stages = Stages(spark)
@@ -64,10 +81,12 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_warc_archive": op10_warc_archive,
 }
 
