@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import chat, decontaminate, lines, minhash, mixing, paragraphs, quality, tokens, warc
+from wordmill.llm import chat, decontaminate, lines, minhash, mixing, paragraphs, pii, quality, tokens, warc
 from wordmill.llm.stage import Stages
 
 
@@ -46,6 +46,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence of a repeated paragraph; all but the first are removed."""
     return paragraphs.repeated_paragraphs(read(spark, sf_dir, "documents"), Stages(spark))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_personal_data": op6_personal_data,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_chat_formatting": op9_chat_formatting,
