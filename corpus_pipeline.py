@@ -30,5 +30,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     stages = Stages(spark)
     for name, stage in STAGES:
-        docs = stages.cut(stage(spark, docs, sf_dir), name)
+        docs = stages.cut(stage(spark, docs, sf_dir), name, narrow=False)
     return docs

@@ -48,7 +48,7 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
     verify = prepare(live.select("id").distinct())
     links = failed = roots = None
     fan = 1
-    while not live.isEmpty():
+    while stages.rows(live):
         degree = None
         if links is not None:
             ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
@@ -65,7 +65,7 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         failed = missed if failed is None else failed.unionByName(missed)
         links = found if links is None else links.unionByName(found)
         # merge classes: components over the roots that the new links tie together
-        if roots is None or not found.isEmpty():
+        if roots is None or stages.rows(found):
             roots = stages.cut(components(links, stages), "roots")
         left = live.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         left = left.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")

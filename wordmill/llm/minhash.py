@@ -219,7 +219,7 @@ def near_duplicates(
     """``(doc_id, class_id)`` for every distinct ``doc_id`` of ``docs(doc_id, text)``; the id is the class's least."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.where("doc_id is not null")
-    signed = stages.cut(docs.mapInArrow(_signed(bands, rows), SIGNED), "signed")
+    signed = stages.cut(docs.mapInArrow(_signed(bands, rows), SIGNED), "signed", narrow=False)
     worded = signed.where("n > 0")
     # equal word sequences become one node, named by their least id
     reps = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
@@ -231,7 +231,7 @@ def near_duplicates(
     def prepare(ids: DataFrame) -> Verify:
         drawn = nodes.where("doc_id = rep").select(F.col("doc_id").alias("id"), "sketch")
         sketches = stages.cut(drawn.join(ids, "id"), "sketches")
-        texts = stages.cut(docs.join(ids, docs.doc_id == ids.id, "left_semi"), "texts")
+        texts = stages.cut(docs.join(ids, docs.doc_id == ids.id, "left_semi"), "texts", narrow=False)
         return lambda pairs: _verified_links(pairs, sketches, texts, threshold, bands * rows)
 
     roots, links = classes(buckets, prepare, stages, threshold)

@@ -188,7 +188,7 @@ def repeated_paragraphs(
 
     def prepare(ids: DataFrame) -> Verify:
         found = docs.mapInArrow(_texts(radius, min_words), "h long, text string")
-        texts = stages.cut(found.join(ids, found.h == ids.id).select("id", "text").dropDuplicates(["id"]), "texts")
+        texts = stages.cut(found.join(ids, found.h == ids.id).select("id", "text").dropDuplicates(["id"]), "texts", narrow=False)
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         return lambda pairs: pairs.join(right, "b").join(left, "a").mapInArrow(_similar(threshold), "a long, b long").distinct()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from wordmill.session import ensure_checkpoint_dir
 
@@ -14,6 +15,11 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: A stage table of at most so many rows is read as one partition, so that group-bys and
+#: joins among small tables need no exchange.
+SMALL_ROWS = 50_000
+
+
 class Stages:
     """Writes tables that are read more than once, and removes those no longer needed.
 
@@ -22,22 +28,28 @@ class Stages:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, narrow: bool = True) -> DataFrame:
+        """Write and reread ``df``.  ``narrow``: its rows are a few numbers, so a small table may be one partition."""
         path = stage_path(self.spark, name)
-        df.write.parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        rows = seen.get["n"]
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        out._stage_path = path  # noqa: SLF001  (kept for drop)
+        if narrow and rows <= SMALL_ROWS:
+            out = out.coalesce(1)
+        out._stage = (path, rows)  # noqa: SLF001  (for rows and drop)
         return out
 
+    @staticmethod
+    def rows(table: DataFrame) -> int:
+        """Rows of a table that ``cut`` returned."""
+        return table._stage[1]  # noqa: SLF001
+
     def drop(self, *tables: DataFrame) -> None:
         """Remove stage tables that no later result reads."""
         jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()
         for t in tables:
-            path = getattr(t, "_stage_path", None)
-            if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+            p = jvm.org.apache.hadoop.fs.Path(t._stage[0])  # noqa: SLF001
+            p.getFileSystem(conf).delete(p, True)
