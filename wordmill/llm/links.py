@@ -5,6 +5,11 @@ with the hubs of its bucket, verified links merge classes, and a bucket ends whe
 all its members are in one class or every member has been a hub.  A link between
 two members of a bucket is therefore either verified or implied by others; none is
 lost, and a bucket of copies costs one comparison a member.
+
+What is left after two rounds are members of dense groups that lie apart from their
+class by a little more than the threshold allows.  They are told by exact counting:
+weight in elements that no other member still in question holds cannot be shared, so
+a member with too much of it cannot reach the threshold with any of them, and leaves.
 """
 
 from __future__ import annotations
@@ -18,19 +23,27 @@ from wordmill.llm.components import components
 from wordmill.llm.stage import Stages
 
 Verify = Callable[[DataFrame], DataFrame]
-Prepare = Callable[[DataFrame], Verify]
+Prepare = Callable[[DataFrame], tuple[Verify, Verify]]
 
 
 def _hubs(live: DataFrame, degree: DataFrame | None, fan: int) -> DataFrame:
     """One hub for each bucket and each of ``fan`` shares of its members: most links, then least id."""
     if degree is not None:
         live = live.join(degree, "id", "left")
-        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size")
+        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size", "shared")
     else:
-        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size")
+        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size", "shared")
     share = F.pmod(F.xxhash64("id"), F.lit(fan)).alias("share")
     least = live.groupBy("key", share).agg(F.min(rank).alias("h"))
-    return least.select("key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"))
+    return least.select(
+        "key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"), F.col("h.shared").alias("hub_shared")
+    )
+
+
+def _undecided(live: DataFrame, stages: Stages) -> DataFrame:
+    """Members of the buckets that hold more than one class."""
+    alive = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    return stages.cut(live.join(alive.select("key"), "key"), "buckets")
 
 
 def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -38,16 +51,19 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
 
     ``size`` is the weight of an id's set: sets further apart than ``threshold`` in
     size cannot be as similar, and are not compared.  ``prepare`` takes the ``(id)`` that
-    share a bucket with another and returns ``verify``, which keeps those pairs
-    ``(a, b)`` whose exact similarity reaches the threshold.  Ids without a link have no row; a root is the least id
+    share a bucket with another and returns two functions: one keeps those pairs
+    ``(a, b)`` whose exact similarity reaches the threshold; one takes ``(id)`` and
+    returns ``(id, alone)``, the weight of elements that no other of these ids holds.  Ids without a link have no row; a root is the least id
     of its class and has none either.
     """
     spark = buckets.sparkSession
     size = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumn("root", F.col("id")), "buckets")
-    verify = prepare(live.select("id").distinct())
+    whole = {"root": F.col("id"), "shared": F.col("size").cast("double")}
+    live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumns(whole), "buckets")
+    verify, alone = prepare(live.select("id").distinct())
     links = failed = roots = None
     fan = 1
+    overlap = threshold / (1 + threshold)  # least shared weight, of the sum of two sizes
     while stages.rows(live):
         degree = None
         if links is not None:
@@ -55,7 +71,9 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
             degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
         hubs = stages.cut(_hubs(live, degree, fan), "hubs")
         pairs = live.join(hubs, "key").where("id <> hub and root <> hub_root")
+        # what two sets share is at most the smaller one, and at most what either shares at all
         pairs = pairs.where(F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - 1e-9)
+        pairs = pairs.where(F.least("shared", "hub_shared") >= overlap * (F.col("size") + F.col("hub_size")) - 1e-9)
         pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
@@ -70,11 +88,16 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         left = live.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         left = left.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
         # hubs have met every member, so only the others can hold an unseen link
-        alive = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        nxt = stages.cut(left.join(alive.select("key"), "key"), "buckets")
+        nxt = _undecided(left, stages)
+        if fan > 1 and stages.rows(nxt):
+            least = nxt.groupBy("key").agg(F.min("size").alias("least"))
+            told = nxt.join(alone(nxt.select("id").distinct()), "id", "left").join(least, "key")
+            told = told.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0.0)))
+            could = told.where(F.col("shared") >= overlap * (F.col("size") + F.col("least")) - 1e-9)
+            nxt = _undecided(could.select(*live.columns), stages)
         stages.drop(live, hubs)
         live = nxt
-        fan *= 4
+        fan *= 8
     if links is None:
         none = spark.createDataFrame([], "id long, root long")
         return none, spark.createDataFrame([], "a long, b long")

@@ -209,6 +209,28 @@ def _verified_links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, thr
     return close.join(right, "b").join(left, "a").mapInArrow(_verified(threshold), "a long, b long").distinct()
 
 
+def _elements(size: int, counted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in slices(batches, "text"):
+            w = split_words(batch.column("text"), lower=True)
+            g, weight, doc = weighted_runs(hasher.words(w.data, w.start, w.end), w.first, size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(doc)), pa.array(g.view(np.int64)), pa.array(weight if counted else np.ones(len(g)))],
+                ["id", "element", "weight"],
+            )
+
+    return run
+
+
+def lone_weight(texts: DataFrame, ids: DataFrame, size: int, counted: bool) -> DataFrame:
+    """``(id, alone)``: the weight of a text's runs of ``size`` words that no other text of ``ids`` holds."""
+    some = texts.join(ids, "id", "left_semi").select("id", "text")
+    runs = some.mapInArrow(_elements(size, counted), "id long, element long, weight double")
+    held = runs.groupBy("element").agg(F.min("id").alias("id"), F.max("id").alias("other"), F.max("weight").alias("weight"))
+    return held.where("id = other").groupBy("id").agg(F.sum("weight").alias("alone"))
+
+
 def near_duplicates(
     docs: DataFrame,
     stages: Stages,
@@ -228,11 +250,12 @@ def near_duplicates(
     runs = F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)).alias("size")
     buckets = nodes.where("doc_id = rep").select(F.explode("bands").alias("key"), F.col("rep").alias("id"), runs)
 
-    def prepare(ids: DataFrame) -> Verify:
+    def prepare(ids: DataFrame) -> tuple[Verify, Verify]:
         drawn = nodes.where("doc_id = rep").select(F.col("doc_id").alias("id"), "sketch")
         sketches = stages.cut(drawn.join(ids, "id"), "sketches")
         texts = stages.cut(docs.join(ids, docs.doc_id == ids.id, "left_semi"), "texts", narrow=False)
-        return lambda pairs: _verified_links(pairs, sketches, texts, threshold, bands * rows)
+        verify = lambda pairs: _verified_links(pairs, sketches, texts, threshold, bands * rows)
+        return verify, lambda some: lone_weight(texts.withColumnRenamed("doc_id", "id"), some, SHINGLE, True)
 
     roots, links = classes(buckets, prepare, stages, threshold)
     # a doc_id with several texts belongs to several nodes: tie those too

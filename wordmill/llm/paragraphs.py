@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.links import Verify, classes
-from wordmill.llm.minhash import similarity, weighted_runs
+from wordmill.llm.minhash import lone_weight, similarity, weighted_runs
 from wordmill.llm.stage import Stages
 from wordmill.llm.text import U64, Hasher, Words, grams, mix, powers, slices, split_words
 
@@ -105,6 +105,10 @@ def _units(radius: int, min_words: int, bands: int, rows: int):
             n = end - at
             word = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
             g, owner = grams(h[word], np.concatenate([[0], np.cumsum(n)]), SHINGLE)
+            order = np.lexsort((g, owner))
+            new = np.ones(len(g), dtype=bool)
+            new[1:] = (g[order][1:] != g[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+            runs = np.bincount(owner[order][new], minlength=len(at))
             low = min_hashes(g, owner, len(at), bands * rows)
             keys = []
             for b in range(bands):
@@ -117,10 +121,11 @@ def _units(radius: int, min_words: int, bands: int, rows: int):
                     batch.column("doc_id").take(pa.array(doc)),
                     pa.array((at - w.first[doc]).astype(np.int32)),
                     pa.array(n.astype(np.int32)),
+                    pa.array(runs.astype(np.int32)),
                     pa.array(key.view(np.int64)),
                     *[pa.array(x.view(np.int64)) for x in keys],
                 ],
-                ["doc_id", "start_word", "n_words", "h", *[f"b{b}" for b in range(bands)]],
+                ["doc_id", "start_word", "n_words", "n_runs", "h", *[f"b{b}" for b in range(bands)]],
             )
 
     return run
@@ -177,24 +182,23 @@ def repeated_paragraphs(
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     names = [f"b{b}" for b in range(bands)]
-    schema = "doc_id long, start_word int, n_words int, h long, " + ", ".join(f"{b} long" for b in names)
+    schema = "doc_id long, start_word int, n_words int, n_runs int, h long, " + ", ".join(f"{b} long" for b in names)
     units = stages.cut(docs.mapInArrow(_units(radius, min_words, bands, rows), schema), "paragraphs")
     distinct = units.groupBy("h").agg(
-        F.count(F.lit(1)).alias("n"), F.min("n_words").alias("words"), *[F.min(b).alias(b) for b in names]
+        F.count(F.lit(1)).alias("n"), F.min("n_runs").cast("long").alias("size"), *[F.min(b).alias(b) for b in names]
     )
     distinct = stages.cut(distinct, "distinct")
-    size = (F.col("words") - (SHINGLE - 1)).cast("long").alias("size")
-    buckets = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), size)
+    buckets = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), "size")
 
-    def prepare(ids: DataFrame) -> Verify:
+    def prepare(ids: DataFrame) -> tuple[Verify, Verify]:
         found = docs.mapInArrow(_texts(radius, min_words), "h long, text string")
         texts = stages.cut(found.join(ids, found.h == ids.id).select("id", "text").dropDuplicates(["id"]), "texts", narrow=False)
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        return lambda pairs: pairs.join(right, "b").join(left, "a").mapInArrow(_similar(threshold), "a long, b long").distinct()
+        near = lambda pairs: pairs.join(right, "b").join(left, "a").mapInArrow(_similar(threshold), "a long, b long").distinct()
+        return near, lambda some: lone_weight(texts, some, SHINGLE, False)
 
-    # a paragraph's size in distinct runs is at most its words less four: repeats within it can only shrink it
-    roots, _ = classes(buckets, prepare, stages, 0.0)
+    roots, _ = classes(buckets, prepare, stages, threshold)
     linked = roots.select(F.col("id").alias("h"), "root").unionByName(
         roots.select(F.col("root").alias("h"), "root").distinct()
     )
