@@ -8,27 +8,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import minhash
+from wordmill.llm import decontaminate, lines, minhash, mixing, quality
 from wordmill.llm.queries import read
 from wordmill.llm.stage import Stages
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a base rule or are outliers of their language and source go."""
+    return quality.keep_good(docs, Stages(spark))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go from all texts but the first that has them."""
+    return lines.drop_boilerplate(docs, Stages(spark))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays."""
     return minhash.keep_one(docs, Stages(spark))
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), Stages(spark))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document gets its place in the mix."""
+    return mixing.mix(docs, Stages(spark))
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
 ]
 
-#: The stages include an outlier model, signatures and a schedule: tested against brute force instead.
+#: An outlier model, signatures and a schedule are not SQL: tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The rows of ``documents`` that all stages keep, with ``mix_position``."""
     stages = Stages(spark)
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stages.cut(stage(spark, docs, sf_dir), name, narrow=False)
     return docs

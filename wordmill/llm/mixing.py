@@ -177,7 +177,7 @@ def placed(
 
 
 def mix(docs: DataFrame, stages: Stages, **params) -> DataFrame:
-    """``docs``, all rows and columns, with ``mix_position`` (replacing a column of that name), in file order of it."""
+    """``docs``, all rows and columns, with ``mix_position`` (replacing a column of that name)."""
     docs = docs.drop("mix_position")
     at = placed(docs, stages, **params).select("_id", "_key", "_copy", F.col("position").alias("mix_position"))
     same = Window.partitionBy("_id2", "_key2").orderBy(F.lit(0))
