@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.stage import Stages
+from wordmill.llm.stage import OWN, Stages
 from wordmill.llm.text import U64, Hasher, mix, slices, split_words
 
 MIN_WORDS = 8
@@ -347,7 +347,7 @@ def contaminated(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, stages: Stages, **params) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns."""
     hit = contaminated(docs, benchmark, stages, **params).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+        F.col("doc_id").alias(OWN + "id"), F.col("text_key").alias(OWN + "key")
     ).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "id")) & (F.xxhash64("text") == F.col(OWN + "key"))
     return docs.join(hit, same, "left_anti")

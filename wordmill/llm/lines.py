@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.stage import Stages
+from wordmill.llm.stage import OWN, Stages
 
 MIN_SITES = 10
 #: Log2 of the sketch's registers: standard error 1.6 %.
@@ -76,17 +76,17 @@ def line_dedup(docs: DataFrame, stages: Stages, min_sites: int = MIN_SITES, near
     lines = _lines(docs)
     f = first.select("h", F.col("doc_id").alias("f_id"), F.col("pos").alias("f_pos"))
     cut = lines.join(f, "h").where(~(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("pos") == F.col("f_pos"))))
-    cut = cut.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
-        F.collect_set("pos").alias("_gone")
+    cut = cut.groupBy(F.col("doc_id").alias(OWN + "id"), F.col("text_key").alias(OWN + "key")).agg(
+        F.collect_set("pos").alias(OWN + "gone")
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "id")) & (F.xxhash64("text") == F.col(OWN + "key"))
     text = F.col("text").cast("string")
     n = F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(_WORD)))
     joined = docs.join(cut, same, "left")
     return joined.select(
-        *[(_without(text, F.col("_gone")) if c == "text" else F.col(c)).alias(c) for c in docs.columns],
+        *[(_without(text, F.col(OWN + "gone")) if c == "text" else F.col(c)).alias(c) for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
-        F.greatest(F.size(F.coalesce("_gone", F.array())), F.lit(0)).cast("long").alias("n_removed"),
+        F.greatest(F.size(F.coalesce(OWN + "gone", F.array())), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

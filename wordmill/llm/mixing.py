@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordmill.llm.stage import Stages
+from wordmill.llm.stage import OWN, Stages
 
 #: Rows in a block.
 BLOCK = 16
@@ -179,9 +179,11 @@ def placed(
 def mix(docs: DataFrame, stages: Stages, **params) -> DataFrame:
     """``docs``, all rows and columns, with ``mix_position`` (replacing a column of that name)."""
     docs = docs.drop("mix_position")
-    at = placed(docs, stages, **params).select("_id", "_key", "_copy", F.col("position").alias("mix_position"))
-    same = Window.partitionBy("_id2", "_key2").orderBy(F.lit(0))
-    keyed = docs.withColumns({"_id2": F.col("doc_id").cast("long"), "_key2": _row_key()})
-    keyed = keyed.withColumn("_copy2", (F.row_number().over(same) - 1).cast("long"))
-    met = keyed._id2.eqNullSafe(at._id) & (keyed._key2 == at._key) & (keyed._copy2 == at._copy)
+    at = placed(docs, stages, **params).select(
+        *[F.col(f"_{c}").alias(f"{OWN}at_{c}") for c in ("id", "key", "copy")], F.col("position").alias("mix_position")
+    )
+    same = Window.partitionBy(OWN + "id", OWN + "key").orderBy(F.lit(0))
+    keyed = docs.withColumns({OWN + "id": F.col("doc_id").cast("long"), OWN + "key": _row_key()})
+    keyed = keyed.withColumn(OWN + "copy", (F.row_number().over(same) - 1).cast("long"))
+    met = F.col(OWN + "id").eqNullSafe(F.col(OWN + "at_id")) & (F.col(OWN + "key") == F.col(OWN + "at_key")) & (F.col(OWN + "copy") == F.col(OWN + "at_copy"))
     return keyed.join(at, met).select(*docs.columns, "mix_position")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from wordmill.llm.links import Verify, classes
 from wordmill.llm.minhash import lone_weight, similarity, weighted_runs
-from wordmill.llm.stage import Stages
+from wordmill.llm.stage import OWN, Stages
 from wordmill.llm.text import U64, Hasher, Words, grams, mix, powers, slices, split_words
 
 RADIUS = 6
@@ -220,7 +220,7 @@ def repeated_paragraphs(
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = batch.column("_spans").to_pylist()
+        spans = batch.column(OWN + "spans").to_pylist()
         texts = []
         for d, text in enumerate(batch.column("text").to_pylist()):
             if text is not None and spans[d]:
@@ -233,8 +233,8 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     done = stop
                 text = b"".join([*parts, data[done:]]).decode()
             texts.append(text)
-        cols = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in batch.schema.names if n != "_spans"]
-        yield pa.RecordBatch.from_arrays(cols, [n for n in batch.schema.names if n != "_spans"])
+        cols = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in batch.schema.names if n != OWN + "spans"]
+        yield pa.RecordBatch.from_arrays(cols, [n for n in batch.schema.names if n != OWN + "spans"])
 
 
 def drop_repeats(docs: DataFrame, stages: Stages, **params) -> DataFrame:
@@ -243,6 +243,6 @@ def drop_repeats(docs: DataFrame, stages: Stages, **params) -> DataFrame:
     A text goes on from the next word; a document may become empty.
     """
     spans = repeated_paragraphs(docs, stages, **params).where("removed")
-    spans = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("start_word", "n_words")).alias("_spans"))
-    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+    spans = spans.groupBy(F.col("doc_id").alias(OWN + "id")).agg(F.collect_set(F.struct("start_word", "n_words")).alias(OWN + "spans"))
+    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "id")), "left").drop(OWN + "id")
     return joined.mapInArrow(_without, docs.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.stage import Stages
+from wordmill.llm.stage import OWN, Stages
 from wordmill.llm.text import U64, Hasher, mix, slices, split_words
 
 WINDOW = 8
@@ -312,12 +312,12 @@ def quality(
 def keep_good(docs: DataFrame, stages: Stages, **params) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns."""
     kept = quality(docs, stages, **params).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("lang").alias("_lang"), F.col("source").alias("_source")
+        F.col("doc_id").alias(OWN + "id"), F.col("text_key").alias(OWN + "key"), F.col("lang").alias(OWN + "lang"), F.col("source").alias(OWN + "source")
     )
     same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-        & (F.xxhash64("text") == F.col("_key"))
-        & F.col("lang").cast("string").eqNullSafe(F.col("_lang"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
+        F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "id"))
+        & (F.xxhash64("text") == F.col(OWN + "key"))
+        & F.col("lang").cast("string").eqNullSafe(F.col(OWN + "lang"))
+        & F.col("source").cast("string").eqNullSafe(F.col(OWN + "source"))
     )
     return docs.join(kept, same, "left_semi")

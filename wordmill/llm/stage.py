@@ -15,6 +15,9 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Begins the names of columns that operators add for a while; tables' own names do not begin so.
+OWN = "\u0001"
+
 #: A stage table of at most so many rows is read as one partition, so that group-bys and
 #: joins among small tables need no exchange.
 SMALL_ROWS = 50_000
