@@ -145,15 +145,27 @@ def test_dictionary_segmentation(spark):
     assert got == {0: ["发动机", "漏油"], 1: ["机油", "车主"]}
 
 
-def test_vocab_packed_key_path_equals_struct_path(spark):
-    from wordmill.operators.vocab import key_radices
-
+def test_vocab_first_appearance_order(spark):
     sw = stopword_frame(spark, ["s"])
-    rows = [(f, r, c, t, p, w) for f in (0, 1) for r in (3, 1) for c in (0, 2) for t in (0, 5) for p, w in enumerate("q w e q".split())]
-    toks = spark.createDataFrame(rows, "file_no int, row_id long, col_no int, sub long, pos long, token string")
-    cells = toks.select("file_no", "row_id", "col_no", "sub").distinct()
-    radices = key_radices(cells)
-    assert radices is not None
-    a = sorted(tuple(r) for r in build_vocab(toks, sw, None).collect())
-    b = sorted(tuple(r) for r in build_vocab(toks, sw, None, radices=radices).collect())
-    assert a == b == [("e", 2, 16), ("q", 0, 32), ("w", 1, 16)]
+    for far in (0, 1 << 40, (1 << 61) - 7):  # row ids at any place in a long
+        rows = [(f, far + r, c, t, p, w) for f in (0, 1) for r in (3, 1) for c in (0, 2) for t in (0, 5) for p, w in enumerate("q w e q".split())]
+        toks = spark.createDataFrame(rows, "file_no int, row_id long, col_no int, sub long, pos long, token string")
+        assert sorted(tuple(r) for r in build_vocab(toks, sw, None).collect()) == [("e", 2, 16), ("q", 0, 32), ("w", 1, 16)]
+
+
+def test_packed_key_orders_like_the_tuple_and_unpacks(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from wordmill.operators.vocab import KEY, pack_key, unpack_key
+
+    rng = random.Random(4)
+    top = {"file_no": 16, "row_id": 1 << 62, "col_no": 32, "sub": 1 << 24, "pos": 1 << 31}
+    rows = [tuple(rng.choice([0, 1, top[k] - 1, rng.randrange(top[k])]) for k in KEY) for _ in range(300)]
+    df = spark.createDataFrame(rows, "file_no int, row_id long, col_no int, sub long, pos long")
+    out = df.select("*", pack_key().alias("okey")).select("*", F.array(*[c.cast("long") for c in unpack_key("okey")]).alias("back")).collect()
+    assert all(tuple(r["back"]) == tuple(r[k] for k in KEY) for r in out)
+    assert sorted(tuple(r[k] for k in KEY) for r in out) == [tuple(r[k] for k in KEY) for r in sorted(out, key=lambda r: r["okey"])]
+    plan = df.withColumn("token", F.lit("x")).groupBy("token").agg(F.min(pack_key()))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -18,9 +18,8 @@ def test_sequential_index_matches_sort(spark, monkeypatch):
         assert [i for _, i in items] == list(range(len(items)))
 
 
-def test_range_index_hot_row_matches_sort(spark, monkeypatch):
-    # One row holds most of the tokens: the numbering switches to ranges and must equal a plain sort.
-    monkeypatch.setattr(indexing, "MAX_BUCKET_ROWS", 1000)
+def test_ordered_index_hot_row_matches_sort(spark):
+    # One row holds most of the tokens: numbering by range must equal a plain sort.
     rows = [(0, 5, p) for p in range(3000)] + [(f, r, p) for f in (0, 1) for r in range(40) for p in range(3)]
     df = spark.createDataFrame(rows, "file_no int, row_id long, pos long").dropDuplicates()
     out = indexing.ordered_index(df, ["file_no", "row_id", "pos"], "idx").collect()

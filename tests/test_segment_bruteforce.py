@@ -50,9 +50,35 @@ def test_matches_enumeration(spark):
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 8))) for _ in range(60)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     dic_df = spark.createDataFrame(list(dic.items()), "word string, freq long")
-    out = segment_dictionary(df, ["id"], F.col("text"), dic_df).orderBy("id", "run_no", "k").collect()
-    got: dict[int, list[str]] = {}
-    for r in out:
-        got.setdefault(r["id"], []).append(r["token"])
+    for most in (1000, 3):  # words in the tasks, and words joined
+        out = segment_dictionary(df, ["id"], F.col("text"), dic_df, most).orderBy("id", "run_no", "k").collect()
+        got: dict[int, list[str]] = {}
+        for r in out:
+            got.setdefault(r["id"], []).append(r["token"])
+        for i, t in enumerate(texts):
+            assert got.get(i, []) == brute(t, dic), (t, dic)
+
+
+def test_long_runs_agree_and_take_linear_time(spark):
+    rng = random.Random(3)
+    dic = {"".join(rng.choice("abcd") for _ in range(rng.randint(1, 5))): rng.randint(1, 50) for _ in range(30)}
+    dic_df = spark.createDataFrame(list(dic.items()), "word string, freq long")
+    texts = ["".join(rng.choice("abcdx") for _ in range(n)) for n in (63, 64, 65, 500, 20000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    both = [
+        [tuple(r) for r in segment_dictionary(df, ["id"], F.col("text"), dic_df, most).orderBy("id", "run_no", "k").collect()]
+        for most in (1000, 3)
+    ]
+    assert both[0] == both[1]
     for i, t in enumerate(texts):
-        assert got.get(i, []) == brute(t, dic), (t, dic)
+        assert "".join(r[3] for r in both[0] if r[0] == i) == t
+
+
+def test_dictionary_mode_in_the_table_flow(spark):
+    from wordmill.operators.segment import dictionary_segmenter
+    from wordmill.plans.corpus import process_table
+
+    dic = spark.createDataFrame([("发动机", 10), ("漏油", 5), ("机油", 8), ("车", 3)], "word string, freq long")
+    df = spark.createDataFrame([(0, 0, "你好，发动机 漏油！", None)], "file_no int, row_id long, Question string, Report string")
+    out = process_table(df, stopwords=["车"], mode="dictionary", segmenter=dictionary_segmenter(dic)).first()
+    assert (out["Question"], out["Report"]) == ("发动机 漏油", "")

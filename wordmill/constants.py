@@ -62,8 +62,10 @@ CONTEXT_WINDOW_DEFAULT = 5
 
 # --- our own choices ---------------------------------------------------------
 
-# Regex word segmentation: a token is a maximal run of letters and digits.
-TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+# Regex word segmentation: a token is a maximal run of letters and digits ...
+RUN_PATTERN = r"[\p{L}\p{N}]+"
+# ... and in text whose punctuation was tagged, a whole tag is a token too.
+TOKEN_PATTERN = r"<[A-Z]+(?:_[A-Z]+)*>|" + RUN_PATTERN
 
 # Stopwords for the four languages of the driver corpus (the original ships its
 # stopword file separately; this list is ours).

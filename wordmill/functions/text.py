@@ -6,16 +6,14 @@ Every function takes and returns a ``Column`` so it composes inside one
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wordmill.constants import (
-    END_TOKEN,
-    PAD_TOKEN,
     PUNCTUATION_TAGS,
-    START_TOKEN,
+    RUN_PATTERN,
     TOKEN_PATTERN,
     TURN_SEPARATOR,
     clean_pattern,
@@ -42,17 +40,18 @@ def pipe_to_space(col: Column | str) -> Column:
     return F.replace(_c(col), F.lit(TURN_SEPARATOR), F.lit(" "))
 
 
-def clean_sentence(col: Column | str) -> Column:
+def clean_sentence(col: Column | str, gap: str = "") -> Column:
     """delete punctuation/whitespace runs and the six literals in one pass.
 
-    A null cell cleans to ``''``.
+    A null cell cleans to ``''``.  With ``gap=" "`` a blank is left where
+    something was deleted, for languages that write blanks between words.
     """
-    return F.regexp_replace(F.coalesce(_c(col), F.lit("")), F.lit(clean_pattern()), F.lit(""))
+    return F.regexp_replace(F.coalesce(_c(col), F.lit("")), F.lit(clean_pattern()), F.lit(gap))
 
 
-def segment_regex(col: Column | str) -> Column:
-    """F4/R1 regex mode: ordered array of maximal letter/digit runs."""
-    return F.regexp_extract_all(_c(col), F.lit(TOKEN_PATTERN), F.lit(0))
+def segment_regex(col: Column | str, pattern: str = TOKEN_PATTERN) -> Column:
+    """F4/R1 regex mode: ordered array of maximal letter/digit runs (and whole punctuation tags)."""
+    return F.regexp_extract_all(_c(col), F.lit(pattern), F.lit(0))
 
 
 def drop_stopwords_array(tokens: Column | str, stopwords: Iterable[str]) -> Column:
@@ -61,13 +60,32 @@ def drop_stopwords_array(tokens: Column | str, stopwords: Iterable[str]) -> Colu
     Order and duplicates are kept (``array_except`` would de-duplicate).
     For a large stopword table use the exploded form with an anti join.
     """
-    sw = F.array(*[F.lit(w) for w in dict.fromkeys(stopwords)])
-    return F.filter(_c(tokens), lambda t: ~F.array_contains(sw, t))
-
-
-def sentence_proc(col: Column | str, stopwords: Iterable[str]) -> Column:
-    """clean, segment, drop stopwords, join by one space (no lower-casing)."""
-    return F.array_join(drop_stopwords_array(segment_regex(clean_sentence(col)), stopwords), " ")
+    sw = list(dict.fromkeys(stopwords))
+    return F.filter(_c(tokens), lambda t: ~t.isin(sw)) if sw else _c(tokens)
+
+
+def sentence_proc(
+    col: Column | str,
+    stopwords: Iterable[str],
+    mode: str = "spaced",
+    segmenter: Callable[[Column], Column] | None = None,
+) -> Column:
+    """clean, segment, drop stopwords, join by one space (no lower-casing).
+
+    ``spaced`` cleans with a gap and takes letter/digit runs: words of languages
+    that write blanks.  ``joined`` deletes blanks too, as the original does for a
+    language without them, so a cleaned cell is one run.  ``dictionary`` segments
+    that run with ``segmenter`` (see :func:`operators.segment.dictionary_segmenter`).
+    """
+    if mode == "spaced":
+        tokens = segment_regex(clean_sentence(col, " "), RUN_PATTERN)
+    elif mode == "joined":
+        tokens = segment_regex(clean_sentence(col), RUN_PATTERN)
+    elif mode == "dictionary" and segmenter is not None:
+        tokens = segmenter(clean_sentence(col))
+    else:
+        raise ValueError("mode is spaced, joined, or dictionary with a segmenter")
+    return F.array_join(drop_stopwords_array(tokens, stopwords), " ")
 
 
 def token_count(col: Column | str) -> Column:
@@ -89,10 +107,3 @@ def split_single_space(col: Column | str) -> Column:
 def merge_columns(cols: Iterable[Column | str], sep: str = " ") -> Column:
     """Join columns with a separator, blanks kept (null counts as ``''``)."""
     return F.concat_ws(sep, *[F.coalesce(_c(c), F.lit("")) for c in cols])
-
-
-def pad_array(tokens: Column, max_len: int) -> Column:
-    """W6 tail: sentinels around the (already truncated) tokens, right-padded to max_len+2."""
-    body = F.concat(F.array(F.lit(START_TOKEN)), tokens, F.array(F.lit(END_TOKEN)))
-    n_pad = F.greatest(F.lit(max_len + 2) - F.size(body), F.lit(0))
-    return F.concat(body, F.array_repeat(F.lit(PAD_TOKEN), n_pad))

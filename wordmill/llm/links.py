@@ -61,7 +61,7 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
     whole = {"root": F.col("id"), "shared": F.col("size").cast("double")}
     live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumns(whole), "buckets")
     verify, alone = prepare(live.select("id").distinct())
-    links = failed = roots = None
+    links = tested = roots = None
     fan = 1
     overlap = threshold / (1 + threshold)  # least shared weight, of the sum of two sizes
     while stages.rows(live):
@@ -75,12 +75,11 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         pairs = pairs.where(F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - 1e-9)
         pairs = pairs.where(F.least("shared", "hub_shared") >= overlap * (F.col("size") + F.col("hub_size")) - 1e-9)
         pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-        if failed is not None:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stages.cut(pairs, "pairs")
         found = stages.cut(verify(pairs), "links")
-        missed = pairs.join(found, ["a", "b"], "left_anti")
-        failed = missed if failed is None else failed.unionByName(missed)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         # merge classes: components over the roots that the new links tie together
         if roots is None or stages.rows(found):

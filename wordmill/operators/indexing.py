@@ -91,9 +91,6 @@ def bucket_offsets(counts: DataFrame, groups: list[str], names: list[str]) -> Da
     )
 
 
-# Rows one bucket (one window task) may hold before numbering switches to ranges.
-MAX_BUCKET_ROWS = 1 << 22
-
 # monotonically_increasing_id() = partition id << 33 | record number in the partition.
 _LOCAL_BITS = 33
 
@@ -142,26 +139,16 @@ def ordered_index(
 ) -> DataFrame:
     """Number rows in the order ``[file_col,] row_col, ...`` (see :func:`sequential_index`).
 
-    The input is materialised once (it is read by the bucket count, the
-    offsets and the numbering pass) unless the caller already did
-    (``stage=False``); buckets are ranges of ``row_col``.
-
-    Buckets are ranges of ``row_col``.  Without ``group_cols`` (tokens: many
-    rows per ``row_col``) the largest bucket is measured first; past
-    ``MAX_BUCKET_ROWS`` the numbering is :func:`range_index`, bounded per
-    task even when one row holds a large share of the data.  With
-    ``group_cols`` (one row per ``row_col`` and group, as in row batches) a
-    bucket holds at most ``keys_per_bucket`` rows, so it cannot be hot.
+    Without ``group_cols`` (tokens: many rows per ``row_col``) numbering is
+    :func:`range_index`, bounded per task even when one row holds a large share
+    of the data.  With ``group_cols`` (one row per ``row_col`` and group, as in
+    row batches) buckets are ranges of ``row_col`` of at most ``keys_per_bucket``
+    rows; the input is then materialised once unless the caller did (``stage=False``).
     """
+    if not group_cols:
+        return range_index(df, order_cols, name)
     staged = cut_lineage(df, "ordered") if stage else df
     width = bucket_width(staged, row_col, keys_per_bucket)
     # Integer division: exact for any long key (a double quotient is not).
     buckets = ([F.col(file_col)] if file_col else []) + [F.expr(f"`{row_col}` div {width}")]
-    if not group_cols:
-        # One key-only aggregate: the largest bucket.  A hot row (one
-        # conversation or document holding a large share of the rows) makes
-        # its bucket exceed the per-task bound; then number by range instead.
-        largest = staged.groupBy(*buckets).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if largest is not None and largest > MAX_BUCKET_ROWS:
-            return range_index(staged, order_cols, name)
     return sequential_index(staged, buckets, order_cols, name, group_cols)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wordmill.constants import SUBSAMPLE_T
 from wordmill.operators.indexing import ordered_index
 from wordmill.operators.vocab import KEY
+from wordmill.session import cut_lineage
 
 # Seeded reach generator constants (a classic linear congruential step).
 LCG_MUL, LCG_ADD, LCG_MOD = 1103515245, 12345, 2147483648
@@ -87,9 +88,14 @@ def context_sets(batched: DataFrame, window: int, random: bool = True) -> DataFr
     ).where(F.size("context") > 0)
 
 
+def pair_rows(batched: DataFrame, window: int, random: bool = True) -> DataFrame:
+    """One ``batch, gidx, center, context`` row per neighbour."""
+    return context_sets(batched, window, random).select("batch", "gidx", "center", F.explode("context").alias("context"))
+
+
 def skipgram_pairs(batched: DataFrame, window: int, random: bool = True) -> DataFrame:
-    """One (center, context) pair per neighbour, counted per batch."""
-    pairs = context_sets(batched, window, random).select("batch", "center", F.explode("context").alias("context"))
+    """The pairs counted per batch."""
+    pairs = pair_rows(batched, window, random)
     return pairs.groupBy("batch", "center", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -102,10 +108,17 @@ def cooccurrence(batched: DataFrame, window: int, random: bool = True) -> DataFr
     return pairs.groupBy("w", "c").agg(F.count(F.lit(1)).alias("n"))
 
 
+def extend_cooccurrence(base: DataFrame, more: DataFrame) -> DataFrame:
+    """R5 on the table form: counts of two corpora add up, exactly and at any vocabulary size."""
+    return base.unionByName(more).groupBy("w", "c").agg(F.sum("n").alias("n"))
+
+
 def ppmi(co: DataFrame) -> DataFrame:
     """``pmi = ln(n * T / (n_w * n_c))`` and its positive part (Levy & Goldberg 2014)."""
-    total = co.agg(F.sum("n")).scalar()
-    nw = co.groupBy("w").agg(F.sum("n").alias("n_w"))
-    nc = co.groupBy("c").agg(F.sum("n").alias("n_c"))
+    # The marginals have a row a word.  Staged, their exact size is known before the pair
+    # table moves, so AQE broadcasts them while they are small.
+    nw = cut_lineage(co.groupBy("w").agg(F.sum("n").alias("n_w")), "marginal")
+    nc = cut_lineage(co.groupBy("c").agg(F.sum("n").alias("n_c")), "marginal")
+    total = nw.agg(F.sum("n_w")).scalar()
     pmi = F.log(F.col("n").cast("double") * total / (F.col("n_w").cast("double") * F.col("n_c")))
     return co.join(nw, "w").join(nc, "c").select("w", "c", "n", pmi.alias("pmi"), F.greatest(pmi, F.lit(0.0)).alias("ppmi"))

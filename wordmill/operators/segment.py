@@ -1,19 +1,20 @@
 """Segmentation modes and the per-partition escape hatch.
 
-Regex mode (the default, :func:`wordmill.functions.text.segment_regex`) is a
-JVM expression.  Dictionary mode is a Spark job, so the dictionary can be any
-size and is never shipped whole to a task:
-
-1. every maximal letter/digit *run* of a text is a segmentation unit;
-2. candidate words are the run's substrings up to the longest dictionary word
-   (``sequence`` + ``explode``), joined to the dictionary on the substring --
-   an ordinary join, broadcast by AQE only when the dictionary is small;
-3. the lattice edges of a run are gathered into one row (bounded by the run
-   length times the longest word) and a vectorised ``pandas_udf`` finds the
-   maximum-probability path: ``score(word) = ln(freq) - ln(total)``, an
-   unknown single character counting as frequency 1; ties prefer the longer
-   word.  Consecutive unknown ASCII letters/digits are kept together as one
-   token, as in dictionary segmenters without an unknown-word model.
+Regex mode (:func:`wordmill.functions.text.segment_regex`) is a JVM expression.
+Dictionary mode finds the maximum-probability path of every maximal letter/digit run:
+``score(word) = ln(freq) - ln(total)``, an unknown single character counting as
+frequency 1; ties prefer the longer word.  Consecutive unknown ASCII letters/digits
+are kept together as one token, as in dictionary segmenters without an unknown-word
+model.
+
+* A dictionary of at most ``MAX_WORDS`` words goes to the tasks, and a run is
+  segmented in time proportional to its length (:func:`dictionary_segmenter`).
+* A larger one stays a table: candidate words are joined to it and each distinct run's
+  path is found from its matched words (:func:`_segment_by_join`).  Rows carry pieces
+  of bounded size, not runs.
+
+Both give the same tokens.  The functions that run in tasks are nested, so they are
+pickled by value and workers need not have this package.
 """
 
 from __future__ import annotations
@@ -25,87 +26,166 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordmill.constants import TOKEN_PATTERN
+from wordmill.constants import RUN_PATTERN, TOKEN_PATTERN
 
+#: Largest dictionary that is sent to tasks: some 100 MB.
+MAX_WORDS = 1_000_000
+#: Characters of a run in one row of the joined form, before the longest word's overlap.
+PIECE = 64
 
-def _best_path(n: int, edges: list) -> list[tuple[int, int, bool]]:
-    """Maximum-probability segmentation of ``0..n`` from ``(s, l, lp, known)`` edges.
 
-    Ties prefer the longer word, then a dictionary word over an unknown character.
-    """
-    out_edges: list[list[tuple[int, float, bool]]] = [[] for _ in range(n)]
-    for e in edges:
-        out_edges[int(e["s"])].append((int(e["l"]), float(e["lp"]), bool(e["k"])))
-    best = [0.0] * (n + 1)
-    choice = [(1, False)] * n
-    for i in range(n - 1, -1, -1):
-        top = None
-        for length, lp, known in out_edges[i]:
-            cand = (lp + best[i + length], length, known)
-            if top is None or cand > top:
-                top = cand
-        if top is None:  # not reached: every position has its single-character edge
-            best[i], choice[i] = best[i + 1], (1, False)
-        else:
-            best[i], choice[i] = top[0], (top[1], top[2])
-    path, i = [], 0
-    while i < n:
-        length, known = choice[i]
-        path.append((i, length, known))
-        i += length
-    return path
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _segment_runs(runs: pd.Series, edges: pd.Series) -> pd.Series:
-    out = []
-    for run, es in zip(runs, edges):
-        path = _best_path(len(run), list(es) if es is not None else [])
-        tokens, buf = [], ""
-        for s, length, known in path:
-            piece = run[s : s + length]
-            if not known and length == 1 and piece.isascii() and piece.isalnum():
+def _weighted(dictionary: DataFrame) -> DataFrame:
+    return dictionary.select("word", F.coalesce(F.col("freq"), F.lit(1)).cast("double").alias("freq")).where(
+        (F.col("freq") > 0) & (F.col("word") != "")
+    )
+
+
+def _path_maker() -> Callable:
+    """``tokens(run, words at a start, unknown score)``: the best path, unknown characters joined."""
+
+    def tokens(run: str, words_at: Callable[[int], list[tuple[int, float]]], unknown: float) -> list[str]:
+        n = len(run)
+        best = [0.0] * (n + 1)
+        choice = [(1, False)] * n
+        for i in range(n - 1, -1, -1):
+            top = (unknown + best[i + 1], 1, False)
+            for length, score in words_at(i):
+                top = max(top, (score + best[i + length], length, True))
+            best[i], choice[i] = top[0], top[1:]
+        out, buf, i = [], "", 0
+        while i < n:
+            length, known = choice[i]
+            piece = run[i : i + length]
+            i += length
+            if not known and piece.isascii() and piece.isalnum():
                 buf += piece
                 continue
             if buf:
-                tokens.append(buf)
+                out.append(buf)
                 buf = ""
-            tokens.append(piece)
+            out.append(piece)
         if buf:
-            tokens.append(buf)
-        out.append(tokens)
-    return pd.Series(out)
-
-
-def segment_dictionary(df: DataFrame, key_cols: list[str], text: Column, dictionary: DataFrame) -> DataFrame:
+            out.append(buf)
+        return out
+
+    return tokens
+
+
+def _run_segmenter(words: dict[str, float]) -> Callable[[Column], Column]:
+    """Column of runs -> column of each run's tokens, with the words and their counts in the task."""
+    import math
+
+    total = math.log(sum(words.values())) if words else 0.0
+    scores = {w: math.log(f) - total for w, f in words.items()}
+    best_path = _path_maker()
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+    def segment(runs: pd.Series) -> pd.Series:
+        prefixes = {w[:k] for w in scores for k in range(1, len(w))}
+
+        def of(run: str) -> list[str]:
+            def words_at(i: int) -> list[tuple[int, float]]:
+                found, k = [], i + 1
+                while k <= len(run):
+                    piece = run[i:k]
+                    score = scores.get(piece)
+                    if score is not None:
+                        found.append((k - i, score))
+                    if piece not in prefixes:
+                        break
+                    k += 1
+                return found
+
+            return best_path(run, words_at, -total)
+
+        known: dict[str, list[str]] = {}
+        out = []
+        for row in runs:
+            told = []
+            for run in row if row is not None else []:
+                if run not in known:
+                    known[run] = of(run)
+                told.append(known[run])
+            out.append(told)
+        return pd.Series(out)
+
+    return segment
+
+
+def dictionary_words(dictionary: DataFrame, max_words: int = MAX_WORDS) -> dict[str, float] | None:
+    """The dictionary's words and summed counts, or None if it has more than ``max_words``."""
+    rows = _weighted(dictionary).groupBy("word").agg(F.sum("freq").alias("freq")).limit(max_words + 1).collect()
+    return None if len(rows) > max_words else {r["word"]: r["freq"] for r in rows}
+
+
+def dictionary_segmenter(dictionary: DataFrame, max_words: int = MAX_WORDS) -> Callable[[Column], Column]:
+    """R1 dictionary mode as a column function: text -> tokens in reading order."""
+    words = dictionary_words(dictionary, max_words)
+    if words is None:
+        raise ValueError(f"more than {max_words} words: segment with segment_dictionary, which joins the dictionary")
+    segment = _run_segmenter(words)
+    return lambda text: F.flatten(segment(F.regexp_extract_all(text, F.lit(RUN_PATTERN), F.lit(0))))
+
+
+def segment_dictionary(
+    df: DataFrame, key_cols: list[str], text: Column, dictionary: DataFrame, max_words: int = MAX_WORDS
+) -> DataFrame:
     """R1 dictionary mode: ``key_cols..., run_no, k, token`` (reading order is ``run_no, k``).
 
     ``dictionary`` has ``word`` and ``freq`` (null freq counts as 1).
     """
-    dic = dictionary.select("word", F.coalesce(F.col("freq"), F.lit(1)).cast("double").alias("freq")).where(
-        F.col("freq") > 0
+    runs = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    words = dictionary_words(dictionary, max_words)
+    if words is None:
+        return _segment_by_join(df.select(*key_cols, F.posexplode(runs).alias("run_no", "run")), key_cols, dictionary)
+    told = df.select(*key_cols, F.posexplode(_run_segmenter(words)(runs)).alias("run_no", "tokens"))
+    return told.select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
+
+
+def _segment_by_join(runs: DataFrame, key_cols: list[str], dictionary: DataFrame) -> DataFrame:
+    dic = _weighted(dictionary).groupBy("word").agg(F.sum("freq").alias("freq"))
+    # two numbers: lambdas take no subqueries
+    stats = dic.agg(F.log(F.sum("freq")).alias("lt"), F.max(F.length("word")).alias("ml")).first()
+    log_total, longest = F.lit(float(stats["lt"] or 0.0)), F.lit(int(stats["ml"] or 1))
+    # each distinct run once; a fixed-size name stands for it in the rows of its pieces
+    distinct = runs.select("run").distinct().withColumn("rid", F.sha2("run", 256))
+    pieces = distinct.select(
+        "rid",
+        F.length("run").alias("n"),
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(0), F.length("run") - 1, F.lit(PIECE)),
+                lambda p: F.struct(p.alias("at"), F.substring("run", p + 1, F.lit(PIECE) + longest).alias("text")),
+            )
+        ).alias("p"),
+    )
+    starts = pieces.select(
+        "rid", "p", F.explode(F.sequence(F.lit(0), F.least(F.lit(PIECE), F.col("n") - F.col("p.at")) - 1)).alias("o")
+    )
+    spans = starts.select(
+        "rid", "p", "o", F.explode(F.sequence(F.lit(1), F.least(longest, F.length("p.text") - F.col("o")))).alias("l")
     )
-    stats = dic.agg(F.log(F.sum("freq")).alias("lt"), F.max(F.length("word")).alias("ml"))
-    log_total, max_len = stats.select("lt").scalar(), F.coalesce(stats.select("ml").scalar(), F.lit(1))
-    runs = df.select(*key_cols, F.posexplode(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))).alias("run_no", "run"))
-    # Segment each distinct run once: the lattice work grows with the run
-    # vocabulary, not with occurrences, and a hot run collapses in the
-    # partial aggregate of ``distinct``.
-    distinct_runs = runs.select("run").distinct()
-    starts = distinct_runs.select("run", F.explode(F.sequence(F.lit(0), F.length("run") - 1)).alias("s"))
-    cands = starts.select(
-        "run", "s", F.explode(F.sequence(F.lit(1), F.least(max_len, F.length("run") - F.col("s")))).alias("l")
-    ).select("run", "s", "l", F.substring("run", F.col("s") + 1, F.col("l")).alias("word"))
-    known = cands.join(dic, "word").select("run", "s", "l", (F.log("freq") - log_total).alias("lp"), F.lit(True).alias("k"))
-    # Every character may stand alone as an unknown word of frequency 1.
-    singles = cands.where(F.col("l") == 1).select("run", "s", "l", (-log_total).alias("lp"), F.lit(False).alias("k"))
-    edges = known.unionByName(singles).groupBy("run").agg(
-        F.collect_list(F.struct(F.col("s").cast("int").alias("s"), F.col("l").cast("int").alias("l"), "lp", "k")).alias("edges")
+    words = spans.select(
+        "rid", (F.col("p.at") + F.col("o")).alias("s"), "l", F.substring("p.text", F.col("o") + 1, F.col("l")).alias("word")
     )
-    segmented = edges.select("run", _segment_runs("run", "edges").alias("tokens"))
+    known = words.join(dic, "word").select("rid", F.struct("s", "l", (F.log("freq") - log_total).alias("lp")).alias("e"))
+    edges = known.groupBy("rid").agg(F.collect_list("e").alias("edges"))
+    best_path = _path_maker()
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def segment(run: pd.Series, found: pd.Series, unknown: pd.Series) -> pd.Series:
+        out = []
+        for text, es, score in zip(run, found, unknown):
+            at: dict[int, list[tuple[int, float]]] = {}
+            for e in es if es is not None else []:
+                at.setdefault(int(e["s"]), []).append((int(e["l"]), float(e["lp"])))
+            out.append(best_path(text, lambda i: at.get(i, []), float(score)))
+        return pd.Series(out)
+
+    told = distinct.join(edges, "rid", "left").select("run", segment("run", "edges", -log_total).alias("tokens"))
     # Back to every occurrence; AQE broadcasts the segmented runs when small
     # and splits hot keys of a sort-merge join otherwise.
-    return runs.join(segmented, "run").select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
+    return runs.join(told, "run").select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
 
 
 def map_partitions(df: DataFrame, func: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.constants import DEFAULT_STOPWORDS, UNK_TOKEN
+from wordmill.constants import DEFAULT_STOPWORDS
 from wordmill.functions.text import mark_punctuation, pipe_to_space, segment_regex
 from wordmill.operators.indexing import ordered_index, sequential_index
 
@@ -74,47 +74,45 @@ def word_count(tokens: DataFrame) -> DataFrame:
 
 
 def drop_stopword_tokens(tokens: DataFrame, stopwords: DataFrame, token_col: str = "token") -> DataFrame:
-    """J3/P4 exploded form: broadcast anti join (the stopword table is a bounded parameter)."""
-    return tokens.join(F.broadcast(stopwords.select(F.col("word").alias(token_col))), token_col, "left_anti")
+    """J3/P4 exploded form: anti join; AQE broadcasts the stopwords when their measured size is small."""
+    return tokens.join(stopwords.select(F.col("word").alias(token_col)), token_col, "left_anti")
 
 
-# A token position is below its cell's length, and a Spark string is shorter than 2^31.
-POS_RADIX = 2**31
+# Bits of each part of the reading-order key.  They add up to 126, so the key fits a
+# decimal of 38 digits: 16 files, any row id that Spark's own numbering makes, 32
+# columns, 2^24 turns, and any position in a Spark string.
+KEY_BITS = {"file_no": 4, "row_id": 62, "col_no": 5, "sub": 24, "pos": 31}
+_WIDE = "decimal(38,0)"
 
 
-def key_radices(cells: DataFrame) -> list[int] | None:
-    """Radices packing ``(file_no, row_id, col_no, sub, pos)`` into one ``long``, or None.
+def _wide(n: int) -> Column:
+    return F.lit(str(n)).cast(_WIDE)
 
-    One aggregate over the key columns of the cells (the text is not read).
-    None when a key is negative or the product of the ranges reaches 2^63.
+
+def pack_key() -> Column:
+    """``(file_no, row_id, col_no, sub, pos)`` as one number that orders like the tuple.
+
+    A minimum over it is a hash aggregate, which a minimum over a struct is not.  A part
+    out of its range fails the query instead of wrapping round.
     """
-    r = cells.agg(
-        *[F.min(k).alias(f"{k}_lo") for k in KEY[:-1]], *[F.max(k).alias(f"{k}_hi") for k in KEY[:-1]]
-    ).first()
-    if r is None or r["row_id_hi"] is None or min(r[f"{k}_lo"] for k in KEY[:-1]) < 0:
-        return None
-    radices = [int(r[f"{k}_hi"]) + 1 for k in KEY[:-1]] + [POS_RADIX]
-    product = 1
-    for x in radices:
-        product *= x
-    return radices if product < 2**63 else None
-
-
-def pack_key(radices: list[int]) -> Column:
-    """Mixed-radix ``long`` of the reading-order key; orders exactly like the tuple."""
-    out = F.col(KEY[0]).cast("long")
-    for k, radix in zip(KEY[1:], radices[1:]):
-        out = out * F.lit(radix) + F.col(k)
-    return out
-
-
-def unpack_key(name: str, radices: list[int]) -> list[Column]:
-    """Inverse of :func:`pack_key` on column ``name`` (integer arithmetic only)."""
-    parts, div = [], 1
-    for k, radix in zip(reversed(KEY), reversed(radices)):
-        part = F.expr(f"(`{name}` div {div}) % {radix}")
+    out = None
+    for k in KEY:
+        top = 1 << KEY_BITS[k]
+        part = F.when((F.col(k) >= 0) & (F.col(k).cast(_WIDE) < _wide(top)), F.col(k).cast(_WIDE)).otherwise(
+            F.raise_error(F.lit(f"{k} is out of the range of the reading-order key")).cast(_WIDE)
+        )
+        out = part if out is None else (out * _wide(top)).cast(_WIDE) + part
+    return out.cast(_WIDE)
+
+
+def unpack_key(name: str) -> list[Column]:
+    """Inverse of :func:`pack_key` on column ``name``."""
+    parts, rest = [], F.col(name)
+    for k in reversed(KEY):
+        top = _wide(1 << KEY_BITS[k])
+        part = rest % top
         parts.append(part.cast("int" if k in ("file_no", "col_no") else "long").alias(k))
-        div *= radix
+        rest = ((rest - part) / top).cast(_WIDE)
     return list(reversed(parts))
 
 
@@ -123,25 +121,17 @@ def build_vocab(
     stopwords: DataFrame,
     drop_lt_freq: int | None = None,
     compact: bool = False,
-    radices: list[int] | None = None,
 ) -> DataFrame:
     """A3: ``word, idx, freq``.
 
     idx = rank of first appearance (W1) after stopwords and the tab token are
     removed, assigned **before** the rare-word cut (P6), so idx has gaps unless
-    ``compact``.  Numbering is a two-level prefix sum, never one task.
-
-    With ``radices`` (:func:`key_radices`) the first appearance is the ``min``
-    of one packed ``long`` (hash aggregation); otherwise the ``min`` of the
-    key struct (sort aggregation).  Both are exact.
+    ``compact``.  The first appearance is the ``min`` of the packed reading-order
+    key (hash aggregation); numbering never runs in one task.
     """
     words = tokens.groupBy(F.col("token").alias("word"))
-    if radices:
-        first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(pack_key(radices)).alias("okey"))
-        first_cols = unpack_key("okey", radices)
-    else:
-        first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(F.struct(*KEY)).alias("first"))
-        first_cols = [F.col(f"first.{k}").alias(k) for k in KEY]
+    first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(pack_key()).alias("okey"))
+    first_cols = unpack_key("okey")
     first = drop_stopword_tokens(first.where(F.col("word") != "\t"), stopwords, "word")
     ranked = ordered_index(first.select("word", "freq", *first_cols), KEY, "idx")
     vocab = ranked.select("word", "idx", "freq")
@@ -169,16 +159,3 @@ def encode(tokens: DataFrame, vocab: DataFrame, stopwords: DataFrame | None = No
 def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
     """Idx -> word."""
     return encoded.join(vocab.select("idx", "word"), "idx").select(*KEY, "word")
-
-
-def mark_oov(tokens: DataFrame, vocab: DataFrame, token_col: str = "token", unk: str = UNK_TOKEN) -> DataFrame:
-    """Keep a token found in the vocabulary, else the unknown token."""
-    v = vocab.select(F.col("word").alias(token_col), F.lit(True).alias("_in_vocab")).distinct()
-    return tokens.join(v, token_col, "left").withColumn(
-        token_col, F.when(F.col("_in_vocab"), F.col(token_col)).otherwise(F.lit(unk))
-    ).drop("_in_vocab")
-
-
-def vocab_size(vocab: DataFrame) -> DataFrame:
-    """Number of distinct vocabulary words."""
-    return vocab.agg(F.countDistinct("word").alias("vocab_size"))

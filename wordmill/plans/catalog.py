@@ -146,6 +146,17 @@ def q_skipgram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.skipgram_pairs(_batches(spark, sf_dir), SG_WINDOW)
 
 
+def q_skipgram_pair_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.pair_rows(_batches(spark, sf_dir), SG_WINDOW)
+
+
+def q_extend_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the even batches, extended by those of the odd ones."""
+    batches = cut_lineage(_batches(spark, sf_dir), "batches")
+    even, odd = (P.cooccurrence(batches.where(F.col("batch") % 2 == k), SG_WINDOW) for k in (0, 1))
+    return P.extend_cooccurrence(even, odd)
+
+
 def q_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.cooccurrence(_batches(spark, sf_dir), SG_WINDOW)
 
@@ -160,7 +171,10 @@ WV_EPOCHS = 5
 
 
 def _dims(vectors: DataFrame) -> DataFrame:
-    return vectors.select("word", F.size("vector").cast("long").alias("dims"))
+    """Length of each vector, and whether all its values are finite and not all zero."""
+    norm = F.aggregate("vector", F.lit(0.0), lambda n, x: n + x.cast("double") * x.cast("double"))
+    sound = (norm > 0) & ~F.isnan(norm) & (norm < float("inf"))
+    return vectors.select("word", F.size("vector").cast("long").alias("dims"), sound.alias("sound"))
 
 
 def _w2v_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +188,7 @@ def q_train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_skipgram_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = E3.batch_sentences(_batches(spark, sf_dir))
-    model = EMB.train_embeddings(sentences, SG_SIZE, SG_WINDOW, 1, SG_EPOCHS, num_partitions=spark.sparkContext.defaultParallelism)
+    model = EMB.train_embeddings(sentences, SG_SIZE, SG_WINDOW, 1, SG_EPOCHS)
     return _dims(EMB.word_vectors(model))
 
 
@@ -271,7 +285,9 @@ QUERIES: dict[str, Query] = {
     "context_fixed": q_context_fixed,
     "context_random": q_context_random,
     "skipgram_pairs": q_skipgram_pairs,
+    "skipgram_pair_rows": q_skipgram_pair_rows,
     "cooccurrence": q_cooccurrence,
+    "extend_cooccurrence": q_extend_cooccurrence,
     "ppmi": q_ppmi,
     "train_embeddings": q_train_embeddings,
     "skipgram_embeddings": q_skipgram_embeddings,

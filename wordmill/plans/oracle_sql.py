@@ -14,6 +14,7 @@ from wordmill.constants import (
     PAD_TOKEN,
     PUNCTUATION_TAGS,
     RARE_WORD_CUT,
+    RUN_PATTERN,
     SG_BATCH,
     SG_SIZE,
     SG_WINDOW,
@@ -46,13 +47,13 @@ def f1(expr: str) -> str:
     return out
 
 
-def clean(expr: str) -> str:
-    return f"regexp_replace(coalesce({expr}, ''), {CLEAN}, '', 'g')"
+def clean(expr: str, gap: str = "") -> str:
+    return f"regexp_replace(coalesce({expr}, ''), {CLEAN}, {q(gap)}, 'g')"
 
 
 def sentence_proc(expr: str) -> str:
     return (
-        f"array_to_string(list_filter(regexp_extract_all({clean(expr)}, {TOK}), "
+        f"array_to_string(list_filter(regexp_extract_all({clean(expr, ' ')}, {q(RUN_PATTERN)}), "
         f"lambda x: NOT list_contains({SW_LIST}, x)), ' ')"
     )
 
@@ -289,6 +290,11 @@ cc AS (SELECT c, sum(n) AS n_c FROM cooc GROUP BY c)"""
 
 ORACLE["cooccurrence"] = with_(*_SG, context_sql("a.r"), COOC) + "SELECT w, c, n FROM cooc"
 
+# counts add up over batches, so the extended table is the whole corpus's
+ORACLE["extend_cooccurrence"] = ORACLE["cooccurrence"]
+
+ORACLE["skipgram_pair_rows"] = with_(*_SG, context_sql("a.r")) + "SELECT batch, gidx, center, context FROM ctxp"
+
 ORACLE["ppmi"] = with_(*_SG, context_sql("a.r"), COOC) + (
     "SELECT o.w, o.c, o.n, round(ln(o.n::DOUBLE * (SELECT total FROM ctot) / (cw.n_w::DOUBLE * cc.n_c)), 6) AS pmi, "
     "round(greatest(ln(o.n::DOUBLE * (SELECT total FROM ctot) / (cw.n_w::DOUBLE * cc.n_c)), 0.0), 6) AS ppmi "
@@ -306,18 +312,18 @@ mlines AS (
 mtok AS (SELECT unnest(list_filter(regexp_split_to_array(line, {q(WS)}), lambda t: t <> '')) AS w FROM mlines),
 w2v_vocab AS (SELECT w AS word FROM mtok GROUP BY w HAVING count(*) >= {WV_MIN_COUNT})"""
 
-ORACLE["train_embeddings"] = with_(DIALOGUES, QA, SEG, LINES) + f"SELECT word, {WV_SIZE}::BIGINT AS dims FROM w2v_vocab"
+ORACLE["train_embeddings"] = with_(DIALOGUES, QA, SEG, LINES) + f"SELECT word, {WV_SIZE}::BIGINT AS dims, true AS sound FROM w2v_vocab"
 
-ORACLE["skipgram_embeddings"] = with_(*_SG) + f"SELECT DISTINCT idx::VARCHAR AS word, {SG_SIZE}::BIGINT AS dims FROM bat"
+ORACLE["skipgram_embeddings"] = with_(*_SG) + f"SELECT DISTINCT idx::VARCHAR AS word, {SG_SIZE}::BIGINT AS dims, true AS sound FROM bat"
 
 ORACLE["extend_embeddings"] = with_(*_E2_VOCAB, LINES) + (
     f", ptoks AS (SELECT w FROM mtok UNION ALL "
     f"SELECT unnest(list_filter(regexp_split_to_array(seq, {q(WS)}), lambda t: t <> '')) FROM padded) "
-    f"SELECT w AS word, {WV_SIZE}::BIGINT AS dims FROM ptoks GROUP BY w HAVING count(*) >= {WV_MIN_COUNT}"
+    f"SELECT w AS word, {WV_SIZE}::BIGINT AS dims, true AS sound FROM ptoks GROUP BY w HAVING count(*) >= {WV_MIN_COUNT}"
 )
 
 ORACLE["lookup_vectors"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG, LINES) + (
-    f"SELECT DISTINCT a.word, {WV_SIZE}::BIGINT AS dims FROM vocab_all a JOIN w2v_vocab w ON w.word = a.word"
+    f"SELECT DISTINCT a.word, {WV_SIZE}::BIGINT AS dims, true AS sound FROM vocab_all a JOIN w2v_vocab w ON w.word = a.word"
 )
 
 ORACLE["embedding_matrix"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL) + (

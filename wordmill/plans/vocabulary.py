@@ -11,7 +11,6 @@ from wordmill.sources.driver_tables import SPECIAL_COLUMNS, TEXT_COLUMNS, qa_cel
 from wordmill.sources.io import read_corpus, read_stopwords, write_vocab
 from wordmill.operators.vocab import (
     build_vocab,
-    key_radices,
     special_tokens,
     stopword_frame,
     to_cells,
@@ -23,8 +22,7 @@ from wordmill.operators.vocab import (
 def vocabulary(spark: SparkSession, sf_dir: str, drop_lt_freq: int | None = RARE_WORD_CUT, stopwords=DEFAULT_STOPWORDS) -> DataFrame:
     """``word, idx, freq`` built from both files, all text and special columns."""
     cells = qa_cells(spark, sf_dir)
-    radices = key_radices(cells)
-    return build_vocab(vocab_tokens(cells), stopword_frame(spark, stopwords), drop_lt_freq, radices=radices)
+    return build_vocab(vocab_tokens(cells), stopword_frame(spark, stopwords), drop_lt_freq)
 
 
 def special_column_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +51,7 @@ def vocabulary_from_files(
         part = to_cells(read_corpus(spark, path), text_columns, special_columns, file_no)
         cells = part if cells is None else cells.unionByName(part)
     sw = read_stopwords(spark, stopwords_path) if stopwords_path else stopword_frame(spark, stopwords)
-    vocab = build_vocab(vocab_tokens(cells), sw, drop_lt_freq, radices=key_radices(cells))
+    vocab = build_vocab(vocab_tokens(cells), sw, drop_lt_freq)
     if out_path:
         vocab = cut_lineage(vocab, "vocab")
         write_vocab(vocab, out_path, save_freq)

@@ -36,7 +36,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a scratch one only if unset.
+    """Return the session's checkpoint directory, setting a scratch one only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
     """
@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="wordmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch

@@ -156,7 +156,9 @@ def qa_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def single(name: str, no: str | None = None, value: str = "text") -> Column:
         picked = F.when(F.col("col_no") == COL_NO[no or name], F.col(value))
-        return F.get(F.collect_list(picked), 0).alias(name)
+        # a repeated key keeps all its texts, in a fixed order
+        texts = F.array_sort(F.collect_list(picked))
+        return F.when(F.size(texts) > 0, F.array_join(texts, " ")).alias(name)
 
     is_turn = F.col("col_no") == COL_NO["Dialogue"]
     turns = F.array_sort(F.collect_list(F.when(is_turn, F.struct(F.col("sub"), F.col("text")))))
