@@ -42,8 +42,32 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = {"segment_dictionary"}
-    assert set(entry.queries()) - set(entry.oracle_sql()) == rows_only
+    from wordmill.plans.catalog import QUERIES
+    from wordmill.plans.oracle_sql import ORACLE
+
+    assert set(QUERIES) - set(ORACLE) == {"segment_dictionary"}
+
+
+def test_the_corpus_flow_is_not_empty(spark):
+    """Cells keep their words: caps, known tokens, and vectors for vocabulary words."""
+    queries = entry.queries()
+    caps = {r["corpus"]: r["max_len"] for r in queries["max_len"](spark, SF).collect()}
+    assert min(caps.values()) > 10
+    body = [t for r in queries["pad_sequences"](spark, SF).collect() for t in r["seq"].split() if t not in ("<start>", "<end>", "<pad>")]
+    assert sum(t != "<unkonw>" for t in body) > 0.3 * len(body)
+    assert queries["lookup_vectors"](spark, SF).count() > 1000
+    assert {r["source"] for r in queries["subword_vectors"](spark, SF).select("source").distinct().collect()} >= {"word", "ngram"}
+
+
+def test_same_seed_same_vectors(spark):
+    from wordmill.operators import embeddings as EMB
+
+    lines = spark.createDataFrame([(["a", "b", "c", "d"] * 5,)] * 20, "tokens array<string>").coalesce(1)
+    fits = [
+        {r["word"]: list(r["vector"]) for r in EMB.word_vectors(EMB.train_embeddings(lines, 8, 2, 1, 2, num_partitions=1)).collect()}
+        for _ in range(2)
+    ]
+    assert fits[0] == fits[1] and len(fits[0]) == 4
 
 
 def test_entry_smoke(spark):

@@ -67,15 +67,14 @@ def drop_stopwords_array(tokens: Column | str, stopwords: Iterable[str]) -> Colu
 def sentence_proc(
     col: Column | str,
     stopwords: Iterable[str],
-    mode: str = "spaced",
+    mode: str = "joined",
     segmenter: Callable[[Column], Column] | None = None,
 ) -> Column:
     """clean, segment, drop stopwords, join by one space (no lower-casing).
 
-    ``spaced`` cleans with a gap and takes letter/digit runs: words of languages
-    that write blanks.  ``joined`` deletes blanks too, as the original does for a
-    language without them, so a cleaned cell is one run.  ``dictionary`` segments
-    that run with ``segmenter`` (see :func:`operators.segment.dictionary_segmenter`).
+    ``joined`` deletes blanks too, as the original does for a language that writes
+    none, and takes letter/digit runs.  ``spaced`` leaves a gap: words of languages
+    that write blanks.  ``dictionary`` segments the joined text with ``segmenter`` (see :func:`operators.segment.dictionary_segmenter`).
     """
     if mode == "spaced":
         tokens = segment_regex(clean_sentence(col, " "), RUN_PATTERN)

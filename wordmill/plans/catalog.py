@@ -58,7 +58,7 @@ def q_clean_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dialogue_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogues(spark, sf_dir).select(
-        F.col("row_id").alias("conv_id"), sentence_proc("Dialogue", DEFAULT_STOPWORDS).alias("text")
+        F.col("row_id").alias("conv_id"), sentence_proc("Dialogue", DEFAULT_STOPWORDS, "spaced").alias("text")
     )
 
 
