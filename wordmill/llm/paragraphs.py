@@ -188,6 +188,8 @@ def repeated_paragraphs(
         F.count(F.lit(1)).alias("n"), F.min("n_runs").cast("long").alias("size"), *[F.min(b).alias(b) for b in names]
     )
     distinct = stages.cut(distinct, "distinct")
+    wide, units = units, stages.cut(units.select("doc_id", "start_word", "n_words", "h"), "places")
+    stages.drop(wide)
     buckets = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), "size")
 
     def prepare(ids: DataFrame) -> tuple[Verify, Verify]:
