@@ -25,15 +25,16 @@ from wordmill.constants import (
 from wordmill.functions.text import clean_sentence, mark_punctuation, pipe_to_space, sentence_proc
 from wordmill.operators import embeddings as EMB
 from wordmill.operators import pairs as P
+from wordmill.operators.indexing import range_index
 from wordmill.operators.sequences import batch_rows
 from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
 from wordmill.plans import corpus as E2
 from wordmill.plans import embedding as E3
 from wordmill.plans import vocabulary as E1
-from wordmill.operators.segment import segment_dictionary
+from wordmill.operators.segment import map_partitions, segment_dictionary
 from wordmill.session import cut_lineage, ensure_checkpoint_dir
 from wordmill.sources import io as IO
-from wordmill.sources.driver_tables import dialogues, qa_cells, table
+from wordmill.sources.driver_tables import dialogues, qa_cells, qa_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,7 +239,8 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     IO.write_segmented(seg.select("split", "row_id", *E2.PROCESSED), f"{base}/seg")
     seg_back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{base}/seg")
     IO.write_lines(E2.training_corpus(seg), "merged", f"{base}/merged")
-    lines_back = IO.read_lines(spark, f"{base}/merged")
+    # lines numbered as they stand in the files: content and order both count
+    lines_back = range_index(IO.read_lines(spark, f"{base}/merged", order=True), IO.FILE_ORDER, "idx").withColumnRenamed("line", "word")
     vocab_all = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None), "vocab_all")
     matrix = EMB.embedding_matrix(vocab_all.where(F.col("freq") >= WV_MIN_COUNT), E3.vectors_from_table(spark, sf_dir, vocab_all))
     IO.write_embedding_matrix(matrix, f"{base}/matrix")
@@ -248,7 +250,9 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stop_back = IO.read_stopwords(spark, f"{base}/stop")
 
     def n(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("artifact"), "n")
+        place = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("decimal(38,0)") * (F.col("idx") % 1000 + 1)
+        digest = F.sum(place).cast("string") if "idx" in df.columns else F.lit(None).cast("string")
+        return df.agg(F.count(F.lit(1)).alias("n"), digest.alias("digest")).select(F.lit(name).alias("artifact"), "n", "digest")
 
     out = n("vocab_word_to_idx", w2i)
     for name, df in [("vocab_idx_to_word", i2w), ("segmented_csv", seg_back), ("merged_lines", lines_back),
@@ -257,6 +261,43 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Q&A table as train and test CSV files, read back: rows in file order, cells unchanged."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    qa = cut_lineage(qa_table(spark, sf_dir), "qa")
+    for split in ("train", "test"):
+        cols = [c for c in IO.QA_COLUMNS if split == "train" or c != "Report"]
+        IO.write_segmented(qa.where(F.col("split") == split), f"{base}/{split}", cols)
+    back = IO.load_splits(spark, f"{base}/train", f"{base}/test")
+    cells = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in IO.QA_COLUMNS])
+    return back.select("split", F.col("row_id").cast("long").alias("row_id"), F.md5(cells).alias("cells_md5"))
+
+
+def q_dictionary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary words without blanks as a dictionary file, read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dictionary-{uuid.uuid4().hex}"
+    words = _vocab(spark, sf_dir).where(~F.col("word").rlike(r"\s"))
+    words.select(F.concat_ws(" ", "word", F.col("freq").cast("string")).alias("value")).write.text(path)
+    return IO.read_dictionary(spark, path)
+
+
+def q_saved_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a model that was saved and loaded."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    IO.save_embeddings(EMB.train_embeddings(E3.merged_lines(spark, sf_dir), 16, WV_WINDOW, WV_MIN_COUNT), path)
+    return _dims(EMB.word_vectors(IO.load_embeddings(path)))
+
+
+def q_map_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pandas function over slices of the documents."""
+
+    def lengths(pdf):
+        return pdf.assign(n=pdf["text"].str.len())[["doc_id", "n"]]
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return map_partitions(docs, lengths, "doc_id long, n long")
+
+
 def q_segment_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 dictionary mode over every document, with the vocabulary (and its counts) as dictionary."""
     docs = table(spark, sf_dir, "documents")
@@ -298,6 +339,10 @@ QUERIES: dict[str, Query] = {
     "corpus_stats": q_corpus_stats,
     "io_roundtrip": q_io_roundtrip,
     "segment_dictionary": q_segment_dictionary,
+    "csv_splits": q_csv_splits,
+    "dictionary_file": q_dictionary_file,
+    "saved_embeddings": q_saved_embeddings,
+    "map_partitions": q_map_partitions,
 }
 
 # Headline queries timed by bench.py (one per operator family, whole tables).

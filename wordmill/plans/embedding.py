@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.constants import SG_BATCH, SUBSAMPLE_TH
-from wordmill.operators.embeddings import line_tokens
+from wordmill.operators.embeddings import embedding_matrix, line_tokens, subword_vectors, word_vectors
 from wordmill.operators.pairs import full_batches, global_position, subsample_frequent
 from wordmill.operators.vocab import encode, stopword_frame, text_tokens
 from wordmill.plans.corpus import padded, segmented, training_corpus
@@ -54,3 +54,21 @@ def vectors_from_table(spark: SparkSession, sf_dir: str, vocab_all: DataFrame) -
     return emb.join(vocab_all.select(F.col("idx").alias("vec_id"), "word"), "vec_id").select(
         "word", F.col("embedding").alias("vector")
     )
+
+
+def matrix_from_files(spark: SparkSession, vocab_path: str, model_path: str, out_path: str | None = None, subword: bool = False) -> DataFrame:
+    """R8 from files: a vocabulary TSV and a saved model in, ``idx, vector`` out (and the matrix file).
+
+    ``subword`` gives words without a vector the mean of their n-grams (R7).
+    """
+    from wordmill.sources.io import load_embeddings, read_vocab, write_embedding_matrix
+
+    vocab, _ = read_vocab(spark, vocab_path)
+    vectors = word_vectors(load_embeddings(model_path))
+    if subword:
+        vectors = subword_vectors(vocab, vectors).where(F.col("vector").isNotNull()).select("word", "vector")
+    matrix = embedding_matrix(vocab, vectors)
+    if out_path:
+        matrix = cut_lineage(matrix, "matrix")
+        write_embedding_matrix(matrix, out_path)
+    return matrix

@@ -337,16 +337,37 @@ ORACLE["corpus_stats"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOG
     "(SELECT count(*) FROM w2v_vocab) AS min_count_vocab"
 )
 
+# Content of an artifact: each line or word weighed by its place.
+_DIGEST = "sum(('0x' || substr(md5(word), 1, 8))::BIGINT::DECIMAL(38, 0) * (idx % 1000 + 1))::DECIMAL(38, 0)::VARCHAR"
+
 ORACLE["io_roundtrip"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG) + (
-    ", wv AS (SELECT a.word, e.embedding FROM embeddings e JOIN vocab_all a ON a.idx = e.vec_id) "
-    "SELECT 'vocab_word_to_idx' AS artifact, count(*) AS n FROM vocab "
-    "UNION ALL SELECT 'vocab_idx_to_word', count(*) FROM vocab "
-    "UNION ALL SELECT 'segmented_csv', count(*) FROM seg "
-    "UNION ALL SELECT 'merged_lines', count(*) FROM seg "
-    "UNION ALL SELECT 'matrix_lines', count(*) FROM vocab v JOIN wv ON wv.word = v.word "
-    f"UNION ALL SELECT 'stopwords', {len(set(DEFAULT_STOPWORDS))}::BIGINT"
+    ", wv AS (SELECT a.word, e.embedding FROM embeddings e JOIN vocab_all a ON a.idx = e.vec_id), "
+    "lines AS (SELECT (row_number() OVER (ORDER BY file_no, row_id) - 1)::BIGINT AS idx, CASE WHEN file_no = 0 "
+    "THEN coalesce(Question, '') || ' ' || coalesce(Dialogue, '') || ' ' || coalesce(Report, '') "
+    "ELSE coalesce(Question, '') || ' ' || coalesce(Dialogue, '') END AS word FROM seg) "
+    f"SELECT 'vocab_word_to_idx' AS artifact, count(*) AS n, {_DIGEST} AS digest FROM vocab "
+    f"UNION ALL SELECT 'vocab_idx_to_word', count(*), {_DIGEST} FROM vocab "
+    "UNION ALL SELECT 'segmented_csv', count(*), NULL FROM seg "
+    f"UNION ALL SELECT 'merged_lines', count(*), {_DIGEST} FROM lines "
+    "UNION ALL SELECT 'matrix_lines', count(*), NULL FROM vocab v JOIN wv ON wv.word = v.word "
+    f"UNION ALL SELECT 'stopwords', {len(set(DEFAULT_STOPWORDS))}::BIGINT, NULL"
+)
+
+# A cell that equals a null marker comes back empty; the driver tables hold none.
+ORACLE["csv_splits"] = with_(DIALOGUES, QA) + (
+    "SELECT split, (row_number() OVER (PARTITION BY file_no ORDER BY row_id) - 1)::BIGINT AS row_id, "
+    "md5(coalesce(Brand, '') || '|' || coalesce(Model, '') || '|' || coalesce(Question, '') || '|' || coalesce(Dialogue, '') "
+    "|| '|' || CASE WHEN file_no = 0 THEN coalesce(Report, '') ELSE '' END) AS cells_md5 FROM qa"
 )
 
+ORACLE["dictionary_file"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL) + (
+    "SELECT word, freq FROM vocab WHERE NOT regexp_matches(word, '\\s')"
+)
+
+ORACLE["saved_embeddings"] = with_(DIALOGUES, QA, SEG, LINES) + "SELECT word, 16::BIGINT AS dims, true AS sound FROM w2v_vocab"
+
+ORACLE["map_partitions"] = "SELECT doc_id, length(text) AS n FROM documents"
+
 
 def _grams(expr: str) -> str:
     """Distinct 3..6-character n-grams of ``<expr>`` as rows ``(src, g)``."""
