@@ -353,6 +353,40 @@ ORACLE["io_roundtrip"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOG
     f"UNION ALL SELECT 'stopwords', {len(set(DEFAULT_STOPWORDS))}::BIGINT, NULL"
 )
 
+# R1 dictionary mode: the lattice of every distinct run, its best path from the end back
+# (ties: the longer word, then the dictionary's), then the path's pieces from the start.
+ORACLE["segment_dictionary"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL).replace("WITH ", "WITH RECURSIVE ", 1) + (
+    f""",
+dic AS (SELECT word, freq::DOUBLE AS freq FROM vocab),
+tot AS (SELECT ln(sum(freq)) AS lt, max(length(word)) AS ml FROM dic),
+runs_src AS (SELECT doc_id, regexp_extract_all(replace({f1('text')}, '|', ' '), {TOK}) AS t FROM documents),
+runs AS (SELECT doc_id, generate_subscripts(t, 1) - 1 AS run_no, unnest(t) AS run FROM runs_src),
+dr AS (SELECT DISTINCT run, length(run) AS n FROM runs),
+starts AS (SELECT run, n, unnest(range(0, n)) AS s FROM dr),
+cand AS (SELECT run, s, unnest(range(1, least((SELECT ml FROM tot), n - s) + 1)) AS l FROM starts),
+edges AS (
+  SELECT c.run, c.s, c.l, ln(d.freq) - (SELECT lt FROM tot) AS lp, true AS k
+  FROM cand c JOIN dic d ON d.word = substring(c.run, c.s + 1, c.l)
+  UNION ALL SELECT run, s, 1, -(SELECT lt FROM tot), false FROM starts),
+bwd AS (
+  SELECT run, n AS i, [0.0::DOUBLE] AS best, []::STRUCT(l BIGINT, k BOOLEAN)[] AS ch FROM dr
+  UNION ALL
+  SELECT run, i - 1, list_prepend(t.sc, best), list_prepend(struct_pack(l := t.l, k := t.k), ch) FROM (
+    SELECT b.run, b.i, b.best, b.ch, max(struct_pack(sc := e.lp + b.best[e.l], l := e.l, k := e.k)) AS t
+    FROM bwd b JOIN edges e ON e.run = b.run AND e.s = b.i - 1 GROUP BY b.run, b.i, b.best, b.ch)),
+path AS (
+  SELECT run, 0::BIGINT AS pos, ch, ch[1].l AS l, ch[1].k AS k FROM bwd WHERE i = 0
+  UNION ALL
+  SELECT run, pos + l, ch, ch[pos + l + 1].l, ch[pos + l + 1].k FROM path WHERE pos + l < length(run)),
+piece AS (
+  SELECT run, pos, substring(run, pos + 1, l) AS p, NOT k AND regexp_matches(substring(run, pos + 1, l), '^[0-9A-Za-z]$') AS loose FROM path),
+mark AS (
+  SELECT *, CASE WHEN loose AND lag(loose, 1, false) OVER (PARTITION BY run ORDER BY pos) THEN 0 ELSE 1 END AS new FROM piece),
+tokd AS (SELECT *, sum(new) OVER (PARTITION BY run ORDER BY pos) - 1 AS g FROM mark),
+seg_tok AS (SELECT run, g, string_agg(p, '' ORDER BY pos) AS token FROM tokd GROUP BY run, g)
+SELECT r.doc_id, r.run_no::INTEGER AS run_no, s.g::INTEGER AS k, s.token FROM runs r JOIN seg_tok s ON s.run = r.run"""
+)
+
 # A cell that equals a null marker comes back empty; the driver tables hold none.
 ORACLE["csv_splits"] = with_(DIALOGUES, QA) + (
     "SELECT split, (row_number() OVER (PARTITION BY file_no ORDER BY row_id) - 1)::BIGINT AS row_id, "
