@@ -375,7 +375,8 @@ def test_repeated_paragraphs_match_brute_force(spark, documents):
         w = split_words(pa.array([t]), lower=True)
         at, end, _, _ = paragraphs._paragraphs(w, hasher.words(w.data, w.start, w.end), hasher, paragraphs.RADIUS, paragraphs.MIN_WORDS)
         words = t.lower().split()
-        units += [(d, int(a), tuple(words[a:e])) for a, e in zip(at, end)]
+        k = paragraphs.CONTEXT
+        units += [(d, int(a), tuple(words[a:e]), tuple(words[max(0, a - k) : a]), tuple(words[e : e + k])) for a, e in zip(at, end)]
     texts = sorted({u[2] for u in units})
     grams = [{x[i : i + 5] for i in range(len(x) - 4)} for x in texts]
     inverted, links = defaultdict(set), set()
@@ -389,15 +390,24 @@ def test_repeated_paragraphs_match_brute_force(spark, documents):
     root = joined(range(len(texts)), links)
     place = {x: root[k] for k, x in enumerate(texts)}
     groups = defaultdict(list)
-    for d, a, x in units:
-        groups[place[x]].append((d, a))
-    want = {occ: min(g) for g in groups.values() if len(g) > 1 for occ in g}
+    for d, a, x, before, after in units:
+        groups[place[x]].append((d, a, before, after))
+    want = {}
+    for g in groups.values():
+        befores, afters = Counter(o[2] for o in g), Counter(o[3] for o in g)
+        passage = [o[:2] for o in g if befores[o[2]] > 1 or afters[o[3]] > 1]
+        if len({d for d, _ in passage}) > 1:
+            want |= {o: min(passage) for o in passage}
     have = {(r.doc_id, r.start_word): (r.first_doc, r.first_start) for r in got}
     # banding may miss a link just above the threshold; equal paragraphs are never missed
     wrong = {k for k in want if have.get(k) != want[k]} | {k for k in have if k not in want}
     assert len(wrong) <= 0.01 * len(want)
-    equal = Counter(x for _, _, x in units)
-    assert all((d, a) in have for d, a, x in units if equal[x] > 1)
+    equal = defaultdict(set)
+    for d, _, x, before, after in units:
+        equal[x, before].add(d)
+        equal[x, after, 1].add(d)
+    assert all((d, a) in have for d, a, x, before, after in units if len(equal[x, before]) > 1 or len(equal[x, after, 1]) > 1)
+    assert len(want) > 100
     assert all(r.removed == ((r.doc_id, r.start_word) != (r.first_doc, r.first_start)) for r in got)
 
 

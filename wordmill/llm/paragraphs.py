@@ -10,11 +10,16 @@ Equal paragraphs (case folded) collapse first, with map-side aggregation.  Each
 distinct one gets MinHash values of its runs of five words in ``BANDS`` bands of
 ``ROWS``: a pair at Jaccard 0.8 meets with probability 1 - (1 - 0.8^2)^4 = 0.98, at
 0.9 0.999.  Paragraphs that meet are compared exactly, hub by hub (see ``links``), and
-linked ones form components.  Of each component the first occurrence (least
-``doc_id``, then start) stays; all others are removed.
+linked ones form components.
+
+A paragraph alone may be a common line.  An occurrence counts as part of a passage if
+the ``CONTEXT`` words before it, or those after it, are those of another occurrence in
+its component too, so at least ``MIN_WORDS + CONTEXT`` words in a row repeat (fewer only
+where a text begins or ends).  Where such occurrences lie in two documents or more, the
+first (least ``doc_id``, then start) stays and all others are removed.
 
 Defined results: null and empty texts have no paragraphs; a text without a cut is one
-paragraph; repeats within one document count; rows that repeat a ``doc_id`` and text
+paragraph; repeats within one document only are left alone; rows that repeat a ``doc_id`` and text
 give their occurrences once; a null ``doc_id`` sorts first.
 """
 
@@ -35,6 +40,7 @@ from wordmill.llm.text import U64, Hasher, Words, grams, mix, powers, slices, sp
 
 RADIUS = 6
 MIN_WORDS = 12
+CONTEXT = 10
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 4, 2
@@ -77,13 +83,22 @@ def _paragraphs(w: Words, h: np.ndarray, hasher: Hasher, radius: int, min_words:
     long = end - at >= min_words
     at, end = at[long], end[long]
     doc = np.searchsorted(w.first, at, side="right") - 1
+    return at, end, doc, run_hash(h, at, end, hasher)
+
+
+def run_hash(h: np.ndarray, at: np.ndarray, end: np.ndarray, hasher: Hasher) -> np.ndarray:
+    """Hash of the words ``at`` to ``end`` of each run, the same wherever they stand."""
     up, down = hasher.up, hasher.down
     if len(h) >= len(up):  # one text longer than the tables
         up, down = powers(len(h) + 1)
     sums = np.zeros(len(h) + 1, dtype=U64)
     np.cumsum(h * up[: len(h)], dtype=U64, out=sums[1:])
-    out = mix((sums[end] - sums[at]) * down[at] + (end - at).astype(U64))
-    return at, end, doc, out
+    return mix((sums[end] - sums[at]) * down[at] + (end - at).astype(U64))
+
+
+def _short(h: np.ndarray) -> pa.Array:
+    """32 bits of a hash: enough to tell apart the contexts of one component."""
+    return pa.array((h >> U64(32)).astype(np.uint32).view(np.int32))
 
 
 def min_hashes(g: np.ndarray, owner: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -109,6 +124,8 @@ def _units(radius: int, min_words: int, bands: int, rows: int):
             new = np.ones(len(g), dtype=bool)
             new[1:] = (g[order][1:] != g[order][:-1]) | (owner[order][1:] != owner[order][:-1])
             runs = np.bincount(owner[order][new], minlength=len(at))
+            before = np.maximum(at - CONTEXT, w.first[doc])
+            after = np.minimum(end + CONTEXT, w.first[doc + 1])
             low = min_hashes(g, owner, len(at), bands * rows)
             keys = []
             for b in range(bands):
@@ -123,9 +140,10 @@ def _units(radius: int, min_words: int, bands: int, rows: int):
                     pa.array(n.astype(np.int32)),
                     pa.array(runs.astype(np.int32)),
                     pa.array(key.view(np.int64)),
+                    *[_short(run_hash(h, a, b, hasher)) for a, b in ((before, at), (end, after))],
                     *[pa.array(x.view(np.int64)) for x in keys],
                 ],
-                ["doc_id", "start_word", "n_words", "n_runs", "h", *[f"b{b}" for b in range(bands)]],
+                ["doc_id", "start_word", "n_words", "n_runs", "h", "before", "after", *[f"b{b}" for b in range(bands)]],
             )
 
     return run
@@ -166,6 +184,9 @@ def _similar(threshold: float):
     return run
 
 
+PLACE = ["doc_id", "start_word", "n_words", "before", "after"]
+
+
 def repeated_paragraphs(
     docs: DataFrame,
     stages: Stages,
@@ -182,13 +203,13 @@ def repeated_paragraphs(
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     names = [f"b{b}" for b in range(bands)]
-    schema = "doc_id long, start_word int, n_words int, n_runs int, h long, " + ", ".join(f"{b} long" for b in names)
+    schema = "doc_id long, start_word int, n_words int, n_runs int, h long, before int, after int, " + ", ".join(f"{b} long" for b in names)
     units = stages.cut(docs.mapInArrow(_units(radius, min_words, bands, rows), schema), "paragraphs")
     distinct = units.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("n_runs").cast("long").alias("size"), *[F.min(b).alias(b) for b in names]
     )
     distinct = stages.cut(distinct, "distinct")
-    wide, units = units, stages.cut(units.select("doc_id", "start_word", "n_words", "h"), "places")
+    wide, units = units, stages.cut(units.select(*PLACE, "h"), "places")
     stages.drop(wide)
     buckets = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), "size")
 
@@ -206,9 +227,19 @@ def repeated_paragraphs(
     )
     several = distinct.where("n > 1").select("h").join(linked, "h", "left_anti")
     repeated = linked.unionByName(several.select("h", F.col("h").alias("root")))
-    seen = stages.cut(units.select("doc_id", "start_word", "n_words", "h").join(repeated, "h").drop("h").distinct(), "repeats")
-    lead = seen.groupBy("root").agg(F.min(F.struct("doc_id", "start_word")).alias("lead"), F.count(F.lit(1)).alias("n"))
-    out = seen.join(lead.where("n > 1"), "root")
+    seen = stages.cut(units.join(repeated, "h").drop("h").distinct(), "repeats")
+    # one row a context: how many occurrences of the component have it
+    sides = seen.select("root", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("ctx")), F.struct(F.lit(1).alias("side"), F.col("after").alias("ctx")))).alias("c"))
+    shared = sides.groupBy("root", "c.side", "c.ctx").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    left = shared.where("side = 0").select("root", F.col("ctx").alias("before"), F.lit(True).alias("has_before"))
+    right = shared.where("side = 1").select("root", F.col("ctx").alias("after"), F.lit(True).alias("has_after"))
+    passage = seen.join(left, ["root", "before"], "left").join(right, ["root", "after"], "left")
+    passage = passage.where("has_before or has_after").select("root", "doc_id", "start_word", "n_words")
+    doc = F.coalesce("doc_id", F.lit(-(2**63)))
+    lead = passage.groupBy("root").agg(
+        F.min(F.struct("doc_id", "start_word")).alias("lead"), F.min(doc).alias("lo"), F.max(doc).alias("hi")
+    )
+    out = passage.join(lead.where("lo < hi"), "root")
     stays = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("start_word") == F.col("lead.start_word"))
     return out.select(
         "doc_id",
