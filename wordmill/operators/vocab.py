@@ -17,6 +17,9 @@ from wordmill.operators.indexing import ordered_index, sequential_index
 
 KEY = ["file_no", "row_id", "col_no", "sub", "pos"]
 
+#: Column of a cell's packed key, where it was computed before its tokens were split off.
+CELL = "_cell"
+
 
 def stopword_frame(spark: SparkSession, words: Iterable[str] = DEFAULT_STOPWORDS) -> DataFrame:
     """D3/U4: a de-duplicated one-column table ``word`` (whitespace-stripped lines)."""
@@ -46,26 +49,29 @@ def to_cells(df: DataFrame, text_columns: list[str], special_columns: list[str],
 
 def text_tokens(cells: DataFrame) -> DataFrame:
     """tokens of the text cells (F1 -> F2 -> segment), null cells skipped."""
+    cell = [CELL] if CELL in cells.columns else []
     return (
         cells.where(~F.col("special") & F.col("text").isNotNull())
         .select(
-            "file_no", "row_id", "col_no", "sub",
+            "file_no", "row_id", "col_no", "sub", *cell,
             F.posexplode(segment_regex(pipe_to_space(mark_punctuation(F.col("text"))))).alias("pos", "token"),
         )
-        .select("file_no", "row_id", "col_no", "sub", F.col("pos").cast("long").alias("pos"), "token")
+        .select("file_no", "row_id", "col_no", "sub", *cell, F.col("pos").cast("long").alias("pos"), "token")
     )
 
 
 def special_tokens(cells: DataFrame) -> DataFrame:
     """A2: a whole special cell is one token (no lower-casing or segmentation)."""
     return cells.where(F.col("special") & F.col("text").isNotNull()).select(
-        "file_no", "row_id", "col_no", "sub", F.lit(0).cast("long").alias("pos"), F.col("text").alias("token")
+        "file_no", "row_id", "col_no", "sub", *([CELL] if CELL in cells.columns else []),
+        F.lit(0).cast("long").alias("pos"), F.col("text").alias("token"),
     )
 
 
 def vocab_tokens(cells: DataFrame) -> DataFrame:
     """A1 + A2 input: text tokens and special cells together."""
-    return text_tokens(cells).unionByName(special_tokens(cells))
+    keyed = cells.withColumn(CELL, cell_key())
+    return text_tokens(keyed).unionByName(special_tokens(keyed))
 
 
 def word_count(tokens: DataFrame) -> DataFrame:
@@ -95,13 +101,23 @@ def pack_key() -> Column:
     A minimum over it is a hash aggregate, which a minimum over a struct is not.  A part
     out of its range fails the query instead of wrapping round.
     """
-    out = None
-    for k in KEY:
-        top = 1 << KEY_BITS[k]
-        part = F.when((F.col(k) >= 0) & (F.col(k).cast(_WIDE) < _wide(top)), F.col(k).cast(_WIDE)).otherwise(
-            F.raise_error(F.lit(f"{k} is out of the range of the reading-order key")).cast(_WIDE)
-        )
-        out = part if out is None else (out * _wide(top)).cast(_WIDE) + part
+    return (cell_key() + _part("pos")).cast(_WIDE)
+
+
+def _part(k: str) -> Column:
+    top = 1 << KEY_BITS[k]
+    return F.when((F.col(k) >= 0) & (F.col(k) < F.lit(top)), F.col(k).cast(_WIDE)).otherwise(
+        F.raise_error(F.lit(f"{k} is out of the range of the reading-order key")).cast(_WIDE)
+    )
+
+
+def cell_key() -> Column:
+    """The packed key of a cell's position 0: all but the last addition, once a cell."""
+    out = _part(KEY[0])
+    for k in KEY[1:]:
+        out = (out * _wide(1 << KEY_BITS[k])).cast(_WIDE)
+        if k != "pos":
+            out = out + _part(k)
     return out.cast(_WIDE)
 
 
@@ -130,7 +146,8 @@ def build_vocab(
     key (hash aggregation); numbering never runs in one task.
     """
     words = tokens.groupBy(F.col("token").alias("word"))
-    first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(pack_key()).alias("okey"))
+    okey = (F.col(CELL) + F.col("pos").cast(_WIDE)).cast(_WIDE) if CELL in tokens.columns else pack_key()
+    first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(okey).alias("okey"))
     first_cols = unpack_key("okey")
     first = drop_stopword_tokens(first.where(F.col("word") != "\t"), stopwords, "word")
     ranked = ordered_index(first.select("word", "freq", *first_cols), KEY, "idx")
