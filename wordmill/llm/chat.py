@@ -232,3 +232,32 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(formatted: DataFrame) -> DataFrame:
     """Turns and learned text of each formatted conversation, read back from its string."""
     return formatted.mapInArrow(_digested, DIGEST)
+
+
+def _oracle() -> str:
+    body = "replace(text, '\\', '\\\\')"
+    for code, control in zip("abcdefgh", CONTROLS):
+        body = f"replace({body}, '{control}', '\\{code}')"
+    role = body.replace("replace(text", "replace(role")
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+r AS (
+  SELECT *, CASE role WHEN 'system' THEN '<<SYS>> ' || {body} || ' <</SYS>>' || chr(10)
+                      WHEN 'user' THEN '<s>[INST] ' || {body} || ' [/INST]' || chr(10)
+                      WHEN 'assistant' THEN {body} || ' </s>' || chr(10)
+                      ELSE '[ROLE]' || {role} || '[/ROLE] ' || {body} || ' </s>' || chr(10) END AS said
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         string_agg(said, '' ORDER BY turn, role, text) AS formatted
+  FROM r GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       length(formatted) AS formatted_chars, 0::BIGINT AS n_rewrites
+FROM g"""
+
+
+ORACLE = _oracle()

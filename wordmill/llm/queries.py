@@ -98,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
+    "op9_chat_formatting": chat.ORACLE,
     "op10_warc_archive": warc.ORACLE,
 }
