@@ -6,37 +6,58 @@ all its members are in one class or every member has been a hub.  A link between
 two members of a bucket is therefore either verified or implied by others; none is
 lost, and a bucket of copies costs one comparison a member.
 
-What is left after two rounds are members of dense groups that lie apart from their
+What is left after the first round are mostly members of dense groups that lie apart from their
 class by a little more than the threshold allows.  They are told by exact counting:
 weight in elements that no other member still in question holds cannot be shared, so
 a member with too much of it cannot reach the threshold with any of them, and leaves.
+Pairs of the rest are compared by long one-bit sketches, made for them alone, before
+they become rows: a pair six standard deviations below the threshold is left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.components import components
 from wordmill.llm.stage import Stages
 
 Verify = Callable[[DataFrame], DataFrame]
-Prepare = Callable[[DataFrame], tuple[Verify, Verify]]
+Prepare = Callable[[DataFrame], tuple[Verify, Verify, Verify | None]]
+
+#: Times as many hubs a bucket as in the round before.
+FANS = 8
+
+#: Bits of the long sketches: similarity to 0.013.
+FINE_BITS = 2048
+
+
+def bits_apart(a: str, b: str) -> Column:
+    """Bits in which two sketches (arrays of longs) differ."""
+    each = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda n, x: n + x)
+
+
+def most_apart(bits: int, threshold: float) -> int:
+    """Most bits in which sketches of a pair at ``threshold`` differ: six standard deviations, one in a billion."""
+    agree = (1 + threshold) / 2
+    return bits - math.floor(bits * agree - 6 * math.sqrt(bits * agree * (1 - agree)))
 
 
 def _hubs(live: DataFrame, degree: DataFrame | None, fan: int) -> DataFrame:
     """One hub for each bucket and each of ``fan`` shares of its members: most links, then least id."""
     if degree is not None:
         live = live.join(degree, "id", "left")
-        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size", "shared")
+        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size", "shared", "fine")
     else:
-        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size", "shared")
+        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size", "shared", "fine")
     share = F.pmod(F.xxhash64("id"), F.lit(fan)).alias("share")
     least = live.groupBy("key", share).agg(F.min(rank).alias("h"))
     return least.select(
-        "key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"), F.col("h.shared").alias("hub_shared")
+        "key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"), F.col("h.shared").alias("hub_shared"), F.col("h.fine").alias("hub_fine")
     )
 
 
@@ -51,17 +72,18 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
 
     ``size`` is the weight of an id's set: sets further apart than ``threshold`` in
     size cannot be as similar, and are not compared.  ``prepare`` takes the ``(id)`` that
-    share a bucket with another and returns two functions: one keeps those pairs
+    share a bucket with another and returns three functions: one keeps those pairs
     ``(a, b)`` whose exact similarity reaches the threshold; one takes ``(id)`` and
-    returns ``(id, alone)``, the weight of elements that no other of these ids holds.  Ids without a link have no row; a root is the least id
+    returns ``(id, alone)``, the weight of elements that no other of these ids holds; one
+    (or None) takes ``(id)`` and returns ``(id, fine)``, their long sketches.  Ids without a link have no row; a root is the least id
     of its class and has none either.
     """
     spark = buckets.sparkSession
     # a bucket of one id, however often, is of no use; 32 bits tell ids apart well enough and move less
     size = buckets.groupBy("key").agg(F.min(F.hash("id")).alias("lo"), F.max(F.hash("id")).alias("hi")).where("lo < hi")
-    whole = {"root": F.col("id"), "shared": F.col("size").cast("double")}
+    whole = {"root": F.col("id"), "shared": F.col("size").cast("double"), "fine": F.lit(None).cast("array<long>")}
     live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumns(whole), "buckets")
-    verify, alone = prepare(live.select("id").distinct())
+    verify, alone, sketch = prepare(live.select("id").distinct())
     links = tested = roots = None
     fan = 1
     overlap = threshold / (1 + threshold)  # least shared weight, of the sum of two sizes
@@ -75,6 +97,8 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         # what two sets share is at most the smaller one, and at most what either shares at all
         pairs = pairs.where(F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - 1e-9)
         pairs = pairs.where(F.least("shared", "hub_shared") >= overlap * (F.col("size") + F.col("hub_size")) - 1e-9)
+        if sketch and fan > 1:
+            pairs = pairs.where(bits_apart("fine", "hub_fine") <= most_apart(FINE_BITS, threshold))
         pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -89,15 +113,18 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         left = left.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
         # hubs have met every member, so only the others can hold an unseen link
         nxt = _undecided(left, stages)
-        if fan > 1 and stages.rows(nxt):
+        if stages.rows(nxt):
             least = nxt.groupBy("key").agg(F.min("size").alias("least"))
             told = nxt.join(alone(nxt.select("id").distinct()), "id", "left").join(least, "key")
             told = told.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0.0)))
             could = told.where(F.col("shared") >= overlap * (F.col("size") + F.col("least")) - 1e-9)
             nxt = _undecided(could.select(*live.columns), stages)
+            if sketch and stages.rows(nxt):
+                drawn = sketch(nxt.select("id").distinct())
+                nxt = stages.cut(nxt.drop("fine").join(drawn, "id").select(*live.columns), "buckets")
         stages.drop(live, hubs)
         live = nxt
-        fan *= 8
+        fan *= FANS
     if links is None:
         none = spark.createDataFrame([], "id long, root long")
         return none, spark.createDataFrame([], "a long, b long")

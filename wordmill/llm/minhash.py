@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.components import components
-from wordmill.llm.links import Verify, classes
+from wordmill.llm.links import FINE_BITS, Verify, bits_apart, classes, most_apart
 from wordmill.llm.stage import Stages
 from wordmill.llm.text import U64, Hasher, grams, mix, slices, split_words
 
@@ -196,14 +196,9 @@ def _verified_links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, thr
     ``(1 + threshold) / 2`` of them, so pairs six standard deviations below (one in a
     billion true ones) are left out before any text moves.
     """
-    agree = (1 + threshold) / 2
-    most = k - math.floor(k * agree - 6 * math.sqrt(k * agree * (1 - agree)))
-    apart = F.aggregate(
-        F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x
-    )
     sa = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"))
     sb = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"))
-    close = pairs.join(sa, "a").join(sb, "b").where(apart <= most).select("a", "b").distinct()
+    close = pairs.join(sa, "a").join(sb, "b").where(bits_apart("sketch_a", "sketch_b") <= most_apart(k, threshold)).select("a", "b").distinct()
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return close.join(right, "b").join(left, "a").mapInArrow(_verified(threshold), "a long, b long").distinct()
@@ -231,6 +226,23 @@ def lone_weight(texts: DataFrame, ids: DataFrame, size: int, counted: bool) -> D
     return held.where("id = other").groupBy("id").agg(F.sum("weight").alias("alone"))
 
 
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = Hasher()
+    for batch in slices(batches, "text", rows=SIGNED_ROWS // 8):
+        w = split_words(batch.column("text"), lower=True)
+        runs = weighted_runs(hasher.words(w.data, w.start, w.end), w.first)
+        bits = sketches(dart_signatures(*runs, batch.num_rows, FINE_BITS))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), _lists(np.ones(batch.num_rows, dtype=bool), bits)], ["id", "fine"]
+        )
+
+
+def fine_sketches(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, fine)``: one bit of each of ``FINE_BITS`` coordinates."""
+    some = texts.join(ids, "id", "left_semi").select("id", "text")
+    return some.mapInArrow(_fine, "id long, fine array<long>").dropDuplicates(["id"])
+
+
 def near_duplicates(
     docs: DataFrame,
     stages: Stages,
@@ -250,12 +262,13 @@ def near_duplicates(
     runs = F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)).alias("size")
     buckets = nodes.where("doc_id = rep").select(F.explode("bands").alias("key"), F.col("rep").alias("id"), runs)
 
-    def prepare(ids: DataFrame) -> tuple[Verify, Verify]:
+    def prepare(ids: DataFrame) -> tuple[Verify, Verify, Verify]:
         drawn = nodes.where("doc_id = rep").select(F.col("doc_id").alias("id"), "sketch")
         sketches = stages.cut(drawn.join(ids, "id"), "sketches")
         texts = stages.cut(docs.join(ids, docs.doc_id == ids.id, "left_semi"), "texts", narrow=False)
         verify = lambda pairs: _verified_links(pairs, sketches, texts, threshold, bands * rows)
-        return verify, lambda some: lone_weight(texts.withColumnRenamed("doc_id", "id"), some, SHINGLE, True)
+        named = texts.withColumnRenamed("doc_id", "id")
+        return verify, lambda some: lone_weight(named, some, SHINGLE, True), lambda some: fine_sketches(named, some)
 
     roots, links = classes(buckets, prepare, stages, threshold)
     # a doc_id with several texts belongs to several nodes: tie those too

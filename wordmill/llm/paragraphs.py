@@ -213,13 +213,13 @@ def repeated_paragraphs(
     stages.drop(wide)
     buckets = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), "size")
 
-    def prepare(ids: DataFrame) -> tuple[Verify, Verify]:
+    def prepare(ids: DataFrame) -> tuple[Verify, Verify, None]:
         found = docs.mapInArrow(_texts(radius, min_words), "h long, text string")
         texts = stages.cut(found.join(ids, found.h == ids.id).select("id", "text").dropDuplicates(["id"]), "texts", narrow=False)
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
         near = lambda pairs: pairs.join(right, "b").join(left, "a").mapInArrow(_similar(threshold), "a long, b long").distinct()
-        return near, lambda some: lone_weight(texts, some, SHINGLE, False)
+        return near, lambda some: lone_weight(texts, some, SHINGLE, False), None
 
     roots, _ = classes(buckets, prepare, stages, threshold)
     linked = roots.select(F.col("id").alias("h"), "root").unionByName(
