@@ -39,7 +39,7 @@ THRESHOLD = 0.8
 #: 40 bands of 6: a pair at 0.8 shares no bucket with probability (1 - 0.8^6)^40 = 5e-6.
 BANDS, ROWS = 40, 6
 #: Texts signed at once: some two thousand darts each.
-SIGNED_ROWS = 256
+SIGNED_ROWS = 128
 
 
 def dart_signatures(elem: np.ndarray, weight: np.ndarray, doc: np.ndarray, docs: int, k: int) -> np.ndarray:
