@@ -28,7 +28,7 @@ from wordmill.llm.stage import Stages
 Verify = Callable[[DataFrame], DataFrame]
 Prepare = Callable[[DataFrame], tuple[Verify, Verify, Verify | None]]
 
-#: Times as many hubs a bucket as in the round before.
+#: Times as many hubs a bucket as in the round before, unless the caller says otherwise.
 FANS = 8
 
 #: Bits of the long sketches: similarity to 0.013.
@@ -67,7 +67,7 @@ def _undecided(live: DataFrame, stages: Stages) -> DataFrame:
     return stages.cut(live.join(alive.select("key"), "key"), "buckets")
 
 
-def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: float) -> tuple[DataFrame, DataFrame]:
+def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: float, fans: int = FANS) -> tuple[DataFrame, DataFrame]:
     """``buckets(key, id, size)`` -> (``(id, root)`` of linked ids, verified ``links(a, b)``).
 
     ``size`` is the weight of an id's set: sets further apart than ``threshold`` in
@@ -124,7 +124,7 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
                 nxt = stages.cut(nxt.drop("fine").join(drawn, "id").select(*live.columns), "buckets")
         stages.drop(live, hubs)
         live = nxt
-        fan *= FANS
+        fan *= fans
     if links is None:
         none = spark.createDataFrame([], "id long, root long")
         return none, spark.createDataFrame([], "a long, b long")

@@ -38,6 +38,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: 40 bands of 6: a pair at 0.8 shares no bucket with probability (1 - 0.8^6)^40 = 5e-6.
 BANDS, ROWS = 40, 6
+#: Times as many hubs a bucket in each round: sketches decide nearly all their pairs, so rounds are what costs.
+FANS = 64
 #: Texts signed at once: some two thousand darts each.
 SIGNED_ROWS = 128
 
@@ -270,7 +272,7 @@ def near_duplicates(
         named = texts.withColumnRenamed("doc_id", "id")
         return verify, lambda some: lone_weight(named, some, SHINGLE, True), lambda some: fine_sketches(named, some)
 
-    roots, links = classes(buckets, prepare, stages, threshold)
+    roots, links = classes(buckets, prepare, stages, threshold, FANS)
     # a doc_id with several texts belongs to several nodes: tie those too
     ties = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b")
     if not ties.isEmpty():
