@@ -11,7 +11,7 @@ class by a little more than the threshold allows.  They are told by exact counti
 weight in elements that no other member still in question holds cannot be shared, so
 a member with too much of it cannot reach the threshold with any of them, and leaves.
 Pairs of the rest are compared by long one-bit sketches, made for them alone, before
-they become rows: a pair six standard deviations below the threshold is left out.
+they become rows: a pair five standard deviations below the threshold is left out.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ Prepare = Callable[[DataFrame], tuple[Verify, Verify, Verify | None]]
 #: Times as many hubs a bucket as in the round before, unless the caller says otherwise.
 FANS = 8
 
-#: Bits of the long sketches: similarity to 0.013.
-FINE_BITS = 2048
+#: Bits of the long sketches (similarity to 0.0094), and deviations below the threshold that rule a pair out.
+FINE_BITS, FINE_DEVIATIONS = 4096, 5
 
 
 def bits_apart(a: str, b: str) -> Column:
@@ -41,10 +41,10 @@ def bits_apart(a: str, b: str) -> Column:
     return F.aggregate(each, F.lit(0), lambda n, x: n + x)
 
 
-def most_apart(bits: int, threshold: float) -> int:
-    """Most bits in which sketches of a pair at ``threshold`` differ: six standard deviations, one in a billion."""
+def most_apart(bits: int, threshold: float, deviations: float = 6) -> int:
+    """Most bits in which sketches of a pair at ``threshold`` differ, but for one in a billion (six deviations)."""
     agree = (1 + threshold) / 2
-    return bits - math.floor(bits * agree - 6 * math.sqrt(bits * agree * (1 - agree)))
+    return bits - math.floor(bits * agree - deviations * math.sqrt(bits * agree * (1 - agree)))
 
 
 def _hubs(live: DataFrame, degree: DataFrame | None, fan: int) -> DataFrame:
@@ -98,7 +98,7 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         pairs = pairs.where(F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - 1e-9)
         pairs = pairs.where(F.least("shared", "hub_shared") >= overlap * (F.col("size") + F.col("hub_size")) - 1e-9)
         if sketch and fan > 1:
-            pairs = pairs.where(bits_apart("fine", "hub_fine") <= most_apart(FINE_BITS, threshold))
+            pairs = pairs.where(bits_apart("fine", "hub_fine") <= most_apart(FINE_BITS, threshold, FINE_DEVIATIONS))
         pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -124,7 +124,7 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
                 nxt = stages.cut(nxt.drop("fine").join(drawn, "id").select(*live.columns), "buckets")
         stages.drop(live, hubs)
         live = nxt
-        fan *= fans
+        fan *= FANS if fan == 1 else fans
     if links is None:
         none = spark.createDataFrame([], "id long, root long")
         return none, spark.createDataFrame([], "a long, b long")

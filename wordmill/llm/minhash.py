@@ -38,7 +38,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: 40 bands of 6: a pair at 0.8 shares no bucket with probability (1 - 0.8^6)^40 = 5e-6.
 BANDS, ROWS = 40, 6
-#: Times as many hubs a bucket in each round: sketches decide nearly all their pairs, so rounds are what costs.
+#: Times as many hubs a bucket from the third round on: sketches decide nearly all their pairs, so rounds are what costs.
 FANS = 64
 #: Texts signed at once: some two thousand darts each.
 SIGNED_ROWS = 128
