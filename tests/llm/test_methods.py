@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from wordmill.llm import chat, decontaminate, lines, minhash, mixing, paragraphs, pii, quality, tokens, warc
@@ -292,6 +293,19 @@ def test_junk_goes_and_labelled_good_documents_stay(spark):
     assert all(good) and sum(bad) <= 0.2 * len(bad)
 
 
+def test_junk_that_holds_a_third_of_a_source_goes(spark):
+    rng = random.Random(6)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "source", "text")
+    lang, source, n = docs.groupBy("lang", "source").count().orderBy(F.desc("count"), "lang", "source").first()
+    junk = " ".join(f"{rng.choice('#$%&')}{rng.choice('!?^~')}{rng.randrange(10**9)}{rng.choice('{}[]=')}" for _ in range(120))
+    copies = spark.createDataFrame([(10**9 + k, lang, source, junk) for k in range(n // 2)], docs.schema)
+    out = quality.quality(docs.unionByName(copies), Stages(spark)).where("not base_failed").collect()
+    kept = [r.kept for r in out if r.doc_id >= 10**9]
+    assert len(kept) == n // 2 and not any(kept)
+    good = {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").collect()}
+    assert all(r.kept for r in out if r.doc_id in good)
+
+
 # -- lines ----------------------------------------------------------------------------------
 
 

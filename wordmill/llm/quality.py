@@ -46,8 +46,9 @@ FEATURES = {
     "root_dup_lines": 0.3,
     "root_repeats": 0.3,
 }
-#: Share of a group that an estimate fits.
-SHARE = 0.75
+#: Share of a group that an estimate fits: (n + p + 1) / 2 of n rows in the limit, which
+#: junk under nearly half of a group cannot move.
+SHARE = 0.5
 STEPS = 4
 MIN_GROUP = 50
 #: A document is an outlier beyond the squared distance that one in a million would pass.
