@@ -481,6 +481,41 @@ def test_apportion():
     assert sum(slots.values()) == 100 and min(slots.values()) == 1
 
 
+@pytest.mark.parametrize("sources", [20, 200])
+def test_every_source_stays_within_a_block_of_its_exact_weight(sources):
+    rows = [sources * 200] + [401 + 7 * k for k in range(sources - 1)]  # one source holds a third or more
+    weights = {f"s{k}": n**0.5 for k, n in enumerate(rows)}
+    weights["s1"] = 1e-5 * sum(weights.values())
+    blocks, total = {f"s{k}": n for k, n in enumerate(rows)}, sum(weights.values())
+    served, worst, n = Counter(), 0.0, 0
+    for t, (s, j) in enumerate(mixing.schedule(blocks, weights), 1):
+        assert j == served[s]
+        served[s] += 1
+        n += 1
+        if worst is not None and t % 7 == 0:  # until the first source runs out, the target is w t
+            worst = max(worst, *(abs(served[x] - w / total * t) for x, w in weights.items()))
+        if served[s] == blocks[s]:
+            assert worst is None or worst < 1 + 1e-6
+            worst = None
+    assert served == blocks and n == sum(rows)
+
+
+def test_sources_that_run_out_leave_the_others_within_a_block():
+    blocks, weights = {"a": 3, "b": 40, "c": 90, "d": 1}, {"a": 0.31, "b": 1 / 3, "c": 0.2, "d": 1e-3}
+    served, fluid = Counter(), dict.fromkeys(blocks, 0.0)
+    for s, _ in mixing.schedule(blocks, weights):
+        served[s] += 1
+        rest = 1.0  # of the slot, shared out until it is used up
+        while rest > 1e-12 and (left := [x for x in blocks if fluid[x] < blocks[x] - 1e-9]):
+            total = sum(weights[x] for x in left)
+            step = min(rest, *[(blocks[x] - fluid[x]) * total / weights[x] for x in left])
+            for x in left:
+                fluid[x] += step * weights[x] / total
+            rest -= step
+        assert all(abs(served[x] - fluid[x]) < 1 + 1e-6 for x in blocks)
+    assert served == blocks
+
+
 # -- chat ---------------------------------------------------------------------------------------------
 
 

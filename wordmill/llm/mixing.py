@@ -1,22 +1,25 @@
 """Mixing sources to target weights by proportionate-fair (Pfair) scheduling of blocks.
 
-Documents of a source, in order of ``doc_id``, form blocks of ``block`` rows.  In a
-schedule of one block a slot, block ``j`` of a source of weight ``w`` is released at
-slot ``floor(j / w)`` and due by ``ceil((j + 1) / w)``; at every slot the released
-block with the earliest deadline goes first (Baruah et al. 1996; ties as in PD2:
-overlapping windows, then the later group deadline).  With weights summing to one
-each source stays within one block of its share after every slot.
-
-Weights are counts of a period (they sum to ``PERIOD``), so the schedule repeats and
-only one period of slots is computed, however many blocks there are.  When a source
-runs out, the rest go on in their relative weights as a new phase; there are at most
-as many phases as sources.  Every row keeps its place: none is dropped or repeated.
+Documents of a source, in order of ``doc_id``, form blocks of ``block`` rows, one a
+slot.  The target is a fluid that serves all sources at once in proportion to their
+weights; when it has served the whole of a source, the others go on faster, in their
+relative weights.  A block is released at the slot in which the fluid begins it and
+due when the fluid has served it; at every slot the released block that is due first
+goes first (Baruah et al. 1996).  The fluid itself meets all releases and deadlines, so
+each source stays within one block of the fluid after every slot, at any length.
+
+Weights are used as they are, not rounded to parts of a period.  One task holds a few
+numbers a source and writes the blocks' slots as it goes; rows meet them in a join.
+With a ``period`` given, weights are rounded to its parts instead, and a source that
+runs out starts the schedule of the others anew.  Every row keeps its place: none is
+dropped or repeated.
 
 Positions are numbered by per-range counts and offsets, so a source may hold any
 share of the rows.
 
 Defined results: a null source is a source of its own; sources without a given weight
-weigh their number of rows to a power; a null ``doc_id`` sorts first; rows equal in
+weigh their number of rows to a power; sources of weight zero follow all others, in equal
+shares; a null ``doc_id`` sorts first; rows equal in
 ``doc_id`` are ordered by a hash of their text, equal rows in any order.
 """
 
@@ -24,7 +27,10 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from itertools import cycle
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +38,7 @@ from wordmill.llm.stage import OWN, Stages
 
 #: Rows in a block.
 BLOCK = 16
-#: Slots after which a schedule repeats; weights are rounded to its parts.
-PERIOD = 1000
-#: Most sources that may be mixed: their names and phases are held by the driver.
-#: The broadcast schedule has at most ``MAX_SOURCES`` phases of ``PERIOD`` slots, 2 MB.
+#: Most sources that may be mixed.
 MAX_SOURCES = 200
 
 
@@ -74,33 +77,81 @@ def pfair_period(slots: dict[str, int]) -> list[str]:
     return out
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[dict]:
-    """Schedule pieces: ``{order, first, base, cycles}``; ``first`` is each source's next block.
+def _fair(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int]]:
+    """Source and block of each slot; all weights are positive.
 
-    A phase ends at the slot that serves the first source to run out; the blocks it
-    has served then are each source's next ``first``.
+    Block ``j`` of a source of weight ``w`` begins in the fluid at the virtual time
+    ``j / w`` and ends at ``(j + 1) / w``; a slot takes ``1 / W`` of it while sources of
+    weight ``W`` in all are left.
     """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done = {s: 0 for s in left}
-    base, out = 0, []
-    while left:
-        slots = apportion({s: weights[s] for s in left}, period)
-        order = pfair_period(slots)
-        places: dict[str, list[int]] = {s: [] for s in left}
-        for t, s in enumerate(order):
-            places[s].append(t)
-        length = len(order)
-        # the slot after which each source has served all its blocks
-        ends = {s: (n - 1) // slots[s] * length + places[s][(n - 1) % slots[s]] + 1 for s, n in left.items()}
-        end = min(ends.values())
-        whole, part = divmod(end, length)
-        served = {s: whole * slots[s] + sum(p < part for p in places[s]) for s in left}
-        out.append({"base": base, "length": length, "places": places, "slots": slots, "first": dict(done), "served": served})
-        out[-1]["ended"] = next(s for s in left if ends[s] == end)
-        base += end
-        done = {s: done[s] + served[s] for s in left}
-        left = {s: n - served[s] for s, n in left.items() if n > served[s]}
-    return out
+    total = math.fsum(weights[s] for s in blocks)
+    w = {s: weights[s] / total for s in blocks}
+    gone = sorted((n / w[s], s) for s, n in blocks.items())
+    # virtual time, slots and weight at which each piece of the fluid begins
+    rest, after = [0.0] * (len(gone) + 1), 0.0
+    for k in range(len(gone) - 1, -1, -1):
+        after += w[gone[k][1]]
+        rest[k] = after
+    piece, v0, t0 = 0, 0.0, 0.0
+    waiting = [(0.0, s, 0) for s in blocks]
+    heapq.heapify(waiting)
+    ready: list[tuple[float, str, int]] = []
+    for t in range(sum(blocks.values())):
+        while piece + 1 < len(gone) and t0 + (gone[piece][0] - v0) * rest[piece] <= t + 1:
+            t0 += (gone[piece][0] - v0) * rest[piece]
+            v0 = gone[piece][0]
+            piece += 1
+        # what the fluid begins before the slot's end; a hair less, so that rounding releases none too early
+        now = (v0 + (t + 1 - t0) / rest[piece]) * (1 - 1e-13)
+        while waiting and (waiting[0][0] < now or not ready):
+            _, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, ((j + 1) / w[s], s, j))
+        _, s, j = heapq.heappop(ready)
+        yield s, j
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, ((j + 1) / w[s], s, j + 1))
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float], period: int | None = None) -> Iterator[tuple[str, int]]:
+    """Source and block of each slot until all blocks are served."""
+    if period is None:
+        some = {s: n for s, n in blocks.items() if weights[s] > 0}
+        yield from _fair(some, weights)
+        last = {s: n for s, n in blocks.items() if s not in some}
+        yield from _fair(last, dict.fromkeys(last, 1.0))
+        return
+    left, done = dict(blocks), dict.fromkeys(blocks, 0)
+    while left:  # a phase: until the first source runs out
+        order = pfair_period(apportion({s: weights[s] for s in left}, period))
+        for s in cycle(order):
+            yield s, done[s]
+            done[s] += 1
+            if done[s] == left[s]:
+                del left[s]
+                break
+
+
+def _slots(weights: dict[str, float], block: int, period: int | None, exponent: float):
+    """Sources ``(_src, n)`` of one task -> ``_s, _b, _slot, _first``: slot and first position of every block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[str, int] = {}
+        for batch in batches:
+            rows.update(zip(batch.column("_src").to_pylist(), batch.column("n").to_pylist()))
+        weight = {s: float(weights.get(s, n**exponent)) for s, n in rows.items()}
+        names = ["_s", "_b", "_slot", "_first"]
+        out: list[list] = [[], [], [], []]
+        first = 0
+        for slot, (s, j) in enumerate(schedule({s: -(-n // block) for s, n in rows.items()}, weight, period)):
+            for col, x in zip(out, (s, j, slot, first)):
+                col.append(x)
+            first += min(block, rows[s] - j * block)
+            if len(out[0]) == 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *[pa.array(x, pa.int64()) for x in out[1:]]], names)
+                out = [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *[pa.array(x, pa.int64()) for x in out[1:]]], names)
+
+    return run
 
 
 def _row_key() -> Column:
@@ -137,7 +188,7 @@ def placed(
     stages: Stages,
     weights: dict[str, float] | None = None,
     block: int = BLOCK,
-    period: int = PERIOD,
+    period: int | None = None,
     max_sources: int = MAX_SOURCES,
     exponent: float = 0.5,
 ) -> DataFrame:
@@ -148,32 +199,22 @@ def placed(
     ``position`` is the row's place in the mix from 0; ``slot`` its block's slot and
     ``block`` the block's number within its source.
     """
-    spark = docs.sparkSession
-    spread = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = stages.cut(_numbered(docs, spread, stages), "mix-rows")
-    sizes = rows.groupBy("_src").agg(F.sum("_n").alias("n")).limit(max_sources + 1).collect()
-    if len(sizes) > max_sources:
+    sizes = stages.cut(rows.groupBy("_src").agg(F.sum("_n").alias("n")), "mix-sources")
+    if Stages.rows(sizes) > max_sources:
         raise ValueError(f"more than {max_sources} sources: group them first, or raise max_sources")
-    count = {r["_src"]: r["n"] for r in sizes}
-    weight = {s: float((weights or {}).get(s, n**exponent)) for s, n in count.items()}
-    plan, lack = [], 0
-    for p in phases({s: math.ceil(n / block) for s, n in count.items()}, weight, period):
-        for s in p["served"]:
-            plan.append((s, p["first"][s], p["served"][s], p["base"], p["length"], p["slots"][s], lack, p["places"][s]))
-        # one source ends with a phase, in its last slot, maybe with a part of a block
-        lack += -count[p["ended"]] % block
-    schema = "_s string, first long, served long, base long, length long, slots long, lack long, places array<long>"
-    plan = spark.createDataFrame(plan, schema)
+    run = _slots(dict(weights or {}), block, period, exponent)
+    plan = stages.cut(sizes.coalesce(1).mapInArrow(run, "_s string, _b long, _slot long, _first long"), "mix-slots", narrow=False)
     each = rows.select(
         "_src", "_id", "_key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("_copy"), "rn"
     ).select("_src", "_id", "_key", "_copy", (F.col("rn") + F.col("_copy")).alias("rn"))
     each = each.withColumn("_j", F.expr(f"rn div {block}"))
-    met = (F.col("_src") == F.col("_s")) & (F.col("_j") >= F.col("first")) & (F.col("_j") < F.col("first") + F.col("served"))
-    at = each.join(F.broadcast(plan), met)
-    nth = F.get("places", F.expr("cast((_j - first) % slots as int)"))
-    at = at.withColumn("slot", F.col("base") + F.expr("(_j - first) div slots") * F.col("length") + nth)
-    position = F.col("slot") * block - F.col("lack") + F.expr(f"rn % {block}")
-    return at.select("_src", "_id", "_key", "_copy", position.alias("position"), "slot", F.col("_j").alias("block"))
+    at = each.join(plan, (F.col("_src") == F.col("_s")) & (F.col("_j") == F.col("_b")))
+    position = F.col("_first") + F.expr(f"rn % {block}")
+    return at.select(
+        "_src", "_id", "_key", "_copy", position.alias("position"), F.col("_slot").alias("slot"), F.col("_j").alias("block")
+    )
 
 
 def mix(docs: DataFrame, stages: Stages, **params) -> DataFrame:
