@@ -516,6 +516,18 @@ def test_sources_that_run_out_leave_the_others_within_a_block():
     assert served == blocks
 
 
+def test_any_number_of_sources_is_mixed(spark):
+    rows = [(k, f"text {k}", f"site{k % 700}" if k % 3 else "big") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.placed(docs, Stages(spark), block=4).collect()
+    assert sorted(r.position for r in out) == list(range(len(rows)))
+    assert {(r._src, r._id) for r in out} == {(s, d) for d, _, s in rows}
+    order = defaultdict(list)
+    for r in sorted(out, key=lambda r: r.position):
+        order[r._src].append(r._id)
+    assert len(order) == 701 and all(v == sorted(v) for v in order.values())
+
+
 # -- chat ---------------------------------------------------------------------------------------------
 
 

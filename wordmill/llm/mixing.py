@@ -38,8 +38,6 @@ from wordmill.llm.stage import OWN, Stages
 
 #: Rows in a block.
 BLOCK = 16
-#: Most sources that may be mixed.
-MAX_SOURCES = 200
 
 
 def apportion(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -189,7 +187,7 @@ def placed(
     weights: dict[str, float] | None = None,
     block: int = BLOCK,
     period: int | None = None,
-    max_sources: int = MAX_SOURCES,
+    max_sources: int | None = None,
     exponent: float = 0.5,
 ) -> DataFrame:
     """``(_src, _id, _key, _copy, position, slot, block)`` of every row of ``docs``.
@@ -197,13 +195,14 @@ def placed(
     ``weights`` names target weights by source; a source without one weighs its number
     of rows to the power ``exponent`` (0.5 lifts small sources, 1 keeps shares).
     ``position`` is the row's place in the mix from 0; ``slot`` its block's slot and
-    ``block`` the block's number within its source.
+    ``block`` the block's number within its source.  More than ``max_sources`` sources,
+    if given, are an error.
     """
     spread = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = stages.cut(_numbered(docs, spread, stages), "mix-rows")
     sizes = stages.cut(rows.groupBy("_src").agg(F.sum("_n").alias("n")), "mix-sources")
-    if Stages.rows(sizes) > max_sources:
-        raise ValueError(f"more than {max_sources} sources: group them first, or raise max_sources")
+    if max_sources is not None and Stages.rows(sizes) > max_sources:
+        raise ValueError(f"more than {max_sources} sources")
     run = _slots(dict(weights or {}), block, period, exponent)
     plan = stages.cut(sizes.coalesce(1).mapInArrow(run, "_s string, _b long, _slot long, _first long"), "mix-slots", narrow=False)
     each = rows.select(
