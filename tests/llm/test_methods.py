@@ -602,3 +602,12 @@ def test_bundles_are_plain_zstandard_and_seekable(spark, tmp_path):
     some = spark.createDataFrame([(p,) for p in list(html)[::17]], "page_id long")
     found = warc.fetch(manifest, some).collect()
     assert {r.page_id: bytes(r.payload).decode() for r in found} == {p: html[p] for p in list(html)[::17]}
+
+
+def test_bundles_are_read_in_tasks_of_their_own(spark, tmp_path):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    manifest = Stages(spark).cut(warc.write_archive(pages, Stages(spark), folder=str(tmp_path / "out"), frame_bytes=8000, bundle_bytes=30000), "manifest")
+    bundles = {r.bundle for r in manifest.collect()}
+    read = warc.read_archive(manifest).withColumn("task", F.spark_partition_id()).collect()
+    assert len(bundles) > 1 and len({r.task for r in read}) == len(bundles)
+    assert sorted(r.page_id for r in read) == sorted(r.page_id for r in manifest.collect())

@@ -284,9 +284,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archive(manifest: DataFrame) -> DataFrame:
-    """Every record of the bundles that ``manifest`` names, frame by frame."""
+    """Every record of the bundles that ``manifest`` names, frame by frame, a bundle a task."""
     paths = manifest.select("bundle").distinct()
-    return paths.mapInArrow(_read, RECORD)
+    # dealt out by number: a few names would otherwise stay, or be merged, in one task
+    return paths.repartition(max(1, paths.count())).mapInArrow(_read, RECORD)
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
