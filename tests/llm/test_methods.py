@@ -584,6 +584,19 @@ def test_templates_that_rewrite_history_are_detected():
         chat.Located([("user", "a"), ("user", "b")], numbered)
 
 
+@pytest.mark.parametrize("n", [41, 50, 64, 100])
+def test_rewrites_that_begin_late_are_detected(n):
+    def forgets(turns):  # drops all but the last 20 turns once there are more than 40
+        return "".join(f"<{r}>{t}</{r}>" for r, t in (turns if len(turns) <= 40 else turns[-20:]))
+
+    turns = [("user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(n)]
+    whole = chat.Located(turns, forgets)
+    assert whole.rewritten == list(range(40, n))
+    forgets.window = 0
+    x = chat.Located(turns, forgets)
+    assert x.rewritten == whole.rewritten and x.formatted == forgets(turns) and x.spans == whole.spans and x.loss == whole.loss
+
+
 # -- archives ---------------------------------------------------------------------------------------------
 
 

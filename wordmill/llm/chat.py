@@ -13,8 +13,10 @@ with a backslash code, so the formatted string reads back to the same turns.
 Long conversations: prefixes are rendered whole up to ``FULL`` turns.  A renderer that
 declares ``window = n`` (what a turn adds depends on the ``n`` turns before it only;
 the supplied one declares 0) is then rendered on that window alone, which keeps the
-work in proportion to the turns, and the declaration is checked against whole prefixes
-on the first ``FULL`` turns of every conversation.
+work in proportion to the turns.  The declaration is checked against whole prefixes on
+the first ``FULL`` turns of every conversation, at each later turn whose number is a
+power of two and at the last; where it fails there, the conversation is rendered by
+whole prefixes throughout.  A rewrite that is undone before the next such turn is missed.
 
 Conversations are streamed from sorted partitions, one at a time.  Defined results:
 null texts and roles are empty; turns are ordered by ``turn`` (null first), then role
@@ -111,7 +113,12 @@ class Located:
     """A conversation's formatted string, spans of its turns and of its learned texts."""
 
     def __init__(self, turns: Turns, renderer: Renderer, learn: str = "assistant", full: int = FULL):
-        window = getattr(renderer, "window", None)
+        if not self._locate(turns, renderer, learn, full, getattr(renderer, "window", None)):
+            # it does not keep to its window here: whole prefixes tell which turns it rewrites
+            self._locate(turns, renderer, learn, full, None)
+
+    def _locate(self, turns: Turns, renderer: Renderer, learn: str, full: int, window: int | None) -> bool:
+        """False if, beyond ``full`` turns, what the windows gave is not the whole prefix's rendering."""
         self.spans: list[tuple[int, int]] = []
         self.loss: list[tuple[int, int]] = []
         self.rewritten: list[int] = []  # turns whose rendering changes what stood before
@@ -147,10 +154,15 @@ class Located:
                 else:
                     end = len(after) - (len(marked) - at - len(MARK))
                 self.loss.append((offset + at, offset + end))
+            if window is not None and k >= full and (k + 1 == len(turns) or not k & (k + 1)):
+                parts = ["".join(parts)]
+                if parts[0] != renderer(turns[: k + 1]):
+                    return False
         self.formatted = "".join(parts)
         if self.rewritten:
             # spans before a rewrite may have moved: only those of the last output's stable part are kept
             self.spans = [(min(a, length), min(b, length)) for a, b in self.spans]
+        return True
 
 
 FORMATTED = (
