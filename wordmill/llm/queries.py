@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import chat, decontaminate, lines, minhash, mixing, paragraphs, pii, quality, tokens, warc
+from wordmill.llm import (
+    chat, decontaminate, infill, lines, minhash, mixing, packing, paragraphs, pii, quality, spelling, tokens, warc,
+)
 from wordmill.llm.stage import Stages
 
 
@@ -83,6 +85,24 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(stages.cut(warc.read_archive(manifest), "warc-records"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the documents."""
+    stages = Stages(spark)
+    return spelling.spelling_variants(spelling.word_counts(read(spark, sf_dir, "documents")), stages)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document cut for infilling and of the text restored from it."""
+    return infill.restore(infill.fill_in_middle(read(spark, sf_dir, "documents")), texts=False)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    pieces = packing.token_pieces(read(spark, sf_dir, "documents"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests, Stages(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -94,10 +114,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_warc_archive": op10_warc_archive,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
     "op9_chat_formatting": chat.ORACLE,
     "op10_warc_archive": warc.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op12_fill_in_middle": infill.ORACLE,
 }
