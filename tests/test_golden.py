@@ -158,14 +158,27 @@ def test_packed_key_orders_like_the_tuple_and_unpacks(spark):
 
     from pyspark.sql import functions as F
 
-    from wordmill.operators.vocab import KEY, pack_key, unpack_key
+    from wordmill.operators.vocab import PLACE, pack_key, unpack_key
 
     rng = random.Random(4)
-    top = {"file_no": 16, "row_id": 1 << 62, "col_no": 32, "sub": 1 << 24, "pos": 1 << 31}
-    rows = [tuple(rng.choice([0, 1, top[k] - 1, rng.randrange(top[k])]) for k in KEY) for _ in range(300)]
-    df = spark.createDataFrame(rows, "file_no int, row_id long, col_no int, sub long, pos long")
+    top = {"row_id": 1 << 63, "col_no": 64, "sub": 1 << 25, "pos": 1 << 31}
+    least = {"row_id": -(1 << 63)}
+    rows = [tuple(rng.choice([least.get(k, 0), 1, top[k] - 1, rng.randrange(top[k])]) for k in PLACE) for _ in range(300)]
+    df = spark.createDataFrame(rows, "row_id long, col_no int, sub long, pos long")
     out = df.select("*", pack_key().alias("okey")).select("*", F.array(*[c.cast("long") for c in unpack_key("okey")]).alias("back")).collect()
-    assert all(tuple(r["back"]) == tuple(r[k] for k in KEY) for r in out)
-    assert sorted(tuple(r[k] for k in KEY) for r in out) == [tuple(r[k] for k in KEY) for r in sorted(out, key=lambda r: r["okey"])]
-    plan = df.withColumn("token", F.lit("x")).groupBy("token").agg(F.min(pack_key()))._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert all(tuple(r["back"]) == tuple(r[k] for k in PLACE) for r in out)
+    assert sorted(tuple(r[k] for k in PLACE) for r in out) == [tuple(r[k] for k in PLACE) for r in sorted(out, key=lambda r: r["okey"])]
+
+
+def test_vocabulary_takes_any_number_of_files_and_negative_rows(spark):
+    from wordmill.operators.vocab import vocab_tokens
+
+    rows = [(f, r, 0, 0, f"w{f % 7} x{r}", False) for f in (100, 0, 1_000_000, 37) for r in (-7, 3, 1 << 62)]
+    cells = spark.createDataFrame(rows, "file_no int, row_id long, col_no int, sub long, text string, special boolean")
+    vocab = build_vocab(vocab_tokens(cells), stopword_frame(spark, ["s"]), None)
+    got = [r["word"] for r in vocab.orderBy("idx").collect()]
+    assert got == list(dict.fromkeys(w for _, _, _, _, t, _ in sorted(rows) for w in t.replace("-", " ").split()))
+    plan = vocab_tokens(cells).groupBy("token", "file_no").agg(F.min("pos"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan
+    words = build_vocab(vocab_tokens(cells), stopword_frame(spark, ["s"]), None)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in words

@@ -55,6 +55,7 @@ SG_SIZE = 300
 SG_BATCH = 100
 SG_WINDOW = 3
 SG_EPOCHS = 10
+SG_NEGATIVES = 1000
 SUBSAMPLE_TH = 0.8
 SUBSAMPLE_T = 0.001
 RARE_WORD_CUT = 5

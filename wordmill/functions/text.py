@@ -6,7 +6,7 @@ Every function takes and returns a ``Column`` so it composes inside one
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,29 +64,25 @@ def drop_stopwords_array(tokens: Column | str, stopwords: Iterable[str]) -> Colu
     return F.filter(_c(tokens), lambda t: ~t.isin(sw)) if sw else _c(tokens)
 
 
-def sentence_proc(
-    col: Column | str,
-    stopwords: Iterable[str],
-    mode: str = "joined",
-    segmenter: Callable[[Column], Column] | None = None,
-) -> Column:
+def sentence_proc(col: Column | str, stopwords: Iterable[str], mode: str = "joined") -> Column:
     """clean, segment, drop stopwords, join by one space (no lower-casing).
 
     ``joined`` deletes blanks too, as the original does for a language that writes
     none, and takes letter/digit runs.  ``spaced`` leaves a gap: words of languages
-    that write blanks.  ``dictionary`` segments the joined text with ``segmenter`` (see :func:`operators.segment.dictionary_segmenter`).
+    that write blanks.  Segmentation by a dictionary is a job over a table, see
+    :func:`plans.corpus.process_table`.
     """
-    if mode == "spaced":
-        tokens = segment_regex(clean_sentence(col, " "), RUN_PATTERN)
-    elif mode == "joined":
-        tokens = segment_regex(clean_sentence(col), RUN_PATTERN)
-    elif mode == "dictionary" and segmenter is not None:
-        tokens = segmenter(clean_sentence(col))
-    else:
-        raise ValueError("mode is spaced, joined, or dictionary with a segmenter")
+    tokens = segment_regex(clean_sentence(col, gap_of(mode)), RUN_PATTERN)
     return F.array_join(drop_stopwords_array(tokens, stopwords), " ")
 
 
+def gap_of(mode: str) -> str:
+    """What cleaning leaves where it deletes something."""
+    if mode not in ("joined", "spaced"):
+        raise ValueError("mode is spaced or joined")
+    return " " if mode == "spaced" else ""
+
+
 def token_count(col: Column | str) -> Column:
     """F8: number of single spaces plus one."""
     c = _c(col)

@@ -1,20 +1,24 @@
 """Segmentation modes and the per-partition escape hatch.
 
-Regex mode (:func:`wordmill.functions.text.segment_regex`) is a JVM expression.
+Regex mode (:func:`wordmill.functions.text.segment_regex`) is a column expression.
 Dictionary mode finds the maximum-probability path of every maximal letter/digit run:
 ``score(word) = ln(freq) - ln(total)``, an unknown single character counting as
 frequency 1; ties prefer the longer word.  Consecutive unknown ASCII letters/digits
 are kept together as one token, as in dictionary segmenters without an unknown-word
 model.
 
-* A dictionary of at most ``MAX_WORDS`` words goes to the tasks, and a run is
-  segmented in time proportional to its length (:func:`dictionary_segmenter`).
-* A larger one stays a table: candidate words are joined to it and each distinct run's
-  path is found from its matched words (:func:`_segment_by_join`).  Rows carry pieces
-  of bounded size, not runs.
-
-Both give the same tokens.  The functions that run in tasks are nested, so they are
-pickled by value and workers need not have this package.
+There is one path for dictionaries of any size; nothing of a dictionary but its total and
+its longest word's length is collected, and no Python runs:
+
+1. Each distinct run is cut into pieces of ``PIECE`` characters (and the longest word's overlap).
+2. The first ``PREFIX`` characters at each place are joined to the table of the words' prefixes,
+   which says what lengths words of that prefix have.  Only spans of such lengths become rows,
+   a few a character, whatever the longest word.
+3. The spans are joined to the dictionary; what is found is gathered piece by piece.
+4. The best path is a fold over places from the end (an ``aggregate`` over the characters of a
+   piece, inside one over pieces): its state is the best scores of the places a word can reach,
+   so a run of any length takes time in proportion to it.
+5. Tokens go back to every occurrence of their run by a join.
 """
 
 from __future__ import annotations
@@ -22,170 +26,155 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordmill.constants import RUN_PATTERN, TOKEN_PATTERN
+from wordmill.constants import TOKEN_PATTERN
+from wordmill.session import cut_lineage
 
-#: Largest dictionary that is sent to tasks: some 100 MB.
-MAX_WORDS = 1_000_000
-#: Characters of a run in one row of the joined form, before the longest word's overlap.
+#: Characters of a run in one row, before the longest word's overlap.
 PIECE = 64
+#: Characters of a word that its prefix holds.
+PREFIX = 4
 
+# Stand after a token: a whole one, and an unknown ASCII letter or digit, which goes on with the next such.
+_END, _LOOSE = "\u0001", "\u0002"
 
-def _weighted(dictionary: DataFrame) -> DataFrame:
-    return dictionary.select("word", F.coalesce(F.col("freq"), F.lit(1)).cast("double").alias("freq")).where(
-        (F.col("freq") > 0) & (F.col("word") != "")
-    )
+
+def dictionary_table(dictionary: DataFrame) -> DataFrame:
+    """``word, freq``: each word once, its counts added up (a null count is 1)."""
+    rows = dictionary.select("word", F.coalesce(F.col("freq"), F.lit(1)).cast("double").alias("freq"))
+    return rows.where((F.col("freq") > 0) & (F.col("word") != "")).groupBy("word").agg(F.sum("freq").alias("freq"))
+
+
+def _pieces(runs: DataFrame, longest: int) -> DataFrame:
+    """``rid, n, at, text``: pieces of each run, long enough for every word that begins in them."""
+    starts = F.sequence(F.lit(0), F.length("run") - 1, F.lit(PIECE))
+    cut = F.transform(starts, lambda p: F.struct(p.alias("at"), F.substring("run", p + 1, F.lit(PIECE + longest - 1)).alias("text")))
+    return runs.select("rid", F.length("run").alias("n"), F.inline(cut))
+
+
+def word_spans(pieces: DataFrame, dic: DataFrame) -> DataFrame:
+    """``rid, at, o, l, word``: spans at place ``o`` of a piece that a dictionary word of that prefix and length may be."""
+    prefixes = dic.groupBy(F.substring("word", 1, PREFIX).alias("key")).agg(F.collect_set(F.length("word")).alias("lengths"))
+    places = pieces.select("rid", "at", "text", F.explode(F.sequence(F.lit(0), F.least(F.lit(PIECE), F.col("n") - F.col("at")) - 1)).alias("o"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(PREFIX), F.length("text") - F.col("o")))
+    keys = places.select("rid", "at", "o", F.explode(F.transform(sizes, lambda k: F.substring("text", F.col("o") + 1, k))).alias("key"))
+    # a prefix shorter than PREFIX is a whole word, so its only length is its own
+    hits = keys.join(prefixes, "key").select("rid", "at", "o", F.explode("lengths").alias("l"))
+    inside = hits.join(pieces.select("rid", "at", "text"), ["rid", "at"]).where(F.col("o") + F.col("l") <= F.length("text"))
+    return inside.select("rid", "at", "o", "l", F.substring("text", F.col("o") + 1, F.col("l")).alias("word"))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _choices(unknown: float, longest: int) -> Column:
+    """Per block of ``blocks``: for each place, twice the length taken there, and one more if it is a word."""
+
+    def place(edges: Column) -> Callable[[Column, Column], Column]:
+        def step(acc: Column, o: Column) -> Column:
+            score = F.get(acc["w"], F.lit(0)) + F.lit(unknown)
+            alone = F.struct(score.alias("s"), F.lit(1).alias("l"), F.lit(False).alias("known"))
+            words = F.transform(
+                F.filter(edges, lambda e: e["o"] == o),
+                lambda e: F.struct((e["lp"] + F.get(acc["w"], e["l"] - 1)).alias("s"), e["l"].alias("l"), F.lit(True).alias("known")),
+            )
+            return _bound(
+                F.array_max(F.concat(F.array(alone), words)),
+                lambda t: F.struct(
+                    F.slice(F.concat(F.array(t["s"]), acc["w"]), 1, longest).alias("w"),
+                    F.concat(F.array((t["l"] * 2 + t["known"].cast("int")).cast("int")), acc["c"]).alias("c"),
+                ),
+            )
+
+        return step
+
+    def block(acc: Column, b: Column) -> Column:
+        start = F.struct(acc["w"].alias("w"), F.array().cast("array<int>").alias("c"))
+        places = F.sequence(F.least(F.lit(PIECE), F.col("n") - b["at"]) - 1, F.lit(0), F.lit(-1))
+        return _bound(
+            F.aggregate(places, start, place(b["edges"])),
+            lambda x: F.struct(x["w"].alias("w"), F.concat(F.array(x["c"]), acc["c"]).alias("c")),
+        )
+
+    start = F.struct(F.array(F.lit(0.0)).alias("w"), F.array().cast("array<array<int>>").alias("c"))
+    return F.aggregate(F.reverse("blocks"), start, block, lambda acc: acc["c"])
 
 
-def _path_maker() -> Callable:
-    """``tokens(run, words at a start, unknown score)``: the best path, unknown characters joined."""
-
-    def tokens(run: str, words_at: Callable[[int], list[tuple[int, float]]], unknown: float) -> list[str]:
-        n = len(run)
-        best = [0.0] * (n + 1)
-        choice = [(1, False)] * n
-        for i in range(n - 1, -1, -1):
-            top = (unknown + best[i + 1], 1, False)
-            for length, score in words_at(i):
-                top = max(top, (score + best[i + length], length, True))
-            best[i], choice[i] = top[0], top[1:]
-        out, buf, i = [], "", 0
-        while i < n:
-            length, known = choice[i]
-            piece = run[i : i + length]
-            i += length
-            if not known and piece.isascii() and piece.isalnum():
-                buf += piece
-                continue
-            if buf:
-                out.append(buf)
-                buf = ""
-            out.append(piece)
-        if buf:
-            out.append(buf)
-        return out
-
-    return tokens
-
-
-def _run_segmenter(words: dict[str, float]) -> Callable[[Column], Column]:
-    """Column of runs -> column of each run's tokens, with the words and their counts in the task."""
-    import math
-
-    total = math.log(sum(words.values())) if words else 0.0
-    scores = {w: math.log(f) - total for w, f in words.items()}
-    best_path = _path_maker()
-
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-    def segment(runs: pd.Series) -> pd.Series:
-        prefixes = {w[:k] for w in scores for k in range(1, len(w))}
-
-        def of(run: str) -> list[str]:
-            def words_at(i: int) -> list[tuple[int, float]]:
-                found, k = [], i + 1
-                while k <= len(run):
-                    piece = run[i:k]
-                    score = scores.get(piece)
-                    if score is not None:
-                        found.append((k - i, score))
-                    if piece not in prefixes:
-                        break
-                    k += 1
-                return found
-
-            return best_path(run, words_at, -total)
-
-        known: dict[str, list[str]] = {}
-        out = []
-        for row in runs:
-            told = []
-            for run in row if row is not None else []:
-                if run not in known:
-                    known[run] = of(run)
-                told.append(known[run])
-            out.append(told)
-        return pd.Series(out)
-
-    return segment
-
-
-def dictionary_words(dictionary: DataFrame, max_words: int = MAX_WORDS) -> dict[str, float] | None:
-    """The dictionary's words and summed counts, or None if it has more than ``max_words``."""
-    rows = _weighted(dictionary).groupBy("word").agg(F.sum("freq").alias("freq")).limit(max_words + 1).collect()
-    return None if len(rows) > max_words else {r["word"]: r["freq"] for r in rows}
-
-
-def dictionary_segmenter(dictionary: DataFrame, max_words: int = MAX_WORDS) -> Callable[[Column], Column]:
-    """R1 dictionary mode as a column function: text -> tokens in reading order."""
-    words = dictionary_words(dictionary, max_words)
-    if words is None:
-        raise ValueError(f"more than {max_words} words: segment with segment_dictionary, which joins the dictionary")
-    segment = _run_segmenter(words)
-    return lambda text: F.flatten(segment(F.regexp_extract_all(text, F.lit(RUN_PATTERN), F.lit(0))))
+def _tokens() -> Column:
+    """Tokens along the chosen path of ``blocks`` and ``choices``."""
+
+    def block(acc: Column, z: Column) -> Column:
+        def place(a: Column, o: Column) -> Column:
+            choice = F.get(z["c"], o)
+            token = F.substring(z["text"], o + 1, F.floor(choice / 2).cast("int"))
+            loose = (choice % 2 == 0) & token.rlike("^[0-9A-Za-z]$")
+            taken = F.struct(
+                (a["next"] + F.floor(choice / 2)).cast("int").alias("next"),
+                F.concat(a["out"], token, F.when(loose, _LOOSE).otherwise(_END)).alias("out"),
+            )
+            return F.when(z["at"] + o == a["next"], taken).otherwise(a)
+
+        start = F.struct(acc["next"].alias("next"), F.lit("").alias("out"))
+        return _bound(
+            F.aggregate(F.sequence(F.lit(0), F.size(z["c"]) - 1), start, place),
+            lambda x: F.struct(x["next"].alias("next"), F.concat(acc["out"], F.array(x["out"])).alias("out")),
+        )
+
+    zipped = F.zip_with("blocks", "choices", lambda b, c: F.struct(b["at"].alias("at"), b["text"].alias("text"), c.alias("c")))
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("out"))
+    marked = F.array_join(F.aggregate(zipped, start, block, lambda acc: acc["out"]), "")
+    joined = F.regexp_replace(marked, F.lit(f"{_LOOSE}(?=[0-9A-Za-z]{_LOOSE})"), F.lit(""))
+    parts = F.split(joined, f"[{_END}{_LOOSE}]", -1)
+    return F.slice(parts, 1, F.size(parts) - 1)  # nothing stands after the last mark
+
+
+def segment_runs(runs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``run, tokens`` of each distinct ``run``."""
+    numbered = cut_lineage(runs.select("run").distinct().withColumn("rid", F.monotonically_increasing_id()), "runs")
+    dic = cut_lineage(dictionary_table(dictionary), "dictionary")
+    # two numbers: lambdas take no subqueries
+    stats = dic.agg(F.log(F.sum("freq")).alias("total"), F.max(F.length("word")).alias("longest")).first()
+    total, longest = float(stats["total"] or 0.0), int(stats["longest"] or 1)
+    pieces = _pieces(numbered, longest)
+    known = word_spans(pieces, dic).join(dic, "word")
+    edge = F.struct("o", "l", (F.log("freq") - F.lit(total)).alias("lp"))
+    edges = known.groupBy("rid", "at").agg(F.collect_list(edge).alias("edges"))
+    none = F.array().cast("array<struct<o:int,l:int,lp:double>>")
+    block = F.struct("at", "text", F.coalesce("edges", none).alias("edges"))
+    blocks = pieces.join(edges, ["rid", "at"], "left").groupBy("rid").agg(
+        F.max("n").alias("n"), F.array_sort(F.collect_list(block)).alias("blocks")
+    )
+    chosen = blocks.withColumn("choices", _choices(-total, longest))
+    return numbered.join(chosen.select("rid", _tokens().alias("tokens")), "rid").select("run", "tokens")
 
 
 def segment_dictionary(
-    df: DataFrame, key_cols: list[str], text: Column, dictionary: DataFrame, max_words: int = MAX_WORDS
+    df: DataFrame, key_cols: list[str], text: Column, dictionary: DataFrame, pattern: str = TOKEN_PATTERN
 ) -> DataFrame:
     """R1 dictionary mode: ``key_cols..., run_no, k, token`` (reading order is ``run_no, k``).
 
-    ``dictionary`` has ``word`` and ``freq`` (null freq counts as 1).
+    ``dictionary`` has ``word`` and ``freq`` (null freq counts as 1); ``pattern`` says what a run is.
     """
-    runs = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
-    words = dictionary_words(dictionary, max_words)
-    if words is None:
-        return _segment_by_join(df.select(*key_cols, F.posexplode(runs).alias("run_no", "run")), key_cols, dictionary)
-    told = df.select(*key_cols, F.posexplode(_run_segmenter(words)(runs)).alias("run_no", "tokens"))
+    runs = df.select(*key_cols, F.posexplode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("run_no", "run"))
+    # AQE broadcasts the segmented runs when small and splits hot runs of a sort-merge join otherwise
+    told = runs.join(segment_runs(runs, dictionary), "run")
     return told.select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
 
 
-def _segment_by_join(runs: DataFrame, key_cols: list[str], dictionary: DataFrame) -> DataFrame:
-    dic = _weighted(dictionary).groupBy("word").agg(F.sum("freq").alias("freq"))
-    # two numbers: lambdas take no subqueries
-    stats = dic.agg(F.log(F.sum("freq")).alias("lt"), F.max(F.length("word")).alias("ml")).first()
-    log_total, longest = F.lit(float(stats["lt"] or 0.0)), F.lit(int(stats["ml"] or 1))
-    # each distinct run once; a fixed-size name stands for it in the rows of its pieces
-    distinct = runs.select("run").distinct().withColumn("rid", F.sha2("run", 256))
-    pieces = distinct.select(
-        "rid",
-        F.length("run").alias("n"),
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.length("run") - 1, F.lit(PIECE)),
-                lambda p: F.struct(p.alias("at"), F.substring("run", p + 1, F.lit(PIECE) + longest).alias("text")),
-            )
-        ).alias("p"),
-    )
-    starts = pieces.select(
-        "rid", "p", F.explode(F.sequence(F.lit(0), F.least(F.lit(PIECE), F.col("n") - F.col("p.at")) - 1)).alias("o")
-    )
-    spans = starts.select(
-        "rid", "p", "o", F.explode(F.sequence(F.lit(1), F.least(longest, F.length("p.text") - F.col("o")))).alias("l")
-    )
-    words = spans.select(
-        "rid", (F.col("p.at") + F.col("o")).alias("s"), "l", F.substring("p.text", F.col("o") + 1, F.col("l")).alias("word")
+def positioned_tokens(df: DataFrame, key_cols: list[str], text: Column, dictionary: DataFrame) -> DataFrame:
+    """F14 in dictionary mode: ``key_cols..., pos, token`` with ``pos`` the token's number in its cell (one cell a group)."""
+    runs = df.select(*key_cols, F.posexplode(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))).alias("run_no", "run"))
+    told = runs.join(segment_runs(runs, dictionary), "run")
+    before = Window.partitionBy(*key_cols).orderBy("run_no").rowsBetween(Window.unboundedPreceding, -1)
+    placed = told.withColumn("base", F.coalesce(F.sum(F.size("tokens")).over(before), F.lit(0)))
+    return placed.select(*key_cols, "base", F.posexplode("tokens").alias("k", "token")).select(
+        *key_cols, (F.col("base") + F.col("k")).cast("long").alias("pos"), "token"
     )
-    known = words.join(dic, "word").select("rid", F.struct("s", "l", (F.log("freq") - log_total).alias("lp")).alias("e"))
-    edges = known.groupBy("rid").agg(F.collect_list("e").alias("edges"))
-    best_path = _path_maker()
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def segment(run: pd.Series, found: pd.Series, unknown: pd.Series) -> pd.Series:
-        out = []
-        for text, es, score in zip(run, found, unknown):
-            at: dict[int, list[tuple[int, float]]] = {}
-            for e in es if es is not None else []:
-                at.setdefault(int(e["s"]), []).append((int(e["l"]), float(e["lp"])))
-            out.append(best_path(text, lambda i: at.get(i, []), float(score)))
-        return pd.Series(out)
-
-    told = distinct.join(edges, "rid", "left").select("run", segment("run", "edges", -log_total).alias("tokens"))
-    # Back to every occurrence; AQE broadcasts the segmented runs when small
-    # and splits hot keys of a sort-merge join otherwise.
-    return runs.join(told, "run").select(*key_cols, "run_no", F.posexplode("tokens").alias("k", "token"))
 
 
 def map_partitions(df: DataFrame, func: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wordmill.constants import DEFAULT_STOPWORDS
 from wordmill.functions.text import mark_punctuation, pipe_to_space, segment_regex
 from wordmill.operators.indexing import ordered_index, sequential_index
+from wordmill.operators.segment import positioned_tokens
 
 KEY = ["file_no", "row_id", "col_no", "sub", "pos"]
 
@@ -47,16 +48,18 @@ def to_cells(df: DataFrame, text_columns: list[str], special_columns: list[str],
     )
 
 
-def text_tokens(cells: DataFrame) -> DataFrame:
-    """tokens of the text cells (F1 -> F2 -> segment), null cells skipped."""
-    cell = [CELL] if CELL in cells.columns else []
-    return (
-        cells.where(~F.col("special") & F.col("text").isNotNull())
-        .select(
-            "file_no", "row_id", "col_no", "sub", *cell,
-            F.posexplode(segment_regex(pipe_to_space(mark_punctuation(F.col("text"))))).alias("pos", "token"),
-        )
-        .select("file_no", "row_id", "col_no", "sub", *cell, F.col("pos").cast("long").alias("pos"), "token")
+def text_tokens(cells: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """tokens of the text cells (F1 -> F2 -> segment), null cells skipped.
+
+    With a ``dictionary(word, freq)`` the cells are segmented by it, else into letter/digit runs.
+    """
+    key = ["file_no", "row_id", "col_no", "sub", *([CELL] if CELL in cells.columns else [])]
+    texts = cells.where(~F.col("special") & F.col("text").isNotNull())
+    text = pipe_to_space(mark_punctuation(F.col("text")))
+    if dictionary is not None:
+        return positioned_tokens(texts, key, text, dictionary)
+    return texts.select(*key, F.posexplode(segment_regex(text)).alias("pos", "token")).select(
+        *key, F.col("pos").cast("long").alias("pos"), "token"
     )
 
 
@@ -68,10 +71,10 @@ def special_tokens(cells: DataFrame) -> DataFrame:
     )
 
 
-def vocab_tokens(cells: DataFrame) -> DataFrame:
+def vocab_tokens(cells: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
     """A1 + A2 input: text tokens and special cells together."""
     keyed = cells.withColumn(CELL, cell_key())
-    return text_tokens(keyed).unionByName(special_tokens(keyed))
+    return text_tokens(keyed, dictionary).unionByName(special_tokens(keyed))
 
 
 def word_count(tokens: DataFrame) -> DataFrame:
@@ -84,11 +87,15 @@ def drop_stopword_tokens(tokens: DataFrame, stopwords: DataFrame, token_col: str
     return tokens.join(stopwords.select(F.col("word").alias(token_col)), token_col, "left_anti")
 
 
-# Bits of each part of the reading-order key.  They add up to 126, so the key fits a
-# decimal of 38 digits: 16 files, any row id that Spark's own numbering makes, 32
-# columns, 2^24 turns, and any position in a Spark string.
-KEY_BITS = {"file_no": 4, "row_id": 62, "col_no": 5, "sub": 24, "pos": 31}
+#: What orders tokens within a file.
+PLACE = KEY[1:]
+
+# Bits of each part of the place in a file.  They add up to 126, so a place fits a decimal of
+# 38 digits: any row id, 64 columns, 2^25 turns, and any position in a Spark string.
+PLACE_BITS = {"row_id": 64, "col_no": 6, "sub": 25, "pos": 31}
 _WIDE = "decimal(38,0)"
+#: Least value of a part: row ids may be negative.
+_LEAST = {"row_id": -(1 << 63)}
 
 
 def _wide(n: int) -> Column:
@@ -96,7 +103,7 @@ def _wide(n: int) -> Column:
 
 
 def pack_key() -> Column:
-    """``(file_no, row_id, col_no, sub, pos)`` as one number that orders like the tuple.
+    """``(row_id, col_no, sub, pos)`` as one number that orders like the tuple.
 
     A minimum over it is a hash aggregate, which a minimum over a struct is not.  A part
     out of its range fails the query instead of wrapping round.
@@ -105,17 +112,19 @@ def pack_key() -> Column:
 
 
 def _part(k: str) -> Column:
-    top = 1 << KEY_BITS[k]
-    return F.when((F.col(k) >= 0) & (F.col(k) < F.lit(top)), F.col(k).cast(_WIDE)).otherwise(
+    value = F.col(k).cast(_WIDE)
+    if k in _LEAST:
+        return (value - _wide(_LEAST[k])).cast(_WIDE)
+    return F.when((F.col(k) >= 0) & (F.col(k) < F.lit(1 << PLACE_BITS[k])), value).otherwise(
         F.raise_error(F.lit(f"{k} is out of the range of the reading-order key")).cast(_WIDE)
     )
 
 
 def cell_key() -> Column:
     """The packed key of a cell's position 0: all but the last addition, once a cell."""
-    out = _part(KEY[0])
-    for k in KEY[1:]:
-        out = (out * _wide(1 << KEY_BITS[k])).cast(_WIDE)
+    out = _part(PLACE[0])
+    for k in PLACE[1:]:
+        out = (out * _wide(1 << PLACE_BITS[k])).cast(_WIDE)
         if k != "pos":
             out = out + _part(k)
     return out.cast(_WIDE)
@@ -124,10 +133,10 @@ def cell_key() -> Column:
 def unpack_key(name: str) -> list[Column]:
     """Inverse of :func:`pack_key` on column ``name``."""
     parts, rest = [], F.col(name)
-    for k in reversed(KEY):
-        top = _wide(1 << KEY_BITS[k])
+    for k in reversed(PLACE):
+        top = _wide(1 << PLACE_BITS[k])
         part = rest % top
-        parts.append(part.cast("int" if k in ("file_no", "col_no") else "long").alias(k))
+        parts.append((part + _wide(_LEAST.get(k, 0))).cast("int" if k == "col_no" else "long").alias(k))
         rest = ((rest - part) / top).cast(_WIDE)
     return list(reversed(parts))
 
@@ -142,15 +151,17 @@ def build_vocab(
 
     idx = rank of first appearance (W1) after stopwords and the tab token are
     removed, assigned **before** the rare-word cut (P6), so idx has gaps unless
-    ``compact``.  The first appearance is the ``min`` of the packed reading-order
-    key (hash aggregation); numbering never runs in one task.
+    ``compact``.  The first appearance is the ``min`` of the packed place in each file,
+    then the place in the first of the files: two hash aggregates, the second over a row
+    for each word and file, so any number of files.  Numbering never runs in one task.
     """
-    words = tokens.groupBy(F.col("token").alias("word"))
-    okey = (F.col(CELL) + F.col("pos").cast(_WIDE)).cast(_WIDE) if CELL in tokens.columns else pack_key()
-    first = words.agg(F.count(F.lit(1)).alias("freq"), F.min(okey).alias("okey"))
-    first_cols = unpack_key("okey")
+    place = (F.col(CELL) + F.col("pos").cast(_WIDE)).cast(_WIDE) if CELL in tokens.columns else pack_key()
+    in_file = tokens.groupBy(F.col("token").alias("word"), "file_no").agg(F.count(F.lit(1)).alias("freq"), F.min(place).alias("place"))
+    first = in_file.groupBy("word").agg(
+        F.sum("freq").alias("freq"), F.min("file_no").alias("file_no"), F.min_by("place", "file_no").alias("place")
+    )
     first = drop_stopword_tokens(first.where(F.col("word") != "\t"), stopwords, "word")
-    ranked = ordered_index(first.select("word", "freq", *first_cols), KEY, "idx")
+    ranked = ordered_index(first.select("word", "freq", "file_no", *unpack_key("place")), KEY, "idx")
     vocab = ranked.select("word", "idx", "freq")
     if drop_lt_freq is not None:
         vocab = vocab.where(F.col("freq") >= drop_lt_freq)

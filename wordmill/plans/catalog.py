@@ -25,12 +25,15 @@ from wordmill.constants import (
 from wordmill.functions.text import clean_sentence, mark_punctuation, pipe_to_space, sentence_proc
 from wordmill.operators import embeddings as EMB
 from wordmill.operators import pairs as P
+from wordmill.operators.factors import extended, factorise
 from wordmill.operators.indexing import range_index
+from wordmill.operators.negatives import log_uniform_weight, negative_samples
 from wordmill.operators.sequences import batch_rows
 from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
 from wordmill.plans import corpus as E2
 from wordmill.plans import embedding as E3
 from wordmill.plans import vocabulary as E1
+from wordmill.plans.oracle_sql import PPMI_SIZE
 from wordmill.operators.segment import map_partitions, segment_dictionary
 from wordmill.session import cut_lineage, ensure_checkpoint_dir
 from wordmill.sources import io as IO
@@ -305,6 +308,73 @@ def q_segment_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_dictionary(docs, ["doc_id"], text, _vocab(spark, sf_dir).select("word", "freq"))
 
 
+def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of the run mode with its counts, as a user's dictionary would be."""
+    return _vocab(spark, sf_dir).select("word", "freq")
+
+
+def q_dictionary_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14 in dictionary mode: tokens of all text cells in reading order."""
+    return text_tokens(qa_cells(spark, sf_dir), _dictionary(spark, sf_dir))
+
+
+def q_dictionary_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 in dictionary mode: vocabulary of the dictionary's tokens and the special cells."""
+    return E1.vocabulary(spark, sf_dir, dictionary=_dictionary(spark, sf_dir))
+
+
+def q_dictionary_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6, F7 in dictionary mode: the merged training corpus of all columns."""
+    seg = E2.segmented(spark, sf_dir, dictionary=_dictionary(spark, sf_dir))
+    return E2.training_corpus(seg).select("split", "row_id", "merged")
+
+
+def q_negative_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3's data side: negatives of every batch, drawn from the vocabulary by rank."""
+    weights = _vocab(spark, sf_dir).select("idx", log_uniform_weight(F.col("idx")).alias("w"))
+    keys = cut_lineage(_batches(spark, sf_dir).select("batch").distinct(), "batch-keys")
+    return negative_samples(keys, weights)
+
+
+#: Rounds that give the first column of the vectors by factorisation to nine digits.
+PPMI_ROUNDS = 10
+
+
+def _ppmi_rows(co: DataFrame) -> DataFrame:
+    return P.ppmi(co).where(F.col("ppmi") > 0).select(F.col("w").alias("r"), F.col("c"), F.col("ppmi").alias("value"))
+
+
+def q_ppmi_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 from the PPMI table: length of each word's vector and its first coordinate over ``sqrt(sigma)``."""
+    co = cut_lineage(P.cooccurrence(_batches(spark, sf_dir), SG_WINDOW), "cooc")
+    found = factorise(_ppmi_rows(co), PPMI_SIZE, rounds=PPMI_ROUNDS)
+    first = F.get("x", F.lit(0)) / F.lit(float(found.sigma[0]) ** 0.5)
+    return found.words.select(F.col("id").alias("idx"), F.size("x").cast("long").alias("dims"), F.round(first, 6).alias("first"))
+
+
+def q_fold_in_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 without retraining: vectors of the even batches, and words that only the odd ones hold folded in."""
+    batches = cut_lineage(_batches(spark, sf_dir), "batches")
+    even, odd = (cut_lineage(P.cooccurrence(batches.where(F.col("batch") % 2 == k), SG_WINDOW), "cooc") for k in (0, 1))
+    base = factorise(_ppmi_rows(even), PPMI_SIZE, rounds=2)
+    more = _ppmi_rows(cut_lineage(P.extend_cooccurrence(even, odd), "cooc"))
+    out = extended(base.words, base.contexts, more, ridge=1.0)
+    norm = F.aggregate("x", F.lit(0.0), lambda n, v: n + v * v)
+    return out.select(F.col("id").alias("idx"), "source", F.size("x").cast("long").alias("dims"), ((norm > 0) & (norm < float("inf"))).alias("sound"))
+
+
+def q_bucketed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary and vectors kept in buckets by word, and the matrix joined from them."""
+    tag = uuid.uuid4().hex
+    vocab_all = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None), "vocab_all")
+    vectors = IO.write_bucketed(E3.vectors_from_table(spark, sf_dir, vocab_all), f"vectors_{tag}", buckets=16)
+    vocab = IO.write_bucketed(vocab_all.where(F.col("freq") >= WV_MIN_COUNT), f"vocab_{tag}", buckets=16)
+    matrix = EMB.embedding_matrix(vocab, vectors)
+    return matrix.select("idx", F.posexplode("vector").alias("dim", "value")).select(
+        "idx", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 6).alias("value")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_special_columns": q_vocab_special_columns,
@@ -339,6 +409,13 @@ QUERIES: dict[str, Query] = {
     "corpus_stats": q_corpus_stats,
     "io_roundtrip": q_io_roundtrip,
     "segment_dictionary": q_segment_dictionary,
+    "dictionary_tokens": q_dictionary_tokens,
+    "dictionary_vocab": q_dictionary_vocab,
+    "dictionary_corpus": q_dictionary_corpus,
+    "negative_samples": q_negative_samples,
+    "ppmi_vectors": q_ppmi_vectors,
+    "fold_in_vectors": q_fold_in_vectors,
+    "bucketed_matrix": q_bucketed_matrix,
     "csv_splits": q_csv_splits,
     "dictionary_file": q_dictionary_file,
     "saved_embeddings": q_saved_embeddings,

@@ -16,6 +16,7 @@ from wordmill.constants import (
     RARE_WORD_CUT,
     RUN_PATTERN,
     SG_BATCH,
+    SG_NEGATIVES,
     SG_SIZE,
     SG_WINDOW,
     SUBSAMPLE_T,
@@ -28,6 +29,10 @@ from wordmill.constants import (
     WV_SIZE,
     clean_pattern,
 )
+from wordmill.operators.negatives import BLOCKS, UNIT
+
+#: Length of the vectors by factorisation.
+PPMI_SIZE = 32
 
 
 def q(s: str) -> str:
@@ -355,13 +360,10 @@ ORACLE["io_roundtrip"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOG
 
 # R1 dictionary mode: the lattice of every distinct run, its best path from the end back
 # (ties: the longer word, then the dictionary's), then the path's pieces from the start.
-ORACLE["segment_dictionary"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL).replace("WITH ", "WITH RECURSIVE ", 1) + (
-    f""",
+# ``dr`` holds the distinct runs; ``seg_tok`` their tokens in order.
+DICTIONARY_PATHS = """
 dic AS (SELECT word, freq::DOUBLE AS freq FROM vocab),
 tot AS (SELECT ln(sum(freq)) AS lt, max(length(word)) AS ml FROM dic),
-runs_src AS (SELECT doc_id, regexp_extract_all(replace({f1('text')}, '|', ' '), {TOK}) AS t FROM documents),
-runs AS (SELECT doc_id, generate_subscripts(t, 1) - 1 AS run_no, unnest(t) AS run FROM runs_src),
-dr AS (SELECT DISTINCT run, length(run) AS n FROM runs),
 starts AS (SELECT run, n, unnest(range(0, n)) AS s FROM dr),
 cand AS (SELECT run, s, unnest(range(1, least((SELECT ml FROM tot), n - s) + 1)) AS l FROM starts),
 edges AS (
@@ -383,8 +385,72 @@ piece AS (
 mark AS (
   SELECT *, CASE WHEN loose AND lag(loose, 1, false) OVER (PARTITION BY run ORDER BY pos) THEN 0 ELSE 1 END AS new FROM piece),
 tokd AS (SELECT *, sum(new) OVER (PARTITION BY run ORDER BY pos) - 1 AS g FROM mark),
-seg_tok AS (SELECT run, g, string_agg(p, '' ORDER BY pos) AS token FROM tokd GROUP BY run, g)
-SELECT r.doc_id, r.run_no::INTEGER AS run_no, s.g::INTEGER AS k, s.token FROM runs r JOIN seg_tok s ON s.run = r.run"""
+seg_tok AS (SELECT run, g, string_agg(p, '' ORDER BY pos) AS token FROM tokd GROUP BY run, g)"""
+
+
+def with_recursive(*parts: str) -> str:
+    return with_(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLE["segment_dictionary"] = with_recursive(
+    CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL,
+    f"""
+runs_src AS (SELECT doc_id, regexp_extract_all(replace({f1('text')}, '|', ' '), {TOK}) AS t FROM documents),
+runs AS (SELECT doc_id, generate_subscripts(t, 1) - 1 AS run_no, unnest(t) AS run FROM runs_src),
+dr AS (SELECT DISTINCT run, length(run) AS n FROM runs)""",
+    DICTIONARY_PATHS,
+) + "SELECT r.doc_id, r.run_no::INTEGER AS run_no, s.g::INTEGER AS k, s.token FROM runs r JOIN seg_tok s ON s.run = r.run"
+
+# F14, A3 in dictionary mode: the runs of all text cells, segmented by the vocabulary of the other mode.
+_DICTIONARY_TOKENS = (
+    CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL,
+    "\ndr AS (SELECT DISTINCT token AS run, length(token) AS n FROM ttok)",
+    DICTIONARY_PATHS,
+    """
+dtok AS (
+  SELECT t.file_no, t.row_id, t.col_no, t.sub, s.token,
+         (row_number() OVER (PARTITION BY t.file_no, t.row_id, t.col_no, t.sub ORDER BY t.pos, s.g) - 1)::BIGINT AS pos
+  FROM ttok t JOIN seg_tok s ON s.run = t.token)""",
+)
+
+ORACLE["dictionary_tokens"] = with_recursive(*_DICTIONARY_TOKENS) + "SELECT file_no, row_id, col_no, sub, pos, token FROM dtok"
+
+_SECOND = VOCAB_ALL.replace("vfirst", "dfirst").replace("vocab_all", "dvocab_all").replace("vocab AS", "dvocab AS").replace("FROM tok", "FROM dall")
+
+ORACLE["dictionary_vocab"] = with_recursive(
+    *_DICTIONARY_TOKENS,
+    """
+dall AS (
+  SELECT file_no, row_id, col_no, sub, pos, token FROM dtok
+  UNION ALL
+  SELECT file_no, row_id, col_no, sub, 0::BIGINT, text FROM cells WHERE special AND text IS NOT NULL)""",
+    _SECOND,
+) + "SELECT word, idx, freq FROM dvocab"
+
+# F6, F7 in dictionary mode: words of the cleaned cells of the wide table.
+_QA_COLUMNS = ["Brand", "Model", "Question", "Dialogue", "Report"]
+
+ORACLE["dictionary_corpus"] = with_recursive(
+    CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA,
+    "\nclean_src AS (" + " UNION ALL ".join(
+        f"SELECT file_no, row_id, {q(c)} AS c, regexp_extract_all({clean(c, ' ')}, {q(RUN_PATTERN)}) AS t FROM qa" for c in _QA_COLUMNS
+    ) + ")",
+    """
+clean_runs AS (SELECT file_no, row_id, c, generate_subscripts(t, 1) AS run_no, unnest(t) AS run FROM clean_src),
+dr AS (SELECT DISTINCT run, length(run) AS n FROM clean_runs)""",
+    DICTIONARY_PATHS,
+    f"""
+dcell AS (
+  SELECT file_no, row_id, c, string_agg(s.token, ' ' ORDER BY r.run_no, s.g) AS t
+  FROM clean_runs r JOIN seg_tok s ON s.run = r.run WHERE s.token NOT IN {SW_IN} GROUP BY file_no, row_id, c),
+dwide AS (
+  SELECT file_no, row_id, {", ".join(f"coalesce(max(t) FILTER (WHERE c = {q(c)}), '') AS {c}" for c in _QA_COLUMNS)}
+  FROM dcell GROUP BY file_no, row_id)""",
+) + (
+    "SELECT qa.split, qa.row_id, CASE WHEN qa.file_no = 0 "
+    "THEN coalesce(d.Question, '') || ' ' || coalesce(d.Dialogue, '') || ' ' || coalesce(d.Report, '') "
+    "ELSE coalesce(d.Question, '') || ' ' || coalesce(d.Dialogue, '') END AS merged "
+    "FROM qa LEFT JOIN dwide d ON d.file_no = qa.file_no AND d.row_id = qa.row_id"
 )
 
 # A cell that equals a null marker comes back empty; the driver tables hold none.
@@ -417,10 +483,87 @@ def _grams(expr: str) -> str:
 SUBWORD = f"""
 tgrams AS ({_grams('word').format(table='w2v_vocab')}),
 vgrams AS ({_grams('word').format(table='vocab')}),
-backed AS (SELECT DISTINCT v.src AS word FROM vgrams v JOIN tgrams t ON t.g = v.g)"""
+backed AS (SELECT DISTINCT src AS word FROM vgrams WHERE g IN (SELECT DISTINCT g FROM tgrams))"""
 
 ORACLE["subword_vectors"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG, LINES, SUBWORD) + (
     f"SELECT v.word, CASE WHEN w.word IS NOT NULL THEN 'word' WHEN b.word IS NOT NULL THEN 'ngram' END AS source, "
     f"(CASE WHEN w.word IS NOT NULL OR b.word IS NOT NULL THEN {WV_SIZE} ELSE 0 END)::BIGINT AS dims "
     "FROM (SELECT DISTINCT word FROM vocab) v LEFT JOIN w2v_vocab w ON w.word = v.word LEFT JOIN backed b ON b.word = v.word"
 )
+
+
+def alias_sql(name: str, source: str) -> str:
+    """Alias tables of ``source(grp, item, w)`` by running sums of whole numbers."""
+    order = "(PARTITION BY grp ORDER BY at, heavy DESC, item ROWS BETWEEN"
+    return f"""
+{name}_sums AS (
+  SELECT grp, item, w, count(*) OVER (PARTITION BY grp) AS m, (sum(w) OVER (PARTITION BY grp))::BIGINT AS total FROM {source}),
+{name}_off AS (SELECT *, m * w >= total AS heavy, abs(m * w - total) AS off FROM {name}_sums),
+{name}_upto AS (SELECT *, (sum(off) OVER (PARTITION BY grp, heavy ORDER BY item))::BIGINT AS upto FROM {name}_off),
+{name}_at AS (SELECT *, CASE WHEN heavy THEN upto ELSE upto - off END AS at FROM {name}_upto),
+{name} AS (
+  SELECT grp, item, m, total, row_number() OVER (PARTITION BY grp ORDER BY item) - 1 AS slot,
+    CASE WHEN heavy THEN total + least(0, upto - coalesce(
+      last_value(CASE WHEN NOT heavy THEN upto END IGNORE NULLS) OVER {order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    ELSE m * w END AS cut,
+    coalesce(first_value(CASE WHEN heavy THEN item END IGNORE NULLS) OVER {order} 1 FOLLOWING AND UNBOUNDED FOLLOWING), item) AS other
+  FROM {name}_at)"""
+
+
+_DRAW = "CAST('0x' || substr(h, {at}, 15) AS BIGINT)"
+
+ORACLE["negative_samples"] = with_(
+    *_SG,
+    f"""
+wts AS (SELECT idx % {BLOCKS} AS grp, idx AS item, greatest(floor(ln((idx + 2)::DOUBLE / (idx + 1)) * {UNIT}), 1)::BIGINT AS w FROM vocab),
+blks AS (SELECT 0 AS grp, grp AS item, sum(w)::BIGINT AS w FROM wts GROUP BY wts.grp)""",
+    alias_sql("top", "blks"),
+    alias_sql("sub", "wts"),
+    f"""
+draws AS (
+  SELECT batch, k, sha256('1:' || batch || ':' || k) AS h
+  FROM (SELECT batch, unnest(range(0, {SG_NEGATIVES})) AS k FROM (SELECT DISTINCT batch FROM bat))),
+drawn AS (
+  SELECT batch, k, h, CASE WHEN {_DRAW.format(at=17)} % t.total < t.cut THEN t.item ELSE t.other END AS block
+  FROM draws JOIN top t ON t.slot = {_DRAW.format(at=1)} % (SELECT count(*) FROM blks)),
+sized AS (SELECT DISTINCT grp, m FROM sub)""",
+) + (
+    f"SELECT d.batch, d.k, CASE WHEN {_DRAW.format(at=49)} % s.total < s.cut THEN s.item ELSE s.other END AS idx "
+    f"FROM drawn d JOIN sized z ON z.grp = d.block JOIN sub s ON s.grp = d.block AND s.slot = {_DRAW.format(at=33)} % z.m"
+)
+
+# The leading singular vector by power iteration; the others have no statement in SQL (tests have a dense decomposition).
+ORACLE["ppmi_vectors"] = with_recursive(
+    *_SG, context_sql("a.r"), COOC,
+    """
+pm AS (
+  SELECT w, c, v FROM (
+    SELECT o.w, o.c, ln(o.n::DOUBLE * (SELECT total FROM ctot) / (cw.n_w::DOUBLE * cc.n_c)) AS v
+    FROM cooc o JOIN cw ON cw.w = o.w JOIN cc ON cc.c = o.c) WHERE v > 0),
+pow AS (
+  SELECT 0 AS t, w, 1.0::DOUBLE AS x FROM (SELECT DISTINCT w FROM pm)
+  UNION ALL
+  SELECT t + 1, w, z / sqrt(sum(z * z) OVER ()) FROM (
+    SELECT y.t, p.w, sum(p.v * y.y) AS z FROM pm p JOIN (
+      SELECT pow.t, q.c, sum(q.v * pow.x) AS y FROM pow JOIN pm q ON q.w = pow.w WHERE pow.t < 60 GROUP BY pow.t, q.c
+    ) y ON y.c = p.c GROUP BY y.t, p.w))""",
+) + f"SELECT w AS idx, {PPMI_SIZE}::BIGINT AS dims, round(x, 6) AS first FROM pow WHERE t = 60"
+
+
+def _half(name: str, where: str) -> str:
+    """PPMI rows of the pairs of some batches."""
+    return f"""
+{name}_co AS (SELECT center AS w, context AS c, count(*) AS n FROM ctxp WHERE {where} GROUP BY center, context),
+{name} AS (
+  SELECT o.w, o.c FROM {name}_co o
+  JOIN (SELECT w, sum(n) AS n_w FROM {name}_co GROUP BY w) a ON a.w = o.w JOIN (SELECT c, sum(n) AS n_c FROM {name}_co GROUP BY c) b ON b.c = o.c
+  WHERE ln(o.n::DOUBLE * (SELECT sum(n) FROM {name}_co) / (a.n_w::DOUBLE * b.n_c)) > 0)"""
+
+
+ORACLE["fold_in_vectors"] = with_(*_SG, context_sql("a.r"), _half("even", "batch % 2 = 0"), _half("both", "true")) + (
+    f"SELECT DISTINCT w AS idx, 'base' AS source, {PPMI_SIZE}::BIGINT AS dims, true AS sound FROM even "
+    f"UNION ALL SELECT DISTINCT w, 'folded', {PPMI_SIZE}::BIGINT, true FROM both "
+    "WHERE w NOT IN (SELECT w FROM even) AND c IN (SELECT c FROM even)"
+)
+
+ORACLE["bucketed_matrix"] = ORACLE["embedding_matrix"]
