@@ -494,13 +494,13 @@ ORACLE["subword_vectors"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIA
 
 def alias_sql(name: str, source: str) -> str:
     """Alias tables of ``source(grp, item, w)`` by running sums of whole numbers."""
-    order = "(PARTITION BY grp ORDER BY at, heavy DESC, item ROWS BETWEEN"
+    order = "(PARTITION BY grp ORDER BY spot, heavy DESC, item ROWS BETWEEN"
     return f"""
 {name}_sums AS (
   SELECT grp, item, w, count(*) OVER (PARTITION BY grp) AS m, (sum(w) OVER (PARTITION BY grp))::BIGINT AS total FROM {source}),
 {name}_off AS (SELECT *, m * w >= total AS heavy, abs(m * w - total) AS off FROM {name}_sums),
 {name}_upto AS (SELECT *, (sum(off) OVER (PARTITION BY grp, heavy ORDER BY item))::BIGINT AS upto FROM {name}_off),
-{name}_at AS (SELECT *, CASE WHEN heavy THEN upto ELSE upto - off END AS at FROM {name}_upto),
+{name}_at AS (SELECT *, CASE WHEN heavy THEN upto ELSE upto - off END AS spot FROM {name}_upto),
 {name} AS (
   SELECT grp, item, m, total, row_number() OVER (PARTITION BY grp ORDER BY item) - 1 AS slot,
     CASE WHEN heavy THEN total + least(0, upto - coalesce(
@@ -560,9 +560,9 @@ def _half(name: str, where: str) -> str:
   WHERE ln(o.n::DOUBLE * (SELECT sum(n) FROM {name}_co) / (a.n_w::DOUBLE * b.n_c)) > 0)"""
 
 
-ORACLE["fold_in_vectors"] = with_(*_SG, context_sql("a.r"), _half("even", "batch % 2 = 0"), _half("both", "true")) + (
+ORACLE["fold_in_vectors"] = with_(*_SG, context_sql("a.r"), _half("even", "batch % 2 = 0"), _half("whole", "true")) + (
     f"SELECT DISTINCT w AS idx, 'base' AS source, {PPMI_SIZE}::BIGINT AS dims, true AS sound FROM even "
-    f"UNION ALL SELECT DISTINCT w, 'folded', {PPMI_SIZE}::BIGINT, true FROM both "
+    f"UNION ALL SELECT DISTINCT w, 'folded', {PPMI_SIZE}::BIGINT, true FROM whole "
     "WHERE w NOT IN (SELECT w FROM even) AND c IN (SELECT c FROM even)"
 )
 
