@@ -12,8 +12,8 @@ a plus, or one that a pattern drops because another number follows.
 
 Texts are decoded in windows of ``WINDOW`` characters that overlap by half, wherever a
 digit or an at sign is near.  Each character takes its label from the window in whose
-middle half it lies, and spans are put together over the whole text.  A model span is
-added if its kind's check holds (Luhn, digits, parts) and no base span overlaps it.
+middle half it lies, and spans are put together over the whole text.  A model span, or the
+numbers side by side in it, is added if its kind's check holds (Luhn, digits, parts) and no base span overlaps it.
 
 Defined results: null and empty texts have no spans; repeated rows each get theirs;
 other columns are not read.  Offsets count code points.
@@ -78,7 +78,7 @@ def luhn(x: bytes) -> bool:
 def holds(kind: str, x: bytes) -> bool:
     """The check of a base match."""
     if kind == "ip":
-        return all(len(p.lstrip(b"0")) <= 3 and int(p) <= 255 for p in x.split(b"."))
+        return all(len(p := part.lstrip(b"0")) <= 3 and int(p or b"0") <= 255 for part in x.split(b"."))
     n = len(digits(x))
     if kind == "card":
         return 13 <= n <= 19 and luhn(x)
@@ -95,6 +95,44 @@ _IN = {k: _table(c) for k, (c, _) in RUNS.items()}
 _NEED = {k: [(_table(c), n) for c, n in need] for k, (_, need) in RUNS.items()}
 
 
+_DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_NUMBERS = re.compile(rb"[0-9]+(?:\.[0-9]+)*")
+
+
+def _emails(raw: bytes, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    """Matches of the email pattern in a run: it stands around an at sign, so each is looked at once, from there."""
+    done = lo
+    at = raw.find(b"@", lo, hi)
+    while at >= 0:
+        after = raw.find(b"@", at + 1, hi)
+        # no at sign between: all before this one, back to the last match or at sign, is the user's name
+        if at > done and (m := _DOMAIN.match(raw, at + 1, after if after >= 0 else hi)):
+            yield done, m.end()
+            done = m.end()
+        else:
+            done = at + 1
+        at = after
+
+
+def _ips(raw: bytes, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    """Matches of the ip pattern in a run: every four numbers of a chain of numbers with single dots between."""
+    for m in _NUMBERS.finditer(raw, lo, hi):
+        at, parts = m.start(), m[0].split(b".")
+        for k in range(0, len(parts) - 3, 4):
+            end = at + sum(map(len, parts[k : k + 4])) + 3
+            yield at, end
+            at = end + 1
+
+
+def matches(kind: str, raw: bytes, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    """Leftmost matches of a kind's pattern, none over another, in a run of its characters, in time that follows its length."""
+    if kind == "email":
+        return _emails(raw, lo, hi)
+    if kind == "ip":
+        return _ips(raw, lo, hi)
+    return (m.span() for m in BASE[kind].finditer(raw, lo, hi))
+
+
 def base_spans(data: np.ndarray, texts: np.ndarray) -> list[tuple[int, int, int]]:
     """(kind, start, end) in bytes, of all texts of a slice; starts ascend within a kind."""
     out = []
@@ -116,9 +154,7 @@ def base_spans(data: np.ndarray, texts: np.ndarray) -> list[tuple[int, int, int]
             some = total[b] - total[a] >= n
             a, b = a[some], b[some]
         for lo, hi in zip(a.tolist(), b.tolist()):
-            for m in BASE[kind].finditer(raw, lo, hi):
-                if holds(kind, m[0]):
-                    out.append((k, m.start(), m.end()))
+            out += [(k, x, y) for x, y in matches(kind, raw, lo, hi) if holds(kind, raw[x:y])]
     return out
 
 
@@ -415,6 +451,37 @@ def _accepted(kind: int, x: bytes) -> bool:
     return re.fullmatch(rb"[+(]?[0-9][0-9 ().-]*[0-9]", x) is not None and holds(name, x)
 
 
+_GROUP = re.compile(rb"[+(]?[0-9][0-9().-]*")
+#: Digit groups that one item may have.
+GROUPS = 8
+
+
+def items(kind: int, x: bytes) -> list[tuple[int, int]]:
+    """What a model span of ``kind`` holds: itself, or the items that stand side by side in it, from the left.
+
+    The tagger sees two numbers with a blank between as one span; each of them is tested.  Of
+    several at one place a card is the longest (its check tells), a phone number the shortest.
+    """
+    if _accepted(kind, x):
+        return [(0, len(x))]
+    if KINDS[kind] not in ("card", "phone"):
+        return []
+    groups = [m.span() for m in _GROUP.finditer(x)]
+    out, i = [], 0
+    while i < len(groups):
+        ends = range(i + 1, min(i + GROUPS, len(groups)) + 1)
+        for j in reversed(ends) if KINDS[kind] == "card" else ends:
+            lo, hi = groups[i][0], groups[j - 1][1]
+            hi = lo + len(x[lo:hi].rstrip(b"().-"))
+            if hi - lo < len(x) and _accepted(kind, x[lo:hi]):
+                out.append((lo, hi))
+                i = j
+                break
+        else:
+            i += 1
+    return out
+
+
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_model long"
 
 
@@ -444,10 +511,12 @@ def _found(weights: dict[str, np.ndarray]):
                 while hi > lo and raw[hi - 1] in b" .,;:-(+\n":
                     hi -= 1
                 beside = (lo and raw[lo - 1 : lo].isalnum()) or raw[hi : hi + 1].isalnum()
-                if hi > lo and not taken[lo:hi].any() and not beside and _accepted(k, raw[lo:hi]):
-                    d = int(np.searchsorted(texts, lo, side="right")) - 1
-                    rows[d].append((k, int(char[lo] - first[d]), int(char[hi] - first[d]), False))
-                    taken[lo:hi] = True
+                for x, y in items(k, raw[lo:hi]) if hi > lo and not beside else []:
+                    x, y = lo + x, lo + y
+                    if not taken[x:y].any():
+                        d = int(np.searchsorted(texts, x, side="right")) - 1
+                        rows[d].append((k, int(char[x] - first[d]), int(char[y] - first[d]), False))
+                        taken[x:y] = True
             told = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b, _ in sorted(spans))
             own = [[x for x in spans if x[3]] for spans in rows]
             counts = [[sum(x[0] == k for x in spans) for spans in own] for k in range(len(KINDS))]
