@@ -156,6 +156,21 @@ def _row_key() -> Column:
     return F.xxhash64(F.col("text").cast("string"), F.col("source").cast("string"))
 
 
+def source_key(col: str) -> Column:
+    """A source's name as a key without nulls: no name stands for no source."""
+    name = F.col(col).cast("string")
+    return F.when(name.isNull(), _NO_SOURCE).when(name.startswith("\u0000"), F.concat(F.lit("\u0000"), name)).otherwise(name)
+
+
+def source_of(col: str) -> Column:
+    """Inverse of :func:`source_key`."""
+    key = F.col(col)
+    return F.when(key == _NO_SOURCE, F.lit(None)).when(key.startswith("\u0000"), key.substr(F.lit(2), F.length(key))).otherwise(key)
+
+
+_NO_SOURCE = "\u0000null"
+
+
 def _numbered(docs: DataFrame, spread: int, stages: Stages) -> DataFrame:
     """``(_src, _id, _key, rn)``: place of each row within its source by ``doc_id``, from 0.
 
@@ -163,7 +178,7 @@ def _numbered(docs: DataFrame, spread: int, stages: Stages) -> DataFrame:
     local number comes from the sorted partition and the offset from counts.
     """
     keys = docs.select(
-        F.coalesce(F.col("source").cast("string"), F.lit("\u0000null")).alias("_src"),
+        source_key("source").alias("_src"),
         F.col("doc_id").cast("long").alias("_id"),
         _row_key().alias("_key"),
     )

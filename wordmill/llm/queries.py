@@ -62,7 +62,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.placed(docs, Stages(spark)).select(
-        F.col("_id").alias("doc_id"), F.col("_src").alias("source"), "position", "slot", "block"
+        F.col("_id").alias("doc_id"), mixing.source_of("_src").alias("source"), "position", "slot", "block"
     )
 
 
