@@ -97,11 +97,11 @@ def drop_boilerplate(docs: DataFrame, stages: Stages, **params) -> DataFrame:
     """
     names = docs.columns
     plain = [c for c in names if c.startswith("n_lines") or c.startswith("n_removed")]
-    work = docs.withColumnsRenamed({c: f"_own_{c}" for c in plain})
+    work = docs.withColumnsRenamed({c: OWN + c for c in plain})
     done = line_dedup(work, stages, **params).where((F.col("n_removed") == 0) | F.col("text").rlike(_WORD))
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return done.drop("n_lines", "n_removed").withColumnsRenamed({f"_own_{c}": c for c in plain}).select(*names)
+    return done.drop("n_lines", "n_removed").withColumnsRenamed({OWN + c: c for c in plain}).select(*names)
 
 
 ORACLE = """
