@@ -79,8 +79,8 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
     of its class and has none either.
     """
     spark = buckets.sparkSession
-    # a bucket of one id, however often, is of no use; 32 bits tell ids apart well enough and move less
-    size = buckets.groupBy("key").agg(F.min(F.hash("id")).alias("lo"), F.max(F.hash("id")).alias("hi")).where("lo < hi")
+    # a bucket of one id, however often, is of no use
+    size = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     whole = {"root": F.col("id"), "shared": F.col("size").cast("double"), "fine": F.lit(None).cast("array<long>")}
     live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumns(whole), "buckets")
     verify, alone, sketch = prepare(live.select("id").distinct())
