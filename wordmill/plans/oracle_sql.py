@@ -501,7 +501,7 @@ def alias_sql(name: str, source: str) -> str:
 {name}_off AS (SELECT *, m * w >= total AS heavy, abs(m * w - total) AS off FROM {name}_sums),
 {name}_upto AS (SELECT *, (sum(off) OVER (PARTITION BY grp, heavy ORDER BY item))::BIGINT AS upto FROM {name}_off),
 {name}_at AS (SELECT *, CASE WHEN heavy THEN upto ELSE upto - off END AS spot FROM {name}_upto),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT grp, item, m, total, row_number() OVER (PARTITION BY grp ORDER BY item) - 1 AS slot,
     CASE WHEN heavy THEN total + least(0, upto - coalesce(
       last_value(CASE WHEN NOT heavy THEN upto END IGNORE NULLS) OVER {order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -523,13 +523,16 @@ blks AS (SELECT 0 AS grp, grp AS item, sum(w)::BIGINT AS w FROM wts GROUP BY wts
 draws AS (
   SELECT batch, k, sha256('1:' || batch || ':' || k) AS h
   FROM (SELECT batch, unnest(range(0, {SG_NEGATIVES})) AS k FROM (SELECT DISTINCT batch FROM bat))),
-drawn AS (
-  SELECT batch, k, h, CASE WHEN {_DRAW.format(at=17)} % t.total < t.cut THEN t.item ELSE t.other END AS block
-  FROM draws JOIN top t ON t.slot = {_DRAW.format(at=1)} % (SELECT count(*) FROM blks)),
-sized AS (SELECT DISTINCT grp, m FROM sub)""",
+nums AS MATERIALIZED (
+  SELECT batch, k, {_DRAW.format(at=1)} % b.n AS slot, {_DRAW.format(at=17)} AS u1, {_DRAW.format(at=33)} AS u2, {_DRAW.format(at=49)} AS u3
+  FROM draws, (SELECT count(*) AS n FROM blks) b),
+drawn AS MATERIALIZED (
+  SELECT batch, k, u2, u3, CASE WHEN u1 % t.total < t.cut THEN t.item ELSE t.other END AS block FROM nums JOIN top t USING (slot)),
+sized AS (SELECT DISTINCT grp AS block, m FROM sub),
+placed AS MATERIALIZED (SELECT d.batch, d.k, d.u3, d.block, d.u2 % z.m AS slot FROM drawn d JOIN sized z USING (block))""",
 ) + (
-    f"SELECT d.batch, d.k, CASE WHEN {_DRAW.format(at=49)} % s.total < s.cut THEN s.item ELSE s.other END AS idx "
-    f"FROM drawn d JOIN sized z ON z.grp = d.block JOIN sub s ON s.grp = d.block AND s.slot = {_DRAW.format(at=33)} % z.m"
+    "SELECT p.batch, p.k, CASE WHEN p.u3 % s.total < s.cut THEN s.item ELSE s.other END AS idx "
+    "FROM placed p JOIN sub s ON s.grp = p.block AND s.slot = p.slot"
 )
 
 # The leading singular vector by power iteration; the others have no statement in SQL (tests have a dense decomposition).
