@@ -20,9 +20,9 @@ partitioning on (length, row), so a length that a third of all pieces have is sp
 tasks, and take their place by one look-up in the plan, in the task that holds them.
 
 Ids come from the tokenizer in texts' parts: a blank before a printable ASCII or Latin
-character always begins a new pre-token, so a text cut there has the same ids.  Distinct
-parts are encoded once and kept in the task (at most ``CACHE_BYTES`` and those of one
-text; all are dropped when full).
+character always begins a new pre-token, and letters always end one before an ASCII mark, so
+a text cut there has the same ids.  Distinct parts are encoded once and kept in the task (at
+most ``CACHE_BYTES`` and those of ``SLICE_BYTES`` of text or one text; all are dropped when full).
 
 Bounds: the driver holds ``capacity`` counts and a plan of a few rows a length; a task
 holds that plan and one text's ids.
@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.stage import OWN, Stages
+from wordmill.llm.text import buffers, slices
 from wordmill.operators.indexing import range_index
 
 CAPACITY = 2048
@@ -56,9 +57,17 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Parts and their ids that a task keeps, in bytes, and what one needs besides its text and ids.
 CACHE_BYTES = 128 << 20
 PART_BYTES = 200
+#: Text bytes encoded at once.
+SLICE_BYTES = 4 << 20
 
-#: A blank before one of these (none is white space) begins a pre-token, whatever comes before it.
-_BEGINS = re.compile(" (?=[!-~\u00a1-\u024f])")
+# Where a text may be cut without changing its ids, whatever stands on either side: a blank begins
+# a pre-token if a printable ASCII character or a Latin letter follows (first bytes here),
+_BEGINS = np.zeros(256, dtype=bool)
+_BEGINS[0x21:0x7F] = _BEGINS[0xC3:0xC9] = True
+#: letters end one before these marks (all of ASCII but ``|``, which a special token holds) and line ends,
+_CORE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[\n!-/:-@[-`{}~])")
+#: and so does a single line end between two printable characters, such as that of this prefix.
+_AFTER_LINE = " a\n"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -78,33 +87,69 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         pieces = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
         self.size = np.array([len(p.encode() if i in added else p) for i, p in enumerate(pieces)], dtype=np.int64)
-        self.known: dict[str, bytes] = {}  # ids of a part with the blank before it
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, bytes] = {}  # ids of a part
+        self.rests: dict[str, bytes] = {}  # ids of what follows a part's letters
         self.held = 0
 
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, parts: list[str]) -> None:
-        """Encode parts one after another as one text, and take it apart where they end."""
-        ids = self._encoded("".join(" " + p for p in parts))
-        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
-        at = [0, *np.searchsorted(np.cumsum(self.size[ids]), ends) + 1]
+    def _learn(self, prefix: str, parts: list[str], own: dict[str, bytes], drop: int) -> None:
+        """Encode parts as one text, each after ``prefix``, and take its ids apart where they end, without the first ``drop``."""
+        if not parts:
+            return
+        ids = self._encoded("".join([x for p in parts for x in (prefix, p)]) if prefix else "".join(parts))
+        ends = np.cumsum([len(p.encode()) for p in parts]) + len(prefix) * np.arange(1, len(parts) + 1)
+        at = [0, *(np.searchsorted(np.cumsum(self.size[ids]), ends) + 1).tolist()]
         data = ids.tobytes()
-        for part, lo, hi in zip(parts, at, at[1:]):
-            self.known[part] = data[4 * lo : 4 * hi]
+        own.update([(p, data[4 * (lo + drop) : 4 * hi]) for p, lo, hi in zip(parts, at, at[1:])])
         self.held += 4 * len(ids) + int(ends[-1]) + PART_BYTES * len(parts)
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *rest = _BEGINS.split(text)
-        new = [p for p in set(rest) if p not in self.known]
-        if new:
-            self._learn(new)
-        out = b"".join([self._encoded(first).tobytes() if first else b"", *map(self.known.__getitem__, rest)])
+    def _known(self, parts: list[str]) -> None:
+        """See to it that ``words`` holds all parts."""
+        words, rests = self.words, self.rests
+        new = [p for p in parts if p not in words]
+        after = [p for p in new if p[0] == " " and p[1:2] and ("!" <= p[1] <= "~" or "\u00c0" <= p[1] <= "\u023f")]
+        cut = [(p, m.end()) for p in after if (m := _CORE.match(p, 1))]
+        whole = set(after).difference([p for p, _ in cut])
+        whole.update([core for p, k in cut if (core := p[:k]) not in words])
+        self._learn("", list(whole), words, 0)
+        self._learn(" a", list({rest for p, k in cut if (rest := p[k:]) not in rests}), rests, 1)
+        words.update([(p, words[p[:k]] + rests[p[k:]]) for p, k in cut])
+        self.held += 2 * PART_BYTES * len(cut)
+        self._learn(_AFTER_LINE, [p for p in new if "!" <= p[0] <= "~"], words, 2)
+        for p in new:
+            if p not in words:
+                words[p] = self._encoded(p).tobytes()
+                self.held += len(words[p]) + 4 * len(p) + PART_BYTES
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's begin and the end of the last)."""
+        at, data = buffers(texts)
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(at), np.int64)
+        blank = np.zeros(len(data), dtype=bool)
+        blank[:-1] = (data[:-1] == 0x20) & _BEGINS[data[1:]]
+        last = at[1:] - 1
+        blank[last[last >= 0]] = False  # what follows the last blank of a text is another text
+        blank[at[:-1][np.diff(at) > 0]] = True  # a text begins a part
+        starts = np.flatnonzero(blank)
+        held = [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+        parts = pa.Array.from_buffers(pa.large_string(), len(starts), held).dictionary_encode()
+        own, which = parts.dictionary.to_pylist(), parts.indices.to_numpy()
+        self._known(own)
+        codes = [self.words[p] for p in own]
+        size = np.array([len(c) // 4 for c in codes], dtype=np.int64)
+        first = np.cumsum(size) - size
+        done = np.concatenate([[0], np.cumsum(size[which])])
+        take = np.repeat(first[which] - done[:-1], size[which]) + np.arange(done[-1])
+        ids = np.frombuffer(b"".join(codes), dtype="<u4")[take]
         if self.held > self.most:
-            self.known, self.held = {}, 0
-        return out
+            self._forget()
+        return ids, done[np.searchsorted(starts, at)]
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -117,17 +162,13 @@ def _pieces(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         mark = np.array([end], dtype="<u4").tobytes()
-        for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-            for doc, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = encoder.ids(text.as_py()) + mark
-                for k, (start, n) in enumerate(cut_lengths(len(ids) // 4, capacity)):
-                    rows.append((doc.as_py(), k, start, n, ids[4 * start : 4 * (start + n)]))
-                size += len(ids)
-                if size > 1 << 22:
-                    yield _rows(rows)
-                    rows, size = [], 0
+        for batch in slices(batches, "text", SLICE_BYTES):
+            ids, at = encoder.encode(batch.column("text"))
+            rows = []
+            for doc, lo, hi in zip(batch.column("doc_id").to_pylist(), at, at[1:]):
+                own = ids[lo:hi].tobytes() + mark
+                for k, (start, n) in enumerate(cut_lengths(len(own) // 4, capacity)):
+                    rows.append((doc, k, start, n, own[4 * start : 4 * (start + n)]))
             if rows:
                 yield _rows(rows)
 
