@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import time
 import zlib
 from collections import Counter
@@ -17,6 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from wordmill.llm import infill, lines, packing, pii, queries, spelling
 from wordmill.llm.links import classes
 from wordmill.llm.queries import QUERIES
@@ -442,3 +444,114 @@ def test_ids_of_one_hash_keep_their_link(spark):
     prepare = lambda ids: (lambda pairs: pairs, lambda some: some.select("id", F.lit(0.0).alias("alone")), None)
     roots, _ = classes(buckets, prepare, Stages(spark), 0.8)
     assert [tuple(r) for r in roots.collect()] == [(max(a, b), min(a, b))]
+
+
+# --- the pipeline, stage by stage, against brute force on each stage's own input
+
+
+def _weighted_groups(texts):
+    """Least id of each near-duplicate class: weighted Jaccard of five-word runs of 0.8 or more, over all pairs."""
+    runs = {}
+    for d, t in texts.items():
+        w = (t or "").lower().split()
+        runs[d] = Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+    root = {d: d for d in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    some = [d for d in texts if runs[d]]
+    for i, a in enumerate(some):
+        for b in some[i + 1 :]:
+            low, total = sum((runs[a] & runs[b]).values()), sum(runs[a].values()) + sum(runs[b].values())
+            if low / (total - low) >= 0.8:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d for d in texts if find(d) == d}
+
+
+def _without_boilerplate(rows, sites):
+    """Texts without lines of ``sites`` sources or more but for their first occurrence."""
+    word = re.compile("[^\x20\x09-\x0d]")
+    seen, first = {}, {}
+    for d, source, text in sorted(rows):
+        for k, line in enumerate((text or "").split("\n")):
+            if word.search(line):
+                seen.setdefault(line, set()).add(source)
+                first.setdefault(line, (d, k))
+    out = {}
+    for d, source, text in rows:
+        if text is None:
+            out[d] = None
+            continue
+        parts = text.split("\n")
+        kept = [x for k, x in enumerate(parts) if not (word.search(x) and len(seen[x]) >= sites and first[x] != (d, k))]
+        if len(kept) == len(parts) or word.search("\n".join(kept)):
+            out[d] = "\n".join(kept)
+    return out
+
+
+def test_the_pipeline_matches_brute_force_stage_by_stage(spark):
+    stages = Stages(spark)
+    docs = stages.cut(queries.read(spark, SF, "documents"), "documents", narrow=False)
+    columns, outs = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stages.cut(stage(spark, docs, SF), name, narrow=False)
+        outs.append([r.asDict() for r in docs.collect()])
+        assert docs.columns == (columns if name != "source_mixing" else [*columns, "mix_position"])
+    start = [r.asDict() for r in queries.read(spark, SF, "documents").collect()]
+    good, lines_out, one_each, clean, mixed = outs
+
+    # quality rules: what is kept passes the base rules, is untouched, and is no outlier by the operator's own verdict
+    verdict = {r.doc_id: r.kept for r in queries.op4_quality_rules(spark, SF).collect()}
+    kept = {r["doc_id"]: r for r in good}
+    for r in start:
+        w = re.findall("[^\x20\x09-\x0d]+", r["text"] or "")
+        windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        repeated = {i + k for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for k in range(8)}
+        failed = len(w) < 20 or 100 * len(repeated) > 30 * len(w)
+        assert (r["doc_id"] in kept) == verdict[r["doc_id"]] and not (failed and verdict[r["doc_id"]])
+        assert kept.get(r["doc_id"], r) == r
+
+    want = _without_boilerplate([(r["doc_id"], r["source"], r["text"]) for r in good], lines.MIN_SITES)
+    assert {r["doc_id"]: r["text"] for r in lines_out} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in lines_out if r["text"] != kept[r["doc_id"]]["text"])
+
+    before = {r["doc_id"]: r for r in lines_out}
+    assert {r["doc_id"] for r in one_each} == _weighted_groups({d: r["text"] for d, r in before.items()})
+    assert all(r == before[r["doc_id"]] for r in one_each)
+
+    def words(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    def closest(item, text):
+        """Fewest word edits between the item and any run of the text."""
+        cost = np.zeros(len(text) + 1, dtype=np.int64)
+        codes = {w: k for k, w in enumerate(dict.fromkeys(item + text))}
+        t = np.array([codes[w] for w in text])
+        for i, x in enumerate(item, 1):
+            new = np.minimum(cost[1:] + 1, cost[:-1] + (t != codes[x]))
+            new = np.concatenate([[i], new])
+            # what a step along the text costs, all at once
+            cost = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+        return cost.min()
+
+    items = [words(r.text) for r in queries.read(spark, SF, "benchmark").collect()]
+    leaked = set()
+    for r in one_each:
+        text = words(r["text"])
+        own = set(text)
+        if any(len(set(x) & own) >= 0.4 * len(set(x)) and closest(x, text) <= int(0.2 * len(x)) for x in items):
+            leaked.add(r["doc_id"])
+    assert {r["doc_id"] for r in clean} == {r["doc_id"] for r in one_each} - leaked and leaked
+
+    assert sorted(r["mix_position"] for r in mixed) == list(range(len(clean)))
+    assert sorted(map(str, ({c: r[c] for c in columns} for r in mixed))) == sorted(map(str, clean))
+    # every source's rows come by id, and at any place none is a block ahead of or behind its share of what all still have
+    order = [r["source"] for r in sorted(mixed, key=lambda r: r["mix_position"])]
+    ids = {}
+    for r in sorted(mixed, key=lambda r: r["mix_position"]):
+        ids.setdefault(r["source"], []).append(r["doc_id"])
+    assert all(own == sorted(own) for own in ids.values()) and len(order) == len(clean)
