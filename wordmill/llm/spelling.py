@@ -52,9 +52,11 @@ RATIO = 2
 OWN_GROUPS, SHARED_GROUPS = 12, 4
 GROUPS = OWN_GROUPS + SHARED_GROUPS
 #: Words of a subtree that one task searches, unless there are more than ``MAX_OPEN`` times as many words.
-MOST, MAX_OPEN = 4096, 4096
+MOST, MAX_OPEN = 1 << 14, 4096
 #: Letters of pairs that are compared at once.
 CELLS = 1 << 21
+#: Words that search a group's trie at once.
+ASKING = 1 << 16
 
 _SHIFT = 32
 
@@ -67,7 +69,9 @@ def word_counts(
     Only A-Z are lower-cased.  Which run loses which letter follows from the CRC-32 of ``doc_id:run``.
     """
     runs = docs.select(F.col("doc_id").cast("string").alias("d"), F.explode(F.regexp_extract_all("text", F.lit(RUNS), F.lit(0))).alias("run"))
-    low = runs.select("d", F.translate("run", UPPER, LOWER).alias("run"))
+    # a run of ASCII letters alone is lower-cased as a whole, which is faster
+    ascii_only = F.octet_length("run") == F.char_length("run")
+    low = runs.select("d", F.when(ascii_only, F.lower("run")).otherwise(F.translate("run", UPPER, LOWER)).alias("run"))
     h = F.crc32(F.concat(F.coalesce("d", F.lit("")), F.lit(":"), F.col("run")))
     keyed = low.select("run", h.alias("h"), F.char_length("run").alias("size"))
     at = (F.col("h") % F.col("size")).cast("int")
@@ -207,9 +211,9 @@ def links_of_group(
     held = np.flatnonzero(own)
     trie = Trie(table[held])
     size = np.diff(offsets)
-    step = 1 << 12
-    for lo in range(0, len(table), step):
-        asking = np.arange(lo, min(lo + step, len(table)))
+    order = np.lexsort(table.T[::-1])  # neighbours look in the same places
+    for lo in range(0, len(table), ASKING):
+        asking = order[lo : lo + ASKING]
         for _, rows, leaf, _, _ in search(trie.levels, table[asking]):
             first, n = trie.start[leaf], trie.start[leaf + 1] - trie.start[leaf]
             ends = np.cumsum(n)
