@@ -26,3 +26,45 @@ def test_ordered_index_hot_row_matches_sort(spark):
     got = sorted(((r["file_no"], r["row_id"], r["pos"]), r["idx"]) for r in out)
     assert [i for _, i in got] == list(range(len(got)))
     assert sorted(out[0].asDict()) == ["file_no", "idx", "pos", "row_id"]
+
+
+def test_hot_words_are_dealt_over_tasks(spark):
+    """A word with a third of all tokens: same result, and no task of the join holds its rows alone."""
+    from pyspark.sql import functions as F
+
+    from wordmill.operators.vocab import KEY, decode, encode
+
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.lit(0).alias("file_no"), F.col("id").alias("row_id"), F.lit(0).alias("col_no"), F.lit(0).cast("long").alias("sub"), F.lit(0).cast("long").alias("pos"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("w"), F.col("id") % 5000)).alias("token"),
+    )
+    counts = {r["token"]: r["count"] for r in rows.groupBy("token").count().collect()}
+    vocab = spark.createDataFrame([(w, k, n) for k, (w, n) in enumerate(sorted(counts.items()))], "word string, idx long, freq long")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(keep, ("-1", "false", "16")):
+        spark.conf.set(k, v)
+    try:
+        out = encode(rows, vocab)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        plain = rows.join(vocab.select(F.col("word").alias("token"), "idx"), "token")
+        before = [r["n"] for r in plain.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(before) > 20_000 and max(sizes) < 8_000 and sum(sizes) == 60_000
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.select(*KEY, "idx").collect()))
+        back = decode(out, vocab)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.select(*KEY, "token").collect()))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_subsampling_does_not_move_the_corpus(spark):
+    from wordmill.operators.pairs import relative_frequency, subsample_frequent
+
+    enc = spark.range(0, 3000).selectExpr("id as row_id", "case when id % 2 = 0 then 1 else id end as idx")
+    out = subsample_frequent(enc, 0.8)
+    kept = relative_frequency(enc).where("p_drop < 0.8").select("idx")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, enc.join(kept, "idx", "left_semi").select("row_id", "idx").select(*out.columns).collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+    # with room for more dropped words than are broadcast, the plain join gives the same
+    assert subsample_frequent(enc, 0.8, t=1e-9).count() == 0 and subsample_frequent(enc, None).count() == 3000

@@ -47,6 +47,16 @@ def test_every_word_survives_the_vocabulary_file(spark):
     assert {r["word"]: r["idx"] for r in w2i.collect()} == {w: k for k, w in enumerate(words)}
 
 
+def test_a_vocabulary_from_elsewhere_is_read_as_it_stands(spark):
+    d = tempfile.mkdtemp(prefix="wm-io-")
+    words = ["a\\tb", "\\", "\\\\n", "plain", '"q"']
+    with open(f"{d}/vocab.txt", "w", encoding="utf-8") as fp:
+        fp.write("".join(f"{w}\t{k}\n" for k, w in enumerate(words)))
+    for path in (f"{d}/vocab.txt", d):
+        w2i, _ = IO.read_vocab(spark, path)
+        assert {r["word"]: r["idx"] for r in w2i.collect()} == {w: k for k, w in enumerate(words)}
+
+
 def test_last_line_wins_over_several_parts(spark):
     d = tempfile.mkdtemp(prefix="wm-io-")
     with open(f"{d}/part-0.txt", "w", encoding="utf-8") as fp:

@@ -15,6 +15,9 @@ from wordmill.operators.indexing import ordered_index
 from wordmill.operators.vocab import KEY
 from wordmill.session import cut_lineage
 
+#: Most dropped words that are broadcast.
+MOST_DROPPED = 100_000
+
 # Seeded reach generator constants (a classic linear congruential step).
 LCG_MUL, LCG_ADD, LCG_MOD = 1103515245, 12345, 2147483648
 
@@ -34,13 +37,16 @@ def subsample_frequent(encoded: DataFrame, th: float | None, t: float = SUBSAMPL
     """P8 + J6: keep occurrences whose word has ``1 - sqrt(t / f) < th``.
 
     Deterministic threshold (not random).  ``th`` of ``None`` or ``0`` means
-    no filter.  Word frequencies are one partial/final aggregate; the kept
-    word list joins back (AQE broadcasts it when small).
+    no filter.  Word frequencies are one partial/final aggregate.  A word is
+    dropped if ``f >= t / (1 - th)^2``, so at most ``(1 - th)^2 / t`` words are:
+    a broadcast of that bound, and the corpus does not move.
     """
     if not th:
         return encoded
-    kept = relative_frequency(encoded, t).where(F.col("p_drop") < th).select("idx")
-    return encoded.join(kept, "idx", "left_semi")
+    rf = relative_frequency(encoded, t)
+    if th < 1 and (1 - th) ** 2 / t <= MOST_DROPPED:
+        return encoded.join(F.broadcast(rf.where(F.col("p_drop") >= th).select("idx")), "idx", "left_anti")
+    return encoded.join(rf.where(F.col("p_drop") < th).select("idx"), "idx", "left_semi")
 
 
 def global_position(encoded: DataFrame, key: list[str] = KEY, name: str = "gidx", stage: bool = True) -> DataFrame:

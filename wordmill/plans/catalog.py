@@ -29,6 +29,7 @@ from wordmill.operators.factors import extended, factorise
 from wordmill.operators.indexing import range_index
 from wordmill.operators.negatives import log_uniform_weight, negative_samples
 from wordmill.operators.sequences import batch_rows
+from wordmill.operators.subwords import fit_buckets, subword_means, word_buckets
 from wordmill.operators.vocab import decode, encode, stopword_frame, text_tokens
 from wordmill.plans import corpus as E2
 from wordmill.plans import embedding as E3
@@ -233,7 +234,7 @@ def q_corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write each artifact in the original's text format, read it back, count rows."""
+    """Write each artifact in the original's text format, read it back, count rows and weigh them by place."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/io-{uuid.uuid4().hex}"
     vocab = _vocab(spark, sf_dir)
     IO.write_vocab(vocab, f"{base}/vocab")
@@ -247,10 +248,17 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab_all = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None), "vocab_all")
     matrix = EMB.embedding_matrix(vocab_all.where(F.col("freq") >= WV_MIN_COUNT), E3.vectors_from_table(spark, sf_dir, vocab_all))
     IO.write_embedding_matrix(matrix, f"{base}/matrix")
-    matrix_back = spark.read.text(f"{base}/matrix")
+    # a line of the vocabulary and of the matrix counts by its place in the files
+    in_place = lambda name: range_index(IO.read_lines(spark, f"{base}/{name}", order=True), IO.FILE_ORDER, "place")
+    vocab_lines = in_place("vocab").select(F.col("line").alias("word"), F.col("place").alias("idx"))
+    cells = F.split(F.regexp_replace("line", "\r$", ""), "\t")
+    matrix_back = cut_lineage(in_place("matrix").select(cells[0].alias("word"), F.col("place").alias("idx"), cells[1].alias("values")), "matrix-lines")
+    numbers = F.split(F.translate("values", "[] ", ""), ",")
+    values = matrix_back.select("idx", F.posexplode(F.transform(numbers, lambda v: v.cast("float").cast("double"))).alias("dim", "value"))
+    matrix_values = values.select(F.round(F.col("value") * 1e6).cast("long").cast("string").alias("word"), (F.col("idx") * 64 + F.col("dim")).alias("idx"))
     stop_lines = stopword_frame(spark).union(stopword_frame(spark)).select(F.concat(F.lit(" "), "word").alias("value"))
     stop_lines.write.mode("overwrite").text(f"{base}/stop")
-    stop_back = IO.read_stopwords(spark, f"{base}/stop")
+    stop_back = IO.read_stopwords(spark, f"{base}/stop").withColumn("idx", F.lit(0))
 
     def n(name: str, df: DataFrame) -> DataFrame:
         place = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("decimal(38,0)") * (F.col("idx") % 1000 + 1)
@@ -258,8 +266,8 @@ def q_io_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n"), digest.alias("digest")).select(F.lit(name).alias("artifact"), "n", "digest")
 
     out = n("vocab_word_to_idx", w2i)
-    for name, df in [("vocab_idx_to_word", i2w), ("segmented_csv", seg_back), ("merged_lines", lines_back),
-                     ("matrix_lines", matrix_back), ("stopwords", stop_back)]:
+    for name, df in [("vocab_idx_to_word", i2w), ("vocab_lines", vocab_lines), ("segmented_csv", seg_back), ("merged_lines", lines_back),
+                     ("matrix_lines", matrix_back.drop("values")), ("matrix_values", matrix_values), ("stopwords", stop_back)]:
         out = out.unionByName(n(name, df))
     return out
 
@@ -363,6 +371,19 @@ def q_fold_in_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("idx"), "source", F.size("x").cast("long").alias("dims"), ((norm > 0) & (norm < float("inf"))).alias("sound"))
 
 
+def q_fitted_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 trained: n-gram buckets fitted to the factorised vectors; a vector for every word of the whole vocabulary."""
+    co = cut_lineage(P.cooccurrence(_batches(spark, sf_dir), SG_WINDOW), "cooc")
+    trained = factorise(_ppmi_rows(co), PPMI_SIZE, rounds=2).words
+    words = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None).select(F.col("idx").alias("id"), "word"), "words")
+    shares = cut_lineage(word_buckets(words), "shares")
+    fitted = subword_means(shares, fit_buckets(shares, trained), PPMI_SIZE)
+    known = trained.select("id", F.lit(True).alias("known"))
+    return words.join(fitted, "id").join(known, "id", "left").select(
+        "word", F.when(F.col("known"), "word").otherwise("ngram").alias("source"), F.size("x").cast("long").alias("dims")
+    )
+
+
 def q_bucketed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vocabulary and vectors kept in buckets by word, and the matrix joined from them."""
     tag = uuid.uuid4().hex
@@ -415,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "negative_samples": q_negative_samples,
     "ppmi_vectors": q_ppmi_vectors,
     "fold_in_vectors": q_fold_in_vectors,
+    "fitted_subwords": q_fitted_subwords,
     "bucketed_matrix": q_bucketed_matrix,
     "csv_splits": q_csv_splits,
     "dictionary_file": q_dictionary_file,

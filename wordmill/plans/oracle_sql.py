@@ -347,15 +347,23 @@ _DIGEST = "sum(('0x' || substr(md5(word), 1, 8))::BIGINT::DECIMAL(38, 0) * (idx
 
 ORACLE["io_roundtrip"] = with_(CELLS, TEXT_TOKENS, ALL_TOKENS, VOCAB_ALL, DIALOGUES, QA, SEG) + (
     ", wv AS (SELECT a.word, e.embedding FROM embeddings e JOIN vocab_all a ON a.idx = e.vec_id), "
+    "vlines AS (SELECT row_number() OVER (ORDER BY idx) - 1 AS idx, replace(replace(replace(replace(word, chr(92), chr(92) || chr(92)), "
+    "chr(9), chr(92) || 't'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r') || chr(9) || idx || chr(9) || freq AS word FROM vocab), "
+    "mrows AS (SELECT row_number() OVER (ORDER BY v.idx) - 1 AS idx, v.idx::VARCHAR AS word, wv.embedding FROM vocab v JOIN wv ON wv.word = v.word), "
+    "mlines AS (SELECT idx, word FROM mrows), "
+    "mvalues AS (SELECT idx * 64 + dim AS idx, round(value * 1e6)::BIGINT::VARCHAR AS word FROM ("
+    "SELECT idx, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding)::DOUBLE AS value FROM mrows)), "
     "lines AS (SELECT (row_number() OVER (ORDER BY file_no, row_id) - 1)::BIGINT AS idx, CASE WHEN file_no = 0 "
     "THEN coalesce(Question, '') || ' ' || coalesce(Dialogue, '') || ' ' || coalesce(Report, '') "
     "ELSE coalesce(Question, '') || ' ' || coalesce(Dialogue, '') END AS word FROM seg) "
     f"SELECT 'vocab_word_to_idx' AS artifact, count(*) AS n, {_DIGEST} AS digest FROM vocab "
     f"UNION ALL SELECT 'vocab_idx_to_word', count(*), {_DIGEST} FROM vocab "
+    f"UNION ALL SELECT 'vocab_lines', count(*), {_DIGEST} FROM vlines "
     "UNION ALL SELECT 'segmented_csv', count(*), NULL FROM seg "
     f"UNION ALL SELECT 'merged_lines', count(*), {_DIGEST} FROM lines "
-    "UNION ALL SELECT 'matrix_lines', count(*), NULL FROM vocab v JOIN wv ON wv.word = v.word "
-    f"UNION ALL SELECT 'stopwords', {len(set(DEFAULT_STOPWORDS))}::BIGINT, NULL"
+    f"UNION ALL SELECT 'matrix_lines', count(*), {_DIGEST} FROM mlines "
+    f"UNION ALL SELECT 'matrix_values', count(*), {_DIGEST} FROM mvalues "
+    f"UNION ALL SELECT 'stopwords', count(*), {_DIGEST} FROM (SELECT unnest({SW_LIST}) AS word, 0 AS idx)"
 )
 
 # R1 dictionary mode: the lattice of every distinct run, its best path from the end back
@@ -570,3 +578,8 @@ ORACLE["fold_in_vectors"] = with_(*_SG, context_sql("a.r"), _half("even", "batch
 )
 
 ORACLE["bucketed_matrix"] = ORACLE["embedding_matrix"]
+
+ORACLE["fitted_subwords"] = with_(*_SG, context_sql("a.r"), _half("whole", "true")) + (
+    f"SELECT word, CASE WHEN idx IN (SELECT w FROM whole) THEN 'word' ELSE 'ngram' END AS source, {PPMI_SIZE}::BIGINT AS dims "
+    "FROM vocab_all WHERE length(word) > 0"
+)
