@@ -377,7 +377,7 @@ def q_fitted_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = factorise(_ppmi_rows(co), PPMI_SIZE, rounds=2).words
     words = cut_lineage(E1.vocabulary(spark, sf_dir, drop_lt_freq=None).select(F.col("idx").alias("id"), "word"), "words")
     shares = cut_lineage(word_buckets(words), "shares")
-    fitted = subword_means(shares, fit_buckets(shares, trained), PPMI_SIZE)
+    fitted = subword_means(shares, fit_buckets(shares, trained, rounds=4), PPMI_SIZE)
     known = trained.select("id", F.lit(True).alias("known"))
     return words.join(fitted, "id").join(known, "id", "left").select(
         "word", F.when(F.col("known"), "word").otherwise("ngram").alias("source"), F.size("x").cast("long").alias("dims")
