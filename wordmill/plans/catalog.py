@@ -357,7 +357,7 @@ def q_ppmi_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     co = cut_lineage(P.cooccurrence(_batches(spark, sf_dir), SG_WINDOW), "cooc")
     found = factorise(_ppmi_rows(co), PPMI_SIZE, rounds=PPMI_ROUNDS)
     first = F.get("x", F.lit(0)) / F.lit(float(found.sigma[0]) ** 0.5)
-    return found.words.select(F.col("id").alias("idx"), F.size("x").cast("long").alias("dims"), F.round(first, 6).alias("first"))
+    return found.words.select(F.col("id").alias("idx"), F.size("x").cast("long").alias("dims"), F.round(first, 5).alias("first"))
 
 
 def q_fold_in_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -556,9 +556,9 @@ pow AS (
   UNION ALL
   SELECT t + 1, w, z / sqrt(sum(z * z) OVER ()) FROM (
     SELECT y.t, p.w, sum(p.v * y.y) AS z FROM pm p JOIN (
-      SELECT pow.t, q.c, sum(q.v * pow.x) AS y FROM pow JOIN pm q ON q.w = pow.w WHERE pow.t < 60 GROUP BY pow.t, q.c
+      SELECT pow.t, q.c, sum(q.v * pow.x) AS y FROM pow JOIN pm q ON q.w = pow.w WHERE pow.t < 200 GROUP BY pow.t, q.c
     ) y ON y.c = p.c GROUP BY y.t, p.w))""",
-) + f"SELECT w AS idx, {PPMI_SIZE}::BIGINT AS dims, round(x, 6) AS first FROM pow WHERE t = 60"
+) + f"SELECT w AS idx, {PPMI_SIZE}::BIGINT AS dims, round(x, 5) AS first FROM pow WHERE t = 200"
 
 
 def _half(name: str, where: str) -> str:
