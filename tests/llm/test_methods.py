@@ -381,48 +381,86 @@ def test_tagger_learns_and_adds_what_patterns_miss(spark, documents):
 # -- paragraphs -----------------------------------------------------------------------------------
 
 
-def test_repeated_paragraphs_match_brute_force(spark, documents):
-    rows = [(d, t) for d, t, _, _ in documents]
+def test_repeated_passages_match_brute_force_over_words(spark, documents):
+    rows = sorted((d, t) for d, t, _, _ in documents)
     got = paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"), Stages(spark)).collect()
-    hasher, units = Hasher(), []
-    for d, t in rows:
-        w = split_words(pa.array([t]), lower=True)
-        at, end, _, _ = paragraphs._paragraphs(w, hasher.words(w.data, w.start, w.end), hasher, paragraphs.RADIUS, paragraphs.MIN_WORDS)
-        words = t.lower().split()
-        k = paragraphs.CONTEXT
-        units += [(d, int(a), tuple(words[a:e]), tuple(words[max(0, a - k) : a]), tuple(words[e : e + k])) for a, e in zip(at, end)]
-    texts = sorted({u[2] for u in units})
-    grams = [{x[i : i + 5] for i in range(len(x) - 4)} for x in texts]
-    inverted, links = defaultdict(set), set()
-    for k, s in enumerate(grams):
-        for g in s:
-            inverted[g].add(k)
-    for own in inverted.values():
-        for a, b in itertools.combinations(sorted(own), 2):
-            if (a, b) not in links and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]):
-                links.add((a, b))
-    root = joined(range(len(texts)), links)
-    place = {x: root[k] for k, x in enumerate(texts)}
-    groups = defaultdict(list)
-    for d, a, x, before, after in units:
-        groups[place[x]].append((d, a, before, after))
-    want = {}
-    for g in groups.values():
-        befores, afters = Counter(o[2] for o in g), Counter(o[3] for o in g)
-        passage = [o[:2] for o in g if befores[o[2]] > 1 or afters[o[3]] > 1]
-        if len({d for d, _ in passage}) > 1:
-            want |= {o: min(passage) for o in passage}
-    have = {(r.doc_id, r.start_word): (r.first_doc, r.first_start) for r in got}
-    # banding may miss a link just above the threshold; equal paragraphs are never missed
-    wrong = {k for k in want if have.get(k) != want[k]} | {k for k in have if k not in want}
-    assert len(wrong) <= 0.01 * len(want)
-    equal = defaultdict(set)
-    for d, _, x, before, after in units:
-        equal[x, before].add(d)
-        equal[x, after, 1].add(d)
-    assert all((d, a) in have for d, a, x, before, after in units if len(equal[x, before]) > 1 or len(equal[x, after, 1]) > 1)
-    assert len(want) > 100
-    assert all(r.removed == ((r.doc_id, r.start_word) != (r.first_doc, r.first_start)) for r in got)
+    words = {d: t.lower().split() for d, t in rows}
+    gone = {(r.doc_id, i) for r in got if r.removed for i in range(r.start_word, r.start_word + r.n_words)}
+    whole = {}
+    for d, w in words.items():
+        for i in range(len(w)):
+            whole.setdefault(tuple(w[i : i + 60]), d)
+    # words of runs of 60 or more that an earlier document has too
+    want = {
+        (d, j)
+        for d, w in words.items()
+        for i in range(len(w) - 59)
+        if whole[tuple(w[i : i + 60])] < d
+        for j in range(i, i + 60)
+    }
+    assert len(want) > 1000 and len(want & gone) >= 0.98 * len(want)
+    # what goes is, but for the edits allowed, a run of the earlier document named
+
+    def edits(a, b):  # of a to its closest run in b
+        cost = [0] * (len(b) + 1)
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(new[-1] + 1, cost[j] + 1, cost[j - 1] + (x != y)))
+            cost = new
+        return min(cost)
+
+    for r in got:
+        assert r.n_words >= paragraphs.MIN_SPAN
+        if r.removed:
+            own = words[r.doc_id][r.start_word : r.start_word + r.n_words]
+            assert (r.first_doc, r.first_start) < (r.doc_id, r.start_word)
+            assert edits(own, words[r.first_doc]) <= 0.25 * len(own)
+
+
+@pytest.mark.parametrize("length,changes,least", [(60, 0, 0.98), (60, 1, 0.95), (120, 3, 0.98), (51, 0, 0.98)])
+def test_whole_passages_are_reported(spark, length, changes, least):
+    rng = random.Random(length + changes)
+    text = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    rows, planted = [], {}
+    for k in range(200):
+        passage = text(length)
+        for c in range(2):
+            own = list(passage)
+            for i in rng.sample(range(length), changes * c):
+                own[i] = "changed"
+            w = text(rng.randrange(100, 200))
+            i = rng.randrange(len(w))
+            rows.append((2 * k + c, " ".join(w[:i] + own + w[i:])))
+            planted[2 * k + c] = (i, i + length)
+    out = paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"), Stages(spark)).collect()
+    inside, outside = Counter(), 0
+    for r in out:
+        a, b = planted[r.doc_id]
+        assert r.removed == r.doc_id % 2
+        n = max(0, min(b, r.start_word + r.n_words) - max(a, r.start_word))
+        inside[r.doc_id] += n
+        outside += r.n_words - n
+    copies = {d: n for d, n in inside.items() if d % 2}
+    assert len(copies) >= least * 200
+    assert sum(copies.values()) >= 0.9 * length * 200
+    assert outside <= 0.01 * sum(inside.values())
+
+
+def test_one_copy_of_every_passage_stays(spark):
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    passages = [text(rng.randrange(60, 200)) for _ in range(30)]
+    rows = [(d, " ".join(text(20) + p + text(15) + q)) for d in range(90) for p, q in [rng.sample(passages, 2)]]
+    rows += [(None, rows[0][1]), (7, rows[3][1])]  # no id; a second text under one id
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [r.text.split() for r in paragraphs.drop_repeats(docs, Stages(spark)).collect()]
+    assert len(left) == len(rows)
+    standing = Counter(tuple(w[i : i + 5]) for w in left for i in range(len(w) - 4))
+    used = {tuple(p) for p in passages if sum(" ".join(p) in t for _, t in rows)}
+    for p in used:
+        seen = [standing[tuple(p[i : i + 5])] for i in range(len(p) - 4)]
+        assert min(seen) >= 1 and sum(n == 1 for n in seen) >= 0.9 * len(seen)
 
 
 def test_planted_passages_are_caught(spark, documents):

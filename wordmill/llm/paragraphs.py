@@ -4,23 +4,34 @@ A paragraph is a content-defined run of words: texts are cut before a word when
 hash of the pair (previous word, word) is the only least one within ``RADIUS`` pairs
 on either side.  Cuts depend on nearby words only, so a passage that stands inside
 different lines of different documents is cut alike; a passage of over 50 words holds
-about three cuts.  Paragraphs of ``MIN_WORDS`` words or more are compared.
+about four cuts.  Paragraphs of ``SHINGLE`` words or more are compared.
 
 Equal paragraphs (case folded) collapse first, with map-side aggregation.  Each
-distinct one gets MinHash values of its runs of five words in ``BANDS`` bands of
-``ROWS``: a pair at Jaccard 0.8 meets with probability 1 - (1 - 0.8^2)^4 = 0.98, at
-0.9 0.999.  Paragraphs that meet are compared exactly, hub by hub (see ``links``), and
-linked ones form components.
+distinct one of ``MIN_WORDS`` words or more gets MinHash values of its runs of five words
+in ``BANDS`` bands of ``ROWS``: a pair at Jaccard 0.8 meets with probability
+1 - (1 - 0.8^2)^4 = 0.98, at 0.9 0.999.  Paragraphs that meet are compared exactly, hub by
+hub (see ``links``), and linked ones form components.  Shorter paragraphs, of which one
+changed word leaves under 0.8, link if equal; changes in them are bridged, see below.
 
 A paragraph alone may be a common line.  An occurrence counts as part of a passage if
 the ``CONTEXT`` words before it, or those after it, are those of another occurrence in
-its component too, so at least ``MIN_WORDS + CONTEXT`` words in a row repeat (fewer only
-where a text begins or ends).  Where such occurrences lie in two documents or more, the
-first (least ``doc_id``, then start) stays and all others are removed.
+its component too (more words beside a short paragraph), so at least ``MIN_WORDS + CONTEXT``
+words in a row repeat (fewer only where a text begins or ends), and if its component lies in
+two documents or more.
+
+The first such occurrence of a component (least ``doc_id``, then text, then start) stays.
+All others are removed, and word by word as far to both sides (up to ``REACH`` words a side)
+as they are like an earlier occurrence that shares their context: equal words, and single changed
+ones where ``threshold`` of all and the ``AGAIN`` outer ones are equal.  So what is removed is left
+standing at an earlier place.  Neighbouring spans become one, also over a gap, if they follow
+the same earlier document and the gap, in the one or the other, is at most ``1 - threshold`` of
+the whole: then the whole span is within that share of word edits.  Whole spans of
+``MIN_SPAN`` words or more are reported.
 
 Defined results: null and empty texts have no paragraphs; a text without a cut is one
 paragraph; repeats within one document only are left alone; rows that repeat a ``doc_id`` and text
-give their occurrences once; a null ``doc_id`` sorts first.
+give their occurrences once; different texts under one ``doc_id`` have spans of their own; a null
+``doc_id`` sorts first.  Words to the sides are compared by 32 bits of their hash.
 """
 
 from __future__ import annotations
@@ -30,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.llm.links import Verify, classes
@@ -38,9 +49,12 @@ from wordmill.llm.minhash import lone_weight, similarity, weighted_runs
 from wordmill.llm.stage import OWN, Stages
 from wordmill.llm.text import U64, Hasher, Words, grams, mix, powers, slices, split_words
 
-RADIUS = 6
+RADIUS = 5
 MIN_WORDS = 12
 CONTEXT = 10
+REACH = 32
+MIN_SPAN = MIN_WORDS + CONTEXT
+AGAIN = 4
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 4, 2
@@ -76,11 +90,11 @@ def _least_inside(pair: np.ndarray, at: np.ndarray, doc: np.ndarray, first: np.n
     return np.where(own, pair[place + radius], np.iinfo(np.uint64).max).min(axis=1)
 
 
-def _paragraphs(w: Words, h: np.ndarray, hasher: Hasher, radius: int, min_words: int):
+def _paragraphs(w: Words, h: np.ndarray, hasher: Hasher, radius: int, least: int = SHINGLE):
     """(start, end, text, hash) of the paragraphs of a slice."""
     at = cuts(h, w.first, radius)
     end = np.append(at[1:], len(h)) if len(at) else at
-    long = end - at >= min_words
+    long = end - at >= least
     at, end = at[long], end[long]
     doc = np.searchsorted(w.first, at, side="right") - 1
     return at, end, doc, run_hash(h, at, end, hasher)
@@ -96,11 +110,6 @@ def run_hash(h: np.ndarray, at: np.ndarray, end: np.ndarray, hasher: Hasher) ->
     return mix((sums[end] - sums[at]) * down[at] + (end - at).astype(U64))
 
 
-def _short(h: np.ndarray) -> pa.Array:
-    """32 bits of a hash: enough to tell apart the contexts of one component."""
-    return pa.array((h >> U64(32)).astype(np.uint32).view(np.int32))
-
-
 def min_hashes(g: np.ndarray, owner: np.ndarray, n: int, k: int) -> np.ndarray:
     """``n x k`` least hashes of the elements ``g`` of each owner (ascending, none empty)."""
     lead = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
@@ -116,34 +125,40 @@ def _units(radius: int, min_words: int, bands: int, rows: int):
         for batch in slices(batches, "text"):
             w = split_words(batch.column("text"), lower=True)
             h = hasher.words(w.data, w.start, w.end)
-            at, end, doc, key = _paragraphs(w, h, hasher, radius, min_words)
+            at, end, doc, key = _paragraphs(w, h, hasher, radius)
             n = end - at
-            word = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            g, owner = grams(h[word], np.concatenate([[0], np.cumsum(n)]), SHINGLE)
+            side = np.maximum(CONTEXT, min_words + CONTEXT - n)
+            before = np.maximum(at - side, w.first[doc])
+            after = np.minimum(end + side, w.first[doc + 1])
+            long = np.flatnonzero(n >= min_words)
+            m = n[long]
+            word = np.repeat(at[long] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            g, owner = grams(h[word], np.concatenate([[0], np.cumsum(m)]), SHINGLE)
             order = np.lexsort((g, owner))
             new = np.ones(len(g), dtype=bool)
             new[1:] = (g[order][1:] != g[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-            runs = np.bincount(owner[order][new], minlength=len(at))
-            before = np.maximum(at - CONTEXT, w.first[doc])
-            after = np.minimum(end + CONTEXT, w.first[doc + 1])
-            low = min_hashes(g, owner, len(at), bands * rows)
+            runs = np.bincount(owner[order][new], minlength=len(long))
+            low = min_hashes(g, owner, len(long), bands * rows)
+            rank = np.full(len(at), -1)
+            rank[long] = np.arange(len(long))
+            rank = pa.array(rank, mask=rank < 0)  # short paragraphs have no bands
             keys = []
             for b in range(bands):
-                band = np.full(len(at), b + 1, dtype=U64)
+                band = np.full(len(long), b + 1, dtype=U64)
                 for r in range(rows):
                     band = mix(band * U64(0x100000001B3) + low[:, b * rows + r])
-                keys.append(band)
+                keys.append(pa.array(band.view(np.int64)).take(rank))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(doc)),
+                    *[batch.column(c).take(pa.array(doc)) for c in ("doc_id", "text_key")],
                     pa.array((at - w.first[doc]).astype(np.int32)),
                     pa.array(n.astype(np.int32)),
-                    pa.array(runs.astype(np.int32)),
+                    pa.array(runs.astype(np.int32)).take(rank),
                     pa.array(key.view(np.int64)),
-                    *[_short(run_hash(h, a, b, hasher)) for a, b in ((before, at), (end, after))],
-                    *[pa.array(x.view(np.int64)) for x in keys],
+                    *[pa.array(run_hash(h, a, b, hasher).view(np.int64)) for a, b in ((before, at), (end, after))],
+                    *keys,
                 ],
-                ["doc_id", "start_word", "n_words", "n_runs", "h", "before", "after", *[f"b{b}" for b in range(bands)]],
+                [*PLACE[:4], "n_runs", "h", "before", "after", *[f"b{b}" for b in range(bands)]],
             )
 
     return run
@@ -155,7 +170,7 @@ def _texts(radius: int, min_words: int):
         for batch in slices(batches, "text"):
             w = split_words(batch.column("text"), lower=True)
             h = hasher.words(w.data, w.start, w.end)
-            at, end, _, key = _paragraphs(w, h, hasher, radius, min_words)
+            at, end, _, key = _paragraphs(w, h, hasher, radius, min_words)  # only these are in bands
             key, some = np.unique(key, return_index=True)
             data = w.data.tobytes()
             yield pa.RecordBatch.from_arrays(
@@ -184,10 +199,153 @@ def _similar(threshold: float):
     return run
 
 
-PLACE = ["doc_id", "start_word", "n_words", "before", "after"]
+def _beside(reach: int):
+    """Words beside the places listed for each text: ``pre`` backwards from the start, ``post`` from the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in slices(batches, "text"):
+            w = split_words(batch.column("text"), lower=True)
+            h = (hasher.words(w.data, w.start, w.end) >> U64(32)).astype(np.uint32).view(np.int32)
+            places = batch.column("places")
+            doc = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
+            flat = places.flatten()
+            start = flat.field("start_word").to_numpy() + w.first[doc]
+            end = start + flat.field("n_words").to_numpy()
+            sides = []
+            for n, first, step in (
+                (np.minimum(reach, start - w.first[doc]), start - 1, -1),
+                (np.minimum(reach, w.first[doc + 1] - end), end, 1),
+            ):
+                offsets = np.concatenate([[0], np.cumsum(n)])
+                nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
+                word = h[np.repeat(first, n) + step * nth]
+                sides.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(word)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).take(pa.array(doc)) for c in ("doc_id", "text_key")],
+                    *[flat.field(c) for c in PLACE[2:]],
+                    *[flat.field(c) for c in ("root", "before", "after")],
+                    *sides,
+                ],
+                [*PLACE, "root", "before", "after", "pre", "post"],
+            )
+
+    return run
+
+
+PLACE = ["doc_id", "text_key", "start_word", "n_words"]
+WHERE = ["doc_id", "text_key", "start_word"]
+
+
+def _like_words(a: str, b: str, threshold: float) -> Column:
+    """Most words from the start of two arrays that are alike: ``threshold`` of them equal in place, the last ``AGAIN`` too.
+
+    Words equal from the start on count however few they are.
+    """
+    equal = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
+    zero = F.struct(*[F.lit(0).alias(c) for c in ("n", "equal", "run", "best")])
+
+    def step(s: Column, same: Column) -> Column:
+        n, some, run = s.n + 1, s.equal + same.cast("int"), F.when(same, s.run + 1).otherwise(0)
+        good = same & ((run >= AGAIN) | (run == n)) & (some >= F.lit(threshold) * n)
+        return F.struct(n.alias("n"), some.alias("equal"), run.alias("run"), F.when(good, n).otherwise(s.best).alias("best"))
+
+    return F.coalesce(F.aggregate(equal, zero, step, lambda s: s.best), F.lit(-1))
+
+
+def _passages(seen: DataFrame) -> DataFrame:
+    """Occurrences whose words before or after them are those of another in their component, of two documents or more."""
+    # one row a context: how many occurrences of the component have it
+    context = lambda side, col: F.struct(F.lit(side).alias("side"), F.col(col).alias("ctx"))
+    sides = seen.select("root", F.explode(F.array(context(0, "before"), context(1, "after"))).alias("c"))
+    shared = sides.groupBy("root", "c.side", "c.ctx").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    left = shared.where("side = 0").select("root", F.col("ctx").alias("before"), F.lit(True).alias("has_before"))
+    right = shared.where("side = 1").select("root", F.col("ctx").alias("after"), F.lit(True).alias("has_after"))
+    passage = seen.join(left, ["root", "before"], "left").join(right, ["root", "after"], "left")
+    passage = passage.where("has_before or has_after").drop("has_before", "has_after")
+    doc = F.coalesce("doc_id", F.lit(-(2**63)))
+    several = passage.groupBy("root").agg(F.min(doc).alias("lo"), F.max(doc).alias("hi")).where("lo < hi")
+    return passage.join(several.select("root"), "root")
+
 
+def _extended(found: DataFrame, threshold: float) -> DataFrame:
+    """Each occurrence with the words beside it that an occurrence of like context has too.
 
-def repeated_paragraphs(
+    ``from_*`` is that other occurrence, ``lo`` and ``hi`` the words added on either side.
+    An occurrence to be removed is compared with earlier ones only, one that stays with any.
+    """
+    me = F.struct(*WHERE)
+    place = F.struct(*WHERE, "pre", "post")
+    lead = found.groupBy("root").agg(F.min(me).alias("lead"))
+    rows = found.join(lead, "root").withColumn("removed", me != F.col("lead"))
+    for side in ("before", "after"):
+        ends = found.groupBy("root", side).agg(F.min(place).alias("least"), F.max(place).alias("most"))
+        rows = rows.join(ends, ["root", side])
+        own = lambda col: F.struct(*[F.col(f"{col}.{c}") for c in WHERE])
+        other = F.when(own("least") < me, F.col("least")).when(~F.col("removed") & (own("most") > me), F.col("most"))
+        rows = rows.withColumn(f"by_{side}", other).drop("least", "most")
+    for side in ("before", "after"):
+        ends = {"lo": _like_words("pre", f"by_{side}.pre", threshold), "hi": _like_words("post", f"by_{side}.post", threshold)}
+        rows = rows.withColumns({f"{side}_{x}": words for x, words in ends.items()})
+    # the partner that agrees on more words tells where the span stands there
+    better = F.col("before_lo") + F.col("before_hi") >= F.col("after_lo") + F.col("after_hi")
+    pick = lambda name: F.when(better, F.col(f"before_{name}")).otherwise(F.col(f"after_{name}"))
+    partner = F.when(better, F.col("by_before")).otherwise(F.col("by_after"))
+    rows = rows.withColumns({"lo": F.greatest(pick("lo"), F.lit(0)), "hi": F.greatest(pick("hi"), F.lit(0)), "by": partner})
+    return rows.select(
+        "doc_id",
+        "text_key",
+        "removed",
+        (F.col("start_word") - F.col("lo")).alias("start"),
+        (F.col("start_word") + F.col("n_words") + F.col("hi")).alias("stop"),
+        F.coalesce("by.doc_id", "lead.doc_id").alias("from_doc"),
+        F.coalesce("by.text_key", "lead.text_key").alias("from_text"),
+        (F.coalesce("by.start_word", "lead.start_word") - F.col("lo")).alias("from_start"),
+    )
+
+
+def _joined(spans: DataFrame, threshold: float, min_span: int) -> DataFrame:
+    """Spans of a text that overlap, touch or are bridged become one; those of ``min_span`` words or more."""
+    text = ["doc_id", "text_key", "removed"]
+    order = Window.partitionBy(*text).orderBy("start", "stop", "from_doc", "from_text", "from_start")
+    so_far = order.rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.col("start") - F.col("from_start")  # how far the span is from its partner's
+    near = spans.withColumns(
+        {
+            "last": F.max("stop").over(so_far),
+            "was": F.lag(F.struct("start", "stop", "from_doc", "from_text", shift.alias("shift"))).over(order),
+        }
+    )
+    gap = F.col("start") - F.col("last")
+    # words the partner has in the gap: its gap differs by the change of the shift
+    theirs = gap - shift + F.col("was.shift")
+    matched = F.col("was.stop") - F.col("was.start") + F.col("stop") - F.col("start")
+    bridged = (
+        F.col("was.from_doc").eqNullSafe(F.col("from_doc"))
+        & F.col("was.from_text").eqNullSafe(F.col("from_text"))
+        & (theirs >= 0)
+        & (matched >= threshold * (matched + F.greatest(gap, theirs)))
+    )
+    begins = F.when(F.col("last").isNull() | ((gap > 0) & ~bridged), 1).otherwise(0)
+    whole = near.withColumn("begins", begins).withColumn("span", F.sum("begins").over(order))
+    whole = whole.groupBy(*text, "span").agg(
+        F.min("start").alias("start_word"),
+        F.max("stop").alias("stop"),
+        F.min(F.struct("start", "from_doc", "from_start")).alias("first"),
+    )
+    return whole.where(F.col("stop") - F.col("start_word") >= min_span).select(
+        "doc_id",
+        "text_key",
+        "start_word",
+        (F.col("stop") - F.col("start_word")).alias("n_words"),
+        F.col("first.from_doc").alias("first_doc"),
+        F.col("first.from_start").alias("first_start"),
+        "removed",
+    )
+
+
+def spans_of_texts(
     docs: DataFrame,
     stages: Stages,
     radius: int = RADIUS,
@@ -195,26 +353,27 @@ def repeated_paragraphs(
     bands: int = BANDS,
     rows: int = ROWS,
     threshold: float = THRESHOLD,
+    reach: int = REACH,
+    min_span: int = MIN_SPAN,
 ) -> DataFrame:
-    """Every occurrence of a repeated paragraph: ``doc_id, start_word, n_words, first_doc, first_start, removed``.
-
-    ``start_word`` counts white-space words from 0; ``first_doc, first_start`` name the
-    occurrence that stays.  Documents without a repeated paragraph have no row.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """As ``repeated_paragraphs``, with ``text_key`` (``xxhash64`` of the text)."""
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        F.col("text").cast("string").alias("text"),
+    )
     names = [f"b{b}" for b in range(bands)]
-    schema = "doc_id long, start_word int, n_words int, n_runs int, h long, before int, after int, " + ", ".join(f"{b} long" for b in names)
+    schema = "doc_id long, text_key long, start_word int, n_words int, n_runs int, h long, before long, after long, " + ", ".join(f"{b} long" for b in names)
     units = stages.cut(docs.mapInArrow(_units(radius, min_words, bands, rows), schema), "paragraphs")
     distinct = units.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("n_runs").cast("long").alias("size"), *[F.min(b).alias(b) for b in names]
     )
-    distinct = stages.cut(distinct, "distinct")
-    wide, units = units, stages.cut(units.select(*PLACE, "h"), "places")
-    stages.drop(wide)
-    buckets = distinct.select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), "size")
+    # a short paragraph takes part if it is found again; a long one also if it is like another
+    distinct = stages.cut(distinct.where("n > 1 or size is not null"), "distinct")
+    buckets = distinct.where("size is not null").select(F.explode(F.array(*names)).alias("key"), F.col("h").alias("id"), "size")
 
     def prepare(ids: DataFrame) -> tuple[Verify, Verify, None]:
-        found = docs.mapInArrow(_texts(radius, min_words), "h long, text string")
+        found = docs.select("text").mapInArrow(_texts(radius, min_words), "h long, text string")
         texts = stages.cut(found.join(ids, found.h == ids.id).select("id", "text").dropDuplicates(["id"]), "texts", narrow=False)
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
@@ -227,28 +386,29 @@ def repeated_paragraphs(
     )
     several = distinct.where("n > 1").select("h").join(linked, "h", "left_anti")
     repeated = linked.unionByName(several.select("h", F.col("h").alias("root")))
-    seen = stages.cut(units.join(repeated, "h").drop("h").distinct(), "repeats")
-    # one row a context: how many occurrences of the component have it
-    sides = seen.select("root", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("ctx")), F.struct(F.lit(1).alias("side"), F.col("after").alias("ctx")))).alias("c"))
-    shared = sides.groupBy("root", "c.side", "c.ctx").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    left = shared.where("side = 0").select("root", F.col("ctx").alias("before"), F.lit(True).alias("has_before"))
-    right = shared.where("side = 1").select("root", F.col("ctx").alias("after"), F.lit(True).alias("has_after"))
-    passage = seen.join(left, ["root", "before"], "left").join(right, ["root", "after"], "left")
-    passage = passage.where("has_before or has_after").select("root", "doc_id", "start_word", "n_words")
-    doc = F.coalesce("doc_id", F.lit(-(2**63)))
-    lead = passage.groupBy("root").agg(
-        F.min(F.struct("doc_id", "start_word")).alias("lead"), F.min(doc).alias("lo"), F.max(doc).alias("hi")
-    )
-    out = passage.join(lead.where("lo < hi"), "root")
-    stays = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("start_word") == F.col("lead.start_word"))
-    return out.select(
-        "doc_id",
-        "start_word",
-        "n_words",
-        F.col("lead.doc_id").alias("first_doc"),
-        F.col("lead.start_word").alias("first_start"),
-        (~stays).alias("removed"),
+    seen = units.select(*PLACE, "before", "after", "h").join(repeated, "h").drop("h").distinct()
+    seen = stages.cut(seen, "repeats")
+    stages.drop(units, distinct)
+    passage = _passages(seen).groupBy("doc_id", "text_key").agg(
+        F.collect_list(F.struct(*PLACE[2:], "root", "before", "after")).alias("places")
     )
+    passage = stages.cut(passage.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "places"), "passages", narrow=False)
+    own = docs.doc_id.eqNullSafe(passage.id) & (docs.text_key == passage.key)
+    schema = "doc_id long, text_key long, start_word int, n_words int, root long, before long, after long, pre array<int>, post array<int>"
+    beside = docs.join(passage, own).select("doc_id", "text_key", "text", "places").mapInArrow(_beside(reach), schema)
+    # rows that repeat an id and a text give theirs once
+    found = stages.cut(beside.dropDuplicates([*WHERE]), "beside", narrow=False)
+    return _joined(_extended(found, threshold), threshold, min_span)
+
+
+def repeated_paragraphs(docs: DataFrame, stages: Stages, **params) -> DataFrame:
+    """Every span of a repeated passage: ``doc_id, start_word, n_words, first_doc, first_start, removed``.
+
+    ``start_word`` counts white-space words from 0; ``first_doc, first_start`` name the place of
+    an earlier occurrence (for one that stays: of another).  Documents without a repeated passage
+    have no row.
+    """
+    return spans_of_texts(docs, stages, **params).drop("text_key")
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,11 +431,14 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def drop_repeats(docs: DataFrame, stages: Stages, **params) -> DataFrame:
-    """``docs``, same columns, with every repeated paragraph but its first occurrence cut from ``text``.
+    """``docs``, same columns, with every repeated passage but its first occurrence cut from ``text``.
 
     A text goes on from the next word; a document may become empty.
     """
-    spans = repeated_paragraphs(docs, stages, **params).where("removed")
-    spans = spans.groupBy(F.col("doc_id").alias(OWN + "id")).agg(F.collect_set(F.struct("start_word", "n_words")).alias(OWN + "spans"))
-    joined = docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "id")), "left").drop(OWN + "id")
+    spans = spans_of_texts(docs, stages, **params).where("removed")
+    spans = spans.groupBy(F.col("doc_id").alias(OWN + "id"), F.col("text_key").alias(OWN + "key")).agg(
+        F.collect_set(F.struct("start_word", "n_words")).alias(OWN + "spans")
+    )
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "id")) & (F.xxhash64(F.col("text").cast("string")) == F.col(OWN + "key"))
+    joined = docs.join(spans, own, "left").drop(OWN + "id", OWN + "key")
     return joined.mapInArrow(_without, docs.schema)
