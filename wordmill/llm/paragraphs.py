@@ -200,42 +200,35 @@ def _similar(threshold: float):
 
 
 def _beside(reach: int):
-    """Words beside the places listed for each text: ``pre`` backwards from the start, ``post`` from the end."""
+    """Words beside the points listed for each text: on from the point, or back from it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in slices(batches, "text"):
             w = split_words(batch.column("text"), lower=True)
             h = (hasher.words(w.data, w.start, w.end) >> U64(32)).astype(np.uint32).view(np.int32)
-            places = batch.column("places")
-            doc = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
-            flat = places.flatten()
-            start = flat.field("start_word").to_numpy() + w.first[doc]
-            end = start + flat.field("n_words").to_numpy()
-            sides = []
-            for n, first, step in (
-                (np.minimum(reach, start - w.first[doc]), start - 1, -1),
-                (np.minimum(reach, w.first[doc + 1] - end), end, 1),
-            ):
-                offsets = np.concatenate([[0], np.cumsum(n)])
-                nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
-                word = h[np.repeat(first, n) + step * nth]
-                sides.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(word)))
+            points = batch.column("points")
+            doc = np.repeat(np.arange(batch.num_rows), points.value_lengths().to_numpy(zero_copy_only=False))
+            flat = points.flatten()
+            side = flat.field("side").to_numpy()
+            at = flat.field("point").to_numpy() + w.first[doc]
+            n = np.minimum(reach, np.where(side == 1, w.first[doc + 1] - at, at - w.first[doc]))
+            offsets = np.concatenate([[0], np.cumsum(n)])
+            nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
+            word = np.where(np.repeat(side == 1, n), np.repeat(at, n) + nth, np.repeat(at, n) - 1 - nth)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c).take(pa.array(doc)) for c in ("doc_id", "text_key")],
-                    *[flat.field(c) for c in PLACE[2:]],
-                    *[flat.field(c) for c in ("root", "before", "after")],
-                    *sides,
+                    *[flat.field(c) for c in ("point", "side")],
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h[word])),
                 ],
-                [*PLACE, "root", "before", "after", "pre", "post"],
+                ["doc_id", "text_key", "point", "side", "words"],
             )
 
     return run
 
 
 PLACE = ["doc_id", "text_key", "start_word", "n_words"]
-WHERE = ["doc_id", "text_key", "start_word"]
 
 
 def _like_words(a: str, b: str, threshold: float) -> Column:
@@ -254,93 +247,112 @@ def _like_words(a: str, b: str, threshold: float) -> Column:
     return F.coalesce(F.aggregate(equal, zero, step, lambda s: s.best), F.lit(-1))
 
 
-def _passages(seen: DataFrame) -> DataFrame:
-    """Occurrences whose words before or after them are those of another in their component, of two documents or more."""
-    # one row a context: how many occurrences of the component have it
+def _contexts(seen: DataFrame) -> DataFrame:
+    """Words beside a component's occurrences that more than one has, with the first and the last of these."""
     context = lambda side, col: F.struct(F.lit(side).alias("side"), F.col(col).alias("ctx"))
-    sides = seen.select("root", F.explode(F.array(context(0, "before"), context(1, "after"))).alias("c"))
-    shared = sides.groupBy("root", "c.side", "c.ctx").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    left = shared.where("side = 0").select("root", F.col("ctx").alias("before"), F.lit(True).alias("has_before"))
-    right = shared.where("side = 1").select("root", F.col("ctx").alias("after"), F.lit(True).alias("has_after"))
+    sides = seen.select("root", F.struct(*PLACE).alias("place"), F.explode(F.array(context(0, "before"), context(1, "after"))).alias("c"))
+    shared = sides.groupBy("root", "c.side", "c.ctx").agg(F.min("place").alias("least"), F.max("place").alias("most"))
+    return shared.where(F.col("least") != F.col("most"))
+
+
+def _passages(seen: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Occurrences in a shared context, of components in two documents or more; the first of each stays."""
+    left = contexts.where("side = 0").select("root", F.col("ctx").alias("before"), F.lit(True).alias("has_before"))
+    right = contexts.where("side = 1").select("root", F.col("ctx").alias("after"), F.lit(True).alias("has_after"))
     passage = seen.join(left, ["root", "before"], "left").join(right, ["root", "after"], "left")
     passage = passage.where("has_before or has_after").drop("has_before", "has_after")
-    doc = F.coalesce("doc_id", F.lit(-(2**63)))
-    several = passage.groupBy("root").agg(F.min(doc).alias("lo"), F.max(doc).alias("hi")).where("lo < hi")
-    return passage.join(several.select("root"), "root")
+    doc, place = F.coalesce("doc_id", F.lit(-(2**63))), F.struct(*PLACE)
+    lead = passage.groupBy("root").agg(F.min(doc).alias("lo"), F.max(doc).alias("hi"), F.min(place).alias("lead"))
+    return passage.join(lead.where("lo < hi").drop("lo", "hi"), "root").withColumn("removed", place != F.col("lead"))
+
+
+def _ends(passage: DataFrame) -> DataFrame:
+    """First and last paragraph of every stretch of neighbours: ``start`` is the stretch's, ``side`` 0 the first."""
+    order = Window.partitionBy("doc_id", "text_key").orderBy("start_word")
+    stop = F.col("start_word") + F.col("n_words")
+    same = lambda step: F.coalesce(step("removed").over(order) == F.col("removed"), F.lit(False))
+    rows = passage.withColumns(
+        {
+            "begins": ~(same(F.lag) & (F.lag(stop).over(order) == F.col("start_word"))),
+            "finishes": ~(same(F.lead) & (F.lead("start_word").over(order) == stop)),
+        }
+    )
+    rows = rows.withColumn("start", F.last(F.when(F.col("begins"), F.col("start_word")), ignorenulls=True).over(order))
+    sides = F.array_compact(F.array(F.when(F.col("begins"), 0), F.when(F.col("finishes"), 1)))
+    return rows.select("*", F.explode(sides).alias("side")).drop("begins", "finishes")
 
 
-def _extended(found: DataFrame, threshold: float) -> DataFrame:
-    """Each occurrence with the words beside it that an occurrence of like context has too.
+def _asked(ends: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Each end with ``other``, the occurrence of like context whose words beside it are to be compared.
 
-    ``from_*`` is that other occurrence, ``lo`` and ``hi`` the words added on either side.
-    An occurrence to be removed is compared with earlier ones only, one that stays with any.
+    An occurrence that goes is compared with an earlier one only, one that stays with any.  The context on the
+    end's own side is asked first.
     """
-    me = F.struct(*WHERE)
-    place = F.struct(*WHERE, "pre", "post")
-    lead = found.groupBy("root").agg(F.min(me).alias("lead"))
-    rows = found.join(lead, "root").withColumn("removed", me != F.col("lead"))
-    for side in ("before", "after"):
-        ends = found.groupBy("root", side).agg(F.min(place).alias("least"), F.max(place).alias("most"))
-        rows = rows.join(ends, ["root", side])
-        own = lambda col: F.struct(*[F.col(f"{col}.{c}") for c in WHERE])
-        other = F.when(own("least") < me, F.col("least")).when(~F.col("removed") & (own("most") > me), F.col("most"))
-        rows = rows.withColumn(f"by_{side}", other).drop("least", "most")
-    for side in ("before", "after"):
-        ends = {"lo": _like_words("pre", f"by_{side}.pre", threshold), "hi": _like_words("post", f"by_{side}.post", threshold)}
-        rows = rows.withColumns({f"{side}_{x}": words for x, words in ends.items()})
-    # the partner that agrees on more words tells where the span stands there
-    better = F.col("before_lo") + F.col("before_hi") >= F.col("after_lo") + F.col("after_hi")
-    pick = lambda name: F.when(better, F.col(f"before_{name}")).otherwise(F.col(f"after_{name}"))
-    partner = F.when(better, F.col("by_before")).otherwise(F.col("by_after"))
-    rows = rows.withColumns({"lo": F.greatest(pick("lo"), F.lit(0)), "hi": F.greatest(pick("hi"), F.lit(0)), "by": partner})
+    me = F.struct(*PLACE)
+    other = F.when(F.col("least") < me, F.col("least")).when(~F.col("removed") & (F.col("most") > me), F.col("most"))
+    rows = ends
+    for name, side in (("near", F.col("side")), ("far", 1 - F.col("side"))):
+        rows = rows.withColumns({"_side": side, "_ctx": F.when(side == 0, F.col("before")).otherwise(F.col("after"))})
+        known = contexts.select("root", F.col("side").alias("_side"), F.col("ctx").alias("_ctx"), "least", "most")
+        rows = rows.join(known, ["root", "_side", "_ctx"], "left").withColumn(name, other).drop("_side", "_ctx", "least", "most")
+    point = lambda at: F.when(F.col("side") == 0, F.col(f"{at}start_word")).otherwise(F.col(f"{at}start_word") + F.col(f"{at}n_words"))
+    rows = rows.withColumn("other", F.coalesce("near", "far"))
+    rows = rows.withColumn("compared", F.col("other").isNotNull()).withColumn("other", F.coalesce("other", "lead"))
     return rows.select(
-        "doc_id",
-        "text_key",
-        "removed",
-        (F.col("start_word") - F.col("lo")).alias("start"),
-        (F.col("start_word") + F.col("n_words") + F.col("hi")).alias("stop"),
-        F.coalesce("by.doc_id", "lead.doc_id").alias("from_doc"),
-        F.coalesce("by.text_key", "lead.text_key").alias("from_text"),
-        (F.coalesce("by.start_word", "lead.start_word") - F.col("lo")).alias("from_start"),
+        "doc_id", "text_key", "removed", "start", "side", point("").alias("point"), "compared",
+        F.col("other.doc_id").alias("from_doc"), F.col("other.text_key").alias("from_text"), point("other.").alias("from_point"),
+    )
+
+
+def _extended(asked: DataFrame, beside: DataFrame, threshold: float) -> DataFrame:
+    """Stretches with the words added at both ends; ``lo`` and ``hi`` tell the place followed and how far off it is."""
+    mine = beside.select("doc_id", "text_key", "point", "side", F.col("words").alias("words"))
+    theirs = beside.select(*[F.col(c).alias(f"their_{c}") for c in ("doc_id", "text_key", "point", "side", "words")])
+    own = [asked[c].eqNullSafe(mine[c]) for c in ("doc_id", "text_key", "point", "side")]
+    rows = asked.where("compared").join(mine, own).select(*[asked[c] for c in asked.columns], mine["words"])
+    followed = rows.from_doc.eqNullSafe(F.col("their_doc_id")) & (rows.from_text == F.col("their_text_key"))
+    followed &= (rows.from_point == F.col("their_point")) & (rows.side == F.col("their_side"))
+    rows = rows.join(theirs, followed).withColumn("n", _like_words("words", "their_words", threshold))
+    rows = rows.select(*asked.columns, "n").unionByName(asked.where("not compared").withColumn("n", F.lit(0)))
+    follows = F.struct("point", "n", "from_doc", "from_text", (F.col("point") - F.col("from_point")).alias("shift"))
+    whole = rows.groupBy("doc_id", "text_key", "removed", "start").agg(
+        F.min(F.when(F.col("side") == 0, follows)).alias("lo"), F.min(F.when(F.col("side") == 1, follows)).alias("hi")
     )
+    return whole.withColumns({"start": F.col("lo.point") - F.col("lo.n"), "stop": F.col("hi.point") + F.col("hi.n")})
 
 
 def _joined(spans: DataFrame, threshold: float, min_span: int) -> DataFrame:
     """Spans of a text that overlap, touch or are bridged become one; those of ``min_span`` words or more."""
     text = ["doc_id", "text_key", "removed"]
-    order = Window.partitionBy(*text).orderBy("start", "stop", "from_doc", "from_text", "from_start")
+    order = Window.partitionBy(*text).orderBy("start", "stop")
     so_far = order.rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.col("start") - F.col("from_start")  # how far the span is from its partner's
     near = spans.withColumns(
-        {
-            "last": F.max("stop").over(so_far),
-            "was": F.lag(F.struct("start", "stop", "from_doc", "from_text", shift.alias("shift"))).over(order),
-        }
+        {"last": F.max("stop").over(so_far), "was": F.lag(F.struct("start", "stop", "hi")).over(order)}
     )
     gap = F.col("start") - F.col("last")
-    # words the partner has in the gap: its gap differs by the change of the shift
-    theirs = gap - shift + F.col("was.shift")
+    # words in the gap of the document followed: its gap differs by the change of the shift
+    theirs = gap - F.col("lo.shift") + F.col("was.hi.shift")
     matched = F.col("was.stop") - F.col("was.start") + F.col("stop") - F.col("start")
     bridged = (
-        F.col("was.from_doc").eqNullSafe(F.col("from_doc"))
-        & F.col("was.from_text").eqNullSafe(F.col("from_text"))
+        F.col("was.hi.from_doc").eqNullSafe(F.col("lo.from_doc"))
+        & F.col("was.hi.from_text").eqNullSafe(F.col("lo.from_text"))
         & (theirs >= 0)
         & (matched >= threshold * (matched + F.greatest(gap, theirs)))
     )
     begins = F.when(F.col("last").isNull() | ((gap > 0) & ~bridged), 1).otherwise(0)
     whole = near.withColumn("begins", begins).withColumn("span", F.sum("begins").over(order))
+    follows = F.struct("start", F.col("lo.from_doc").alias("doc"), (F.col("start") - F.col("lo.shift")).alias("at"))
     whole = whole.groupBy(*text, "span").agg(
-        F.min("start").alias("start_word"),
-        F.max("stop").alias("stop"),
-        F.min(F.struct("start", "from_doc", "from_start")).alias("first"),
+        F.min("start").alias("start_word"), F.max("stop").alias("stop"), F.min(follows).alias("first")
     )
-    return whole.where(F.col("stop") - F.col("start_word") >= min_span).select(
+    n_words = F.col("stop") - F.col("start_word")
+    return whole.where(n_words >= min_span).select(
         "doc_id",
         "text_key",
         "start_word",
-        (F.col("stop") - F.col("start_word")).alias("n_words"),
-        F.col("first.from_doc").alias("first_doc"),
-        F.col("first.from_start").alias("first_start"),
+        n_words.alias("n_words"),
+        F.col("first.doc").alias("first_doc"),
+        F.col("first.at").alias("first_start"),
         "removed",
     )
 
@@ -389,16 +401,20 @@ def spans_of_texts(
     seen = units.select(*PLACE, "before", "after", "h").join(repeated, "h").drop("h").distinct()
     seen = stages.cut(seen, "repeats")
     stages.drop(units, distinct)
-    passage = _passages(seen).groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct(*PLACE[2:], "root", "before", "after")).alias("places")
-    )
-    passage = stages.cut(passage.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "places"), "passages", narrow=False)
-    own = docs.doc_id.eqNullSafe(passage.id) & (docs.text_key == passage.key)
-    schema = "doc_id long, text_key long, start_word int, n_words int, root long, before long, after long, pre array<int>, post array<int>"
-    beside = docs.join(passage, own).select("doc_id", "text_key", "text", "places").mapInArrow(_beside(reach), schema)
+    contexts = stages.cut(_contexts(seen), "contexts")
+    asked = stages.cut(_asked(_ends(_passages(seen, contexts)), contexts), "asked")
+    stages.drop(seen, contexts)
+    some = asked.where("compared")
+    theirs = some.select(F.col("from_doc").alias("id"), F.col("from_text").alias("key"), F.col("from_point").alias("point"), "side")
+    points = some.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "point", "side").unionByName(theirs)
+    points = points.groupBy("id", "key").agg(F.collect_set(F.struct("point", "side")).alias("points"))
+    points = stages.cut(points, "points", narrow=False)
+    own = docs.doc_id.eqNullSafe(points.id) & (docs.text_key == points.key)
+    schema = "doc_id long, text_key long, point int, side int, words array<int>"
+    beside = docs.join(points, own).select("doc_id", "text_key", "text", "points").mapInArrow(_beside(reach), schema)
     # rows that repeat an id and a text give theirs once
-    found = stages.cut(beside.dropDuplicates([*WHERE]), "beside", narrow=False)
-    return _joined(_extended(found, threshold), threshold, min_span)
+    beside = stages.cut(beside.dropDuplicates(["doc_id", "text_key", "point", "side"]), "beside", narrow=False)
+    return _joined(_extended(asked, beside, threshold), threshold, min_span)
 
 
 def repeated_paragraphs(docs: DataFrame, stages: Stages, **params) -> DataFrame:
