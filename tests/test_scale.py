@@ -1,6 +1,8 @@
 """What a plan moves, and where: joins, partitions and stages that would not scale."""
 
+from pyspark.sql import functions as F
 
+from wordmill.operators import embeddings as EMB
 from wordmill.operators import segment as S
 
 
@@ -20,3 +22,30 @@ def test_no_row_a_place_is_broadcast(spark):
         optimized = spans._jdf.queryExecution().optimizedPlan().toString()
         assert optimized.count("Join Inner") == 1, optimized  # with the prefixes; none with the pieces
         assert ("rightHint=(strategy=broadcast)" if few else "rightHint=(strategy=merge)") in optimized
+
+
+def test_training_partitions_are_bounded_by_the_cores(spark, monkeypatch):
+    seen = []
+
+    class Trainer:
+        def __init__(self, **params):
+            seen.append(params["numPartitions"])
+
+        def fit(self, df):
+            return None
+
+    monkeypatch.setattr(EMB, "Word2Vec", Trainer)
+    lines = spark.range(40).select(F.array_repeat(F.lit("w"), 50).alias("tokens"))
+    monkeypatch.setattr(EMB, "TOKENS_PER_PARTITION", 10)  # 200 parts' worth
+    EMB.train_embeddings(lines)
+    monkeypatch.setattr(EMB, "TOKENS_PER_PARTITION", 1000)
+    EMB.train_embeddings(lines)
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == [min(200, cores), min(2, cores)]
+
+
+def test_vectors_of_a_model_are_read_from_files(spark):
+    lines = spark.createDataFrame([(["a", "b", "c"] * 4,)], "tokens array<string>")
+    vectors = EMB.word_vectors(EMB.train_embeddings(lines, 4, 2, 1, 1))
+    assert "LocalRelation" not in plan_of(vectors) and vectors.inputFiles()
+    assert sorted(r["word"] for r in vectors.collect()) == ["a", "b", "c"]
