@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from wordmill.operators import embeddings as EMB
+from wordmill.operators import negatives as N
 from wordmill.operators import segment as S
 
 
@@ -49,3 +50,11 @@ def test_vectors_of_a_model_are_read_from_files(spark):
     vectors = EMB.word_vectors(EMB.train_embeddings(lines, 4, 2, 1, 1))
     assert "LocalRelation" not in plan_of(vectors) and vectors.inputFiles()
     assert sorted(r["word"] for r in vectors.collect()) == ["a", "b", "c"]
+
+
+def test_draws_stay_where_they_are_when_the_table_is_small(spark):
+    weights = spark.range(5000).select(F.col("id").alias("idx"), N.log_uniform_weight(F.col("id")).alias("w"))
+    drawn = N.negative_samples(spark.range(4).select(F.col("id").alias("batch")), weights, n=100, blocks=16)
+    assert drawn.count() == 400
+    plan = drawn._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan
