@@ -1,9 +1,13 @@
 """What a plan moves, and where: joins, partitions and stages that would not scale."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from wordmill.operators import embeddings as EMB
 from wordmill.operators import negatives as N
+from wordmill.operators import pairs as P
 from wordmill.operators import segment as S
 
 
@@ -58,3 +62,26 @@ def test_draws_stay_where_they_are_when_the_table_is_small(spark):
     assert drawn.count() == 400
     plan = drawn._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("random", [True, False])
+@pytest.mark.parametrize("size", [1, 7, 300])
+def test_skipgram_pairs_are_those_of_the_context_sets(spark, random, size):
+    ids = [(i * i + 3 * (i // 5)) % 6 for i in range(900)]
+    rows = [(g // size, g, None if g % 50 == 7 else ids[g]) for g in range(900)]
+    batched = spark.createDataFrame(rows, "batch long, gidx long, idx long").repartition(5)
+    context = P.context_sets(batched, 3, random)
+    brute = Counter()
+    reach = {r["gidx"]: r["r"] for r in batched.select("gidx", (P.random_reach(F.col("gidx"), 3) if random else F.lit(3)).alias("r")).collect()}
+    for b, g, x in rows:
+        near = {rows[h][2] for h in range(max(0, g - reach[g]), min(len(rows), g + reach[g] + 1)) if h != g and rows[h][0] == b}
+        brute.update((b, x, c) for c in near - {None})
+    for small in (spark, None):  # batches that go over several Arrow batches, and whole ones
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16" if small else "10000")
+        found = P.skipgram_pairs(batched, 3, random)
+        assert {(r["batch"], r["center"], r["context"]): r["n"] for r in found.collect()} == dict(brute)
+    listed = Counter((r["batch"], r["center"], c) for r in context.collect() for c in r["context"])
+    assert listed == brute
+    assert all(list(r["context"]) == sorted(set(r["context"])) for r in context.collect())
+    # no table of a partition's pairs
+    assert "HashAggregate" not in found._jdf.queryExecution().sparkPlan().toString()
