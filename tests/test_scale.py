@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from wordmill.llm import links
+from wordmill.llm.stage import Stages
 from wordmill.operators import embeddings as EMB
 from wordmill.operators import negatives as N
 from wordmill.operators import pairs as P
@@ -85,3 +87,10 @@ def test_skipgram_pairs_are_those_of_the_context_sets(spark, random, size):
     assert all(list(r["context"]) == sorted(set(r["context"])) for r in context.collect())
     # no table of a partition's pairs
     assert "HashAggregate" not in found._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_buckets_name_their_least_size(spark):
+    live = spark.createDataFrame([(1, 5, 9, 5), (1, 6, 4, 6), (2, 5, 9, 5), (2, 7, 8, 5)], "key long, id long, size long, root long")
+    for table in (live, live.withColumn("least", F.lit(0).cast("long"))):
+        left = links._undecided(table, Stages(spark))
+        assert sorted((r["key"], r["id"], r["size"], r["least"]) for r in left.collect()) == [(1, 5, 9, 4), (1, 6, 4, 4)]

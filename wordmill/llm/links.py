@@ -62,9 +62,9 @@ def _hubs(live: DataFrame, degree: DataFrame | None, fan: int) -> DataFrame:
 
 
 def _undecided(live: DataFrame, stages: Stages) -> DataFrame:
-    """Members of the buckets that hold more than one class."""
-    alive = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    return stages.cut(live.join(alive.select("key"), "key"), "buckets")
+    """Members of the buckets that hold more than one class, each with the ``least`` size of its bucket."""
+    alive = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("size").alias("least"))
+    return stages.cut(live.drop("least").join(alive.where("lo < hi").select("key", "least"), "key"), "buckets")
 
 
 def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: float, fans: int = FANS) -> tuple[DataFrame, DataFrame]:
@@ -114,14 +114,13 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
         # hubs have met every member, so only the others can hold an unseen link
         nxt = _undecided(left, stages)
         if stages.rows(nxt):
-            least = nxt.groupBy("key").agg(F.min("size").alias("least"))
-            told = nxt.join(alone(nxt.select("id").distinct()), "id", "left").join(least, "key")
+            told = nxt.join(alone(nxt.select("id").distinct()), "id", "left")
             told = told.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0.0)))
             could = told.where(F.col("shared") >= overlap * (F.col("size") + F.col("least")) - 1e-9)
-            nxt = _undecided(could.select(*live.columns), stages)
+            nxt = _undecided(could.drop("alone"), stages)
             if sketch and stages.rows(nxt):
                 drawn = sketch(nxt.select("id").distinct())
-                nxt = stages.cut(nxt.drop("fine").join(drawn, "id").select(*live.columns), "buckets")
+                nxt = stages.cut(nxt.drop("fine").join(drawn, "id"), "buckets")
         stages.drop(live, hubs)
         live = nxt
         fan *= FANS if fan == 1 else fans
