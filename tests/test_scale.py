@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from wordmill.constants import CLEAN_LITERALS, CLEAN_WHITESPACE, clean_pattern
+from wordmill.functions.text import clean_sentence, strip_ws
 from wordmill.llm import links
 from wordmill.llm.stage import Stages
 from wordmill.operators import embeddings as EMB
@@ -89,6 +91,23 @@ def test_skipgram_pairs_are_those_of_the_context_sets(spark, random, size):
     assert "HashAggregate" not in found._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_cleaning_tells_letters_first_and_deletes_what_it_did(spark):
+    every = [chr(c) for c in range(0x3100) if c] + [chr(c) for c in range(0xFF00, 0xFFF0)]
+    texts = ["a" + c + "Z" + c + c + "9" for c in every] + [f"x{w}y{w[:1]}{w}" for w in CLEAN_LITERALS] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for gap in ("", " "):
+        plain = F.regexp_replace(F.coalesce("t", F.lit("")), F.lit(clean_pattern()), F.lit(gap))
+        assert df.where(clean_sentence("t", gap) != plain).count() == 0
+    assert "(?![0-9A-Za-z])" in plan_of(df.select(clean_sentence("t")))
+
+
+def test_only_the_ends_of_a_text_are_read_to_strip_it(spark):
+    texts = [e + "a" + chr(c) + " b" + e for c in CLEAN_WHITESPACE for e in ("", chr(c), "\n" + chr(c) + "\r\n")] + ["", " \u3000\n", "\u200bx\u200b"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", strip_ws("t").alias("s"))
+    assert [(r["t"], r["s"]) for r in df.collect()] == [(t, t.strip("".join(map(chr, CLEAN_WHITESPACE)))) for t in texts] + [(None, None)]
+    assert "regexp" not in plan_of(df)
+
+
 def test_buckets_name_their_least_size(spark):
     live = spark.createDataFrame([(1, 5, 9, 5), (1, 6, 4, 6), (2, 5, 9, 5), (2, 7, 8, 5)], "key long, id long, size long, root long")
     for table in (live, live.withColumn("least", F.lit(0).cast("long"))):
