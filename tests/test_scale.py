@@ -13,6 +13,7 @@ from wordmill.operators import embeddings as EMB
 from wordmill.operators import negatives as N
 from wordmill.operators import pairs as P
 from wordmill.operators import segment as S
+from wordmill.operators import vocab as V
 
 
 def plan_of(df) -> str:
@@ -108,6 +109,26 @@ def test_only_the_ends_of_a_text_are_read_to_strip_it(spark):
     assert "regexp" not in plan_of(df)
 
 
+def test_places_of_tokens_are_longs_where_they_fit(spark):
+    schema = "file_no int, row_id long, col_no int, sub long, text string, special boolean"
+    rows = [(f, r, c, t, f"w{r % 5} x{c} y{t} w{f}", c == 3) for f in (1, 0) for r in (9, -4, 2) for c in (3, 0, 1) for t in (6, 0)]
+    rows += [(0, None, 0, 0, "late words", False), (0, 1, 0, 0, None, False), (1, 3, 1, 1, "", False)]
+    far = (1, (1 << 62) + 5, 40, 1 << 24, "far away", False)  # leaves no room in a long
+    for more, kind in (([], "bigint"), ([far], "decimal(38,0)"), ([(0, -(1 << 63), 0, 0, "least", False), (1, (1 << 63) - 1, 0, 0, "most", False)], "decimal(38,0)")):
+        cells = spark.createDataFrame([*rows, *more], schema)
+        tokens = V.vocab_tokens(cells)
+        assert tokens.schema[V.CELL].dataType.simpleString() == kind
+        packed = V.build_vocab(tokens.where("row_id is not null"), V.stopword_frame(spark, ["x1"]))
+        plain = V.build_vocab(tokens.where("row_id is not null").drop(V.CELL), V.stopword_frame(spark, ["x1"]))
+        assert sorted(map(tuple, packed.collect())) == sorted(map(tuple, plain.collect()))
+        freq = {r["word"]: r["freq"] for r in V.build_vocab(tokens, V.stopword_frame(spark, [])).collect()}
+        assert freq["late"] == 1 and freq["w0"] == tokens.where("token = 'w0'").count()
+    with pytest.raises(Exception, match="out of the range"):
+        V.build_vocab(V.vocab_tokens(spark.createDataFrame([(0, 1, 0, -1, "a", False)], schema)), V.stopword_frame(spark, [])).collect()
+    empty = V.vocab_tokens(spark.createDataFrame([], schema))
+    assert V.build_vocab(empty, V.stopword_frame(spark, ["x"])).count() == 0
+
+
 def test_buckets_name_their_least_size(spark):
     live = spark.createDataFrame([(1, 5, 9, 5), (1, 6, 4, 6), (2, 5, 9, 5), (2, 7, 8, 5)], "key long, id long, size long, root long")
     for table in (live, live.withColumn("least", F.lit(0).cast("long"))):
