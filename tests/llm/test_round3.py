@@ -446,6 +446,30 @@ def test_ids_of_one_hash_keep_their_link(spark):
     assert [tuple(r) for r in roots.collect()] == [(max(a, b), min(a, b))]
 
 
+@pytest.mark.parametrize("ids", [6, 7, 9])
+def test_buckets_that_fit_the_fan_end_with_the_round(spark, ids):
+    """All of a small bucket's members are hubs at once, and long sketches are drawn once, for the first round's rest."""
+    rounds, drawn = [], []
+
+    def prepare(found):
+        def verify(pairs):
+            rounds.append(pairs.count())
+            return pairs.where("a = 3 and b = 2")
+
+        def sketch(some):
+            drawn.append(sorted(r.id for r in some.collect()))
+            return some.select("id", F.array_repeat(F.lit(0).cast("long"), 64).alias("fine"))
+
+        return verify, lambda some: some.select("id", F.lit(0.0).alias("alone")), sketch
+
+    buckets = spark.createDataFrame([(7, i, 5) for i in range(ids)], "key long, id long, size long")
+    roots, links = classes(buckets, prepare, Stages(spark), 0.8, 200)
+    assert [tuple(r) for r in roots.collect()] == [(3, 2)] and links.count() == 1
+    # each pair once: the first hub's, then all others
+    assert rounds == [ids - 1, (ids - 1) * (ids - 2) // 2]
+    assert drawn == [list(range(1, ids))]
+
+
 # --- the pipeline, stage by stage, against brute force on each stage's own input
 
 

@@ -48,23 +48,28 @@ def most_apart(bits: int, threshold: float, deviations: float = 6) -> int:
 
 
 def _hubs(live: DataFrame, degree: DataFrame | None, fan: int) -> DataFrame:
-    """One hub for each bucket and each of ``fan`` shares of its members: most links, then least id."""
+    """One hub for each bucket and each of ``fan`` shares of its members: most links, then least id.
+
+    From the second round on, all members of a bucket of at most ``fan`` are hubs, so that it ends with the round.
+    """
     if degree is not None:
         live = live.join(degree, "id", "left")
-        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size", "shared", "fine")
+        rank = F.struct((-F.coalesce("links", F.lit(0))).alias("d"), "id", "root", "size", "shared")
     else:
-        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size", "shared", "fine")
-    share = F.pmod(F.xxhash64("id"), F.lit(fan)).alias("share")
-    least = live.groupBy("key", share).agg(F.min(rank).alias("h"))
+        rank = F.struct(F.lit(0).cast("long").alias("d"), "id", "root", "size", "shared")
+    share = F.pmod(F.xxhash64("id"), F.lit(fan))
+    if fan > 1:
+        share = F.when(F.col("members") <= fan, F.col("id")).otherwise(share)
+    least = live.groupBy("key", share.alias("share")).agg(F.min(rank).alias("h"))
     return least.select(
-        "key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"), F.col("h.shared").alias("hub_shared"), F.col("h.fine").alias("hub_fine")
+        "key", F.col("h.id").alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.size").alias("hub_size"), F.col("h.shared").alias("hub_shared")
     )
 
 
 def _undecided(live: DataFrame, stages: Stages) -> DataFrame:
-    """Members of the buckets that hold more than one class, each with the ``least`` size of its bucket."""
-    alive = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("size").alias("least"))
-    return stages.cut(live.drop("least").join(alive.where("lo < hi").select("key", "least"), "key"), "buckets")
+    """Members of the buckets that hold more than one class, each with the ``least`` size and the number of ``members`` of its bucket."""
+    alive = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("size").alias("least"), F.count(F.lit(1)).alias("members"))
+    return stages.cut(live.drop("least", "members").join(alive.where("lo < hi").select("key", "least", "members"), "key"), "buckets")
 
 
 def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: float, fans: int = FANS) -> tuple[DataFrame, DataFrame]:
@@ -81,10 +86,10 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
     spark = buckets.sparkSession
     # a bucket of one id, however often, is of no use
     size = buckets.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    whole = {"root": F.col("id"), "shared": F.col("size").cast("double"), "fine": F.lit(None).cast("array<long>")}
+    whole = {"root": F.col("id"), "shared": F.col("size").cast("double")}
     live = stages.cut(buckets.join(size.select("key"), "key").distinct().withColumns(whole), "buckets")
     verify, alone, sketch = prepare(live.select("id").distinct())
-    links = tested = roots = None
+    links = tested = roots = fine = None
     fan = 1
     overlap = threshold / (1 + threshold)  # least shared weight, of the sum of two sizes
     while stages.rows(live):
@@ -93,11 +98,17 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
             ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
             degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
         hubs = stages.cut(_hubs(live, degree, fan), "hubs")
-        pairs = live.join(hubs, "key").where("id <> hub and root <> hub_root")
+        near, far = live, hubs
+        if fine is not None:
+            # a bucket may have members times ``fan`` comparisons: not all in one task, small as the tables are
+            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            near = live.join(fine, "id").repartition(tasks, "key")
+            far = hubs.join(fine.select(F.col("id").alias("hub"), F.col("fine").alias("hub_fine")), "hub").repartition(tasks, "key")
+        pairs = near.join(far, "key").where("id <> hub and root <> hub_root")
         # what two sets share is at most the smaller one, and at most what either shares at all
         pairs = pairs.where(F.least("size", "hub_size") >= threshold * F.greatest("size", "hub_size") - 1e-9)
         pairs = pairs.where(F.least("shared", "hub_shared") >= overlap * (F.col("size") + F.col("hub_size")) - 1e-9)
-        if sketch and fan > 1:
+        if fine is not None:
             pairs = pairs.where(bits_apart("fine", "hub_fine") <= most_apart(FINE_BITS, threshold, FINE_DEVIATIONS))
         pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
         if tested is not None:
@@ -117,10 +128,11 @@ def classes(buckets: DataFrame, prepare: Prepare, stages: Stages, threshold: flo
             told = nxt.join(alone(nxt.select("id").distinct()), "id", "left")
             told = told.withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0.0)))
             could = told.where(F.col("shared") >= overlap * (F.col("size") + F.col("least")) - 1e-9)
-            nxt = _undecided(could.drop("alone"), stages)
-            if sketch and stages.rows(nxt):
-                drawn = sketch(nxt.select("id").distinct())
-                nxt = stages.cut(nxt.drop("fine").join(drawn, "id"), "buckets")
+            before, nxt = nxt, _undecided(could.drop("alone"), stages)
+            stages.drop(before)
+            # later rounds have no other ids
+            if sketch and fine is None and stages.rows(nxt):
+                fine = stages.cut(sketch(nxt.select("id").distinct()), "fine", narrow=False)
         stages.drop(live, hubs)
         live = nxt
         fan *= FANS if fan == 1 else fans

@@ -241,7 +241,9 @@ def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fine_sketches(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """``(id, fine)``: one bit of each of ``FINE_BITS`` coordinates."""
-    some = texts.join(ids, "id", "left_semi").select("id", "text")
+    # some fifty thousand darts a text: small tables are much work
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = texts.join(ids, "id", "left_semi").select("id", "text").repartition(tasks, "id")
     return some.mapInArrow(_fine, "id long, fine array<long>").dropDuplicates(["id"])
 
 
@@ -259,13 +261,15 @@ def near_duplicates(
     worded = signed.where("n > 0")
     # equal word sequences become one node, named by their least id
     reps = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    nodes = worded.join(reps, ["k1", "k2"])
-    member = stages.cut(nodes.select("doc_id", "rep").distinct(), "member")
+    member = stages.cut(worded.join(reps, ["k1", "k2"]).select("doc_id", "rep").distinct(), "member")
+    # by the id as well: the rows of a text's copies do not meet in one task
+    first = worded.join(reps.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"], "left_semi")
+    nodes = stages.cut(first.select("doc_id", "n", "bands", "sketch"), "nodes", narrow=False)
     runs = F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)).alias("size")
-    buckets = nodes.where("doc_id = rep").select(F.explode("bands").alias("key"), F.col("rep").alias("id"), runs)
+    buckets = nodes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), runs)
 
     def prepare(ids: DataFrame) -> tuple[Verify, Verify, Verify]:
-        drawn = nodes.where("doc_id = rep").select(F.col("doc_id").alias("id"), "sketch")
+        drawn = nodes.select(F.col("doc_id").alias("id"), "sketch")
         sketches = stages.cut(drawn.join(ids, "id"), "sketches")
         texts = stages.cut(docs.join(ids, docs.doc_id == ids.id, "left_semi"), "texts", narrow=False)
         verify = lambda pairs: _verified_links(pairs, sketches, texts, threshold, bands * rows)
