@@ -20,9 +20,12 @@ partitioning on (length, row), so a length that a third of all pieces have is sp
 tasks, and take their place by one look-up in the plan, in the task that holds them.
 
 Ids come from the tokenizer in texts' parts: a blank before a printable ASCII or Latin
-character always begins a new pre-token, and letters always end one before an ASCII mark, so
-a text cut there has the same ids.  Distinct parts are encoded once and kept in the task (at
-most ``CACHE_BYTES`` and those of ``SLICE_BYTES`` of text or one text; all are dropped when full).
+character always begins a new pre-token, letters and digits always end one before an ASCII
+mark, and a line end between two printable characters is one, so a text cut there has the
+same ids.  Cuts are found in the bytes, parts are numbered by Arrow, and those not met
+before are encoded as one text, so no part is a Python object.  Parts and their ids stay in
+the Python worker (at most ``CACHE_BYTES`` and those of ``SLICE_BYTES`` of text or one text;
+all are dropped when full).
 
 Bounds: the driver holds ``capacity`` counts and a plan of a few rows a length; a task
 holds that plan and one text's ids.
@@ -36,13 +39,14 @@ arbitrary, the number of sequences is not.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,19 +58,27 @@ CAPACITY = 2048
 #: Id that ends a document.
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: Parts and their ids that a task keeps, in bytes, and what one needs besides its text and ids.
-CACHE_BYTES = 128 << 20
-PART_BYTES = 200
-#: Text bytes encoded at once.
+#: Parts and their ids that a worker keeps, in bytes, and what one needs besides its text and ids.
+CACHE_BYTES = 48 << 20
+PART_BYTES = 24
+#: Text bytes cut and encoded at once.
 SLICE_BYTES = 4 << 20
 
 # Where a text may be cut without changing its ids, whatever stands on either side: a blank begins
 # a pre-token if a printable ASCII character or a Latin letter follows (first bytes here),
 _BEGINS = np.zeros(256, dtype=bool)
 _BEGINS[0x21:0x7F] = _BEGINS[0xC3:0xC9] = True
-#: letters end one before these marks (all of ASCII but ``|``, which a special token holds) and line ends,
-_CORE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[\n!-/:-@[-`{}~])")
-#: and so does a single line end between two printable characters, such as that of this prefix.
+#: letters and digits (of Latin-1, second bytes of U+00C0 to U+00FF) end one
+_ENDS = np.zeros(256, dtype=bool)
+_ENDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_LATIN = np.zeros(256, dtype=bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+#: before these marks (all of ASCII but ``|``, which a special token holds),
+_MARKS = np.zeros(256, dtype=bool)
+_MARKS[0x21:0x7F] = ~_ENDS[0x21:0x7F]
+_MARKS[ord("|")] = False
+#: and a single line end between two printable characters is one, such as that of this prefix.
 _AFTER_LINE = " a\n"
 
 
@@ -76,6 +88,27 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def cuts(at: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Where parts begin in ``data``, texts that begin at ``at[:-1]``; every text that is not empty begins one."""
+    begins = np.zeros(len(data), dtype=bool)
+    left, right = data[:-1], data[1:]
+    follows = _BEGINS[right]
+    np.logical_and(left == 0x20, follows, out=begins[:-1])
+    ends = _ENDS[data]
+    ends[1:] |= _LATIN[right] & (left == 0xC3)
+    begins[1:] |= ends[:-1] & _MARKS[right]
+    line = np.flatnonzero(left == 0x0A)
+    line = line[(line > 0) & follows[line]]
+    line = line[ends[line - 1] | _BEGINS[data[line - 1]]]
+    begins[line] = begins[line + 1] = True
+    # what follows the last byte of a text is another text
+    last = at[1:] - 1
+    last = last[last >= 0]
+    begins[last[(data[last] == 0x20) | (data[last] == 0x0A)]] = False
+    begins[at[:-1][np.diff(at) > 0]] = True
+    return np.flatnonzero(begins)
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit numbers."""
 
@@ -90,68 +123,76 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words: dict[str, bytes] = {}  # ids of a part
-        self.rests: dict[str, bytes] = {}  # ids of what follows a part's letters
-        self.held = 0
+        self.words = pa.array([], pa.large_string())  # parts met
+        self.ids = np.zeros(0, "<u4")  # ids of all of them
+        self.first, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)  # where a part's ids begin and how many they are
 
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, prefix: str, parts: list[str], own: dict[str, bytes], drop: int) -> None:
-        """Encode parts as one text, each after ``prefix``, and take its ids apart where they end, without the first ``drop``."""
-        if not parts:
-            return
-        ids = self._encoded("".join([x for p in parts for x in (prefix, p)]) if prefix else "".join(parts))
-        ends = np.cumsum([len(p.encode()) for p in parts]) + len(prefix) * np.arange(1, len(parts) + 1)
-        at = [0, *(np.searchsorted(np.cumsum(self.size[ids]), ends) + 1).tolist()]
-        data = ids.tobytes()
-        own.update([(p, data[4 * (lo + drop) : 4 * hi]) for p, lo, hi in zip(parts, at, at[1:])])
-        self.held += 4 * len(ids) + int(ends[-1]) + PART_BYTES * len(parts)
-
-    def _known(self, parts: list[str]) -> None:
-        """See to it that ``words`` holds all parts."""
-        words, rests = self.words, self.rests
-        new = [p for p in parts if p not in words]
-        after = [p for p in new if p[0] == " " and p[1:2] and ("!" <= p[1] <= "~" or "\u00c0" <= p[1] <= "\u023f")]
-        cut = [(p, m.end()) for p in after if (m := _CORE.match(p, 1))]
-        whole = set(after).difference([p for p, _ in cut])
-        whole.update([core for p, k in cut if (core := p[:k]) not in words])
-        self._learn("", list(whole), words, 0)
-        self._learn(" a", list({rest for p, k in cut if (rest := p[k:]) not in rests}), rests, 1)
-        words.update([(p, words[p[:k]] + rests[p[k:]]) for p, k in cut])
-        self.held += 2 * PART_BYTES * len(cut)
-        self._learn(_AFTER_LINE, [p for p in new if "!" <= p[0] <= "~"], words, 2)
-        for p in new:
-            if p not in words:
-                words[p] = self._encoded(p).tobytes()
-                self.held += len(words[p]) + 4 * len(p) + PART_BYTES
+    def _joined(self, parts: pa.Array, prefix: str, drop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of parts encoded as one text, each after ``prefix``, where a part's ids begin, how many), without the first ``drop``."""
+        if prefix:
+            parts = pc.binary_join_element_wise(pa.scalar(prefix, pa.large_string()), parts, pa.scalar("", pa.large_string()))
+        at, data = buffers(parts)
+        ids = self._encoded(data.tobytes().decode())
+        ends = np.searchsorted(np.cumsum(self.size[ids]), at[1:]) + 1
+        first = np.concatenate([[0], ends[:-1]]) + drop
+        return ids, first, ends - first
+
+    def _learn(self, known: pa.Array) -> None:
+        """Add parts to those met; ``known`` are those met, then those to add."""
+        words = known.slice(len(self.words))
+        at, data = buffers(words)
+        begins = data[at[:-1]]
+        # where a part is one byte the byte looked at is that of another part
+        blank = (begins == 0x20) & (np.diff(at) > 1) & _BEGINS[data[np.minimum(at[:-1] + 1, len(data) - 1)]]
+        line = _BEGINS[begins]
+        first, n = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        done, total = [self.ids], len(self.ids)
+
+        def add(which: np.ndarray, ids: np.ndarray, start, many) -> None:
+            nonlocal total
+            first[which], n[which] = total + start, many
+            done.append(ids)
+            total += len(ids)
+
+        for which, prefix, drop in ((blank, "", 0), (line, _AFTER_LINE, 2)):
+            if which.any():
+                add(which, *self._joined(words.filter(pa.array(which)), prefix, drop))
+        for i in np.flatnonzero(~(blank | line)).tolist():
+            ids = self._encoded(words[i].as_py())
+            add(i, ids, 0, len(ids))
+        firsts, many = np.concatenate([self.first, first]), np.concatenate([self.n, n])
+        self.words, self.ids, self.first, self.n = known, np.concatenate(done), firsts, many
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin and the end of the last)."""
         at, data = buffers(texts)
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(len(at), np.int64)
-        blank = np.zeros(len(data), dtype=bool)
-        blank[:-1] = (data[:-1] == 0x20) & _BEGINS[data[1:]]
-        last = at[1:] - 1
-        blank[last[last >= 0]] = False  # what follows the last blank of a text is another text
-        blank[at[:-1][np.diff(at) > 0]] = True  # a text begins a part
-        starts = np.flatnonzero(blank)
+        starts = cuts(at, data)
         held = [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
-        parts = pa.Array.from_buffers(pa.large_string(), len(starts), held).dictionary_encode()
-        own, which = parts.dictionary.to_pylist(), parts.indices.to_numpy()
-        self._known(own)
-        codes = [self.words[p] for p in own]
-        size = np.array([len(c) // 4 for c in codes], dtype=np.int64)
-        first = np.cumsum(size) - size
-        done = np.concatenate([[0], np.cumsum(size[which])])
-        take = np.repeat(first[which] - done[:-1], size[which]) + np.arange(done[-1])
-        ids = np.frombuffer(b"".join(codes), dtype="<u4")[take]
-        if self.held > self.most:
+        parts = pa.Array.from_buffers(pa.large_string(), len(starts), held)
+        # the parts met come first, so their numbers stay as they are
+        coded = pa.chunked_array([self.words, parts]).dictionary_encode().chunks[-1]
+        known, which = coded.dictionary, coded.indices.to_numpy()
+        if len(known) > len(self.words):
+            self._learn(known)
+        size = self.n[which]
+        done = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(self.first[which] - done[:-1], size) + np.arange(done[-1])]
+        if self.words.nbytes + self.ids.nbytes + PART_BYTES * len(self.words) > self.most:
             self._forget()
         return ids, done[np.searchsorted(starts, at)]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """The worker's encoder: a worker runs one task at a time and is used for many."""
+    return Encoder(path)
+
+
 def cut_lengths(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` ids: all but the first are of the capacity."""
     first = n % capacity or capacity
@@ -160,7 +201,7 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 def _pieces(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         mark = np.array([end], dtype="<u4").tobytes()
         for batch in slices(batches, "text", SLICE_BYTES):
             ids, at = encoder.encode(batch.column("text"))
