@@ -1,5 +1,6 @@
 """What a plan moves, and where: joins, partitions and stages that would not scale."""
 
+import time
 from collections import Counter
 
 import pytest
@@ -7,12 +8,15 @@ from pyspark.sql import functions as F
 
 from wordmill.constants import CLEAN_LITERALS, CLEAN_WHITESPACE, clean_pattern
 from wordmill.functions.text import clean_sentence, strip_ws
+from wordmill import session
 from wordmill.llm import links
 from wordmill.llm.stage import Stages
 from wordmill.operators import embeddings as EMB
+from wordmill.operators import joins as J
 from wordmill.operators import negatives as N
 from wordmill.operators import pairs as P
 from wordmill.operators import segment as S
+from wordmill.operators import sequences as SEQ
 from wordmill.operators import vocab as V
 
 
@@ -134,3 +138,78 @@ def test_buckets_name_their_least_size(spark):
     for table in (live, live.withColumn("least", F.lit(0).cast("long"))):
         left = links._undecided(table, Stages(spark))
         assert sorted((r["key"], r["id"], r["size"], r["least"]) for r in left.collect()) == [(1, 5, 9, 4), (1, 6, 4, 4)]
+
+
+def shuffle_blocks(spark) -> int:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split()
+    return sum(b.startswith("shuffle_") for b in blocks)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = spark.conf.get(session._CLEANUP)
+    n = shuffle_blocks(spark)
+    assert session.cut_lineage(spark.range(1000).repartition(7).groupBy(F.col("id") % 13).count()).count() == 13
+    for _ in range(50):
+        if shuffle_blocks(spark) <= n + 3:  # the count of the rows has one
+            break
+        time.sleep(0.2)
+    assert shuffle_blocks(spark) <= n + 3 and spark.conf.get(session._CLEANUP) == before
+
+
+@pytest.mark.parametrize("rows, size", [(1 << 19, 1 << 24), (5, 1 << 24), (1 << 19, 10), (0, 0)])
+def test_rows_stay_where_they_are_for_frequent_words(spark, monkeypatch, rows, size):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", size)
+    tokens = spark.createDataFrame([(i, f"w{i % 9}" if i % 7 else None) for i in range(200)], "pos long, token string")
+    words = spark.createDataFrame([(f"w{i}", i, None if i == 3 else 30 - 3 * i) for i in range(8)] + [("w1", 50, 27)], "token string, idx long, freq long")
+    plain = tokens.join(words.drop("freq"), "token")
+    found = J.join_words(tokens, words, "token", ["pos"])
+    assert found.columns == plain.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    optimized = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in optimized and (("Union" in optimized) == (rows < 1 << 19 or size < 1 << 24))
+
+
+@pytest.mark.parametrize("random", [True, False])
+def test_cooccurrence_is_that_of_the_context_sets(spark, monkeypatch, random):
+    monkeypatch.setattr(P, "PAIRS", 300)
+    monkeypatch.setattr(P, "POSITIONS", 200)
+    rows = [(g // 40, g, None if g % 50 == 7 else (g * g + 3 * (g // 5)) % 23 * (-1) ** (g // 400)) for g in range(900)]
+    batched = spark.createDataFrame(rows, "batch long, gidx long, idx long").repartition(5)
+    brute = Counter((r["center"], c) for r in P.context_sets(batched, 3, random).collect() for c in r["context"])
+    found = P.cooccurrence(batched, 3, random)
+    assert Counter({(r["w"], r["c"]): r["n"] for r in found.collect()}) == brute and found.count() == len(brute)
+    even, odd = (P.cooccurrence(batched.where(F.col("batch") % 2 == k), 3, random) for k in (0, 1))
+    both = P.extend_cooccurrence(even, odd)
+    assert both.dtypes == found.dtypes and Counter({(r["w"], r["c"]): r["n"] for r in both.collect()}) == brute and both.count() == len(brute)
+    # lists of pairs move, not a row for each
+    assert all("HashAggregate" not in t._jdf.queryExecution().sparkPlan().toString() for t in (found, both))
+    assert P.cooccurrence(batched.where("false"), 3).count() == 0 == P.extend_cooccurrence(even.where("false"), odd.where("false")).count()
+
+
+def test_sentences_are_made_once(spark, monkeypatch):
+    read = []
+
+    class Trainer:
+        def __init__(self, **params):
+            pass
+
+        def fit(self, df):
+            read.extend(df.inputFiles())
+
+    monkeypatch.setattr(EMB, "Word2Vec", Trainer)
+    EMB.train_embeddings(spark.range(40).select(F.array_repeat(F.lit("w"), 50).alias("tokens")))
+    assert read and all("sentences" in f for f in read)
+
+
+@pytest.mark.parametrize("rows", [1 << 19, 2])
+def test_tokens_of_sentences_move_once(spark, monkeypatch, rows):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", rows)
+    vocab = spark.createDataFrame([("a", 0), ("b", 4), ("c", 7)], "word string, idx long")
+    texts = spark.createDataFrame([(1, "a x  b", 3), (2, "c", 3), (3, "", 2)], "k long, s string, cap int")
+    found = SEQ.pad_and_encode(texts, ["k"], "s", "cap", vocab)
+    assert {r["k"]: (r["seq"], r["ids"]) for r in found.collect()} == {
+        1: ("<start> a <unkonw> <unkonw> <end>", "9 0 11 11 10"),
+        2: ("<start> c <end> <pad> <pad>", "9 7 10 8 8"),
+        3: ("<start> <unkonw> <end> <pad>", "9 11 10 8"),
+    }
+    assert ("strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()) == (rows > 2)
